@@ -1,0 +1,107 @@
+"""Seeded Spark ML estimators, scoring and model inspection.
+
+Every estimator that samples takes a mandatory ``seed``. Results also depend on the input
+partitioning, so fits run on a materialised (checkpointed) frame whose partitioning is fixed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler, VectorIndexer, Word2Vec
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from relevo import schemas as S
+
+
+def dense_features(*cols: str, out: str = "features") -> Column:
+    """A dense vector from numeric columns, as a built-in expression (no Python per row)."""
+    return array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])).alias(out)
+
+
+def assembler(input_cols: Sequence[str], output_col: str = "features") -> VectorAssembler:
+    return VectorAssembler(inputCols=list(input_cols), outputCol=output_col)
+
+
+def linear(features_col: str = "features", label_col: str = S.LABEL, max_iter: int = 10,
+           reg_param: float = 0.0, elastic_net: float = 0.8) -> LinearRegression:
+    """Linear regression; with ``reg_param=0`` it is ordinary least squares (normal equations)."""
+    return LinearRegression(featuresCol=features_col, labelCol=label_col, maxIter=max_iter,
+                            regParam=reg_param, elasticNetParam=elastic_net)
+
+
+def logistic(features_col: str = "features", label_col: str = "label", max_iter: int = 10,
+             reg_param: float = 0.3, elastic_net: float = 0.8) -> LogisticRegression:
+    """Logistic regression. Integer labels 1..k give k + 1 classes (class 0 unused)."""
+    return LogisticRegression(featuresCol=features_col, labelCol=label_col, maxIter=max_iter,
+                              regParam=reg_param, elasticNetParam=elastic_net)
+
+
+def forest(*, seed: int, features_col: str = "features", label_col: str = S.LABEL,
+           num_trees: int = 20, max_depth: int = 5) -> RandomForestRegressor:
+    return RandomForestRegressor(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
+                                 maxDepth=max_depth, seed=seed)
+
+
+def word2vec(*, seed: int, input_col: str, output_col: str, vector_size: int = 3,
+             min_count: int = 5, num_partitions: int = 1, max_iter: int = 1) -> Word2Vec:
+    """Word2Vec. The vocabulary and vectors live on the driver (vocabulary x vector_size numbers);
+    training runs in ``num_partitions`` tasks."""
+    return Word2Vec(vectorSize=vector_size, minCount=min_count, inputCol=input_col,
+                    outputCol=output_col, seed=seed, numPartitions=num_partitions, maxIter=max_iter)
+
+
+def vector_indexer(input_col: str, output_col: str, max_categories: int = 20) -> VectorIndexer:
+    return VectorIndexer(inputCol=input_col, outputCol=output_col, maxCategories=max_categories)
+
+
+def pipeline(*stages) -> Pipeline:
+    return Pipeline(stages=list(stages))
+
+
+def grid(estimator_param, values: Sequence) -> list:
+    """A parameter grid over one parameter (``ParamGridBuilder().addGrid(p, values).build()``)."""
+    return ParamGridBuilder().addGrid(estimator_param, list(values)).build()
+
+
+def train_validation(estimator, param_grid: list, *, seed: int, label_col: str = S.LABEL,
+                     train_ratio: float = 0.8, parallelism: int = 1) -> TrainValidationSplit:
+    """One random train/validation split, best grid point by RMSE, refit on all rows."""
+    return TrainValidationSplit(estimator=estimator, estimatorParamMaps=param_grid,
+                                evaluator=RegressionEvaluator(labelCol=label_col, metricName="rmse"),
+                                trainRatio=train_ratio, seed=seed, parallelism=parallelism)
+
+
+def score(model, df: DataFrame, id_col: str = S.ID) -> DataFrame:
+    """Submission rows: (id, relevance) where relevance is the model's prediction."""
+    return model.transform(df).select(id_col, F.col("prediction").alias(S.LABEL))
+
+
+def coefficients(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
+    """A linear model's coefficients and intercept as rows (term, value).
+
+    The model is a handful of numbers on the driver (that is where Spark ML keeps it); this only
+    turns them into a small table.
+    """
+    lin = model.stages[-1] if isinstance(model, PipelineModel) else model
+    values = [float(v) for v in lin.coefficients.toArray()]
+    rows = list(zip(list(names), values)) + [("intercept", float(lin.intercept))]
+    return spark.createDataFrame(rows, "term string, value double")
+
+
+def rmse(df: DataFrame, label_col: str = S.LABEL, prediction_col: str = "prediction") -> DataFrame:
+    """Root mean squared error as a one-row aggregate (partial sums per task, one final merge)."""
+    err = F.col(label_col).cast("double") - F.col(prediction_col)
+    return df.agg(F.sqrt(F.avg(err * err)).alias("rmse"))
+
+
+def probabilities(df: DataFrame, prob_col: str = "probability", out: str = "prob") -> Column:
+    """The probability vector as an array (exportable, comparable)."""
+    return vector_to_array(F.col(prob_col)).alias(out)

@@ -67,20 +67,20 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
-def hit_features_sql(pairs_table: str = "pairs") -> str:
+def hit_features_sql(pairs_table: str = "pairs", name: str = "features") -> str:
     return f"""
-hits AS (
+{name}_hits AS (
   SELECT q.*, {words(clean("coalesce(q.search_term, '')"))} AS terms,
          {glue(clean("coalesce(q.product_title, '')"))} AS title_blob,
          coalesce({glue(clean('d.product_description'))}, 'empty') AS desc_blob
   FROM {pairs_table} q LEFT JOIN descriptions d ON d.product_uid = q.product_uid
 ),
-features AS (
+{name} AS (
   SELECT * EXCLUDE (terms, title_blob, desc_blob, product_title, search_term),
          CAST(len(terms) AS INTEGER) AS term_len,
          CAST(len(list_filter(terms, lambda t: contains(title_blob, t))) AS INTEGER) AS tf_title,
          CAST(len(list_filter(terms, lambda t: contains(desc_blob, t))) AS INTEGER) AS tf_desc
-  FROM hits
+  FROM {name}_hits
 )"""
 
 
@@ -96,3 +96,48 @@ def spark_english_stop_words() -> tuple[str, ...]:
             if name in z.namelist():
                 return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
     raise FileNotFoundError("Spark's English stop-word list was not found")
+
+
+ATTR_FLAT_SPACE = """
+attr_flat AS (
+  SELECT product_uid, string_agg(value, ' ' ORDER BY name, value) AS attr_list
+  FROM attributes GROUP BY product_uid
+)"""
+
+ATTR_FLAT_COMMA = """
+attr_values AS (
+  SELECT product_uid, string_agg(value, ',' ORDER BY name, value) AS value_list
+  FROM attributes GROUP BY product_uid
+)"""
+
+TOKENS = f"""
+doc_tokens AS (
+  SELECT doc_id, {ml_tokens('text')} AS tok FROM documents WHERE text IS NOT NULL
+)"""
+
+# Ordinary least squares on (term_len, tf_title, tf_desc) of the train rows, by population
+# covariances and Cramer's rule.
+OLS = """
+moments AS (
+  SELECT covar_pop(term_len, term_len) c11, covar_pop(term_len, tf_title) c12,
+         covar_pop(term_len, tf_desc) c13, covar_pop(tf_title, tf_title) c22,
+         covar_pop(tf_title, tf_desc) c23, covar_pop(tf_desc, tf_desc) c33,
+         covar_pop(term_len, relevance) b1, covar_pop(tf_title, relevance) b2,
+         covar_pop(tf_desc, relevance) b3,
+         avg(term_len) m1, avg(tf_title) m2, avg(tf_desc) m3, avg(relevance) my
+  FROM train_features
+),
+det AS (
+  SELECT *, c11 * (c22 * c33 - c23 * c23) - c12 * (c12 * c33 - c23 * c13)
+            + c13 * (c12 * c23 - c22 * c13) AS d FROM moments
+),
+beta AS (
+  SELECT (b1 * (c22 * c33 - c23 * c23) - c12 * (b2 * c33 - c23 * b3) + c13 * (b2 * c23 - c22 * b3)) / d AS w1,
+         (c11 * (b2 * c33 - b3 * c23) - b1 * (c12 * c33 - c23 * c13) + c13 * (c12 * b3 - b2 * c13)) / d AS w2,
+         (c11 * (c22 * b3 - c23 * b2) - c12 * (c12 * b3 - b2 * c13) + b1 * (c12 * c23 - c22 * c13)) / d AS w3,
+         m1, m2, m3, my
+  FROM det
+),
+ols AS (
+  SELECT w1, w2, w3, my - w1 * m1 - w2 * m2 - w3 * m3 AS w0 FROM beta
+)"""

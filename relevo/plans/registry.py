@@ -1,24 +1,35 @@
 """Registered queries (Spark) and their oracle SQL (DuckDB), keyed by name.
 
 Each query takes (spark, sf_dir) and returns a DataFrame over the whole driver tables. Column
-names and types match the SQL so results can be compared by value.
+names and types match the SQL so results can be compared by value. Queries without SQL are
+seeded model flows (rows-only check; their tests carry the proof).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import HashingTF, Tokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relevo import models as M
 from relevo import oracle as O
 from relevo import schemas as S
 from relevo.operators import features, tables
+from relevo.plans import flows
+from relevo.session import materialize, shared_path
+from relevo.sinks import csv as sink
+from relevo.sources import csv as csv_src
 from relevo.sources import tables as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+SEED = 42
+HIT = list(flows.HIT_COLS)
 
 
 def register(name: str, sql: str | None = None):
@@ -30,16 +41,315 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-# --- base tables ---------------------------------------------------------------------------
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parquet(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").isNotNull())
+
+
+def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.tokenize(_docs(spark, sf_dir), "text", "tok").select("doc_id", "tok")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return shared_path(spark, "relevo-csv", f"{name}-{uuid.uuid4().hex}")
+
+
+# --- base tables, joins, aggregation, set operations ------------------------------------------
 
 @register("pairs", O.with_(O.PAIRS) + "SELECT * FROM pairs")
 def q_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.search_pairs(spark, sf_dir)
 
 
-# --- hit features (unstemmed; oracle-checked) -----------------------------------------------
+@register("attributes_flat", O.with_(O.ATTRIBUTES, O.ATTR_FLAT_SPACE) + "SELECT * FROM attr_flat")
+def q_attributes_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.flatten_attributes(src.attributes(spark, sf_dir), sep=" ", out="attr_list")
+
+
+@register("wide_table", O.with_(O.PAIRS, O.ATTRIBUTES, O.ATTR_FLAT_COMMA, O.DESCRIPTIONS) + """
+SELECT q.product_uid, q.search_term, q.product_title, a.value_list, d.product_description, q.relevance
+FROM pairs q LEFT JOIN attr_values a ON a.product_uid = q.product_uid
+             LEFT JOIN descriptions d ON d.product_uid = q.product_uid""")
+def q_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.wide_training_table(src.search_pairs(spark, sf_dir), src.attributes(spark, sf_dir),
+                                     src.product_descriptions(spark, sf_dir))
+
+
+@register("union_pairs", O.with_(O.PAIRS, O.TRAIN, O.TEST) + """
+SELECT product_uid, product_title, search_term FROM train
+UNION ALL SELECT product_uid, product_title, search_term FROM test""")
+def q_union_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = [S.PRODUCT, S.TITLE, S.TERM]
+    return tables.union_pairs(src.train_pairs(spark, sf_dir).drop(S.LABEL).select(*cols),
+                              src.test_pairs(spark, sf_dir).drop(S.ID).select(*cols))
+
+
+@register("corpus_info", O.with_(O.PAIRS, O.TRAIN, O.TEST, O.ATTRIBUTES, O.ATTR_FLAT_SPACE, O.DESCRIPTIONS) + """
+SELECT u.product_uid, u.search_term,
+       u.product_title || ' ' || coalesce(a.attr_list, 'empty') || ' '
+         || coalesce(d.product_description, 'empty') || ' ' || u.search_term AS info
+FROM (SELECT product_uid, product_title, search_term FROM train
+      UNION ALL SELECT product_uid, product_title, search_term FROM test) u
+LEFT JOIN attr_flat a ON a.product_uid = u.product_uid
+LEFT JOIN descriptions d ON d.product_uid = u.product_uid""")
+def q_corpus_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.corpus_info(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                             src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+
+
+@register("stage1_join", O.with_(O.PAIRS, O.DESCRIPTIONS) + """
+SELECT CAST(q.product_uid AS VARCHAR) AS prod_uid, q.product_title AS title,
+       q.search_term AS search, CAST(q.relevance AS VARCHAR) AS rel, d.product_description AS "desc"
+FROM pairs q JOIN descriptions d ON d.product_uid = q.product_uid""")
+def q_stage1_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headerless all-string CSV tables, renamed by position, joined through SQL views."""
+    train_path, desc_path = _scratch(spark, "train"), _scratch(spark, "descriptions")
+    sink.write_csv(src.search_pairs(spark, sf_dir), train_path, header=False)
+    sink.write_csv(src.product_descriptions(spark, sf_dir), desc_path, header=False)
+    return flows.stage1_join(spark, csv_src.read_csv(spark, train_path, header=False),
+                             csv_src.read_csv(spark, desc_path, header=False))
+
+
+@register("csv_roundtrip", O.with_(O.PAIRS) + "SELECT * FROM pairs")
+def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-part CSV with a header, ordered by id; typed strict read back."""
+    path = _scratch(spark, "pairs")
+    sink.write_csv(src.search_pairs(spark, sf_dir), path, order_by=[S.ID])
+    return csv_src.read_csv(spark, path, schema=S.TRAIN, strict=True)
+
+
+@register("top_pairs", O.with_(O.PAIRS) + "SELECT * FROM pairs ORDER BY product_uid, id LIMIT 10")
+def q_top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k preview: the first 10 pairs by (product_uid, id)."""
+    return tables.ordered_limit(src.search_pairs(spark, sf_dir), 10, S.PRODUCT, S.ID)
+
+
+# --- text features ------------------------------------------------------------------------------
 
 @register("hit_features", O.with_(O.PAIRS, O.DESCRIPTIONS, O.hit_features_sql()) + "SELECT * FROM features")
 def q_hit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.hit_features(src.search_pairs(spark, sf_dir),
                                  src.product_descriptions(spark, sf_dir))
+
+
+@register("hit_features_stemmed")
+def q_hit_features_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.hit_features(src.search_pairs(spark, sf_dir),
+                                 src.product_descriptions(spark, sf_dir), stem=True)
+
+
+def _weighted_sql() -> str:
+    def hits(words_col: str) -> str:
+        return f"list_sum(list_transform(tw, lambda t: len(list_filter({words_col}, lambda x: x = t))))"
+    return O.with_(O.PAIRS, O.DESCRIPTIONS) + f"""
+SELECT id, product_uid,
+       (CAST({hits('iw')} AS DOUBLE) / CAST(nullif(len(tw), 0) AS DOUBLE)) * 4.0::DOUBLE
+       + (CAST({hits('dw')} AS DOUBLE) / CAST(nullif(len(tw), 0) AS DOUBLE)) * 1.0::DOUBLE AS "values",
+       CAST(relevance AS DOUBLE) AS label
+FROM (SELECT q.id, q.product_uid, q.relevance,
+             {O.words("coalesce(q.search_term, '')")} AS tw,
+             {O.words("coalesce(q.product_title, '')")} AS iw,
+             {O.words("coalesce(d.product_description, '')")} AS dw
+      FROM pairs q JOIN descriptions d ON d.product_uid = q.product_uid)"""
+
+
+@register("weighted_tf_score", _weighted_sql())
+def q_weighted_tf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.weighted_tf_score(src.search_pairs(spark, sf_dir),
+                                      src.product_descriptions(spark, sf_dir))
+
+
+@register("scored_lines", _weighted_sql().replace("SELECT id, product_uid,", "SELECT printf('(%d, %d) --> values=%f', id, product_uid, v) AS line FROM (SELECT id, product_uid,", 1).replace(' AS "values",', " AS v,", 1) + ")")
+def q_scored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = features.weighted_tf_score(src.search_pairs(spark, sf_dir),
+                                        src.product_descriptions(spark, sf_dir))
+    return sink.format_lines(scored, "(%d, %d) --> values=%f", S.ID, S.PRODUCT, "values")
+
+
+@register("tokens", O.with_(O.TOKENS) + """
+SELECT doc_id, CAST(generate_subscripts(tok, 1) - 1 AS INTEGER) AS pos, unnest(tok) AS token
+FROM doc_tokens""")
+def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.token_rows(_doc_tokens(spark, sf_dir), "doc_id", "tok")
+
+
+@register("bigram_counts", O.with_(O.TOKENS) + """
+SELECT ngram, count(*) AS n_rows
+FROM (SELECT unnest([tok[i] || ' ' || tok[i + 1] FOR i IN range(1, len(tok))]) AS ngram FROM doc_tokens)
+GROUP BY ngram""")
+def q_bigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.ngram_counts(_doc_tokens(spark, sf_dir), "tok", n=2)
+
+
+@register("tfidf", O.with_(O.TOKENS) + """,
+tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(tok) AS token FROM doc_tokens)
+       GROUP BY doc_id, token),
+dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
+m AS (SELECT count(*) AS m FROM doc_tokens)
+SELECT tf.doc_id, tf.token, tf.tf, dfreq.df,
+       round(tf.tf * ln((m.m + 1.0) / (dfreq.df + 1.0)), 6) AS tfidf
+FROM tf JOIN dfreq ON dfreq.token = tf.token, m""".replace("\n,\ntf AS", ",\ntf AS"))
+def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = features.tfidf_table(_doc_tokens(spark, sf_dir), "doc_id", "tok")
+    return t.withColumn("tfidf", F.round("tfidf", 6))
+
+
+def _stop_sql() -> str:
+    words = ", ".join("'" + w.replace("'", "''") + "'" for w in O.spark_english_stop_words())
+    return O.with_(O.TOKENS) + f"""
+SELECT doc_id, CAST(len(kept) AS INTEGER) AS n_kept, array_to_string(kept, ' ') AS kept
+FROM (SELECT doc_id, list_filter(tok, lambda t: NOT list_contains([{words}], t)) AS kept FROM doc_tokens)"""
+
+
+def _register_stop_words() -> None:
+    try:
+        sql = _stop_sql()
+    except (FileNotFoundError, OSError):
+        sql = None
+
+    @register("stopwords_removed", sql)
+    def q_stopwords_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+        kept = features.remove_stop_words(_doc_tokens(spark, sf_dir), "tok", "kept")
+        return kept.select("doc_id", F.size("kept").alias("n_kept"), F.array_join("kept", " ").alias("kept"))
+
+
+_register_stop_words()
+
+
+@register("w2v_vocabulary", O.with_(O.TOKENS) + """
+SELECT word, count(*) AS n FROM (SELECT unnest(tok) AS word FROM doc_tokens) GROUP BY word HAVING count(*) >= 5""")
+def q_w2v_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.vocabulary(_doc_tokens(spark, sf_dir), "tok", min_count=5)
+
+
+@register("label_index", O.with_(O.PAIRS) + """,
+idx AS (SELECT relevance,
+               row_number() OVER (ORDER BY count(*) DESC, CAST(relevance AS VARCHAR)) - 1 AS label
+        FROM pairs GROUP BY relevance)
+SELECT q.id, q.relevance, CAST(i.label AS DOUBLE) AS label FROM pairs q JOIN idx i ON i.relevance = q.relevance""".replace("\n,\nidx AS", ",\nidx AS"))
+def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.index_labels(src.search_pairs(spark, sf_dir).select(S.ID, S.LABEL), S.LABEL, "label")
+
+
+@register("hashed_tf")
+def q_hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tok = features.tokenize(src.search_pairs(spark, sf_dir).select(S.ID, S.TERM), S.TERM, "words")
+    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=20).transform(tok)
+    return hashed.select(S.ID, vector_to_array("tf").alias("tf"))
+
+
+# --- linear model with a closed-form oracle ---------------------------------------------------
+
+def _train_hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    feats = features.hit_features(src.search_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+    feats = materialize(feats.select(*feats.columns, M.dense_features(*HIT)))
+    test = src.is_test_row(F.col(S.ID))
+    return feats.where(~test), feats.where(test)
+
+
+_OLS_BASE = O.with_(O.PAIRS, O.TRAIN, O.TEST, O.DESCRIPTIONS, O.hit_features_sql("train", "train_features"),
+                    O.hit_features_sql("test", "test_features"), O.OLS)
+
+
+@register("linear_coefficients", _OLS_BASE + """
+SELECT term, round(value, 6) AS value FROM (
+  SELECT 'term_len' AS term, w1 AS value FROM ols UNION ALL SELECT 'tf_title', w2 FROM ols
+  UNION ALL SELECT 'tf_desc', w3 FROM ols UNION ALL SELECT 'intercept', w0 FROM ols)""")
+def q_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _train_hits(spark, sf_dir)
+    model = M.linear(reg_param=0.0, elastic_net=0.8).fit(train)
+    return M.coefficients(spark, model, HIT).select("term", F.round("value", 6).alias("value"))
+
+
+@register("linear_submission", _OLS_BASE + """
+SELECT t.id, round(o.w0 + o.w1 * t.term_len + o.w2 * t.tf_title + o.w3 * t.tf_desc, 4) AS relevance
+FROM test_features t, ols o""")
+def q_linear_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _train_hits(spark, sf_dir)
+    model = M.linear(reg_param=0.0, elastic_net=0.8).fit(train)
+    return M.score(model, test).select(S.ID, F.round(S.LABEL, 4).alias(S.LABEL))
+
+
+@register("train_rmse", _OLS_BASE + """
+SELECT round(sqrt(avg(power(t.relevance - (o.w0 + o.w1 * t.term_len + o.w2 * t.tf_title + o.w3 * t.tf_desc), 2))), 6) AS rmse
+FROM train_features t, ols o""")
+def q_train_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _train_hits(spark, sf_dir)
+    model = M.linear(reg_param=0.0, elastic_net=0.8).fit(train)
+    return M.rmse(model.transform(train)).select(F.round("rmse", 6).alias("rmse"))
+
+
+# --- seeded model flows (rows-only) ----------------------------------------------------------
+
+@register("rf_hit_submission")
+def q_rf_hit_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stemmed hit features → random forest (15 trees, depth 6) → test submission."""
+    return flows.hit_rf_submission(src.search_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir),
+                                   src.is_test_row(F.col(S.ID)), seed=SEED)
+
+
+@register("tvs_rf_submission")
+def q_tvs_rf_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train/validation split over numTrees [5], depth 5, ratio 0.8 → test submission."""
+    return flows.hit_tvs_submission(src.search_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir),
+                                    src.is_test_row(F.col(S.ID)), seed=SEED)
+
+
+@register("corpus_w2v_linear")
+def q_corpus_w2v_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.corpus_w2v_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                                       src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
+                                       seed=SEED, learner="linear")
+
+
+@register("corpus_w2v_forest")
+def q_corpus_w2v_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.corpus_w2v_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                                       src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
+                                       seed=SEED, learner="forest")
+
+
+@register("ngram_w2v_submission")
+def q_ngram_w2v_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.ngram_w2v_submission(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                                      seed=SEED, n=1, num_partitions=spark.sparkContext.defaultParallelism)
+
+
+def _labelled_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.train_pairs(spark, sf_dir).select(S.PRODUCT, S.TERM, F.col(S.LABEL).alias("label"))
+
+
+@register("tfidf_linear_scores")
+def q_tfidf_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = flows.tfidf_linear(_labelled_terms(spark, sf_dir),
+                                   src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, S.TERM))
+    return scored.select(S.ID, S.PRODUCT, S.TERM, "prediction")
+
+
+@register("w2v_linear_scores")
+def q_w2v_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = flows.w2v_linear(_labelled_terms(spark, sf_dir),
+                                 src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, S.TERM),
+                                 seed=SEED, num_partitions=spark.sparkContext.defaultParallelism)
+    return scored.select(S.ID, S.PRODUCT, S.TERM, "prediction")
+
+
+@register("tf_score_linear")
+def q_tf_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = flows.tf_score_linear(src.train_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+    return scored.select(S.ID, S.PRODUCT, "values", "label", "prediction")
+
+
+@register("term_classifier")
+def q_term_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents → Tokenizer → HashingTF → logistic regression; every document scored."""
+    _, scored = flows.term_classifier(src.classifier_rows(spark, sf_dir), _docs(spark, sf_dir))
+    return scored.select("doc_id", M.probabilities(scored), "prediction")
+
+
+@register("w2v_vectors")
+def q_w2v_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word vectors of the document corpus (vocabulary with count >= 5)."""
+    w2v = M.word2vec(seed=SEED, input_col="tok", output_col="vec",
+                     num_partitions=spark.sparkContext.defaultParallelism)
+    model = w2v.fit(materialize(_doc_tokens(spark, sf_dir)))
+    return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
