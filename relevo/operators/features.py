@@ -31,35 +31,22 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
       description words (see ``substring_hits``);
     * a product without a description uses the ``missing`` text, normalised like any other text.
 
-    Descriptions are cleaned, glued (and stemmed) per product before the left join, so a long text
-    is processed once however many pairs point at it. Each description must be one row per product.
+    Descriptions are hash-partitioned by product, then cleaned, glued (and stemmed) once per
+    product before the left join, so a long text is processed once however many pairs point at
+    it. When the join is a sort-merge join that exchange is the one the join needs anyway. Each
+    product must have at most one description row.
     """
-    term_c = T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero)
-    title_c = T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero)
     keep = _passthrough(pairs)
-
-    if not stem:
-        desc = descriptions.select(
-            S.PRODUCT, T.glue(T.clean(F.col(S.DESCRIPTION), keep_zero)).alias("_desc_blob"))
-        default_blob = T.glue(T.clean(F.lit(missing), keep_zero))
-        base = pairs.select(*keep, T.words(term_c).alias("_terms"), T.glue(title_c).alias("_title_blob"))
+    desc_by_product = descriptions.repartition(S.PRODUCT)
+    if stem:
+        base, desc, default_blob = _stemmed_sides(pairs, desc_by_product, keep, keep_zero, missing)
     else:
-        desc = stemming.stemmed_words_by_key(
-            descriptions.select(S.PRODUCT, T.clean(F.col(S.DESCRIPTION), keep_zero).alias("_d")),
-            S.PRODUCT, "_d", "_desc_blob", glue=True)
-        # The default is a constant: stem it once on the driver.
-        default_blob = F.lit("".join(stemming.stem_text_constant(
-            _clean_constant(missing, keep_zero))))
-        staged = pairs.select(*keep, term_c.alias("_tc"), title_c.alias("_ic"))
-        phrases = staged.select(F.col("_tc").alias("_phrase")).union(
-            staged.select(F.col("_ic").alias("_phrase")))
-        stems = stemming.stemmed_phrases(phrases, "_phrase", "_stems")
-        term_stems = stems.select(F.col("_phrase").alias("_tc"), F.col("_stems").alias("_terms"))
-        title_stems = stems.select(F.col("_phrase").alias("_ic"),
-                                   F.array_join("_stems", "").alias("_title_blob"))
-        base = (staged.join(term_stems, "_tc", "left").join(title_stems, "_ic", "left")
-                .select(*keep, F.coalesce("_terms", F.array().cast("array<string>")).alias("_terms"),
-                        F.coalesce("_title_blob", F.lit("")).alias("_title_blob")))
+        term_c = T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero)
+        desc = desc_by_product.select(
+            S.PRODUCT, T.glue_clean(F.col(S.DESCRIPTION), keep_zero).alias("_desc_blob"))
+        default_blob = T.glue_clean(F.lit(missing), keep_zero)
+        base = pairs.select(*keep, T.words(term_c).alias("_terms"),
+                            T.glue_clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_title_blob"))
 
     joined = base.join(desc, S.PRODUCT, "left")
     desc_blob = F.coalesce(F.col("_desc_blob"), default_blob)
@@ -71,6 +58,44 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
     )
 
 
+def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str], keep_zero: bool,
+                   missing: str):
+    """Stemmed term tokens and glued title per pair, glued description stems per product.
+
+    One vocabulary (description, title and term words) is stemmed once. Pair tokens are regrouped
+    by (row, pass-through columns); pairs arrive hash-partitioned by id or product_uid, both of
+    which are grouping keys, so with a broadcast stem table the regrouping needs no shuffle.
+    """
+    row = "_row"
+    staged = pairs.select(
+        *keep, F.monotonically_increasing_id().alias(row),
+        T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero).alias("_tc"),
+        T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_ic"))
+
+    def tagged(col: str, kind: int):
+        return F.transform(T.words(col), lambda w, i: F.struct(
+            F.lit(kind).alias("k"), i.alias("p"), w.alias("w")))
+
+    pair_tokens = (staged.select(row, *keep, F.explode_outer(F.concat(tagged("_tc", 0), tagged("_ic", 1))).alias("_e"))
+                   .select(row, *keep, F.col("_e.k").alias("_k"), F.col("_e.p").alias(stemming.POS),
+                           F.col("_e.w").alias(stemming.TOK)))
+    desc_c = T.clean(F.col(S.DESCRIPTION), keep_zero)
+    desc_tokens = stemming.explode_words(desc_by_product.where(F.col(S.DESCRIPTION).isNotNull()),
+                                         [S.PRODUCT], desc_c)
+    stems = stemming.prepared_stems(pair_tokens, desc_tokens)
+
+    terms = stemming.ordered_stems(stemming.POS, stemming.STEM, F.col("_k") == 0)
+    title = stemming.ordered_stems(stemming.POS, stemming.STEM, F.col("_k") == 1)
+    base = (pair_tokens.join(stems, stemming.TOK, "left").groupBy(row, *keep)
+            .agg(terms.alias("_terms"), F.array_join(title, "").alias("_title_blob"))
+            .drop(row))
+    desc = (desc_tokens.join(stems, stemming.TOK, "left").groupBy(S.PRODUCT)
+            .agg(F.array_join(stemming.ordered_stems(stemming.POS, stemming.STEM), "").alias("_desc_blob")))
+    # The default is a constant: stem it once on the driver.
+    default_blob = F.lit("".join(stemming.stem_text_constant(_clean_constant(missing, keep_zero))))
+    return base, desc, default_blob
+
+
 def _clean_constant(text: str, keep_zero: bool) -> str:
     import re
 
@@ -89,7 +114,8 @@ def weighted_tf_score(pairs: DataFrame, descriptions: DataFrame, label: str = S.
     ``values`` is NULL for an empty search term (the loop divided by zero). Description words are
     built once per product before the join.
     """
-    desc = descriptions.select(S.PRODUCT, T.words(F.coalesce(F.col(S.DESCRIPTION), F.lit(""))).alias("_dw"))
+    desc = descriptions.repartition(S.PRODUCT).select(
+        S.PRODUCT, T.words(F.coalesce(F.col(S.DESCRIPTION), F.lit(""))).alias("_dw"))
     base = pairs.select(
         S.ID, S.PRODUCT,
         T.words(F.coalesce(F.col(S.TERM), F.lit(""))).alias("_tw"),

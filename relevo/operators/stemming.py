@@ -1,14 +1,22 @@
 """Stemming as a vocabulary job.
 
-Spark has no stemmer, so one small Python helper stems a single word. It never runs per row: the
-tokens are exploded, reduced to the distinct vocabulary (partial aggregation map side, so only
-distinct words cross the network), stemmed once per distinct word in an Arrow-batched pandas UDF,
-joined back on the word and regrouped in position order. AQE broadcasts the stem table when its
-measured size is small and falls back to a sort-merge join when it is not.
+Spark has no stemmer, so one small Python helper stems a single word. It never runs per row:
+
+1. the tokens of all texts are reduced to the distinct vocabulary (partial aggregation map side,
+   so only distinct words cross the network);
+2. each distinct word is stemmed once in an Arrow-batched pandas UDF and the (word, stem) table is
+   materialised (checkpointed) so the Python work is never repeated;
+3. the table is joined to the exploded tokens and the stems are regrouped in position order.
+
+The stem table is broadcast only after its size has been measured against a limit; above the
+limit the join is a shuffle join. With a broadcast, the exploded rows keep the partitioning of
+their source, so regrouping by a key the source is already partitioned on needs no shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -17,11 +25,14 @@ from pyspark.sql.types import StringType
 
 from relevo.functions import porter2
 from relevo.functions.text import words
+from relevo.session import materialize
 
 # Ship the helper to Python workers by value: workers need not have this package installed.
 cloudpickle.register_pickle_by_value(porter2)
 
-_POS, _TOK, _STEM = "_pos", "_tok", "_stem"
+POS, TOK, STEM = "_pos", "_tok", "_stem"
+# Largest stem table (estimated bytes) that is broadcast to every executor.
+BROADCAST_LIMIT_BYTES = 64 << 20
 
 
 def _make_stem_udf():
@@ -45,40 +56,50 @@ def stem_text_constant(text: str) -> list[str]:
     return [porter2.stem(w) for w in text.lower().split()]
 
 
-def stem_table(tokens: DataFrame, token_col: str = _TOK) -> DataFrame:
-    """Distinct vocabulary of ``token_col`` with the stem of each word: (_tok, _stem)."""
-    vocab = tokens.select(F.col(token_col).alias(_TOK)).where(F.col(_TOK).isNotNull()).distinct()
-    return vocab.select(_TOK, stem_udf(F.col(_TOK)).alias(_STEM))
+def stem_table(*token_frames: DataFrame, token_col: str = TOK) -> DataFrame:
+    """Distinct vocabulary of ``token_col`` over all frames with the stem of each word: (_tok, _stem)."""
+    toks = [f.select(F.col(token_col).alias(TOK)) for f in token_frames]
+    vocab = reduce(DataFrame.union, toks).where(F.col(TOK).isNotNull()).distinct()
+    return vocab.select(TOK, stem_udf(F.col(TOK)).alias(STEM))
+
+
+def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Mark a materialised stem table for broadcast when its measured size is under the limit."""
+    size = table.agg(F.sum(F.length(TOK) + F.length(STEM) + F.lit(24))).first()[0] or 0
+    return F.broadcast(table) if size <= limit_bytes else table
+
+
+def prepared_stems(*token_frames: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Stem table of the frames' tokens, materialised and broadcast-marked when small."""
+    return broadcast_if_small(materialize(stem_table(*token_frames)), limit_bytes)
 
 
-def _regroup(exploded: DataFrame, keys: list[str], out: str, glue: bool) -> DataFrame:
-    stems = stem_table(exploded)
-    joined = exploded.join(stems, _TOK, "left")
-    ordered = F.array_sort(F.collect_list(
-        F.when(F.col(_POS).isNotNull(), F.struct(F.col(_POS), F.col(_STEM)))))
-    seq = F.transform(ordered, lambda x: x[_STEM])
-    return joined.groupBy(*keys).agg((F.array_join(seq, "") if glue else seq).alias(out))
+def ordered_stems(pos: str | Column, stem: str | Column, keep: Column | None = None) -> Column:
+    """Aggregate: the stems of a group in position order (rows with NULL position are skipped)."""
+    p = F.col(pos) if isinstance(pos, str) else pos
+    s = F.col(stem) if isinstance(stem, str) else stem
+    cond = p.isNotNull() if keep is None else (p.isNotNull() & keep)
+    ordered = F.array_sort(F.collect_list(F.when(cond, F.struct(p.alias("p"), s.alias("s")))))
+    return F.transform(ordered, lambda x: x["s"])
+
+
+def explode_words(df: DataFrame, keys: list[str], text: str | Column) -> DataFrame:
+    """(keys, _pos, _tok) for the words of ``text``; a row without words keeps one NULL token."""
+    t = F.col(text) if isinstance(text, str) else text
+    return df.select(*keys, F.posexplode_outer(words(t)).alias(POS, TOK))
 
 
 def stemmed_words_by_key(df: DataFrame, key: str | list[str], text: str | Column, out: str,
-                         glue: bool = False) -> DataFrame:
+                         glue: bool = False, stems: DataFrame | None = None) -> DataFrame:
     """Per key row: the stems of ``words(text)`` in order (or glued with no separator).
 
     Rows with NULL text are dropped (callers left-join and apply their default); a text with no
-    words gives [] (or ''). Regrouping is by the table's own key, so a group is one text.
+    words gives [] (or ''). The key must identify one text.
     """
     keys = [key] if isinstance(key, str) else list(key)
     t = F.col(text) if isinstance(text, str) else text
-    exploded = (df.where(t.isNotNull())
-                .select(*keys, F.posexplode_outer(words(t)).alias(_POS, _TOK)))
-    return _regroup(exploded, keys, out, glue)
-
-
-def stemmed_phrases(phrases: DataFrame, phrase_col: str, out: str, glue: bool = False) -> DataFrame:
-    """Distinct phrases (short texts such as titles and search terms) with their stems.
-
-    Callers join the result back on the phrase text; repeated phrases are stemmed once.
-    """
-    distinct = phrases.select(phrase_col).where(F.col(phrase_col).isNotNull()).distinct()
-    exploded = distinct.select(phrase_col, F.posexplode_outer(words(F.col(phrase_col))).alias(_POS, _TOK))
-    return _regroup(exploded, [phrase_col], out, glue)
+    exploded = explode_words(df.where(t.isNotNull()), keys, t)
+    stems = stems if stems is not None else prepared_stems(exploded)
+    seq = ordered_stems(POS, STEM)
+    return (exploded.join(stems, TOK, "left").groupBy(*keys)
+            .agg((F.array_join(seq, "") if glue else seq).alias(out)))

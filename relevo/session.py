@@ -16,7 +16,7 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions: int | None = None,
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", conf: dict[str, str] | None = None) -> SparkSession:
     """A ``local[cpus]`` session with AQE on, UI off and a scratch checkpoint folder."""
     parts = shuffle_partitions or (os.cpu_count() if cpus == "*" else int(cpus))
     builder = (
@@ -33,6 +33,8 @@ def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
