@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from relevo import schemas as S
 from relevo.functions import text as T
 from relevo.operators import stemming
+from relevo.session import shared_table
 
 _TEXT_COLS = (S.TITLE, S.TERM, S.DESCRIPTION)
 
@@ -31,13 +32,14 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
       description words (see ``substring_hits``);
     * a product without a description uses the ``missing`` text, normalised like any other text.
 
-    Descriptions are hash-partitioned by product, then cleaned, glued (and stemmed) once per
-    product before the left join, so a long text is processed once however many pairs point at
-    it. When the join is a sort-merge join that exchange is the one the join needs anyway. Each
-    product must have at most one description row.
+    Descriptions are cleaned and glued (and stemmed) once per product before the left join, so a
+    long text is processed once however many pairs point at it. The join is a plain equi-join:
+    Catalyst/AQE broadcast the product side when it is small, and otherwise AQE splits a product
+    that holds a large share of the pairs across several tasks. Each product must have at most
+    one description row.
     """
     keep = _passthrough(pairs)
-    desc_by_product = descriptions.repartition(S.PRODUCT)
+    desc_by_product = descriptions
     if stem:
         base, desc, default_blob = _stemmed_sides(pairs, desc_by_product, keep, keep_zero, missing)
     else:
@@ -91,6 +93,8 @@ def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str]
             .drop(row))
     desc = (desc_tokens.join(stems, stemming.TOK, "left").groupBy(S.PRODUCT)
             .agg(F.array_join(stemming.ordered_stems(stemming.POS, stemming.STEM), "").alias("_desc_blob")))
+    # Written once per product; the join to the pairs then stays skew-splittable.
+    desc = shared_table(desc, "stemmed-descriptions")
     # The default is a constant: stem it once on the driver.
     default_blob = F.lit("".join(stemming.stem_text_constant(_clean_constant(missing, keep_zero))))
     return base, desc, default_blob
@@ -114,8 +118,7 @@ def weighted_tf_score(pairs: DataFrame, descriptions: DataFrame, label: str = S.
     ``values`` is NULL for an empty search term (the loop divided by zero). Description words are
     built once per product before the join.
     """
-    desc = descriptions.repartition(S.PRODUCT).select(
-        S.PRODUCT, T.words(F.coalesce(F.col(S.DESCRIPTION), F.lit(""))).alias("_dw"))
+    desc = descriptions.select(S.PRODUCT, T.words(F.coalesce(F.col(S.DESCRIPTION), F.lit(""))).alias("_dw"))
     base = pairs.select(
         S.ID, S.PRODUCT,
         T.words(F.coalesce(F.col(S.TERM), F.lit(""))).alias("_tw"),
@@ -155,9 +158,13 @@ def tfidf_table(tokens: DataFrame, key: str, tokens_col: str, n_docs: int | None
     (key, token); document frequencies another aggregate on token; they join on token.
     """
     m = n_docs if n_docs is not None else tokens.select(key).count()
-    tf = (tokens.select(key, F.explode(tokens_col).alias("token"))
+    # Documents are hash-partitioned by key first: the raw text is a smaller shuffle than the
+    # exploded (key, token) rows, and the (key, token) aggregate then needs no exchange.
+    tf = (tokens.repartition(key).select(key, F.explode(tokens_col).alias("token"))
           .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
-    dfreq = tf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    # Document frequencies are written as a table, so the tf ⋈ df join can split a frequent token
+    # (one row per document containing it) across tasks, or broadcast df when it is small.
+    dfreq = shared_table(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "document-frequency")
     return (tf.join(dfreq, "token")
             .select(key, "token", "tf", "df",
                     (F.col("tf") * F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0))).alias("tfidf")))

@@ -18,7 +18,7 @@ from relevo import models as M
 from relevo import schemas as S
 from relevo.functions import text as T
 from relevo.operators import features, tables
-from relevo.session import materialize
+from relevo.session import materialize, shared_table
 
 HIT_COLS = ("term_len", "tf_title", "tf_desc")
 
@@ -38,7 +38,7 @@ def stage1_join(spark: SparkSession, train: DataFrame, descriptions: DataFrame)
 
 def wide_training_table(pairs: DataFrame, attrs: DataFrame, descriptions: DataFrame) -> DataFrame:
     """pairs ⟕ attributes (values joined by ',') ⟕ descriptions, no defaults."""
-    flat = tables.flatten_attributes(attrs, sep=",", out="value_list")
+    flat = shared_table(tables.flatten_attributes(attrs, sep=",", out="value_list"), "attribute-values")
     joined = tables.attach_product_text(pairs, flat, descriptions, default=None)
     return joined.select(S.PRODUCT, S.TERM, S.TITLE, "value_list", S.DESCRIPTION, S.LABEL)
 
@@ -54,7 +54,7 @@ def corpus_info(train: DataFrame, test: DataFrame, attrs: DataFrame,
     """
     cols = [S.PRODUCT, S.TITLE, S.TERM]
     both = tables.union_pairs(train.select(*cols), test.select(*cols))
-    flat = tables.flatten_attributes(attrs, sep=" ", out="attr_list")
+    flat = shared_table(tables.flatten_attributes(attrs, sep=" ", out="attr_list"), "attribute-lists")
     joined = tables.attach_product_text(both, flat, descriptions)
     return joined.select(S.PRODUCT, S.TERM,
                          T.info(S.TITLE, "attr_list", S.DESCRIPTION, S.TERM).alias("info"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -80,3 +81,17 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for intermediate tables other jobs must read."""
     base = ensure_checkpoint_dir(spark)
     return "/".join([base.rstrip("/"), *parts])
+
+
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a per-key table as Parquet in the shared folder and read it back.
+
+    Used for the output of an aggregate that is then joined to a large, possibly skewed table:
+    read back from files, the table enters the join through its own exchange, which AQE can split
+    for a hot key (a join fed straight by an aggregate or a user repartition cannot be split).
+    Catalyst also sees the real file size, so a small table is still broadcast. It cuts lineage
+    too: a lost executor re-reads files instead of recomputing the aggregate.
+    """
+    path = shared_path(df.sparkSession, "relevo-tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
