@@ -82,8 +82,12 @@ def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str]
                    .select(row, *keep, F.col("_e.k").alias("_k"), F.col("_e.p").alias(stemming.POS),
                            F.col("_e.w").alias(stemming.TOK)))
     desc_c = T.clean(F.col(S.DESCRIPTION), keep_zero)
-    desc_tokens = stemming.explode_words(desc_by_product.where(F.col(S.DESCRIPTION).isNotNull()),
-                                         [S.PRODUCT], desc_c)
+    # Hash-partitioned by product before exploding: the raw text is a smaller shuffle than the
+    # token rows, and the per-product regrouping below then needs no exchange. (The result is
+    # written as a table before it meets the pairs, so this does not stop skew splitting there.)
+    desc_tokens = stemming.explode_words(
+        desc_by_product.where(F.col(S.DESCRIPTION).isNotNull()).repartition(S.PRODUCT),
+        [S.PRODUCT], desc_c)
     stems = stemming.prepared_stems(pair_tokens, desc_tokens)
 
     terms = stemming.ordered_stems(stemming.POS, stemming.STEM, F.col("_k") == 0)

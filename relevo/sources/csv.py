@@ -1,9 +1,11 @@
 """CSV sources: typed reads with a malformed-row policy, headerless all-string reads, views.
 
-``strict=True`` makes the malformed-row policy independent of column pruning: the reader asks for
-the corrupt-record column, which makes Spark parse every column of every row; rows that failed to
-parse are filtered out and the column is dropped. With DROPMALFORMED alone, which rows vanish
-depends on which columns the query happens to select.
+``strict=True`` makes the malformed-row policy independent of column pruning. Every field is read
+as text together with the corrupt-record column; a row is kept when it has the declared number of
+fields and every non-empty field casts to its declared type; then the fields are cast. The
+validity test references every column, so the scan always parses whole rows. With DROPMALFORMED
+alone, which rows vanish depends on which columns the query happens to select (and the
+corrupt-record flag alone only covers the columns a query requires).
 """
 
 from __future__ import annotations
@@ -31,10 +33,16 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     if strict:
         if schema is None:
             raise ValueError("strict reading needs a declared schema")
-        with_corrupt = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
-        df = (reader.schema(with_corrupt).option("mode", "PERMISSIVE")
+        as_text = StructType([*[StructField(f.name, StringType(), True) for f in schema.fields],
+                              StructField(CORRUPT, StringType(), True)])
+        df = (reader.schema(as_text).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
-        return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        valid = F.col(CORRUPT).isNull()
+        for f in schema.fields:
+            if not isinstance(f.dataType, StringType):
+                valid = valid & (F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull())
+        return df.where(valid).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
+                                        for f in schema.fields])
     if schema is not None:
         reader = reader.schema(schema)
     return reader.option("mode", mode).csv(path)
