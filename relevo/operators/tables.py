@@ -73,6 +73,16 @@ def union_pairs(a: DataFrame, b: DataFrame, by_name: bool = True) -> DataFrame:
     return a.union(b)
 
 
+def drop_incomplete(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+    """Drop rows holding a NULL in any (or any listed) column (``na.drop()``)."""
+    return df.na.drop(how="any", subset=list(subset) if subset else None)
+
+
+def row_count(df: DataFrame, name: str) -> DataFrame:
+    """(table, n): the number of rows of a table as a one-row aggregate."""
+    return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table"), "n")
+
+
 def ordered_limit(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """The first ``n`` rows by an explicit order (a plain ``limit`` picks arbitrary rows).
 

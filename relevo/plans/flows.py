@@ -80,9 +80,12 @@ def embed_terms(model, df: DataFrame) -> DataFrame:
 
 
 def corpus_w2v_submission(spark: SparkSession, train: DataFrame, test: DataFrame, attrs: DataFrame,
-                          descriptions: DataFrame, *, seed: int, learner: str = "linear") -> DataFrame:
-    """M8 (``learner='linear'``) and M9 (``learner='forest'``, 15 trees, depth 3): (id, relevance)."""
-    model = corpus_embedding(spark, corpus_info(train, test, attrs, descriptions), seed=seed)
+                          descriptions: DataFrame, *, seed: int, learner: str = "linear",
+                          model=None) -> DataFrame:
+    """M8 (``learner='linear'``) and M9 (``learner='forest'``, 15 trees, depth 3): (id, relevance).
+
+    ``model`` may be an already fitted corpus Word2Vec model (fit once, score many)."""
+    model = model or corpus_embedding(spark, corpus_info(train, test, attrs, descriptions), seed=seed)
     train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL)))
     if learner == "linear":
         est = M.linear(features_col="vec", reg_param=0.0, elastic_net=0.8)
@@ -92,6 +95,24 @@ def corpus_w2v_submission(spark: SparkSession, train: DataFrame, test: DataFrame
     return M.score(fitted, embed_terms(model, test.select(S.ID, S.TERM)))
 
 
+def indexed_forest_submission(spark: SparkSession, train: DataFrame, test: DataFrame, attrs: DataFrame,
+                              descriptions: DataFrame, *, seed: int, max_categories: int = 20,
+                              model=None) -> DataFrame:
+    """The scripts' disabled variant of M9, made to run: the label is the StringIndexer index of
+    the relevance (most frequent value = 0), the term vectors go through a VectorIndexer, and a
+    default random forest is fitted on the indexed features. Predictions are label indices.
+    """
+    from pyspark.ml.feature import StringIndexer
+
+    model = model or corpus_embedding(spark, corpus_info(train, test, attrs, descriptions), seed=seed)
+    train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL)))
+    pipe = M.pipeline(StringIndexer(inputCol=S.LABEL, outputCol="label"),
+                      M.vector_indexer("vec", "indexedFeatures", max_categories),
+                      M.forest(seed=seed, features_col="indexedFeatures", label_col="label"))
+    fitted = pipe.fit(train_vec)
+    return fitted.transform(embed_terms(model, test.select(S.ID, S.TERM))).select(S.ID, "prediction")
+
+
 # --- M3/M4/M5/M7: ML pipelines on search terms ------------------------------------------------
 
 def term_classifier(labelled: DataFrame, to_score: DataFrame, text_col: str = "text",

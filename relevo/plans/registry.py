@@ -117,6 +117,24 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv_src.read_csv(spark, path, schema=S.TRAIN, strict=True)
 
 
+@register("row_counts", O.with_(O.PAIRS, O.TRAIN, O.TEST, O.ATTRIBUTES, O.DESCRIPTIONS) + """
+SELECT 'pairs' AS "table", count(*) AS n FROM pairs
+UNION ALL SELECT 'train', count(*) FROM train
+UNION ALL SELECT 'test', count(*) FROM test
+UNION ALL SELECT 'attributes', count(*) FROM attributes
+UNION ALL SELECT 'product_descriptions', count(*) FROM descriptions""")
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [tables.row_count(src.search_pairs(spark, sf_dir), "pairs"),
+             tables.row_count(src.train_pairs(spark, sf_dir), "train"),
+             tables.row_count(src.test_pairs(spark, sf_dir), "test"),
+             tables.row_count(src.attributes(spark, sf_dir), "attributes"),
+             tables.row_count(src.product_descriptions(spark, sf_dir), "product_descriptions")]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("top_pairs", O.with_(O.PAIRS) + "SELECT * FROM pairs ORDER BY product_uid, id LIMIT 10")
 def q_top_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top-k preview: the first 10 pairs by (product_uid, id)."""
@@ -215,6 +233,33 @@ def _register_stop_words() -> None:
 _register_stop_words()
 
 
+def _corpus_stop_sql() -> str | None:
+    try:
+        words = ", ".join("'" + w.replace("'", "''") + "'" for w in O.spark_english_stop_words())
+    except (FileNotFoundError, OSError):
+        return None
+    return O.with_(O.PAIRS, O.TRAIN, O.TEST, O.ATTRIBUTES, O.ATTR_FLAT_SPACE, O.DESCRIPTIONS) + f"""
+SELECT product_uid, search_term,
+       CAST(len(list_filter(tok, lambda t: NOT list_contains([{words}], t))) AS INTEGER) AS n_kept
+FROM (SELECT u.product_uid, u.search_term,
+             {O.ml_tokens("u.product_title || ' ' || coalesce(a.attr_list, 'empty') || ' ' || coalesce(d.product_description, 'empty') || ' ' || u.search_term")} AS tok
+      FROM (SELECT product_uid, product_title, search_term FROM train
+            UNION ALL SELECT product_uid, product_title, search_term FROM test) u
+      LEFT JOIN attr_flat a ON a.product_uid = u.product_uid
+      LEFT JOIN descriptions d ON d.product_uid = u.product_uid)
+WHERE product_uid IS NOT NULL AND search_term IS NOT NULL AND tok IS NOT NULL"""
+
+
+@register("corpus_stopwords", _corpus_stop_sql())
+def q_corpus_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus tokens without stop words; rows with any NULL dropped: (product_uid, search_term, n_kept)."""
+    corpus = flows.corpus_info(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                               src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+    tok = features.tokenize(corpus.where(F.col("info").isNotNull()), "info", "tokenized_info").drop("info")
+    kept = features.remove_stop_words(tok, "tokenized_info", "filtered_info").drop("tokenized_info")
+    return tables.drop_incomplete(kept).select(S.PRODUCT, S.TERM, F.size("filtered_info").alias("n_kept"))
+
+
 @register("w2v_vocabulary", O.with_(O.TOKENS) + """
 SELECT word, count(*) AS n FROM (SELECT unnest(tok) AS word FROM doc_tokens) GROUP BY word HAVING count(*) >= 5""")
 def q_w2v_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -294,18 +339,50 @@ def q_tvs_rf_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     src.is_test_row(F.col(S.ID)), seed=SEED)
 
 
-@register("corpus_w2v_linear")
-def q_corpus_w2v_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+_CORPUS_MODELS: dict[tuple[str, str], object] = {}
+
+
+def _corpus_model(spark: SparkSession, sf_dir: str):
+    """The corpus Word2Vec model, fitted once per application and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _CORPUS_MODELS:
+        corpus = flows.corpus_info(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                                   src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+        _CORPUS_MODELS[key] = flows.corpus_embedding(spark, corpus, seed=SEED)
+    return _CORPUS_MODELS[key]
+
+
+def _corpus_flow(spark: SparkSession, sf_dir: str, learner: str) -> DataFrame:
     return flows.corpus_w2v_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
                                        src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
-                                       seed=SEED, learner="linear")
+                                       seed=SEED, learner=learner, model=_corpus_model(spark, sf_dir))
+
+
+@register("corpus_w2v_linear")
+def q_corpus_w2v_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus Word2Vec (3 dims, minCount 5) → mean term vectors → OLS → test submission."""
+    return _corpus_flow(spark, sf_dir, "linear")
 
 
 @register("corpus_w2v_forest")
 def q_corpus_w2v_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.corpus_w2v_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
-                                       src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
-                                       seed=SEED, learner="forest")
+    """Same features → random forest (15 trees, depth 3) → test submission."""
+    return _corpus_flow(spark, sf_dir, "forest")
+
+
+@register("term_vectors")
+def q_term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean corpus word vector of every search term (all pairs)."""
+    vec = flows.embed_terms(_corpus_model(spark, sf_dir), src.search_pairs(spark, sf_dir).select(S.ID, S.TERM))
+    return vec.select(S.ID, vector_to_array("vec").alias("vec"))
+
+
+@register("w2v_indexed_forest")
+def q_w2v_indexed_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label index + vector index + default random forest on the corpus term vectors."""
+    return flows.indexed_forest_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+                                           src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
+                                           seed=SEED, model=_corpus_model(spark, sf_dir))
 
 
 @register("ngram_w2v_submission")
@@ -318,6 +395,14 @@ def _labelled_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.train_pairs(spark, sf_dir).select(S.PRODUCT, S.TERM, F.col(S.LABEL).alias("label"))
 
 
+@register("tfidf_linear_coefficients")
+def q_tfidf_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients (20 hashed buckets) and intercept of the TF-IDF linear model."""
+    model, _ = flows.tfidf_linear(_labelled_terms(spark, sf_dir),
+                                  src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, S.TERM))
+    return M.coefficients(spark, model, [f"bucket_{i}" for i in range(20)])
+
+
 @register("tfidf_linear_scores")
 def q_tfidf_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, scored = flows.tfidf_linear(_labelled_terms(spark, sf_dir),

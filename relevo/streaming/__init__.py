@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The reference reads bounded CSV tables only: no readStream/writeStream, watermark, window, state
+or late-data handling appears anywhere in it, so nothing is built or claimed here.
+"""
