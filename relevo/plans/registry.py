@@ -392,7 +392,8 @@ def q_ngram_w2v_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.train_pairs(spark, sf_dir).select(S.PRODUCT, S.TERM, F.col(S.LABEL).alias("label"))
+    """(product_uid, search_term, label): the label renamed by SQL expression, as the pages do."""
+    return tables.rename(src.train_pairs(spark, sf_dir).select(S.PRODUCT, S.TERM, S.LABEL), {S.LABEL: "label"})
 
 
 @register("tfidf_linear_coefficients")

@@ -109,3 +109,19 @@ def test_tf_score_linear_flow(spark):
     model, scored = flows.tf_score_linear(src.train_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL))
     assert scored.count() > 0
     assert len(model.coefficients) == 2
+
+
+def test_ml_idf_equals_relational_formula(spark):
+    """IDF weights of the estimator equal ln((m + 1) / (df + 1)) per hashed bucket."""
+    from pyspark.ml.feature import IDF
+
+    docs = src.parquet(spark, SF_SMALL, "documents").select("doc_id", "text").where("text is not null")
+    tok = features.tokenize(docs, "text", "tok")
+    tf = HashingTF(inputCol="tok", outputCol="raw", numFeatures=64).transform(tok).cache()
+    idf = IDF(inputCol="raw", outputCol="w").fit(tf).idf.toArray()
+    m = tf.count()
+    dfreq = (tf.select(F.posexplode(vector_to_array("raw")).alias("bucket", "c"))
+             .where("c > 0").groupBy("bucket").count().collect())
+    counts = {r["bucket"]: r["count"] for r in dfreq}
+    for b in range(64):
+        assert idf[b] == pytest.approx(np.log((m + 1.0) / (counts.get(b, 0) + 1.0)), abs=1e-12)

@@ -60,3 +60,31 @@ def test_hot_product_is_split_across_tasks(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hits_pre_join_equal_post_join(spark):
+    """Normalising product text once per product gives the same features as per pair after the join."""
+    from relevo.functions import text as T
+
+    pairs, descs = src.search_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL)
+    ours = {r["id"]: (r["term_len"], r["tf_title"], r["tf_desc"])
+            for r in features.hit_features(pairs, descs).collect()}
+    joined = pairs.join(descs, S.PRODUCT, "left").withColumn(
+        S.DESCRIPTION, F.coalesce(S.DESCRIPTION, F.lit(S.MISSING_TEXT)))
+    terms = T.words(T.clean(S.TERM))
+    post = joined.select(S.ID, terms.alias("t"),
+                         F.array_join(T.words(T.clean(S.TITLE)), "").alias("ti"),
+                         F.array_join(T.words(T.clean(S.DESCRIPTION)), "").alias("d"))
+    post = post.select(S.ID, F.size("t").alias("a"), T.substring_hits("t", "ti").alias("b"),
+                       T.substring_hits("t", "d").alias("c"))
+    assert {r["id"]: (r["a"], r["b"], r["c"]) for r in post.collect()} == ours
+
+
+def test_one_exchange_per_product_side_aggregate(spark):
+    from relevo.operators import tables
+
+    flat = tables.flatten_attributes(src.attributes(spark, SF_SMALL))
+    flat.collect()
+    plan = _physical(flat).split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "ObjectHashAggregate" in plan or "SortAggregate" in plan
