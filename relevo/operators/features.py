@@ -64,23 +64,19 @@ def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str]
                    missing: str):
     """Stemmed term tokens and glued title per pair, glued description stems per product.
 
-    One vocabulary (description, title and term words) is stemmed once. Pair tokens are regrouped
-    by (row, pass-through columns); pairs arrive hash-partitioned by id or product_uid, both of
-    which are grouping keys, so with a broadcast stem table the regrouping needs no shuffle.
+    One vocabulary (description, title and term words) is stemmed once. Titles and search terms
+    repeat across pairs, so each distinct phrase is stemmed and regrouped once; the phrase table is
+    written to the shared folder and joined back to the pairs (broadcast when small, otherwise a
+    sort-merge join that AQE can split for a hot phrase).
     """
-    row = "_row"
     staged = pairs.select(
-        *keep, F.monotonically_increasing_id().alias(row),
+        *keep,
         T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero).alias("_tc"),
         T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_ic"))
+    phrases = (staged.select(F.col("_tc").alias("_phrase"))
+               .union(staged.select(F.col("_ic").alias("_phrase"))).distinct())
+    phrase_tokens = stemming.explode_words(phrases, ["_phrase"], F.col("_phrase"))
 
-    def tagged(col: str, kind: int):
-        return F.transform(T.words(col), lambda w, i: F.struct(
-            F.lit(kind).alias("k"), i.alias("p"), w.alias("w")))
-
-    pair_tokens = (staged.select(row, *keep, F.explode_outer(F.concat(tagged("_tc", 0), tagged("_ic", 1))).alias("_e"))
-                   .select(row, *keep, F.col("_e.k").alias("_k"), F.col("_e.p").alias(stemming.POS),
-                           F.col("_e.w").alias(stemming.TOK)))
     desc_c = T.clean(F.col(S.DESCRIPTION), keep_zero)
     # Hash-partitioned by product before exploding: the raw text is a smaller shuffle than the
     # token rows, and the per-product regrouping below then needs no exchange. (The result is
@@ -88,15 +84,21 @@ def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str]
     desc_tokens = stemming.explode_words(
         desc_by_product.where(F.col(S.DESCRIPTION).isNotNull()).repartition(S.PRODUCT),
         [S.PRODUCT], desc_c)
-    stems = stemming.prepared_stems(pair_tokens, desc_tokens)
+    stems = stemming.prepared_stems(phrase_tokens, desc_tokens)
+
+    ordered = stemming.ordered_stems(stemming.POS, stemming.STEM)
+    phrase_stems = shared_table(
+        phrase_tokens.join(stems, stemming.TOK, "left").groupBy("_phrase")
+        .agg(ordered.alias("_stems")), "stemmed-phrases")
+    term_side = phrase_stems.select(F.col("_phrase").alias("_tc"), F.col("_stems").alias("_terms"))
+    title_side = phrase_stems.select(F.col("_phrase").alias("_ic"),
+                                     F.array_join("_stems", "").alias("_title_blob"))
+    base = (staged.join(term_side, "_tc", "left").join(title_side, "_ic", "left")
+            .select(*keep, F.coalesce("_terms", F.array().cast("array<string>")).alias("_terms"),
+                    F.coalesce("_title_blob", F.lit("")).alias("_title_blob")))
 
-    terms = stemming.ordered_stems(stemming.POS, stemming.STEM, F.col("_k") == 0)
-    title = stemming.ordered_stems(stemming.POS, stemming.STEM, F.col("_k") == 1)
-    base = (pair_tokens.join(stems, stemming.TOK, "left").groupBy(row, *keep)
-            .agg(terms.alias("_terms"), F.array_join(title, "").alias("_title_blob"))
-            .drop(row))
     desc = (desc_tokens.join(stems, stemming.TOK, "left").groupBy(S.PRODUCT)
-            .agg(F.array_join(stemming.ordered_stems(stemming.POS, stemming.STEM), "").alias("_desc_blob")))
+            .agg(F.array_join(ordered, "").alias("_desc_blob")))
     # Written once per product; the join to the pairs then stays skew-splittable.
     desc = shared_table(desc, "stemmed-descriptions")
     # The default is a constant: stem it once on the driver.
