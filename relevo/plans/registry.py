@@ -124,15 +124,14 @@ UNION ALL SELECT 'test', count(*) FROM test
 UNION ALL SELECT 'attributes', count(*) FROM attributes
 UNION ALL SELECT 'product_descriptions', count(*) FROM descriptions""")
 def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [tables.row_count(src.search_pairs(spark, sf_dir), "pairs"),
-             tables.row_count(src.train_pairs(spark, sf_dir), "train"),
-             tables.row_count(src.test_pairs(spark, sf_dir), "test"),
-             tables.row_count(src.attributes(spark, sf_dir), "attributes"),
-             tables.row_count(src.product_descriptions(spark, sf_dir), "product_descriptions")]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """(table, n) for the logical tables; pairs, train and test come from one pass over the pairs."""
+    test = src.is_test_row(F.col(S.ID))
+    split = (src.search_pairs(spark, sf_dir)
+             .agg(F.count(F.lit(1)).alias("pairs"), F.count(F.when(~test, 1)).alias("train"),
+                  F.count(F.when(test, 1)).alias("test"))
+             .select(F.expr("stack(3, 'pairs', pairs, 'train', train, 'test', test) AS (`table`, n)")))
+    return (split.unionByName(tables.row_count(src.attributes(spark, sf_dir), "attributes"))
+            .unionByName(tables.row_count(src.product_descriptions(spark, sf_dir), "product_descriptions")))
 
 
 @register("top_pairs", O.with_(O.PAIRS) + "SELECT * FROM pairs ORDER BY product_uid, id LIMIT 10")
