@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from relevo.plans import registry
-from relevo.session import ensure_checkpoint_dir
+from relevo.session import apply_skew_conf, ensure_checkpoint_dir
 from relevo.sinks.csv import write_csv
 
 
@@ -28,6 +28,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"relevo-{args.query}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    apply_skew_conf(spark)
     df = registry.QUERIES[args.query](spark, args.sf_dir)
     if args.format == "csv":
         array_cols = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]

@@ -7,6 +7,7 @@ seeded model flows (rows-only check; their tests carry the proof).
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ from relevo import oracle as O
 from relevo import schemas as S
 from relevo.operators import features, tables
 from relevo.plans import flows
-from relevo.session import materialize, shared_path
+from relevo.session import apply_skew_conf, materialize, shared_path
 from relevo.sinks import csv as sink
 from relevo.sources import csv as csv_src
 from relevo.sources import tables as src
@@ -33,8 +34,14 @@ HIT = list(flows.HIT_COLS)
 
 
 def register(name: str, sql: str | None = None):
+    """Register a query; it runs with AQE skew-join splitting turned on for its session."""
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            apply_skew_conf(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn

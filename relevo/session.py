@@ -15,6 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Runtime settings the jobs rely on to split a hot key. With a chain of joins on the same key
+# (pairs ⋈ part ⋈ descriptions on product_uid) the later join reuses the earlier one's
+# partitioning, so AQE only splits a skewed partition if it may add the shuffle that splitting
+# then needs ("force"); it adds it only when it actually finds a skewed partition.
+SKEW_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def apply_skew_conf(spark: SparkSession) -> None:
+    """Turn on AQE skew-join splitting for this session (runtime SQL settings)."""
+    for key, value in SKEW_CONF.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
 
 def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions: int | None = None,
                   driver_memory: str = "8g", conf: dict[str, str] | None = None) -> SparkSession:
@@ -30,6 +47,7 @@ def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)

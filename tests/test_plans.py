@@ -62,6 +62,44 @@ def test_hot_product_is_split_across_tasks(spark):
                 spark.conf.set(k, v)
 
 
+def test_hot_product_in_the_source_is_split(spark, monkeypatch):
+    """Skew already in lineitem: the title and description joins share one partitioning, so the
+    split needs AQE's forced skew handling (turned on by every registered query)."""
+    from relevo.session import apply_skew_conf
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "32",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    orig = src.parquet
+
+    def skewed_parquet(spark_, sf_dir, table):
+        df = orig(spark_, sf_dir, table)
+        if table == "lineitem":
+            df = df.withColumn("l_partkey", F.when(F.col("l_orderkey") % 3 == 0, F.lit(7))
+                               .otherwise(F.col("l_partkey")))
+        return df
+
+    monkeypatch.setattr(src, "parquet", skewed_parquet)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        apply_skew_conf(spark)
+        df = features.hit_features(src.search_pairs(spark, SF_LARGE), src.product_descriptions(spark, SF_LARGE))
+        rows = df.count()
+        df.collect()
+        assert rows == df.count()
+        assert _physical(df).split("== Initial Plan ==")[0].count("skew=true") >= 1
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def test_hits_pre_join_equal_post_join(spark):
     """Normalising product text once per product gives the same features as per pair after the join."""
     from relevo.functions import text as T
