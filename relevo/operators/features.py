@@ -164,9 +164,9 @@ def tfidf_table(tokens: DataFrame, key: str, tokens_col: str, n_docs: int | None
     (key, token); document frequencies another aggregate on token; they join on token.
     """
     m = n_docs if n_docs is not None else tokens.select(key).count()
-    # Documents are hash-partitioned by key first: the raw text is a smaller shuffle than the
-    # exploded (key, token) rows, and the (key, token) aggregate then needs no exchange.
-    tf = (tokens.repartition(key).select(key, F.explode(tokens_col).alias("token"))
+    # When the documents arrive hash-partitioned by key (see ``documents_by_key``), the
+    # (key, token) aggregate needs no exchange: raw text is a smaller shuffle than (key, token) rows.
+    tf = (tokens.select(key, F.explode(tokens_col).alias("token"))
           .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
     # Document frequencies are written as a table, so the tf ⋈ df join can split a frequent token
     # (one row per document containing it) across tasks, or broadcast df when it is small.
@@ -176,6 +176,11 @@ def tfidf_table(tokens: DataFrame, key: str, tokens_col: str, n_docs: int | None
                     (F.col("tf") * F.log((F.lit(m) + 1.0) / (F.col("df") + 1.0))).alias("tfidf")))
 
 
+def documents_by_key(docs: DataFrame, key: str) -> DataFrame:
+    """Documents hash-partitioned by their key before tokenizing, for per-document aggregates."""
+    return docs.repartition(key)
+
+
 def remove_stop_words(df: DataFrame, input_col: str, output_col: str,
                       stop_words: list[str] | None = None) -> DataFrame:
     """ML ``StopWordsRemover`` (Spark's English list unless given)."""

@@ -11,7 +11,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.ml.feature import HashingTF, Tokenizer
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -213,7 +213,8 @@ SELECT tf.doc_id, tf.token, tf.tf, dfreq.df,
        round(tf.tf * ln((m.m + 1.0) / (dfreq.df + 1.0)), 6) AS tfidf
 FROM tf JOIN dfreq ON dfreq.token = tf.token, m""".replace("\n,\ntf AS", ",\ntf AS"))
 def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = features.tfidf_table(_doc_tokens(spark, sf_dir), "doc_id", "tok")
+    docs = features.documents_by_key(_docs(spark, sf_dir), "doc_id")
+    t = features.tfidf_table(features.tokenize(docs, "text", "tok").select("doc_id", "tok"), "doc_id", "tok")
     return t.withColumn("tfidf", F.round("tfidf", 6))
 
 

@@ -6,7 +6,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from relevo import schemas as S
 from relevo.sinks import csv as sink
