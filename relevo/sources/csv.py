@@ -55,6 +55,34 @@ def read_headerless(spark: SparkSession, path: str | Sequence[str], names: Seque
     return df.toDF(*names)
 
 
+# File names of the search-relevance CSV layout and the schema each one is read with.
+CSV_TABLES = {
+    "train": ("train.csv", "TRAIN"),
+    "test": ("test.csv", "TEST"),
+    "attributes": ("attributes.csv", "ATTRIBUTES"),
+    "product_descriptions": ("product_descriptions.csv", "DESCRIPTIONS"),
+}
+
+
+def read_search_tables(spark: SparkSession, folder: str, strict: bool = True) -> dict[str, DataFrame]:
+    """The four CSV tables of a search-relevance folder, typed, keyed by logical name.
+
+    Missing files are skipped. Attributes and descriptions are read permissively when ``strict``
+    is False (the scripts read them without dropping rows).
+    """
+    import os
+
+    from relevo import schemas
+
+    out = {}
+    for name, (file_name, schema_name) in CSV_TABLES.items():
+        path = f"{folder.rstrip('/')}/{file_name}"
+        if "://" not in path and not os.path.exists(path):
+            continue
+        out[name] = read_csv(spark, path, schema=getattr(schemas, schema_name), strict=strict)
+    return out
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Name a DataFrame for SQL (``createOrReplaceTempView``) and hand it back."""
     df.createOrReplaceTempView(name)
