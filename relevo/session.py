@@ -60,6 +60,31 @@ def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume and the number of executor cores.
+
+    * shuffle partitions: enough that the largest shuffle (about the input volume: the pairs carry
+      the text they are compared with) lands near ``target_partition_bytes`` per task, and never
+      fewer than 3 waves of tasks. AQE coalesces partitions that turn out small, so erring high
+      is cheap;
+    * scan splits of 128 MB;
+    * AQE with skew splitting (``SKEW_CONF``), skewed partitions split at 5x the median and above
+      ``target_partition_bytes``;
+    * a broadcast threshold of 64 MB: only tables whose measured size is under it are broadcast.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **SKEW_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     sc = spark.sparkContext
