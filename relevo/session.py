@@ -10,7 +10,6 @@ import os
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -99,10 +98,16 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when none is set (local runs, tests) make a scratch one."""
+    """The session's checkpoint folder.
+
+    Only a local-mode session (tests, the bench) without one gets a scratch folder; on a cluster a
+    machine-local folder would be lost with its executor, so a missing setting is an error.
+    """
     found = checkpoint_dir(spark)
     if found:
         return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS, S3, ...) for cluster runs")
     scratch = tempfile.mkdtemp(prefix="relevo-ckpt-")
     spark.sparkContext.setCheckpointDir(scratch)
     return spark.sparkContext.getCheckpointDir()
@@ -111,13 +116,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage before an iterative consumer (model fitting).
 
-    With a shared checkpoint folder the rows are written there (reliable checkpoint, survives the
-    loss of any executor). Without one the frame is persisted to memory and disk, which still
-    survives executor loss by recomputation from lineage. ``localCheckpoint`` is never used.
+    The rows are written to the shared checkpoint folder (a reliable checkpoint: it survives the
+    loss of any executor, and later passes re-read files instead of recomputing the plan).
+    ``localCheckpoint`` is never used.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
