@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from relevo import schemas as S
 from relevo.functions import text as T
 from relevo.operators import stemming
-from relevo.session import shared_table
+from relevo.session import materialize, shared_table
 
 _TEXT_COLS = (S.TITLE, S.TERM, S.DESCRIPTION)
 
@@ -39,12 +39,11 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
     one description row.
     """
     keep = _passthrough(pairs)
-    desc_by_product = descriptions
     if stem:
-        base, desc, default_blob = _stemmed_sides(pairs, desc_by_product, keep, keep_zero, missing)
+        base, desc, default_blob = _stemmed_sides(pairs, descriptions, keep, keep_zero, missing)
     else:
         term_c = T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero)
-        desc = desc_by_product.select(
+        desc = descriptions.select(
             S.PRODUCT, T.glue_clean(F.col(S.DESCRIPTION), keep_zero).alias("_desc_blob"))
         default_blob = T.glue_clean(F.lit(missing), keep_zero)
         base = pairs.select(*keep, T.words(term_c).alias("_terms"),
@@ -60,19 +59,21 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
     )
 
 
-def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str], keep_zero: bool,
+def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], keep_zero: bool,
                    missing: str):
     """Stemmed term tokens and glued title per pair, glued description stems per product.
 
     One vocabulary (description, title and term words) is stemmed once. Titles and search terms
     repeat across pairs, so each distinct phrase is stemmed and regrouped once; the phrase table is
     written to the shared folder and joined back to the pairs (broadcast when small, otherwise a
-    sort-merge join that AQE can split for a hot phrase).
+    sort-merge join that AQE can split for a hot phrase). The staged pairs feed three jobs (the
+    vocabulary, the phrase table and the features), so they are checkpointed once instead of
+    re-running the pairs' plan three times.
     """
-    staged = pairs.select(
+    staged = materialize(pairs.select(
         *keep,
         T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero).alias("_tc"),
-        T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_ic"))
+        T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_ic")))
     phrases = (staged.select(F.col("_tc").alias("_phrase"))
                .union(staged.select(F.col("_ic").alias("_phrase"))).distinct())
     phrase_tokens = stemming.explode_words(phrases, ["_phrase"], F.col("_phrase"))
@@ -82,7 +83,7 @@ def _stemmed_sides(pairs: DataFrame, desc_by_product: DataFrame, keep: list[str]
     # token rows, and the per-product regrouping below then needs no exchange. (The result is
     # written as a table before it meets the pairs, so this does not stop skew splitting there.)
     desc_tokens = stemming.explode_words(
-        desc_by_product.where(F.col(S.DESCRIPTION).isNotNull()).repartition(S.PRODUCT),
+        descriptions.where(F.col(S.DESCRIPTION).isNotNull()).repartition(S.PRODUCT),
         [S.PRODUCT], desc_c)
     stems = stemming.prepared_stems(phrase_tokens, desc_tokens)
 
