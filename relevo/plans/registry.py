@@ -439,6 +439,21 @@ def q_term_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", M.probabilities(scored), "prediction")
 
 
+@register("term_classifier_pairs")
+def q_term_classifier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search terms → hashed terms → logistic regression on an integer relevance label.
+
+    Only whole-valued labels survive an integer label column (an integer CSV schema drops the
+    fractional rows), so the train rows are filtered to those; labels 1..3 give 4 classes.
+    """
+    train = src.train_pairs(spark, sf_dir)
+    labelled = (train.where(F.col(S.LABEL) == F.floor(S.LABEL))
+                .select(S.PRODUCT, F.col(S.TERM).alias("text"), F.col(S.LABEL).cast("int").alias("label")))
+    test = src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, F.col(S.TERM).alias("text"))
+    _, scored = flows.term_classifier(labelled, test)
+    return scored.select(S.ID, S.PRODUCT, M.probabilities(scored), "prediction")
+
+
 @register("w2v_vectors")
 def q_w2v_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word vectors of the document corpus (vocabulary with count >= 5)."""
