@@ -102,3 +102,42 @@ def test_substring_hits_match_python(spark, terms, words):
     n, h = py(terms, words)
     assert (r["n"], r["h"]) == (n, h)
     assert 0 <= r["h"] <= r["n"]
+
+
+_words_text = st.text(alphabet=st.sampled_from(list("abcAB ,.\n")), max_size=25)
+
+
+@settings(max_examples=40, deadline=None)
+@given(term=_words_text, title=_words_text, desc=_words_text)
+def test_weighted_tf_matches_python_loop(spark, term, title, desc):
+    """The projection equals the per-row loop it replaces (None where the loop divides by zero)."""
+    def py(term, title, desc):
+        words = term.split()
+        n = len(words)
+        if n == 0:
+            return None
+        s1 = sum(title.lower().split().count(w.lower()) for w in words) / (1.0 * n)
+        s2 = sum(desc.lower().split().count(w.lower()) for w in words) / (1.0 * n)
+        return s1 * 4.0 + s2 * 1.0
+
+    df = spark.createDataFrame([(term, title, desc)], "t string, i string, d string")
+    got = df.select(T.weighted_tf(T.words("t"), T.words("i"), T.words("d")).alias("w")).first()["w"]
+    assert got == py(term, title, desc)
+
+
+@settings(max_examples=40, deadline=None)
+@given(s=st.text(alphabet=st.sampled_from(list("aB \t\n")), max_size=12))
+def test_ml_tokens_match_java_split(spark, s):
+    """Tokenizer semantics: split on single whitespace, trailing empties dropped, '' -> ['']."""
+    def py(s):
+        parts = re.split(r"[ \t\n\x0b\f\r]", s.lower())
+        if s == "":
+            return [""]
+        while parts and parts[-1] == "":
+            parts.pop()
+        return parts
+
+    df = spark.createDataFrame([(s,)], "s string")
+    ml = Tokenizer(inputCol="s", outputCol="t").transform(df).first()["t"]
+    assert ml == py(s)
+    assert df.select(T.ml_tokens("s").alias("t")).first()["t"] == ml
