@@ -86,8 +86,8 @@ SELECT product_uid, product_title, search_term FROM train
 UNION ALL SELECT product_uid, product_title, search_term FROM test""")
 def q_union_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = [S.PRODUCT, S.TITLE, S.TERM]
-    return tables.union_pairs(src.train_pairs(spark, sf_dir).drop(S.LABEL).select(*cols),
-                              src.test_pairs(spark, sf_dir).drop(S.ID).select(*cols))
+    train, test = src.train_test(spark, sf_dir)
+    return tables.union_pairs(train.drop(S.LABEL).select(*cols), test.drop(S.ID).select(*cols))
 
 
 @register("corpus_info", O.with_(O.PAIRS, O.TRAIN, O.TEST, O.ATTRIBUTES, O.ATTR_FLAT_SPACE, O.DESCRIPTIONS) + """
@@ -99,8 +99,8 @@ FROM (SELECT product_uid, product_title, search_term FROM train
 LEFT JOIN attr_flat a ON a.product_uid = u.product_uid
 LEFT JOIN descriptions d ON d.product_uid = u.product_uid""")
 def q_corpus_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.corpus_info(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
-                             src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+    train, test = src.train_test(spark, sf_dir)
+    return flows.corpus_info(train, test, src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
 
 
 @register("stage1_join", O.with_(O.PAIRS, O.DESCRIPTIONS) + """
@@ -260,8 +260,8 @@ WHERE product_uid IS NOT NULL AND search_term IS NOT NULL AND tok IS NOT NULL"""
 @register("corpus_stopwords", _corpus_stop_sql())
 def q_corpus_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus tokens without stop words; rows with any NULL dropped: (product_uid, search_term, n_kept)."""
-    corpus = flows.corpus_info(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
-                               src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+    train, test = src.train_test(spark, sf_dir)
+    corpus = flows.corpus_info(train, test, src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
     tok = features.tokenize(corpus.where(F.col("info").isNotNull()), "info", "tokenized_info").drop("info")
     kept = features.remove_stop_words(tok, "tokenized_info", "filtered_info").drop("tokenized_info")
     return tables.drop_incomplete(kept).select(S.PRODUCT, S.TERM, F.size("filtered_info").alias("n_kept"))
@@ -353,14 +353,16 @@ def _corpus_model(spark: SparkSession, sf_dir: str):
     """The corpus Word2Vec model, fitted once per application and table folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _CORPUS_MODELS:
-        corpus = flows.corpus_info(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
-                                   src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+        train, test = src.train_test(spark, sf_dir)
+        corpus = flows.corpus_info(train, test, src.attributes(spark, sf_dir),
+                                   src.product_descriptions(spark, sf_dir))
         _CORPUS_MODELS[key] = flows.corpus_embedding(spark, corpus, seed=SEED)
     return _CORPUS_MODELS[key]
 
 
 def _corpus_flow(spark: SparkSession, sf_dir: str, learner: str) -> DataFrame:
-    return flows.corpus_w2v_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+    train, test = src.train_test(spark, sf_dir)
+    return flows.corpus_w2v_submission(spark, train, test,
                                        src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
                                        seed=SEED, learner=learner, model=_corpus_model(spark, sf_dir))
 
@@ -387,41 +389,43 @@ def q_term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("w2v_indexed_forest")
 def q_w2v_indexed_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label index + vector index + default random forest on the corpus term vectors."""
-    return flows.indexed_forest_submission(spark, src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+    train, test = src.train_test(spark, sf_dir)
+    return flows.indexed_forest_submission(spark, train, test,
                                            src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir),
                                            seed=SEED, model=_corpus_model(spark, sf_dir))
 
 
 @register("ngram_w2v_submission")
 def q_ngram_w2v_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.ngram_w2v_submission(src.train_pairs(spark, sf_dir), src.test_pairs(spark, sf_dir),
+    train, test = src.train_test(spark, sf_dir)
+    return flows.ngram_w2v_submission(train, test,
                                       seed=SEED, n=1, num_partitions=spark.sparkContext.defaultParallelism)
 
 
-def _labelled_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _labelled_terms(train: DataFrame) -> DataFrame:
     """(product_uid, search_term, label): the label renamed by SQL expression, as the pages do."""
-    return tables.rename(src.train_pairs(spark, sf_dir).select(S.PRODUCT, S.TERM, S.LABEL), {S.LABEL: "label"})
+    return tables.rename(train.select(S.PRODUCT, S.TERM, S.LABEL), {S.LABEL: "label"})
 
 
 @register("tfidf_linear_coefficients")
 def q_tfidf_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coefficients (20 hashed buckets) and intercept of the TF-IDF linear model."""
-    model, _ = flows.tfidf_linear(_labelled_terms(spark, sf_dir),
-                                  src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, S.TERM))
+    train, test = src.train_test(spark, sf_dir)
+    model, _ = flows.tfidf_linear(_labelled_terms(train), test.select(S.ID, S.PRODUCT, S.TERM))
     return M.coefficients(spark, model, [f"bucket_{i}" for i in range(20)])
 
 
 @register("tfidf_linear_scores")
 def q_tfidf_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, scored = flows.tfidf_linear(_labelled_terms(spark, sf_dir),
-                                   src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, S.TERM))
+    train, test = src.train_test(spark, sf_dir)
+    _, scored = flows.tfidf_linear(_labelled_terms(train), test.select(S.ID, S.PRODUCT, S.TERM))
     return scored.select(S.ID, S.PRODUCT, S.TERM, "prediction")
 
 
 @register("w2v_linear_scores")
 def q_w2v_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, scored = flows.w2v_linear(_labelled_terms(spark, sf_dir),
-                                 src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, S.TERM),
+    train, test = src.train_test(spark, sf_dir)
+    _, scored = flows.w2v_linear(_labelled_terms(train), test.select(S.ID, S.PRODUCT, S.TERM),
                                  seed=SEED, num_partitions=spark.sparkContext.defaultParallelism)
     return scored.select(S.ID, S.PRODUCT, S.TERM, "prediction")
 
@@ -446,10 +450,10 @@ def q_term_classifier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     Only whole-valued labels survive an integer label column (an integer CSV schema drops the
     fractional rows), so the train rows are filtered to those; labels 1..3 give 4 classes.
     """
-    train = src.train_pairs(spark, sf_dir)
+    train, test_rows = src.train_test(spark, sf_dir)
     labelled = (train.where(F.col(S.LABEL) == F.floor(S.LABEL))
                 .select(S.PRODUCT, F.col(S.TERM).alias("text"), F.col(S.LABEL).cast("int").alias("label")))
-    test = src.test_pairs(spark, sf_dir).select(S.ID, S.PRODUCT, F.col(S.TERM).alias("text"))
+    test = test_rows.select(S.ID, S.PRODUCT, F.col(S.TERM).alias("text"))
     _, scored = flows.term_classifier(labelled, test)
     return scored.select(S.ID, S.PRODUCT, M.probabilities(scored), "prediction")
 

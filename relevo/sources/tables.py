@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relevo import schemas as S
+from relevo.session import materialize
 
 
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -63,6 +64,17 @@ def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_pairs(spark, sf_dir).where(is_test_row(F.col(S.ID))).drop(S.LABEL)
 
 
+def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test pairs cut from one checkpointed pairs table.
+
+    Jobs that read both would otherwise run the pairs' plan (a lineitem aggregate and two joins)
+    once per side; here it runs once and both sides are filters over the checkpoint.
+    """
+    pairs = materialize(search_pairs(spark, sf_dir))
+    test = is_test_row(F.col(S.ID))
+    return pairs.where(~test), pairs.where(test).drop(S.LABEL)
+
+
 def product_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_uid, product_description (documents cover only part of the products)."""
     return parquet(spark, sf_dir, "documents").select(
