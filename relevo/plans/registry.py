@@ -204,14 +204,15 @@ def q_bigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.ngram_counts(_doc_tokens(spark, sf_dir), "tok", n=2)
 
 
-@register("tfidf", O.with_(O.TOKENS) + """,
-tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(tok) AS token FROM doc_tokens)
-       GROUP BY doc_id, token),
-dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
-m AS (SELECT count(*) AS m FROM doc_tokens)
+@register("tfidf", O.with_(
+    O.TOKENS,
+    """tf AS (SELECT doc_id, token, count(*) AS tf FROM (SELECT doc_id, unnest(tok) AS token FROM doc_tokens)
+       GROUP BY doc_id, token)""",
+    "dfreq AS (SELECT token, count(*) AS df FROM tf GROUP BY token)",
+    "m AS (SELECT count(*) AS m FROM doc_tokens)") + """
 SELECT tf.doc_id, tf.token, tf.tf, dfreq.df,
        round(tf.tf * ln((m.m + 1.0) / (dfreq.df + 1.0)), 6) AS tfidf
-FROM tf JOIN dfreq ON dfreq.token = tf.token, m""".replace("\n,\ntf AS", ",\ntf AS"))
+FROM tf JOIN dfreq ON dfreq.token = tf.token, m""")
 def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = features.documents_by_key(_docs(spark, sf_dir), "doc_id")
     t = features.tfidf_table(features.tokenize(docs, "text", "tok").select("doc_id", "tok"), "doc_id", "tok")
@@ -273,11 +274,12 @@ def q_w2v_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.vocabulary(_doc_tokens(spark, sf_dir), "tok", min_count=5)
 
 
-@register("label_index", O.with_(O.PAIRS) + """,
-idx AS (SELECT relevance,
+@register("label_index", O.with_(
+    O.PAIRS,
+    """idx AS (SELECT relevance,
                row_number() OVER (ORDER BY count(*) DESC, CAST(relevance AS VARCHAR)) - 1 AS label
-        FROM pairs GROUP BY relevance)
-SELECT q.id, q.relevance, CAST(i.label AS DOUBLE) AS label FROM pairs q JOIN idx i ON i.relevance = q.relevance""".replace("\n,\nidx AS", ",\nidx AS"))
+        FROM pairs GROUP BY relevance)""") + """
+SELECT q.id, q.relevance, CAST(i.label AS DOUBLE) AS label FROM pairs q JOIN idx i ON i.relevance = q.relevance""")
 def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.index_labels(src.search_pairs(spark, sf_dir).select(S.ID, S.LABEL), S.LABEL, "label")
 
