@@ -11,7 +11,7 @@ from relevo.functions.porter2 import stem
 from relevo.operators import features, stemming
 from relevo.sources import tables as src
 
-from .conftest import SF_SMALL
+from .conftest import SF_MID, SF_SMALL
 
 WORDS = {
     "caresses": "caress", "ponies": "poni", "ties": "tie", "cats": "cat", "feed": "feed",
@@ -47,7 +47,12 @@ def _py_stemmed_hits(sf_dir):
     li["id"] = li.l_orderkey * 10 + li.l_linenumber
     g = li.groupby("id").agg(pu=("l_partkey", "min"), sk=("l_suppkey", "min"))
     clean = lambda s: re.sub(r"[^a-zA-Z1-9\s]", "", s, flags=re.ASCII)
-    tok = lambda s: [stem(w) for w in s.lower().split()]
+    stems: dict[str, str] = {}
+
+    def tok(s):
+        return [stems.setdefault(w, stem(w)) for w in s.lower().split()]
+
+    blobs: dict[int, str] = {}
     out = {}
     for pid, r in g.iterrows():
         if r.pu not in part.index or r.sk not in part.index:
@@ -57,18 +62,20 @@ def _py_stemmed_hits(sf_dir):
         which = pid % 3
         term = s.p_name if which == 0 else (
             " ".join([s.p_name, s.p_type]) if which == 1 else " ".join([s.p_brand, s.p_name, s.p_type]))
-        desc = docs.get(r.pu)
-        desc = "empty" if desc is None else desc
-        terms, t_blob, d_blob = tok(clean(term)), "".join(tok(clean(title))), "".join(tok(clean(desc)))
+        if r.pu not in blobs:
+            desc = docs.get(r.pu)
+            blobs[r.pu] = "".join(tok(clean("empty" if desc is None else desc)))
+        terms, t_blob, d_blob = tok(clean(term)), "".join(tok(clean(title))), blobs[r.pu]
         out[pid] = (len(terms), sum(int(t_blob.find(t) >= 0) for t in terms),
                     sum(int(d_blob.find(t) >= 0) for t in terms))
     return out
 
 
-def test_stemmed_hits_match_brute_force(spark):
-    got = features.hit_features(src.search_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL),
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_MID])
+def test_stemmed_hits_match_brute_force(spark, sf_dir):
+    got = features.hit_features(src.search_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir),
                                 stem=True).collect()
-    want = _py_stemmed_hits(SF_SMALL)
+    want = _py_stemmed_hits(sf_dir)
     assert len(got) == len(want)
     for r in got:
         assert (r["term_len"], r["tf_title"], r["tf_desc"]) == want[r["id"]], r["id"]
