@@ -84,6 +84,8 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        # checkpoint files of frames that are no longer referenced are removed from the shared folder
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
