@@ -49,7 +49,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.parquet(spark, sf_dir, "documents").select("doc_id", "text").where(F.col("text").isNotNull())
+    return src.documents(spark, sf_dir).select("doc_id", "text").where(F.col("text").isNotNull())
 
 
 def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

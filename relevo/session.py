@@ -89,6 +89,20 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that arrives in fewer partitions than the session has cores.
+
+    A large table on a cluster already scans as many splits and this returns it unchanged. A table
+    stored as a few big row groups would otherwise run every following narrow step (regex,
+    tokenizing, exploding) in one task. The round-robin exchange carries no key, so joins further
+    down still get their own exchange (and AQE skew splitting).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
     sc = spark.sparkContext

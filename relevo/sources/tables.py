@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relevo import schemas as S
-from relevo.session import materialize
+from relevo.session import materialize, spread
 
 
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,9 +75,14 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return pairs.where(~test), pairs.where(test).drop(S.LABEL)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document table, spread over the session's cores when it scans as too few splits."""
+    return spread(parquet(spark, sf_dir, "documents"))
+
+
 def product_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """product_uid, product_description (documents cover only part of the products)."""
-    return parquet(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias(S.PRODUCT), F.col("text").alias(S.DESCRIPTION))
 
 
@@ -95,7 +100,7 @@ def attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classifier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents for the classifier pages: doc_id, text, label (= quality)."""
-    docs = parquet(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = parquet(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return docs.join(labels, "doc_id")
 
