@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relevo import schemas as S
-from relevo.session import materialize, spread
+from relevo.session import shared_table, spread
 
 
 def parquet(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -65,12 +65,14 @@ def test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Train and test pairs cut from one checkpointed pairs table.
+    """Train and test pairs cut from one written pairs table.
 
     Jobs that read both would otherwise run the pairs' plan (a lineitem aggregate and two joins)
-    once per side; here it runs once and both sides are filters over the checkpoint.
+    once per side; here it runs once and both sides are filters over the table. It is written as
+    files rather than checkpointed: a checkpoint keeps the plan's hash partitioning, so later joins
+    on product_uid would get no exchange of their own and AQE could not split a hot product.
     """
-    pairs = materialize(search_pairs(spark, sf_dir))
+    pairs = shared_table(search_pairs(spark, sf_dir), "pairs")
     test = is_test_row(F.col(S.ID))
     return pairs.where(~test), pairs.where(test).drop(S.LABEL)
 
