@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from relevo import schemas as S
 from relevo.functions import text as T
 from relevo.operators import stemming
-from relevo.session import materialize, shared_table
+from relevo.session import shared_table
 
 _TEXT_COLS = (S.TITLE, S.TERM, S.DESCRIPTION)
 
@@ -67,13 +67,14 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
     repeat across pairs, so each distinct phrase is stemmed and regrouped once; the phrase table is
     written to the shared folder and joined back to the pairs (broadcast when small, otherwise a
     sort-merge join that AQE can split for a hot phrase). The staged pairs feed three jobs (the
-    vocabulary, the phrase table and the features), so they are checkpointed once instead of
-    re-running the pairs' plan three times.
+    vocabulary, the phrase table and the features), so they are written once instead of re-running
+    the pairs' plan three times; as files, not a checkpoint, because a checkpoint keeps the hash
+    partitioning and the description join could then not split a hot product.
     """
-    staged = materialize(pairs.select(
+    staged = shared_table(pairs.select(
         *keep,
         T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero).alias("_tc"),
-        T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_ic")))
+        T.clean(F.coalesce(F.col(S.TITLE), F.lit("")), keep_zero).alias("_ic")), "staged-pairs")
     phrases = (staged.select(F.col("_tc").alias("_phrase"))
                .union(staged.select(F.col("_ic").alias("_phrase"))).distinct())
     phrase_tokens = stemming.explode_words(phrases, ["_phrase"], F.col("_phrase"))

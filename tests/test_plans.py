@@ -71,6 +71,11 @@ def _weighted(spark):
     return features.weighted_tf_score(src.search_pairs(spark, SF_LARGE), src.product_descriptions(spark, SF_LARGE))
 
 
+def _hit_stemmed(spark):
+    return features.hit_features(src.search_pairs(spark, SF_LARGE), src.product_descriptions(spark, SF_LARGE),
+                                 stem=True)
+
+
 def _corpus(spark):
     from relevo.plans import flows
 
@@ -78,7 +83,8 @@ def _corpus(spark):
     return flows.corpus_info(train, test, src.attributes(spark, SF_LARGE), src.product_descriptions(spark, SF_LARGE))
 
 
-@pytest.mark.parametrize("build", [_hit, _weighted, _corpus], ids=["hit_features", "weighted_tf", "corpus_info"])
+@pytest.mark.parametrize("build", [_hit, _hit_stemmed, _weighted, _corpus],
+                         ids=["hit_features", "hit_features_stemmed", "weighted_tf", "corpus_info"])
 def test_hot_product_in_the_source_is_split(spark, monkeypatch, build):
     """Skew already in lineitem: the title and description joins share one partitioning, so the
     split needs AQE's forced skew handling (turned on by every registered query).
