@@ -68,8 +68,9 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
     written to the shared folder and joined back to the pairs (broadcast when small, otherwise a
     sort-merge join that AQE can split for a hot phrase). The staged pairs feed three jobs (the
     vocabulary, the phrase table and the features), so they are written once instead of re-running
-    the pairs' plan three times; as files, not a checkpoint, because a checkpoint keeps the hash
-    partitioning and the description join could then not split a hot product.
+    the pairs' plan three times; as files, not a checkpoint, because a checkpoint can keep the hash
+    partitioning (whenever the plan is not adaptive) and the description join could then not split
+    a hot product.
     """
     staged = shared_table(pairs.select(
         *keep,

@@ -69,8 +69,9 @@ def train_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
     Jobs that read both would otherwise run the pairs' plan (a lineitem aggregate and two joins)
     once per side; here it runs once and both sides are filters over the table. It is written as
-    files rather than checkpointed: a checkpoint keeps the plan's hash partitioning, so later joins
-    on product_uid would get no exchange of their own and AQE could not split a hot product.
+    files rather than checkpointed: a checkpoint can keep the plan's hash partitioning (it does
+    whenever the plan is not adaptive), and a later join on product_uid would then get no exchange
+    of its own for AQE to split; files read back never carry one.
     """
     pairs = shared_table(search_pairs(spark, sf_dir), "pairs")
     test = is_test_row(F.col(S.ID))
