@@ -102,6 +102,6 @@ def rmse(df: DataFrame, label_col: str = S.LABEL, prediction_col: str = "predict
     return df.agg(F.sqrt(F.avg(err * err)).alias("rmse"))
 
 
-def probabilities(df: DataFrame, prob_col: str = "probability", out: str = "prob") -> Column:
+def probabilities(prob_col: str = "probability", out: str = "prob") -> Column:
     """The probability vector as an array (exportable, comparable)."""
     return vector_to_array(F.col(prob_col)).alias(out)

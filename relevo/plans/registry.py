@@ -442,7 +442,7 @@ def q_tf_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_term_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents → Tokenizer → HashingTF → logistic regression; every document scored."""
     _, scored = flows.term_classifier(src.classifier_rows(spark, sf_dir), _docs(spark, sf_dir))
-    return scored.select("doc_id", M.probabilities(scored), "prediction")
+    return scored.select("doc_id", M.probabilities(), "prediction")
 
 
 @register("term_classifier_pairs")
@@ -457,7 +457,7 @@ def q_term_classifier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .select(S.PRODUCT, F.col(S.TERM).alias("text"), F.col(S.LABEL).cast("int").alias("label")))
     test = test_rows.select(S.ID, S.PRODUCT, F.col(S.TERM).alias("text"))
     _, scored = flows.term_classifier(labelled, test)
-    return scored.select(S.ID, S.PRODUCT, M.probabilities(scored), "prediction")
+    return scored.select(S.ID, S.PRODUCT, M.probabilities(), "prediction")
 
 
 @register("w2v_vectors")

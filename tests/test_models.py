@@ -96,7 +96,7 @@ def test_logistic_on_labels_one_to_three_has_four_classes(spark):
     df = spark.createDataFrame(rows, "id long, text string, label double")
     model, scored = flows.term_classifier(df, df, num_features=32)
     assert model.stages[-1].numClasses == 4
-    assert len(scored.select(M.probabilities(scored)).first()["prob"]) == 4
+    assert len(scored.select(M.probabilities()).first()["prob"]) == 4
 
 
 def test_label_index_frequency_order(spark):
