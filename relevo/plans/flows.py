@@ -159,15 +159,18 @@ def ngram_w2v_submission(train: DataFrame, test: DataFrame, *, seed: int, n: int
 
 # --- M6: weighted TF score → linear regression --------------------------------------------------
 
-def tf_score_linear(train: DataFrame, descriptions: DataFrame):
-    """M6: weighted TF score per pair, features (values, product_uid), LinearRegression(10, 0.3, 0.8).
-
-    A search term without words has no defined score (the scripts divide by zero); no word can
-    match it, so it enters the model as 0.0 and every row is kept.
+def tf_score_linear(train: DataFrame, descriptions: DataFrame,
+                    feature_cols: tuple[str, ...] = ("values", S.PRODUCT)):
+    """M6: weighted TF score per pair → LinearRegression(10, 0.3, 0.8).
+
+    The default features (values, product_uid) are the scripts'; product_uid is an identifier, so
+    pass ``feature_cols=("values",)`` for a model that does not treat it as a number. A search term
+    without words has no defined score (the scripts divide by zero); no word can match it, so it
+    enters the model as 0.0 and every row is kept.
     """
     scored = features.weighted_tf_score(train, descriptions)
     scored = scored.withColumn("values", F.coalesce(F.col("values"), F.lit(0.0)))
-    assembled = M.assembler(["values", S.PRODUCT]).transform(scored)
+    assembled = M.assembler(list(feature_cols)).transform(scored)
     model = M.linear(label_col="label", reg_param=0.3, elastic_net=0.8).fit(materialize(assembled))
     return model, model.transform(assembled)
 

@@ -109,6 +109,9 @@ def test_tf_score_linear_flow(spark):
     model, scored = flows.tf_score_linear(src.train_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL))
     assert scored.count() > 0
     assert len(model.coefficients) == 2
+    model1, _ = flows.tf_score_linear(src.train_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL),
+                                      feature_cols=("values",))
+    assert len(model1.coefficients) == 1
 
 
 def test_ml_idf_equals_relational_formula(spark):
