@@ -10,10 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must stay as they are for matching results:
-# the special-character class of the cleaning step. It keeps ASCII letters, the digits 1-9 and
-# whitespace; the digit 0 is deliberately NOT kept ("10 ft" becomes "1 ft").
+# - the special-character class of the cleaning step. It keeps ASCII letters, the digits 1-9 and
+#   whitespace; the digit 0 is deliberately NOT kept ("10 ft" becomes "1 ft");
+# - the weights of the title and description hits in the weighted term-frequency score.
 CLEAN_PATTERN = r"[^a-zA-Z1-9\s]"
-# Variant that keeps the digit 0 as well.
+TITLE_WEIGHT, DESCRIPTION_WEIGHT = 4.0, 1.0
+
+# Derived from the fixed values above.
+# Variant of the class that keeps the digit 0 as well.
 CLEAN_PATTERN_KEEP_ZERO = r"[^a-zA-Z0-9\s]"
 # The runs of characters the cleaning step keeps (the complement of the classes above).
 KEEP_RUNS = r"[a-zA-Z1-9\s]+"
@@ -86,7 +90,7 @@ def whole_word_hits(terms: str | Column, word_list: str | Column) -> Column:
 
 
 def weighted_tf(terms: str | Column, title_words: str | Column, desc_words: str | Column,
-                title_weight: float = 4.0, desc_weight: float = 1.0) -> Column:
+                title_weight: float = TITLE_WEIGHT, desc_weight: float = DESCRIPTION_WEIGHT) -> Column:
     """``title_weight * hits(title)/n + desc_weight * hits(description)/n``, NULL when n = 0."""
     n = F.nullif(F.size(_c(terms)), F.lit(0)).cast("double")
     s_title = whole_word_hits(terms, title_words).cast("double") / n

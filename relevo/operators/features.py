@@ -118,7 +118,7 @@ def _clean_constant(text: str, keep_zero: bool) -> str:
 
 
 def weighted_tf_score(pairs: DataFrame, descriptions: DataFrame, label: str = S.LABEL,
-                      title_weight: float = 4.0, desc_weight: float = 1.0,
+                      title_weight: float = T.TITLE_WEIGHT, desc_weight: float = T.DESCRIPTION_WEIGHT,
                       join_how: str = "inner") -> DataFrame:
     """(id, product_uid, values, label): exact whole-word hits of the search words in the title
     and the description, each divided by the number of search words, weighted 4 : 1.

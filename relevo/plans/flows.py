@@ -22,6 +22,23 @@ from relevo.session import materialize, shared_table
 
 HIT_COLS = ("term_len", "tf_title", "tf_desc")
 
+# The model settings of the scripts, kept as they are for matching results.
+# Linear regression: 10 iterations; without regularisation (OLS) or with elastic net 0.3 / 0.8.
+LINEAR_OLS = {"max_iter": 10, "reg_param": 0.0, "elastic_net": 0.8}
+LINEAR_ENET = {"max_iter": 10, "reg_param": 0.3, "elastic_net": 0.8}
+# Logistic regression on hashed terms: 10 iterations, elastic net 0.3 / 0.8; 2^18 hash buckets.
+LOGISTIC = {"max_iter": 10, "reg_param": 0.3, "elastic_net": 0.8}
+TERM_HASH_BUCKETS = 1 << 18
+# TF-IDF page: 20 hash buckets.
+TFIDF_HASH_BUCKETS = 20
+# Word2Vec: 3 dimensions; words seen fewer than 5 times dropped (0 on the term-only page).
+EMBED_SIZE, EMBED_MIN_COUNT, TERM_EMBED_MIN_COUNT = 3, 5, 0
+# Random forests: hit features 15 trees of depth 6; corpus vectors 15 trees of depth 3;
+# tuned: numTrees grid [5], depth 5, 80 % train ratio.
+HIT_FOREST = {"num_trees": 15, "max_depth": 6}
+CORPUS_FOREST = {"num_trees": 15, "max_depth": 3}
+TUNED_FOREST = {"num_trees": (5,), "max_depth": 5, "train_ratio": 0.8}
+
 
 # --- M1: headerless tables, inner join, name-list projection --------------------------------
 
@@ -64,8 +81,8 @@ def _w2v_partitions(spark: SparkSession) -> int:
     return max(1, spark.sparkContext.defaultParallelism)
 
 
-def corpus_embedding(spark: SparkSession, corpus: DataFrame, *, seed: int, vector_size: int = 3,
-                     min_count: int = 5, num_partitions: int | None = None):
+def corpus_embedding(spark: SparkSession, corpus: DataFrame, *, seed: int, vector_size: int = EMBED_SIZE,
+                     min_count: int = EMBED_MIN_COUNT, num_partitions: int | None = None):
     """Word2Vec fitted on the tokenized ``info`` corpus."""
     tokens = Tokenizer(inputCol="info", outputCol="tokens").transform(corpus).select("tokens")
     w2v = M.word2vec(seed=seed, input_col="tokens", output_col="vec", vector_size=vector_size,
@@ -88,9 +105,9 @@ def corpus_w2v_submission(spark: SparkSession, train: DataFrame, test: DataFrame
     model = model or corpus_embedding(spark, corpus_info(train, test, attrs, descriptions), seed=seed)
     train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL)))
     if learner == "linear":
-        est = M.linear(features_col="vec", reg_param=0.0, elastic_net=0.8)
+        est = M.linear(features_col="vec", **LINEAR_OLS)
     else:
-        est = M.forest(seed=seed, features_col="vec", num_trees=15, max_depth=3)
+        est = M.forest(seed=seed, features_col="vec", **CORPUS_FOREST)
     fitted = est.fit(train_vec)
     return M.score(fitted, embed_terms(model, test.select(S.ID, S.TERM)))
 
@@ -116,21 +133,21 @@ def indexed_forest_submission(spark: SparkSession, train: DataFrame, test: DataF
 # --- M3/M4/M5/M7: ML pipelines on search terms ------------------------------------------------
 
 def term_classifier(labelled: DataFrame, to_score: DataFrame, text_col: str = "text",
-                    num_features: int = 1 << 18):
+                    num_features: int = TERM_HASH_BUCKETS):
     """M3: Tokenizer → HashingTF → LogisticRegression(10, 0.3, 0.8); returns (model, scored)."""
     pipe = M.pipeline(Tokenizer(inputCol=text_col, outputCol="words"),
                       HashingTF(inputCol="words", outputCol="features", numFeatures=num_features),
-                      M.logistic())
+                      M.logistic(**LOGISTIC))
     model = pipe.fit(materialize(labelled))
     return model, model.transform(to_score)
 
 
-def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = 20):
+def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = TFIDF_HASH_BUCKETS):
     """M4: Tokenizer → HashingTF(20) → IDF → LinearRegression(10, 0.3, 0.8) on search terms."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features),
                       IDF(inputCol="rawFeatures", outputCol="features"),
-                      M.linear(label_col="label", reg_param=0.3, elastic_net=0.8))
+                      M.linear(label_col="label", **LINEAR_ENET))
     model = pipe.fit(materialize(train))
     return model, model.transform(test)
 
@@ -138,9 +155,9 @@ def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = 20):
 def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions: int = 1):
     """M5: Tokenizer → Word2Vec(3, minCount 0) → LinearRegression(10, 0.3, 0.8) on search terms."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
-                      M.word2vec(seed=seed, input_col="words", output_col="features", min_count=0,
-                                 num_partitions=num_partitions),
-                      M.linear(label_col="label", reg_param=0.3, elastic_net=0.8))
+                      M.word2vec(seed=seed, input_col="words", output_col="features", vector_size=EMBED_SIZE,
+                                 min_count=TERM_EMBED_MIN_COUNT, num_partitions=num_partitions),
+                      M.linear(label_col="label", **LINEAR_ENET))
     model = pipe.fit(materialize(train))
     return model, model.transform(test)
 
@@ -150,9 +167,9 @@ def ngram_w2v_submission(train: DataFrame, test: DataFrame, *, seed: int, n: int
     """M7: Tokenizer → NGram(n) → Word2Vec(3, minCount 5) → LinearRegression(10, 0, 0.8)."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       NGram(n=n, inputCol="words", outputCol="nGrams"),
-                      M.word2vec(seed=seed, input_col="nGrams", output_col="features",
-                                 num_partitions=num_partitions),
-                      M.linear(reg_param=0.0, elastic_net=0.8))
+                      M.word2vec(seed=seed, input_col="nGrams", output_col="features", vector_size=EMBED_SIZE,
+                                 min_count=EMBED_MIN_COUNT, num_partitions=num_partitions),
+                      M.linear(**LINEAR_OLS))
     model = pipe.fit(materialize(train.select(S.TERM, S.LABEL)))
     return M.score(model, test)
 
@@ -171,7 +188,7 @@ def tf_score_linear(train: DataFrame, descriptions: DataFrame,
     scored = features.weighted_tf_score(train, descriptions)
     scored = scored.withColumn("values", F.coalesce(F.col("values"), F.lit(0.0)))
     assembled = M.assembler(list(feature_cols)).transform(scored)
-    model = M.linear(label_col="label", reg_param=0.3, elastic_net=0.8).fit(materialize(assembled))
+    model = M.linear(label_col="label", **LINEAR_ENET).fit(materialize(assembled))
     return model, model.transform(assembled)
 
 
@@ -185,7 +202,8 @@ def hit_feature_table(pairs: DataFrame, descriptions: DataFrame, stem: bool = Tr
 
 
 def hit_rf_submission(pairs: DataFrame, descriptions: DataFrame, is_test, *, seed: int,
-                      num_trees: int = 15, max_depth: int = 6, stem: bool = True) -> DataFrame:
+                      num_trees: int = HIT_FOREST["num_trees"], max_depth: int = HIT_FOREST["max_depth"],
+                      stem: bool = True) -> DataFrame:
     """M10: random forest on (term_len, tf_title, tf_desc); (id, relevance) of the test rows."""
     feats = materialize(hit_feature_table(pairs, descriptions, stem))
     train = feats.where(~is_test)
@@ -194,8 +212,8 @@ def hit_rf_submission(pairs: DataFrame, descriptions: DataFrame, is_test, *, see
 
 
 def hit_tvs_submission(pairs: DataFrame, descriptions: DataFrame, is_test, *, seed: int,
-                       num_trees=(5,), max_depth: int = 5, train_ratio: float = 0.8,
-                       stem: bool = True) -> DataFrame:
+                       num_trees=TUNED_FOREST["num_trees"], max_depth: int = TUNED_FOREST["max_depth"],
+                       train_ratio: float = TUNED_FOREST["train_ratio"], stem: bool = True) -> DataFrame:
     """M11: train/validation split over a numTrees grid, refit on all train rows, score test."""
     feats = materialize(hit_feature_table(pairs, descriptions, stem))
     rf = M.forest(seed=seed, max_depth=max_depth)

@@ -310,7 +310,7 @@ SELECT term, round(value, 6) AS value FROM (
   UNION ALL SELECT 'tf_desc', w3 FROM ols UNION ALL SELECT 'intercept', w0 FROM ols)""")
 def q_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _train_hits(spark, sf_dir)
-    model = M.linear(reg_param=0.0, elastic_net=0.8).fit(train)
+    model = M.linear(**flows.LINEAR_OLS).fit(train)
     return M.coefficients(spark, model, HIT).select("term", F.round("value", 6).alias("value"))
 
 
@@ -319,7 +319,7 @@ SELECT t.id, round(o.w0 + o.w1 * t.term_len + o.w2 * t.tf_title + o.w3 * t.tf_de
 FROM test_features t, ols o""")
 def q_linear_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _train_hits(spark, sf_dir)
-    model = M.linear(reg_param=0.0, elastic_net=0.8).fit(train)
+    model = M.linear(**flows.LINEAR_OLS).fit(train)
     return M.score(model, test).select(S.ID, F.round(S.LABEL, 4).alias(S.LABEL))
 
 
@@ -328,7 +328,7 @@ SELECT round(sqrt(avg(power(t.relevance - (o.w0 + o.w1 * t.term_len + o.w2 * t.t
 FROM train_features t, ols o""")
 def q_train_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = _train_hits(spark, sf_dir)
-    model = M.linear(reg_param=0.0, elastic_net=0.8).fit(train)
+    model = M.linear(**flows.LINEAR_OLS).fit(train)
     return M.rmse(model.transform(train)).select(F.round("rmse", 6).alias("rmse"))
 
 
