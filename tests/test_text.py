@@ -141,3 +141,20 @@ def test_ml_tokens_match_java_split(spark, s):
     ml = Tokenizer(inputCol="s", outputCol="t").transform(df).first()["t"]
     assert ml == py(s)
     assert df.select(T.ml_tokens("s").alias("t")).first()["t"] == ml
+
+
+@settings(max_examples=25, deadline=None)
+@given(terms=_text, words=_text)
+def test_substring_hits_keep_zero_match_python(spark, terms, words):
+    """The keep-zero variant keeps the digit 0 in both the terms and the glued words."""
+    def py(terms, words):
+        clean = lambda s: re.sub(r"[^a-zA-Z0-9\s]", "", s, flags=re.ASCII)
+        t = clean(terms).lower().split()
+        sentence = "".join(clean(words).lower().split())
+        return len(t), sum(int(sentence.find(x) >= 0) for x in t)
+
+    df = spark.createDataFrame([(terms, words)], "t string, w string")
+    r = df.select(T.words(T.clean("t", keep_zero=True)).alias("tt"),
+                  T.glue_clean("w", keep_zero=True).alias("b")).select(
+        T.term_len("tt").alias("n"), T.substring_hits("tt", "b").alias("h")).first()
+    assert (r["n"], r["h"]) == py(terms, words)
