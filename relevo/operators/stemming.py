@@ -74,12 +74,11 @@ def prepared_stems(*token_frames: DataFrame, limit_bytes: int = BROADCAST_LIMIT_
     return broadcast_if_small(materialize(stem_table(*token_frames)), limit_bytes)
 
 
-def ordered_stems(pos: str | Column, stem: str | Column, keep: Column | None = None) -> Column:
+def ordered_stems(pos: str | Column, stem: str | Column) -> Column:
     """Aggregate: the stems of a group in position order (rows with NULL position are skipped)."""
     p = F.col(pos) if isinstance(pos, str) else pos
     s = F.col(stem) if isinstance(stem, str) else stem
-    cond = p.isNotNull() if keep is None else (p.isNotNull() & keep)
-    ordered = F.array_sort(F.collect_list(F.when(cond, F.struct(p.alias("p"), s.alias("s")))))
+    ordered = F.array_sort(F.collect_list(F.when(p.isNotNull(), F.struct(p.alias("p"), s.alias("s")))))
     return F.transform(ordered, lambda x: x["s"])
 
 

@@ -103,3 +103,11 @@ def test_stem_table_is_distinct_vocabulary(spark):
 @pytest.mark.parametrize("text,expected", [("Empty", "empti"), ("Running cats", "runcat")])
 def test_default_text_is_normalised(text, expected):
     assert "".join(stemming.stem_text_constant(text)) == expected
+
+
+def test_stemmed_words_by_key_keeps_order(spark):
+    df = spark.createDataFrame([(1, "Running cats jumped"), (2, ""), (3, None)], "k long, t string")
+    got = {r["k"]: r["s"] for r in stemming.stemmed_words_by_key(df, "k", "t", "s").collect()}
+    assert got == {1: ["run", "cat", "jump"], 2: []}
+    glued = {r["k"]: r["s"] for r in stemming.stemmed_words_by_key(df, "k", "t", "s", glue=True).collect()}
+    assert glued == {1: "runcatjump", 2: ""}
