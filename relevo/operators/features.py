@@ -24,7 +24,8 @@ def _passthrough(pairs: DataFrame) -> list[str]:
 
 
 def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
-                 keep_zero: bool = False, missing: str = S.MISSING_TEXT) -> DataFrame:
+                 keep_zero: bool = False, missing: str = S.MISSING_TEXT,
+                 stem_dictionary: str | None = None) -> DataFrame:
     """term_len, tf_title, tf_desc per search pair (id, product_uid, label pass through).
 
     * term tokens: ``words(clean(search_term))`` (optionally stemmed);
@@ -36,11 +37,13 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
     long text is processed once however many pairs point at it. The join is a plain equi-join:
     Catalyst/AQE broadcast the product side when it is small, and otherwise AQE splits a product
     that holds a large share of the pairs across several tasks. Each product must have at most
-    one description row.
+    one description row. ``stem_dictionary`` names a persistent (word, stem) table in shared storage
+    that stemming reads and extends instead of stemming the whole vocabulary again.
     """
     keep = _passthrough(pairs)
     if stem:
-        base, desc, default_blob = _stemmed_sides(pairs, descriptions, keep, keep_zero, missing)
+        base, desc, default_blob = _stemmed_sides(pairs, descriptions, keep, keep_zero, missing,
+                                                  stem_dictionary)
     else:
         term_c = T.clean(F.coalesce(F.col(S.TERM), F.lit("")), keep_zero)
         desc = descriptions.select(
@@ -60,7 +63,7 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
 
 
 def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], keep_zero: bool,
-                   missing: str):
+                   missing: str, stem_dictionary: str | None = None):
     """Stemmed term tokens and glued title per pair, glued description stems per product.
 
     One vocabulary (description, title and term words) is stemmed once. Titles and search terms
@@ -87,7 +90,7 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
     desc_tokens = stemming.explode_words(
         descriptions.where(F.col(S.DESCRIPTION).isNotNull()).repartition(S.PRODUCT),
         [S.PRODUCT], desc_c)
-    stems = stemming.prepared_stems(phrase_tokens, desc_tokens)
+    stems = stemming.prepared_stems(phrase_tokens, desc_tokens, dictionary=stem_dictionary)
 
     ordered = stemming.ordered_stems(stemming.POS, stemming.STEM)
     phrase_stems = shared_table(

@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 from pyspark.sql.types import StringType
 
 from relevo.functions import porter2
@@ -69,9 +70,44 @@ def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTE
     return F.broadcast(table) if size <= limit_bytes else table
 
 
-def prepared_stems(*token_frames: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Stem table of the frames' tokens, materialised and broadcast-marked when small."""
-    return broadcast_if_small(materialize(stem_table(*token_frames)), limit_bytes)
+def _read_dictionary(spark, path: str) -> DataFrame | None:
+    try:
+        table = spark.read.parquet(path)
+    except AnalysisException:  # no dictionary written yet
+        return None
+    # Concurrent appends may repeat a word; its stem is the same, so keep one row per word.
+    return table.dropDuplicates([TOK])
+
+
+def dictionary_stems(*token_frames: DataFrame, dictionary: str) -> DataFrame:
+    """Stem table of the frames' tokens backed by a persistent (word, stem) dictionary.
+
+    Only words missing from the dictionary go through Python; they are appended to it, so repeated
+    jobs over a large, slowly changing vocabulary stem each word once. Returns the dictionary rows
+    for this vocabulary.
+    """
+    spark = token_frames[0].sparkSession
+    vocab = reduce(DataFrame.union, [f.select(F.col(TOK)) for f in token_frames]) \
+        .where(F.col(TOK).isNotNull()).distinct()
+    vocab = materialize(vocab)
+    known = _read_dictionary(spark, dictionary)
+    missing = vocab if known is None else vocab.join(known.select(TOK), TOK, "left_anti")
+    missing.select(TOK, stem_udf(F.col(TOK)).alias(STEM)).write.mode("append").parquet(dictionary)
+    return _read_dictionary(spark, dictionary).join(vocab, TOK, "left_semi")
+
+
+def prepared_stems(*token_frames: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES,
+                   dictionary: str | None = None) -> DataFrame:
+    """Stem table of the frames' tokens, materialised and broadcast-marked when small.
+
+    With ``dictionary`` (a folder in shared storage) the stems come from a persistent dictionary
+    that grows with every job instead of being recomputed.
+    """
+    if dictionary is not None:
+        table = materialize(dictionary_stems(*token_frames, dictionary=dictionary))
+    else:
+        table = materialize(stem_table(*token_frames))
+    return broadcast_if_small(table, limit_bytes)
 
 
 def ordered_stems(pos: str | Column, stem: str | Column) -> Column:

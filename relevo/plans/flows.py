@@ -194,18 +194,19 @@ def tf_score_linear(train: DataFrame, descriptions: DataFrame,
 
 # --- M10/M11: hit features → random forest -----------------------------------------------------
 
-def hit_feature_table(pairs: DataFrame, descriptions: DataFrame, stem: bool = True) -> DataFrame:
+def hit_feature_table(pairs: DataFrame, descriptions: DataFrame, stem: bool = True,
+                      stem_dictionary: str | None = None) -> DataFrame:
     """Hit features for every pair with a features vector; computed once for train and test."""
-    hits = features.hit_features(pairs, descriptions, stem=stem)
+    hits = features.hit_features(pairs, descriptions, stem=stem, stem_dictionary=stem_dictionary)
     return hits.select(*[c for c in hits.columns if c not in HIT_COLS], *HIT_COLS,
                        M.dense_features(*HIT_COLS))
 
 
 def hit_rf_submission(pairs: DataFrame, descriptions: DataFrame, is_test, *, seed: int,
                       num_trees: int = HIT_FOREST["num_trees"], max_depth: int = HIT_FOREST["max_depth"],
-                      stem: bool = True) -> DataFrame:
+                      stem: bool = True, stem_dictionary: str | None = None) -> DataFrame:
     """M10: random forest on (term_len, tf_title, tf_desc); (id, relevance) of the test rows."""
-    feats = materialize(hit_feature_table(pairs, descriptions, stem))
+    feats = materialize(hit_feature_table(pairs, descriptions, stem, stem_dictionary))
     train = feats.where(~is_test)
     model = M.forest(seed=seed, num_trees=num_trees, max_depth=max_depth).fit(train)
     return M.score(model, feats.where(is_test))
@@ -213,9 +214,10 @@ def hit_rf_submission(pairs: DataFrame, descriptions: DataFrame, is_test, *, see
 
 def hit_tvs_submission(pairs: DataFrame, descriptions: DataFrame, is_test, *, seed: int,
                        num_trees=TUNED_FOREST["num_trees"], max_depth: int = TUNED_FOREST["max_depth"],
-                       train_ratio: float = TUNED_FOREST["train_ratio"], stem: bool = True) -> DataFrame:
+                       train_ratio: float = TUNED_FOREST["train_ratio"], stem: bool = True,
+                       stem_dictionary: str | None = None) -> DataFrame:
     """M11: train/validation split over a numTrees grid, refit on all train rows, score test."""
-    feats = materialize(hit_feature_table(pairs, descriptions, stem))
+    feats = materialize(hit_feature_table(pairs, descriptions, stem, stem_dictionary))
     rf = M.forest(seed=seed, max_depth=max_depth)
     tvs = M.train_validation(rf, M.grid(rf.numTrees, num_trees), seed=seed, train_ratio=train_ratio)
     model = tvs.fit(feats.where(~is_test))

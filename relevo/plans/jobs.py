@@ -36,14 +36,18 @@ def wide_table(spark: SparkSession, t: dict[str, DataFrame], seed: int) -> DataF
     return flows.wide_training_table(t["train"], t["attributes"], t["product_descriptions"])
 
 
-def hit_forest(spark: SparkSession, t: dict[str, DataFrame], seed: int) -> DataFrame:
+def hit_forest(spark: SparkSession, t: dict[str, DataFrame], seed: int,
+               stem_dictionary: str | None = None) -> DataFrame:
     pairs, is_test = _pairs_with_holdout(t)
-    return flows.hit_rf_submission(pairs, t["product_descriptions"], is_test, seed=seed)
+    return flows.hit_rf_submission(pairs, t["product_descriptions"], is_test, seed=seed,
+                                   stem_dictionary=stem_dictionary)
 
 
-def hit_forest_tuned(spark: SparkSession, t: dict[str, DataFrame], seed: int) -> DataFrame:
+def hit_forest_tuned(spark: SparkSession, t: dict[str, DataFrame], seed: int,
+                     stem_dictionary: str | None = None) -> DataFrame:
     pairs, is_test = _pairs_with_holdout(t)
-    return flows.hit_tvs_submission(pairs, t["product_descriptions"], is_test, seed=seed)
+    return flows.hit_tvs_submission(pairs, t["product_descriptions"], is_test, seed=seed,
+                                    stem_dictionary=stem_dictionary)
 
 
 def corpus_linear(spark: SparkSession, t: dict[str, DataFrame], seed: int) -> DataFrame:
@@ -72,10 +76,14 @@ JOBS: dict[str, Callable[[SparkSession, dict[str, DataFrame], int], DataFrame]]
 
 
 def run(spark: SparkSession, job: str, csv_dir: str, out: str, seed: int = 42,
-        mode: str = "errorifexists") -> None:
+        mode: str = "errorifexists", stem_dictionary: str | None = None) -> None:
     ensure_checkpoint_dir(spark)
     apply_skew_conf(spark)
-    result = JOBS[job](spark, read_search_tables(spark, csv_dir), seed)
+    tables_ = read_search_tables(spark, csv_dir)
+    if stem_dictionary and job in ("hit_forest", "hit_forest_tuned"):
+        result = JOBS[job](spark, tables_, seed, stem_dictionary=stem_dictionary)
+    else:
+        result = JOBS[job](spark, tables_, seed)
     if job == "wide_table":
         write_csv(result, out, mode=mode, order_by=[S.PRODUCT])
     else:
@@ -89,9 +97,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("out")
     ap.add_argument("--seed", type=int, default=42)
     ap.add_argument("--mode", default="errorifexists")
+    ap.add_argument("--stem-dictionary", default=None,
+                    help="shared folder of a persistent (word, stem) table for the hit_forest jobs")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"relevo-{args.job}").getOrCreate()
-    run(spark, args.job, args.csv_dir, args.out, args.seed, args.mode)
+    run(spark, args.job, args.csv_dir, args.out, args.seed, args.mode, args.stem_dictionary)
 
 
 if __name__ == "__main__":

@@ -51,3 +51,10 @@ def test_wide_table_job(spark, csv_dir, tmp_path):
     assert glob.glob(os.path.join(out, "part-*"))
     n = spark.read.option("header", True).option("multiLine", True).csv(out).count()
     assert n == src.train_pairs(spark, SF_SMALL).count()
+
+
+def test_hit_forest_with_stem_dictionary(spark, csv_dir, tmp_path):
+    out = str(tmp_path / "dict_job")
+    jobs.run(spark, "hit_forest", csv_dir, out, seed=3, stem_dictionary=str(tmp_path / "stems"))
+    assert _read(spark, out, S.SUBMISSION).count() == src.test_pairs(spark, SF_SMALL).count()
+    assert spark.read.parquet(str(tmp_path / "stems")).count() > 0

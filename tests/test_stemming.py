@@ -89,7 +89,8 @@ def test_stemmed_hits_without_broadcast(spark, monkeypatch):
     import relevo.operators.stemming as st_mod
     orig = st_mod.prepared_stems
     monkeypatch.setattr(st_mod, "prepared_stems",
-                        lambda *frames, limit_bytes=0: orig(*frames, limit_bytes=0))
+                        lambda *frames, limit_bytes=0, dictionary=None: orig(*frames, limit_bytes=0,
+                                                                             dictionary=dictionary))
     b = sorted(features.hit_features(pairs, descs, stem=True).collect())
     assert a == b
 
@@ -111,3 +112,23 @@ def test_stemmed_words_by_key_keeps_order(spark):
     assert got == {1: ["run", "cat", "jump"], 2: []}
     glued = {r["k"]: r["s"] for r in stemming.stemmed_words_by_key(df, "k", "t", "s", glue=True).collect()}
     assert glued == {1: "runcatjump", 2: ""}
+
+
+def test_stem_dictionary_grows_and_gives_same_features(spark, scratch):
+    """A persistent dictionary: first job writes every word, a second job adds only new ones."""
+    import os
+
+    path = os.path.join(scratch, "stems")
+    a = spark.createDataFrame([("running",), ("cats",)], "_tok string")
+    b = spark.createDataFrame([("cats",), ("jumped",)], "_tok string")
+    first = sorted(tuple(r) for r in stemming.dictionary_stems(a, dictionary=path).collect())
+    assert first == [("cats", "cat"), ("running", "run")]
+    second = sorted(tuple(r) for r in stemming.dictionary_stems(b, dictionary=path).collect())
+    assert second == [("cats", "cat"), ("jumped", "jump")]
+    assert spark.read.parquet(path).count() == 3
+    pairs, descs = src.search_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL)
+    plain = sorted(features.hit_features(pairs, descs, stem=True).collect())
+    dict_path = os.path.join(scratch, "dict")
+    with_dict = sorted(features.hit_features(pairs, descs, stem=True, stem_dictionary=dict_path).collect())
+    again = sorted(features.hit_features(pairs, descs, stem=True, stem_dictionary=dict_path).collect())
+    assert plain == with_dict == again
