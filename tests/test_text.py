@@ -87,7 +87,7 @@ def test_info_is_null_propagating(spark):
 _text = st.text(alphabet=st.sampled_from(list("abcAB19 0-.\t\nxyz")), max_size=30)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=40, deadline=None, derandomize=True)
 @given(terms=_text, words=_text)
 def test_substring_hits_match_python(spark, terms, words):
     def py(terms, words):
@@ -107,7 +107,7 @@ def test_substring_hits_match_python(spark, terms, words):
 _words_text = st.text(alphabet=st.sampled_from(list("abcAB ,.\n")), max_size=25)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=40, deadline=None, derandomize=True)
 @given(term=_words_text, title=_words_text, desc=_words_text)
 def test_weighted_tf_matches_python_loop(spark, term, title, desc):
     """The projection equals the per-row loop it replaces (None where the loop divides by zero)."""
@@ -125,7 +125,7 @@ def test_weighted_tf_matches_python_loop(spark, term, title, desc):
     assert got == py(term, title, desc)
 
 
-@settings(max_examples=40, deadline=None)
+@settings(max_examples=40, deadline=None, derandomize=True)
 @given(s=st.text(alphabet=st.sampled_from(list("aB \t\n")), max_size=12))
 def test_ml_tokens_match_java_split(spark, s):
     """Tokenizer semantics: split on single whitespace, trailing empties dropped, '' -> ['']."""
@@ -143,7 +143,7 @@ def test_ml_tokens_match_java_split(spark, s):
     assert df.select(T.ml_tokens("s").alias("t")).first()["t"] == ml
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=25, deadline=None, derandomize=True)
 @given(terms=_text, words=_text)
 def test_substring_hits_keep_zero_match_python(spark, terms, words):
     """The keep-zero variant keeps the digit 0 in both the terms and the glued words."""
