@@ -15,6 +15,7 @@ their source, so regrouping by a key the source is already partitioned on needs
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 import pandas as pd
@@ -72,19 +73,20 @@ def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTE
 
 def _read_dictionary(spark, path: str) -> DataFrame | None:
     try:
-        table = spark.read.parquet(path)
+        table = spark.read.parquet(path).select(TOK, STEM)
     except AnalysisException:  # no dictionary written yet
         return None
-    # Concurrent appends may repeat a word; its stem is the same, so keep one row per word.
+    # Concurrent jobs may add the same word; its stem is the same, so keep one row per word.
     return table.dropDuplicates([TOK])
 
 
 def dictionary_stems(*token_frames: DataFrame, dictionary: str) -> DataFrame:
     """Stem table of the frames' tokens backed by a persistent (word, stem) dictionary.
 
-    Only words missing from the dictionary go through Python; they are appended to it, so repeated
-    jobs over a large, slowly changing vocabulary stem each word once. Returns the dictionary rows
-    for this vocabulary.
+    Only words missing from the dictionary go through Python; they are added to it as a new batch
+    folder, so repeated jobs over a large, slowly changing vocabulary stem each word once and
+    concurrent jobs never write into the same folder. Returns the dictionary rows for this
+    vocabulary.
     """
     spark = token_frames[0].sparkSession
     vocab = reduce(DataFrame.union, [f.select(F.col(TOK)) for f in token_frames]) \
@@ -92,7 +94,10 @@ def dictionary_stems(*token_frames: DataFrame, dictionary: str) -> DataFrame:
     vocab = materialize(vocab)
     known = _read_dictionary(spark, dictionary)
     missing = vocab if known is None else vocab.join(known.select(TOK), TOK, "left_anti")
-    missing.select(TOK, stem_udf(F.col(TOK)).alias(STEM)).write.mode("append").parquet(dictionary)
+    # Each job writes its new words to its own batch folder, so concurrent jobs never share a
+    # commit; readers see the union of all batches.
+    batch = f"{dictionary.rstrip('/')}/batch={uuid.uuid4().hex}"
+    missing.select(TOK, stem_udf(F.col(TOK)).alias(STEM)).write.parquet(batch)
     return _read_dictionary(spark, dictionary).join(vocab, TOK, "left_semi")
 
 
