@@ -51,9 +51,13 @@ def forest(*, seed: int, features_col: str = "features", label_col: str = S.LABE
 
 
 def word2vec(*, seed: int, input_col: str, output_col: str, vector_size: int = 3,
-             min_count: int = 5, num_partitions: int = 1, max_iter: int = 1) -> Word2Vec:
+             min_count: int = 5, num_partitions: int | None = None, max_iter: int = 1) -> Word2Vec:
     """Word2Vec. The vocabulary and vectors live on the driver (vocabulary x vector_size numbers);
-    training runs in ``num_partitions`` tasks."""
+    training runs in ``num_partitions`` tasks, by default one per core of the active session
+    (Spark ML's own default trains the whole corpus in a single task)."""
+    if num_partitions is None:
+        active = SparkSession.getActiveSession()
+        num_partitions = max(1, active.sparkContext.defaultParallelism) if active else 1
     return Word2Vec(vectorSize=vector_size, minCount=min_count, inputCol=input_col,
                     outputCol=output_col, seed=seed, numPartitions=num_partitions, maxIter=max_iter)
 

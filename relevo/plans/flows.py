@@ -152,7 +152,7 @@ def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = TFIDF_HA
     return model, model.transform(test)
 
 
-def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions: int = 1):
+def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions: int | None = None):
     """M5: Tokenizer → Word2Vec(3, minCount 0) → LinearRegression(10, 0.3, 0.8) on search terms."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       M.word2vec(seed=seed, input_col="words", output_col="features", vector_size=EMBED_SIZE,
@@ -163,7 +163,7 @@ def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions:
 
 
 def ngram_w2v_submission(train: DataFrame, test: DataFrame, *, seed: int, n: int = 1,
-                         num_partitions: int = 1) -> DataFrame:
+                         num_partitions: int | None = None) -> DataFrame:
     """M7: Tokenizer → NGram(n) → Word2Vec(3, minCount 5) → LinearRegression(10, 0, 0.8)."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       NGram(n=n, inputCol="words", outputCol="nGrams"),
