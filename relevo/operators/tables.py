@@ -22,7 +22,9 @@ def flatten_attributes(attrs: DataFrame, sep: str = " ", out: str = "attr_list",
 
     ``collect_list`` order is undefined after a shuffle, so (name, value) pairs are collected and
     sorted inside the group; NULL values are skipped and an all-NULL group gives ''. The partial
-    aggregate runs map side, so each product's values cross the network once.
+    aggregate runs map side, so each product's values cross the network once. A group holds exactly
+    what its one output string will contain, so even a product with a large share of all attribute
+    rows needs no more memory than its own result.
     """
     pairs = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(value).alias("v"))))
     return attrs.groupBy(key).agg(
