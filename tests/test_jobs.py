@@ -46,11 +46,20 @@ def test_submission_jobs(spark, csv_dir, tmp_path, job):
 
 
 def test_wide_table_job(spark, csv_dir, tmp_path):
+    from relevo.plans import flows
+    from relevo.sources.csv import read_csv
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
     out = str(tmp_path / "wide")
     jobs.run(spark, "wide_table", csv_dir, out)
     assert glob.glob(os.path.join(out, "part-*"))
-    n = spark.read.option("header", True).option("multiLine", True).csv(out).count()
-    assert n == src.train_pairs(spark, SF_SMALL).count()
+    schema = StructType([StructField("product_uid", LongType()), StructField("search_term", StringType()),
+                         StructField("product_title", StringType()), StructField("value_list", StringType()),
+                         StructField("product_description", StringType()), StructField("relevance", DoubleType())])
+    written = read_csv(spark, out, schema=schema, strict=True)
+    expected = flows.wide_training_table(src.train_pairs(spark, SF_SMALL), src.attributes(spark, SF_SMALL),
+                                         src.product_descriptions(spark, SF_SMALL))
+    assert sorted(written.collect()) == sorted(expected.collect())
 
 
 def test_hit_forest_with_stem_dictionary(spark, csv_dir, tmp_path):
