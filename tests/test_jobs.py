@@ -67,3 +67,14 @@ def test_hit_forest_with_stem_dictionary(spark, csv_dir, tmp_path):
     jobs.run(spark, "hit_forest", csv_dir, out, seed=3, stem_dictionary=str(tmp_path / "stems"))
     assert _read(spark, out, S.SUBMISSION).count() == src.test_pairs(spark, SF_SMALL).count()
     assert spark.read.parquet(str(tmp_path / "stems")).count() > 0
+
+
+def test_query_cli_writes_parquet_and_csv(spark, tmp_path):
+    from relevo.plans import cli
+
+    out = str(tmp_path / "hits")
+    cli.main(["hit_features", SF_SMALL, out])
+    assert spark.read.parquet(out).count() == src.search_pairs(spark, SF_SMALL).count()
+    out_csv = str(tmp_path / "vec")
+    cli.main(["hashed_tf", SF_SMALL, out_csv, "--format", "csv"])   # array column written as JSON
+    assert spark.read.option("header", True).csv(out_csv).count() == src.search_pairs(spark, SF_SMALL).count()
