@@ -64,11 +64,14 @@ CSV_TABLES = {
 }
 
 
-def read_search_tables(spark: SparkSession, folder: str, strict: bool = True) -> dict[str, DataFrame]:
+def read_search_tables(spark: SparkSession, folder: str, strict: bool = True,
+                       strict_products: bool = False) -> dict[str, DataFrame]:
     """The four CSV tables of a search-relevance folder, typed, keyed by logical name.
 
-    Missing files are skipped. Attributes and descriptions are read permissively when ``strict``
-    is False (the scripts read them without dropping rows).
+    Missing files are skipped. The pair files (train, test) are read with the pruning-proof
+    malformed-row filter when ``strict``; attributes and descriptions are read permissively unless
+    ``strict_products``, as the scripts mostly do (a malformed product row keeps NULLs and simply
+    joins nothing).
     """
     import os
 
@@ -79,7 +82,9 @@ def read_search_tables(spark: SparkSession, folder: str, strict: bool = True) ->
         path = f"{folder.rstrip('/')}/{file_name}"
         if "://" not in path and not os.path.exists(path):
             continue
-        out[name] = read_csv(spark, path, schema=getattr(schemas, schema_name), strict=strict)
+        is_pair_file = name in ("train", "test")
+        out[name] = read_csv(spark, path, schema=getattr(schemas, schema_name),
+                             strict=strict if is_pair_file else strict_products)
     return out
 
 
