@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Column expressions: ``text`` (cleaning, words, hit counts) and ``porter2`` (the one-word stemmer)."""

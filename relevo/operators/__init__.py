@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""DataFrame operators: ``tables`` (relational), ``features`` (text features), ``stemming`` (vocabulary job)."""

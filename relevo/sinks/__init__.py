@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Sinks: ``csv`` (multi-part, ordered or single-part CSV output and printable result lines)."""

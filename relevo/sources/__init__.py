@@ -1 +1 @@
-"""See the modules of this subpackage."""
+"""Sources: ``tables`` (logical tables from the driver's Parquet) and ``csv`` (typed CSV reads)."""
