@@ -40,7 +40,7 @@ MEMO = 400_000
 # The white space of the split patterns, and the contractions they keep together.
 SPACE = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CONTRACTIONS = "'(?:s|t|re|ve|m|ll|d)"
-WORD_END = "\ue000"
+WORD_END = "</w>"
 _END = "\ue000"  # stands for the word-end mark inside the automaton: no byte maps to it
 
 
