@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from relevo.llm import bpe, frames, token_counts
+from relevo.llm import bpe, fingerprints, frames, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -43,3 +44,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document, and whether they pass a context of 1024 tokens."""
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return token_counts.with_limit(counts, 1024)
+
+
+@query("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pack every document into sequences of at most 2048 tokens."""
+    rows = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(rows)
+
+
+@query("op7_fingerprints")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    rows = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                       "edited_fingerprint", "near_edited", "near_next")
