@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, fingerprints, frames, packing, token_counts
+from relevo.llm import bpe, fingerprints, frames, langid, packing, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,14 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
                        "edited_fingerprint", "near_edited", "near_next")
+
+
+PIECES = "piece_bpe_32k.model"
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; rows of the held-out fold never train."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()), public_tokenizers.path(PIECES))
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
