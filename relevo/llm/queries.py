@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, fingerprints, frames, langid, packing, token_counts
+from relevo.llm import bpe, embeddings, fingerprints, frames, langid, packing, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(~langid.held_out()), public_tokenizers.path(PIECES))
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_embedding_neardup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings at cosine 0.93 within a label."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query("op10_warc")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC records, index them, and read every record back through the index."""
+    index = warc.write_archives(table(spark, sf_dir, "pages"), min_bytes=0)
+    return warc.read_records(warc.entries(index)).select(
+        F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
