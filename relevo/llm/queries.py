@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, embeddings, fingerprints, frames, langid, packing, token_counts, warc
+from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, packing, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"), min_bytes=0)
     return warc.read_records(warc.entries(index)).select(
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_ngram_jaccard")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets have a Jaccard similarity of 0.75."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=75)
