@@ -63,8 +63,8 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
         if e - s >= size:
             out.append(np.unique(joined[s : e - size + 1]))
         elif e > s:
-            few = sum((h[s + k] * _mixer(k) for k in range(e - s)), np.uint64(e - s))
-            out.append(mix(np.array([few], np.uint64)) >> np.uint64(64 - _HASH_BITS))
+            few = (h[s:e] * np.array([_mixer(k) for k in range(e - s)])).sum(keepdims=True) + np.array([e - s], np.uint64)
+            out.append(mix(few) >> np.uint64(64 - _HASH_BITS))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, packing, token_counts, warc
+from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, packing, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingle sets have a Jaccard similarity of 0.75."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=75)
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every byte covered by a 400-byte string that starts anywhere else in the documents."""
+    rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=400)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
