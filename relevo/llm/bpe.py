@@ -24,7 +24,8 @@ import functools
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -92,6 +93,11 @@ class Memo(dict):
         return value
 
 
+def every(table: Mapping, keys: list) -> tuple:
+    """The values of all keys, in one call."""
+    return itemgetter(*keys)(table) if len(keys) > 1 else tuple(table[k] for k in keys)
+
+
 class Bpe:
     """A byte-level BPE vocabulary, its automaton, and the prefix encoder."""
 
@@ -104,11 +110,12 @@ class Bpe:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.special.items()}
         self._special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        self.rank, self.parts, self.pair_rank = {}, {}, {}
+        self.rank, self.parts, self.pair_rank, self.merged_id = {}, {}, {}, []
         for rank, merge in enumerate(model["merges"]):
             left, right = merge if isinstance(merge, list) else merge.split(" ")
             l, r, t = self.vocab[left], self.vocab[right], self.vocab[left + right]
             self.rank[t], self.parts[t], self.pair_rank[l << 20 | r] = rank, (l, r), rank
+            self.merged_id.append(t)
         self._right: dict[int, tuple] = {}
         self._left: dict[int, tuple] = {}
         self.whole = self._prove_whole()
@@ -204,7 +211,7 @@ class Bpe:
         return self._library_pieces(text)
 
     def _library_pieces(self, text: str) -> list[str]:
-        tok = _library(self.path)
+        tok = library(self.path)
         if tok.normalizer is not None:
             text = tok.normalizer.normalize_str(text)
         back = {ord(c): b for b, c in self._table.items()}
@@ -226,9 +233,11 @@ class Bpe:
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a whole text, special strings as their tokens."""
-        ids_of = self.ids_of.__getitem__
-        parts = [np.int32(x).tobytes() if isinstance(x, int) else b"".join(map(ids_of, self.pieces(x))) for x in self.segments(text)]
-        return np.frombuffer(b"".join(parts), np.int32)
+        return np.frombuffer(self.packed(text, self.ids_of), np.int32)
+
+    def packed(self, text: str, ids_of: Mapping[str, bytes]) -> bytes:
+        """The ids of a whole text as 32-bit numbers, from the bytes ``ids_of`` has for pre-tokens."""
+        return b"".join(np.int32(x).tobytes() if isinstance(x, int) else b"".join(every(ids_of, self.pieces(x))) for x in self.segments(text))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids, special tokens written out.
@@ -259,7 +268,7 @@ def vocabulary(path: str) -> Bpe:
 
 
 @functools.lru_cache(4)
-def _library(path: str):
+def library(path: str):
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)

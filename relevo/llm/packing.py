@@ -1,6 +1,7 @@
 """Best-fit packing of token pieces into sequences under several capacities.
 
-A document becomes its token ids and an end id; one longer than a sequence is cut into full
+A document becomes its token ids (pre-tokens looked up in a table that the ``tokenizers`` library's
+model fills) and an end id; one longer than a sequence is cut into full
 sequences, its first piece being the shorter rest. A sequence has a capacity *vector*: tokens,
 documents, and attention cost (the sum of squared piece lengths). Pieces are placed in
 descending order of weighted demand. Among the open sequences that can take a piece in every
@@ -14,7 +15,9 @@ its loss is a fixed number per thousand sequences at every size.
 
 from __future__ import annotations
 
+import functools
 import zlib
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,13 +26,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relevo.llm.bpe import arrow_type, vocabulary
+from relevo.llm.bpe import Memo, arrow_type, library, vocabulary
 from relevo.llm.frames import map_texts, written
 
+#: Pre-tokens whose ids a worker remembers.
+IDS = 800_000
 #: Pieces of a shard: enough that nearly every gap finds a fitting piece.
 SHARD_PIECES = 2048
 
 
+@functools.lru_cache(2)
+def encoder(path: str) -> Memo:
+    """The packed ids of pre-tokens, by the library's own model."""
+    symbols, tokenize = vocabulary(path).symbols, library(path).model.tokenize
+    return Memo(lambda piece: array("i", [t.id for t in tokenize(symbols(piece))]).tobytes(), IDS)
+
+
 def cut(n: int, most: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of n ids: full ones, the first taking the rest."""
     first = n % most or min(n, most)
@@ -44,11 +56,11 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int
     """
 
     def rows(keys: list, texts: list) -> pa.RecordBatch:
-        bpe, end = vocabulary(tokenizer), np.array([end_id], np.int32)
+        bpe, ids_of, end = vocabulary(tokenizer), encoder(tokenizer), np.int32(end_id).tobytes()
         out: list[tuple] = []
         ids = []
         for key, text in zip(keys, texts, strict=True):
-            whole = np.concatenate([bpe.encode(text), end])
+            whole = np.frombuffer(bpe.packed(text, ids_of) + end, np.int32)
             for i, (start, length) in enumerate(cut(len(whole), max_tokens)):
                 part = whole[start : start + length]
                 out.append((key, i, start, length, zlib.crc32(part.astype("<u4").tobytes())))
