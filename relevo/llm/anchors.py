@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm.fingerprints import mix
@@ -31,10 +31,9 @@ from relevo.llm.words import power
 SEGMENT = 1 << 19
 #: Classes of one anchor that a task compares; more are refined.
 MOST_CLASSES = 2048
-#: Distances to the anchor that a refined block spans, step by step.
-STEPS = (64, 8, 1)
 #: Bytes up to which per-document lists are broadcast instead of shuffling the texts.
 BROADCAST_BYTES = 32 << 20
+NULL_ID = -(1 << 63)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -115,6 +114,7 @@ class Kind:
     raw: Callable[[str], Callable[[int, int], bytes]]  # a cutter of contexts, from place to place
     width: int
     gram: int
+    steps: tuple[int, ...]  # distances to the anchor that a refined block spans; all below width - gram
 
 
 OCC = "h long, ctx long, id long, rk long, s long, m int, d int"
@@ -130,7 +130,11 @@ def _occ_batch(rows: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, rk, text): a null id is the smallest number; ``rk`` is a key of id and text."""
     row = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return row.select(F.coalesce("id", F.lit(-(1 << 63))).alias("id"), F.xxhash64("id", "text").alias("rk"), "text")
+    return row.select(F.coalesce("id", F.lit(NULL_ID)).alias("id"), row_key(F.col("id"), F.col("text")).alias("rk"), "text")
+
+
+def row_key(key: Column, text: Column) -> Column:
+    return F.xxhash64(F.coalesce(key, F.lit(NULL_ID)), text)
 
 
 def occurrences(rows: DataFrame, kind: Kind) -> DataFrame:
@@ -277,3 +281,14 @@ def contexts(rows: DataFrame, classes: DataFrame, kind: Kind) -> DataFrame:
 
     return texts.select("rk", "text", "list").mapInArrow(
         run, "h long, ctx long, copies long, id long, rk long, s long, m int, d int, data binary")
+
+
+def merged(ranges: np.ndarray, width: int) -> np.ndarray:
+    """Maximal runs (start, end) covered by windows of ``width`` starting in ranges (start, count)."""
+    if not len(ranges):
+        return np.zeros((0, 2), np.int64)
+    ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
+    start, end = ranges[:, 0], np.maximum.accumulate(ranges[:, 0] + ranges[:, 1] + width - 1)
+    new = np.concatenate([[True], start[1:] > end[:-1]])
+    last = np.concatenate([new[1:], [True]])
+    return np.stack([start[new], end[last]], 1)

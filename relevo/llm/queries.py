@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, packing, suffix_dedup, token_counts, warc
+from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, packing, rlz_dedup, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove every byte covered by a 400-byte string that starts anywhere else in the documents."""
     rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=400)
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_rlz_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remove every word covered by 50 words that also stand in a document of smaller id."""
+    rows = rlz_dedup.remove_earlier(table(spark, sf_dir, "documents"), width=50)
+    return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm import anchors
+from relevo.llm.bpe import arrow_type
 from relevo.llm.frames import partitions, written
 from relevo.llm.words import _BYTE
 
 WIDTH = 400
+#: Spans of refined blocks, step by step down to single windows.
+STEPS = (64, 8, 1)
 GRAM = 32
 #: Bytes of contexts in one suffix array.
 SHARD_BYTES = 2 << 20
@@ -237,7 +240,7 @@ def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
 def repeated_windows(rows: DataFrame, kind: anchors.Kind) -> DataFrame:
     """(rk, s, m): ranges of window starts whose window starts anywhere else too."""
     occ, found = anchors.occurrences(rows, kind), []
-    for step in (*anchors.STEPS, None):
+    for step in (*kind.steps, None):
         live, classes = anchors.classes_of(occ)
         twice = classes.where("copies > 1").select("h", "ctx")
         found.append(live.join(twice, ["h", "ctx"], "left_semi").select("rk", "s", "m"))
@@ -265,13 +268,13 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
     Null texts are empty; texts shorter than ``width`` stay whole. Repeated rows are places of
     their own, so both copies go. A null id is kept as null. An empty table gives an empty table.
     """
-    kind = anchors.Kind(_symbols, _raw, width, gram)
+    kind = anchors.Kind(_symbols, _raw, width, gram, tuple(x for x in STEPS if x <= width - gram))
     rows = anchors.keyed(docs, id_col, text_col)
     lists = anchors.listed(repeated_windows(rows, kind), ["s", "m"], "spans")
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    source = source.withColumn("rk", F.xxhash64(F.col("id").cast("long"), F.col("text")))
+    source = source.withColumn("rk", anchors.row_key(F.col("id").cast("long"), F.col("text")))
     joined = anchors.with_lists(source, lists, "left").select("id", "text", "list")
-    key, key_type = docs.schema[id_col].dataType.simpleString(), anchors_arrow(docs, id_col)
+    key, key_type = docs.schema[id_col].dataType.simpleString(), arrow_type(docs, id_col)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,7 +283,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                 out = []
                 for name, text, data in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
                     raw = text.encode("utf-8")
-                    spans = merged(anchors.unlist(data, 2), width)
+                    spans = anchors.merged(anchors.unlist(data, 2), width)
                     ends = np.concatenate([[0], spans.reshape(-1), [len(raw)]]).reshape(-1, 2)
                     out.append((name, b"".join(raw[a:b] for a, b in ends), len(raw), int((spans[:, 1] - spans[:, 0]).sum()), len(spans),
                                 [{"start": int(a), "length": int(b - a)} for a, b in spans]))
@@ -290,20 +293,3 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                                                      [id_col, "kept", "n_bytes", "n_removed", "n_spans", "spans"])
 
     return joined.mapInArrow(cut, f"`{id_col}` {key}, kept binary, n_bytes long, n_removed long, n_spans long, spans array<struct<start:bigint,length:bigint>>")
-
-
-def merged(ranges: np.ndarray, width: int) -> np.ndarray:
-    """Maximal runs (start, end) covered by windows of ``width`` starting in ranges (start, count)."""
-    if not len(ranges):
-        return np.zeros((0, 2), np.int64)
-    ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
-    start, end = ranges[:, 0], np.maximum.accumulate(ranges[:, 0] + ranges[:, 1] + width - 1)
-    new = np.concatenate([[True], start[1:] > end[:-1]])
-    last = np.concatenate([new[1:], [True]])
-    return np.stack([start[new], end[last]], 1)
-
-
-def anchors_arrow(df: DataFrame, col: str) -> pa.DataType:
-    from relevo.llm.bpe import arrow_type
-
-    return arrow_type(df, col)
