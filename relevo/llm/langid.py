@@ -242,3 +242,16 @@ def scorer(shared) -> Scorer:
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows kept from training: crc32 of the id as text leaves 2 modulo 4."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
+
+
+def keep_known(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a known language with at least that score; all columns stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [scorer(shared).predict(t.as_py() or "") for t in batch.column(place)]
+            yield batch.filter(pa.array([k != UNKNOWN and x >= least for k, x in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -260,6 +260,44 @@ def repeated_windows(rows: DataFrame, kind: anchors.Kind) -> DataFrame:
     return out
 
 
+def _kept(text: str, data: bytes | None, width: int) -> tuple[bytes, np.ndarray, int]:
+    """The rest of a text, the removed (start, end) runs, and its bytes."""
+    raw = text.encode("utf-8")
+    spans = anchors.merged(anchors.unlist(data, 2), width)
+    ends = np.concatenate([[0], spans.reshape(-1), [len(raw)]]).astype(int).reshape(-1, 2).tolist()
+    return b"".join(raw[a:b] for a, b in ends), spans, len(raw)
+
+
+def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
+                count_col: str | None = None) -> DataFrame:
+    """All rows and columns with the repeated bytes cut out of the text (see ``remove_repeats``).
+
+    A character of which only some bytes are repeated goes whole. Null texts stay null.
+    ``count_col`` gets the number of characters left.
+    """
+    kind = anchors.Kind(_symbols, _raw, width, gram, tuple(x for x in STEPS if x <= width - gram))
+    lists = anchors.listed(repeated_windows(anchors.keyed(docs, id_col, text_col), kind), ["s", "m"], "spans")
+    source = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"),
+                         anchors.row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("rk"))
+    joined = anchors.with_lists(source, lists, "left").select("row.*", F.col("text").alias("_cut_text"), F.col("list").alias("_cut_list"))
+    place = docs.columns.index(text_col)
+    count = docs.columns.index(count_col) if count_col in docs.columns else None
+    n = len(docs.columns)
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if t is None else _kept(t, d, width)[0].decode("utf-8", "ignore")
+                     for t, d in zip(batch.column(n).to_pylist(), batch.column(n + 1).to_pylist(), strict=True)]
+            cols = [batch.column(i) for i in range(n)]
+            cols[place] = pa.array(texts, pa.string()).cast(cols[place].type)
+            if count is not None:
+                cols[count] = pa.array([len(t or "") for t in texts], pa.int64()).cast(cols[count].type)
+            yield pa.RecordBatch.from_arrays(cols, list(docs_columns))
+
+    docs_columns = tuple(docs.columns)
+    return joined.mapInArrow(cut, docs.schema)
+
+
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, kept, n_bytes, n_removed, n_spans, spans), one row per input row.
 
@@ -282,11 +320,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
                 part = batch.slice(at, 512)
                 out = []
                 for name, text, data in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
-                    raw = text.encode("utf-8")
-                    spans = anchors.merged(anchors.unlist(data, 2), width)
-                    ends = np.concatenate([[0], spans.reshape(-1), [len(raw)]]).reshape(-1, 2)
-                    out.append((name, b"".join(raw[a:b] for a, b in ends), len(raw), int((spans[:, 1] - spans[:, 0]).sum()), len(spans),
-                                [{"start": int(a), "length": int(b - a)} for a, b in spans]))
+                    kept, spans, n = _kept(text, data, width)
+                    out.append((name, kept, n, n - len(kept), len(spans), [{"start": int(a), "length": int(b - a)} for a, b in spans]))
                 kinds = (key_type, pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())])))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
