@@ -14,7 +14,7 @@ that there are few buckets at every level.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,10 @@ WIDTH = 400
 #: Spans of refined blocks, step by step down to single windows.
 STEPS = (64, 8, 1)
 GRAM = 32
-#: Bytes of contexts in one suffix array.
-SHARD_BYTES = 2 << 20
+#: Bytes of contexts that a task takes at once, whole anchors at a time.
+SHARD_BYTES = 3 << 20
+#: Distances to the anchor that are tested together before the suffix array is built.
+BLOCK = 32
 _SMALL = 48  # strings up to this length are sorted directly
 
 
@@ -63,7 +65,8 @@ def _spread(values: np.ndarray, keys: np.ndarray, buckets: list[list]) -> None:
 
 def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.ndarray:
     """The suffix array induced by seeds: leftmost-smaller suffixes in order."""
-    empty = np.zeros(0, np.int64)
+    empty = np.zeros(0, np.int32)
+    seeds = seeds.astype(np.int32)
     lms: list[list] = [[] for _ in range(k)]
     _spread(seeds, t[seeds], lms)
     larger: list[list] = [[] for _ in range(k)]
@@ -97,7 +100,7 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.n
             _spread(prior[key != c], key[key != c], smaller)
             wave = prior[key == c]
         if c == 0:
-            got = [np.array([len(t) - 1])]  # the end mark
+            got = [np.array([len(t) - 1], np.int32)]  # the end mark
         out[2 * c + 1] = np.concatenate(got)[::-1] if got else empty
         wave = done_larger[c][::-1]
         prior = wave[wave > 0] - 1
@@ -110,6 +113,7 @@ def _induce(t: np.ndarray, small: np.ndarray, seeds: np.ndarray, k: int) -> np.n
 def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     """The suffix array of t, whose last symbol 0 occurs nowhere else; symbols are below k."""
     n = len(t)
+    t = t.astype(np.uint16)  # sorted by counting
     if n <= _SMALL:
         s = t.tolist()
         return np.array(sorted(range(n), key=lambda i: s[i:]), np.int64)
@@ -165,7 +169,7 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.nda
     return out
 
 
-def repeated_starts(contexts: list[bytes], windows: np.ndarray, many: np.ndarray, width: int) -> list[np.ndarray]:
+def repeated_starts(contexts: Sequence[bytes], windows: np.ndarray, many: np.ndarray, width: int) -> list[np.ndarray]:
     """Per context, whether each of its first ``windows`` starts begins a window found elsewhere.
 
     ``many`` marks contexts that occur more than once; their windows are all repeated.
@@ -205,35 +209,72 @@ def _raw(text: str):
     return lambda a, b: data[a:b]
 
 
+def possible(h: np.ndarray, m: np.ndarray, d: np.ndarray, data: Sequence[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, start, windows): the parts of contexts that can hold a window of another context.
+
+    Windows of a block of distances share a text; if no other context of the anchor has it there,
+    none of them is repeated.
+    """
+    sizes = np.array([len(x) for x in data], np.int64)
+    first = np.cumsum(sizes) - sizes
+    spans = anchors.Spans(_BYTE[np.frombuffer(b"".join(data), np.uint8)])
+    low = (d - m + 1) // BLOCK  # the first block of each context
+    blocks = d // BLOCK - low + 1
+    c = np.repeat(np.arange(len(h)), blocks)
+    lo = (low[c] + np.arange(len(c)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
+    anchor = first[c] + d[c]
+    key = spans.hash(anchor - lo, anchor - lo - BLOCK + 1 + width) + h[c].view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + lo.astype(np.uint64)
+    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+    keep = np.flatnonzero(count[which] > 1)
+    c, lo = c[keep], lo[keep]
+    if not len(c):
+        return c, c, c
+    new = np.concatenate([[True], (c[1:] != c[:-1]) | (lo[1:] != lo[:-1] + BLOCK)])
+    last = np.concatenate([new[1:], [True]])
+    near, far, c = np.maximum(lo[new], (d - m + 1)[c[new]]), np.minimum(lo[last] + BLOCK - 1, d[c[last]]), c[new]
+    return c, d[c] - far, far - near + 1
+
+
 def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
     """(rk, s, m): ranges of repeated window starts of contexts that occur once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        size = 0
+        parts: list[tuple] = []
+        size = ready = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if size >= SHARD_BYTES and row[0] != held[-1][0]:
-                    yield ranges(held)
+                    found = narrowed(held)
+                    parts += found
+                    ready += sum(len(x[3]) for x in found)
                     held, size = [], 0
+                    if ready >= SHARD_BYTES // 2:
+                        yield ranges(parts)
+                        parts, ready = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[6])
         if held:
-            yield ranges(held)
+            parts += narrowed(held)
+        if parts:
+            yield ranges(parts)
+
+    def narrowed(held: list[tuple]) -> list[tuple]:
+        h, copies, rk, s, m, d, data = zip(*held, strict=True)
+        found = possible(np.array(h), np.array(m, np.int64), np.array(d, np.int64), data, width)
+        return [(rk[i], s[i] + a, copies[i] > 1, data[i][a : a + n + width - 1], n) for i, a, n in zip(*(x.tolist() for x in found), strict=True)]
 
-    def ranges(held: list[tuple]) -> pa.RecordBatch:
-        windows = np.array([x[4] for x in held], np.int64)
-        many = np.array([x[1] > 1 for x in held])
-        found = repeated_starts([x[5] for x in held], windows, many, width)
+    def ranges(parts: list[tuple]) -> pa.RecordBatch:
+        rk, s, many, data, windows = zip(*parts, strict=True)
         out = []
-        for x, hit, skip in zip(held, found, many, strict=True):
+        for k, start, skip, hit in zip(rk, s, many, repeated_starts(data, np.array(windows), np.array(many), width), strict=True):
             if not skip and hit.any():
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-                out += [(x[2], x[3] + int(a), int(b - a)) for a, b in edge.reshape(-1, 2)]
+                out += [(k, start + int(x), int(y - x)) for x, y in edge.reshape(-1, 2)]
         cols = zip(*out, strict=True) if out else [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["rk", "s", "m"])
 
-    dealt = contexts.select("h", "copies", "rk", "s", "m", "data").repartition(2 * partitions(contexts.sparkSession), "h")
+    dealt = contexts.select("h", "copies", "rk", "s", "m", "d", "data").repartition(2 * partitions(contexts.sparkSession), "h")
     return dealt.sortWithinPartitions("h", "rk", "s").mapInArrow(run, "rk long, s long, m int")
 
 
