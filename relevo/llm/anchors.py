@@ -292,3 +292,29 @@ def merged(ranges: np.ndarray, width: int) -> np.ndarray:
     new = np.concatenate([[True], start[1:] > end[:-1]])
     last = np.concatenate([new[1:], [True]])
     return np.stack([start[new], end[last]], 1)
+
+
+def possible(h: np.ndarray, m: np.ndarray, d: np.ndarray, symbols: list[np.ndarray], width: int, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, start, windows): parts of contexts that can hold a window of another context.
+
+    Windows of a block of distances share a text; if no other context of the anchor has it there,
+    none of them is repeated.
+    """
+    sizes = np.array([len(x) for x in symbols], np.int64)
+    first = np.cumsum(sizes) - sizes
+    spans = Spans(np.concatenate(symbols))
+    low = (d - m + 1) // block  # the first block of each context
+    blocks = d // block - low + 1
+    c = np.repeat(np.arange(len(h)), blocks)
+    lo = (low[c] + np.arange(len(c)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * block
+    anchor = first[c] + d[c]
+    key = spans.hash(anchor - lo, anchor - lo - block + 1 + width) + h[c].view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + lo.astype(np.uint64)
+    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+    keep = np.flatnonzero(count[which] > 1)
+    c, lo = c[keep], lo[keep]
+    if not len(c):
+        return c, c, c
+    new = np.concatenate([[True], (c[1:] != c[:-1]) | (lo[1:] != lo[:-1] + block)])
+    last = np.concatenate([new[1:], [True]])
+    near, far, c = np.maximum(lo[new], (d - m + 1)[c[new]]), np.minimum(lo[last] + block - 1, d[c[last]]), c[new]
+    return c, d[c] - far, far - near + 1

@@ -27,6 +27,10 @@ WIDTH = 50
 #: Spans of refined blocks, step by step down to single windows.
 STEPS = (16, 4, 1)
 GRAM = 8
+#: Bytes of contexts (8 a word) that a task takes at once, whole anchors at a time.
+TASK_BYTES = 4 << 20
+#: Distances to the anchor that are tested together before a context is parsed.
+BLOCK = 8
 #: Contexts that one index holds; anchors with more are refined.
 MOST_CLASSES = 512
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -128,26 +132,32 @@ def _group_rows(contexts: DataFrame, width: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        size = 0
         for batch in batches:
-            out: list[tuple] = []
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                if held and row[0] != held[-1][0]:
-                    out += ranges(held)
-                    held = []
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if size >= TASK_BYTES and row[0] != held[-1][0]:
+                    if out := ranges(held):
+                        yield made(out)
+                    held, size = [], 0
                 held.append(row)
-            if out:
-                yield made(out)
+                size += len(row[5])
         if held and (out := ranges(held)):
             yield made(out)
 
     def ranges(held: list[tuple]) -> list[tuple]:
-        found = repeated_ranges([(x[2], np.frombuffer(x[3], np.int64).tolist()) for x in held], width)
-        return [(x[0], x[1], x[2], a, n) for x, r in zip(held, found, strict=True) for a, n in r]
+        h, ctx, low, m, d, data = zip(*held, strict=True)
+        words = [np.frombuffer(x, np.uint64) for x in data]
+        found = anchors.possible(np.array(h), np.array(m, np.int64), np.array(d, np.int64), words, width, BLOCK)
+        groups: dict[int, list[tuple]] = {}
+        for i, a, n in zip(*(x.tolist() for x in found), strict=True):
+            groups.setdefault(h[i], []).append((i, a, (low[i], words[i][a : a + n + width - 1].tolist())))
+        return [(h[i], ctx[i], low[i], a + x, n) for parts in groups.values()
+                for (i, a, _), r in zip(parts, repeated_ranges([p[2] for p in parts], width), strict=True) for x, n in r]
 
     def made(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["h", "ctx", "low", "off", "n"])
 
-    dealt = contexts.select("h", "ctx", "id", "data").repartition(2 * partitions(contexts.sparkSession), "h").sortWithinPartitions("h", "id")
+    dealt = contexts.select("h", "ctx", "id", "m", "d", "data").repartition(2 * partitions(contexts.sparkSession), "h").sortWithinPartitions("h", "id")
     return dealt.mapInArrow(run, "h long, ctx long, low long, off long, n long")
 
 

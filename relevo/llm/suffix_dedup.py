@@ -209,32 +209,6 @@ def _raw(text: str):
     return lambda a, b: data[a:b]
 
 
-def possible(h: np.ndarray, m: np.ndarray, d: np.ndarray, data: Sequence[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, start, windows): the parts of contexts that can hold a window of another context.
-
-    Windows of a block of distances share a text; if no other context of the anchor has it there,
-    none of them is repeated.
-    """
-    sizes = np.array([len(x) for x in data], np.int64)
-    first = np.cumsum(sizes) - sizes
-    spans = anchors.Spans(_BYTE[np.frombuffer(b"".join(data), np.uint8)])
-    low = (d - m + 1) // BLOCK  # the first block of each context
-    blocks = d // BLOCK - low + 1
-    c = np.repeat(np.arange(len(h)), blocks)
-    lo = (low[c] + np.arange(len(c)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * BLOCK
-    anchor = first[c] + d[c]
-    key = spans.hash(anchor - lo, anchor - lo - BLOCK + 1 + width) + h[c].view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + lo.astype(np.uint64)
-    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
-    keep = np.flatnonzero(count[which] > 1)
-    c, lo = c[keep], lo[keep]
-    if not len(c):
-        return c, c, c
-    new = np.concatenate([[True], (c[1:] != c[:-1]) | (lo[1:] != lo[:-1] + BLOCK)])
-    last = np.concatenate([new[1:], [True]])
-    near, far, c = np.maximum(lo[new], (d - m + 1)[c[new]]), np.minimum(lo[last] + BLOCK - 1, d[c[last]]), c[new]
-    return c, d[c] - far, far - near + 1
-
-
 def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
     """(rk, s, m): ranges of repeated window starts of contexts that occur once."""
 
@@ -261,7 +235,7 @@ def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
 
     def narrowed(held: list[tuple]) -> list[tuple]:
         h, copies, rk, s, m, d, data = zip(*held, strict=True)
-        found = possible(np.array(h), np.array(m, np.int64), np.array(d, np.int64), data, width)
+        found = anchors.possible(np.array(h), np.array(m, np.int64), np.array(d, np.int64), [_BYTE[np.frombuffer(x, np.uint8)] for x in data], width, BLOCK)
         return [(rk[i], s[i] + a, copies[i] > 1, data[i][a : a + n + width - 1], n) for i, a, n in zip(*(x.tolist() for x in found), strict=True)]
 
     def ranges(parts: list[tuple]) -> pa.RecordBatch:
