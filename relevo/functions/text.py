@@ -113,6 +113,6 @@ def ml_tokens(col: str | Column) -> Column:
 
 def info(title: str | Column, attrs: str | Column, description: str | Column,
          term: str | Column) -> Column:
-    """All product text plus the search term in one string (NULL if any part is NULL)."""
-    sp = F.lit(" ")
-    return F.concat(_c(title), sp, _c(attrs), sp, _c(description), sp, _c(term))
+    """All product text plus the search term in one string; a NULL part is empty."""
+    parts = [F.coalesce(_c(p), F.lit("")) for p in (title, attrs, description, term)]
+    return F.concat(*[x for p in parts for x in (F.lit(" "), p)][1:])

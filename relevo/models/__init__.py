@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from relevo import schemas as S
 
 
+#: Training tasks of Word2Vec (and partitions of its input), whatever the machine.
+W2V_PARTITIONS = 8
+
+
 def dense_features(*cols: str, out: str = "features") -> Column:
     """A dense vector from numeric columns, as a built-in expression (no Python per row)."""
     return array_to_vector(F.array(*[F.col(c).cast("double") for c in cols])).alias(out)
@@ -51,19 +55,22 @@ def forest(*, seed: int, features_col: str = "features", label_col: str = S.LABE
 
 
 def word2vec(*, seed: int, input_col: str, output_col: str, vector_size: int = 3,
-             min_count: int = 5, num_partitions: int | None = None, max_iter: int = 1) -> Word2Vec:
-    """Word2Vec. The vocabulary and vectors live on the driver (vocabulary x vector_size numbers);
-    training runs in ``num_partitions`` tasks, by default one per core of the active session
-    (Spark ML's own default trains the whole corpus in a single task)."""
-    if num_partitions is None:
-        active = SparkSession.getActiveSession()
-        num_partitions = max(1, active.sparkContext.defaultParallelism) if active else 1
+             min_count: int = 5, num_partitions: int = W2V_PARTITIONS, max_iter: int = 1) -> Word2Vec:
+    """Word2Vec in ``num_partitions`` training tasks.
+
+    The number is part of the model, not of the machine: vectors depend on it, so it is a fixed
+    default and never taken from the cores at hand. The vocabulary and vectors live on the driver
+    and in every task (vocabulary x vector_size numbers), which bounds the vocabulary a corpus may
+    have; ``min_count`` is the knob.
+    """
     return Word2Vec(vectorSize=vector_size, minCount=min_count, inputCol=input_col,
                     outputCol=output_col, seed=seed, numPartitions=num_partitions, maxIter=max_iter)
 
 
 def vector_indexer(input_col: str, output_col: str, max_categories: int = 20) -> VectorIndexer:
-    return VectorIndexer(inputCol=input_col, outputCol=output_col, maxCategories=max_categories)
+    """Columns of few distinct values become categories; a value not seen in training is one more."""
+    return VectorIndexer(inputCol=input_col, outputCol=output_col, maxCategories=max_categories,
+                         handleInvalid="keep")
 
 
 def pipeline(*stages) -> Pipeline:

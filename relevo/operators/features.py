@@ -36,8 +36,8 @@ def hit_features(pairs: DataFrame, descriptions: DataFrame, stem: bool = False,
     Descriptions are cleaned and glued (and stemmed) once per product before the left join, so a
     long text is processed once however many pairs point at it. The join is a plain equi-join:
     Catalyst/AQE broadcast the product side when it is small, and otherwise AQE splits a product
-    that holds a large share of the pairs across several tasks. Each product must have at most
-    one description row. ``stem_dictionary`` names a persistent (word, stem) table in shared storage
+    that holds a large share of the pairs across several tasks. A product with several description
+    rows gives a row for each, as any left join does. ``stem_dictionary`` names a persistent (word, stem) table in shared storage
     that stemming reads and extends instead of stemming the whole vocabulary again.
     """
     keep = _passthrough(pairs)
@@ -84,12 +84,15 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
     phrase_tokens = stemming.explode_words(phrases, ["_phrase"], F.col("_phrase"))
 
     desc_c = T.clean(F.col(S.DESCRIPTION), keep_zero)
-    # Hash-partitioned by product before exploding: the raw text is a smaller shuffle than the
-    # token rows, and the per-product regrouping below then needs no exchange. (The result is
+    # Hash-partitioned by row before exploding: the raw text is a smaller shuffle than the
+    # token rows, and the regrouping below then needs no exchange. (The result is
     # written as a table before it meets the pairs, so this does not stop skew splitting there.)
-    desc_tokens = stemming.explode_words(
-        descriptions.where(F.col(S.DESCRIPTION).isNotNull()).repartition(S.PRODUCT),
-        [S.PRODUCT], desc_c)
+    # Rows get a number, so that two descriptions of one product stay two; rows without a key can
+    # join nothing and would only meet in one group.
+    numbered = shared_table(
+        descriptions.where(F.col(S.DESCRIPTION).isNotNull() & F.col(S.PRODUCT).isNotNull())
+        .select(S.PRODUCT, S.DESCRIPTION, F.monotonically_increasing_id().alias("_row")), "descriptions")
+    desc_tokens = stemming.explode_words(numbered.repartition("_row"), [S.PRODUCT, "_row"], desc_c)
     stems = stemming.prepared_stems(phrase_tokens, desc_tokens, dictionary=stem_dictionary)
 
     ordered = stemming.ordered_stems(stemming.POS, stemming.STEM)
@@ -103,8 +106,8 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
             .select(*keep, F.coalesce("_terms", F.array().cast("array<string>")).alias("_terms"),
                     F.coalesce("_title_blob", F.lit("")).alias("_title_blob")))
 
-    desc = (desc_tokens.join(stems, stemming.TOK, "left").groupBy(S.PRODUCT)
-            .agg(F.array_join(ordered, "").alias("_desc_blob")))
+    desc = (desc_tokens.join(stems, stemming.TOK, "left").groupBy("_row")
+            .agg(F.first(S.PRODUCT).alias(S.PRODUCT), F.array_join(ordered, "").alias("_desc_blob")).drop("_row"))
     # Written once per product; the join to the pairs then stays skew-splittable.
     desc = shared_table(desc, "stemmed-descriptions")
     # The default is a constant: stem it once on the driver.
@@ -146,8 +149,13 @@ def weighted_tf_score(pairs: DataFrame, descriptions: DataFrame, label: str = S.
 
 
 def tokenize(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
-    """ML ``Tokenizer`` (lower-case, split on single whitespace characters)."""
-    return Tokenizer(inputCol=input_col, outputCol=output_col).transform(df)
+    """ML ``Tokenizer`` (lower-case, split on single whitespace characters); NULL text is empty."""
+    return Tokenizer(inputCol=input_col, outputCol=output_col).transform(filled(df, input_col))
+
+
+def filled(df: DataFrame, *cols: str) -> DataFrame:
+    """NULL text to '' in these columns: ML text stages fail on NULL."""
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in cols})
 
 
 def token_rows(df: DataFrame, key: str, tokens_col: str) -> DataFrame:
@@ -172,8 +180,9 @@ def tfidf_table(tokens: DataFrame, key: str, tokens_col: str, n_docs: int | None
     m = n_docs if n_docs is not None else tokens.select(key).count()
     # When the documents arrive hash-partitioned by key (see ``documents_by_key``), the
     # (key, token) aggregate needs no exchange: raw text is a smaller shuffle than (key, token) rows.
-    tf = (tokens.select(key, F.explode(tokens_col).alias("token"))
-          .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")))
+    # Written once: document frequencies and the join both read the table, not the documents.
+    tf = shared_table(tokens.select(key, F.explode(tokens_col).alias("token"))
+                      .groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf")), "term-frequency")
     # Document frequencies are written as a table, so the tf ⋈ df join can split a frequent token
     # (one row per document containing it) across tasks, or broadcast df when it is small.
     dfreq = shared_table(tf.groupBy("token").agg(F.count(F.lit(1)).alias("df")), "document-frequency")

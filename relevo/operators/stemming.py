@@ -49,11 +49,6 @@ def _make_stem_udf():
 stem_udf = _make_stem_udf()
 
 
-def stem_word(word: str) -> str:
-    """Stem one word on the driver (used for constants such as the missing-text default)."""
-    return porter2.stem(word)
-
-
 def stem_text_constant(text: str) -> list[str]:
     return [porter2.stem(w) for w in text.lower().split()]
 

@@ -27,7 +27,8 @@ def flatten_attributes(attrs: DataFrame, sep: str = " ", out: str = "attr_list",
     rows needs no more memory than its own result.
     """
     pairs = F.array_sort(F.collect_list(F.struct(F.col(name).alias("n"), F.col(value).alias("v"))))
-    return attrs.groupBy(key).agg(
+    # a row without a key can join nothing; without the filter all of them would meet in one group
+    return attrs.where(F.col(key).isNotNull()).groupBy(key).agg(
         F.array_join(F.transform(pairs, lambda x: x["v"]), sep).alias(out))
 
 
@@ -56,13 +57,6 @@ def attach_product_text(pairs: DataFrame, attrs_flat: DataFrame | None,
     return out
 
 
-def inner_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-               columns: Sequence[str] | None = None) -> DataFrame:
-    """Inner equi-join on differently named keys, then an optional projection by name list."""
-    joined = left.join(right, left[left_key] == right[right_key], "inner")
-    return joined.select(*columns) if columns else joined
-
-
 def union_pairs(a: DataFrame, b: DataFrame, by_name: bool = True) -> DataFrame:
     """UNION ALL of two pair tables on their common columns.
 

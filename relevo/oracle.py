@@ -7,11 +7,6 @@ spells that set out. Integer widths and doubles are cast to the Spark result typ
 
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 # Java's \s: space, \t, \n, vertical tab, \f, \r.
 WS = r"[ \t\n\v\f\r]"
 CLEAN_RE = r"[^a-zA-Z1-9 \t\n\v\f\r]"
@@ -84,19 +79,19 @@ def hit_features_sql(pairs_table: str = "pairs", name: str = "features") -> str:
 )"""
 
 
-@functools.lru_cache(maxsize=1)
-def spark_english_stop_words() -> tuple[str, ...]:
-    """Spark's default English stop-word list, read from the MLlib jar shipped with PySpark."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = "org/apache/spark/ml/feature/stopwords/english.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split("\n") if w)
-    raise FileNotFoundError("Spark's English stop-word list was not found")
-
+# The default English stop words of StopWordsRemover, in its order.
+ENGLISH_STOP_WORDS = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+""".split())
 
 ATTR_FLAT_SPACE = """
 attr_flat AS (
@@ -112,7 +107,7 @@ attr_values AS (
 
 TOKENS = f"""
 doc_tokens AS (
-  SELECT doc_id, {ml_tokens('text')} AS tok FROM documents WHERE text IS NOT NULL
+  SELECT doc_id, {ml_tokens("coalesce(text, '')")} AS tok FROM documents
 )"""
 
 # Ordinary least squares on (term_len, tf_title, tf_desc) of the train rows, by population

@@ -13,23 +13,25 @@ import argparse
 from pyspark.sql import SparkSession
 
 from relevo.plans import registry
-from relevo.session import apply_skew_conf, ensure_checkpoint_dir
+from relevo.session import apply_cluster_conf, apply_skew_conf, ensure_checkpoint_dir, remove_shared_tables
 from relevo.sinks.csv import write_csv
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
-    ap.add_argument("query", choices=sorted(registry.QUERIES))
+    ap.add_argument("query", choices=sorted(registry.RESULTS))
     ap.add_argument("sf_dir")
     ap.add_argument("out")
     ap.add_argument("--format", choices=["csv", "parquet"], default="parquet")
     ap.add_argument("--mode", default="errorifexists")
+    ap.add_argument("--input-bytes", type=int, default=None, help="input volume, to size a cluster run")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName(f"relevo-{args.query}").getOrCreate()
     ensure_checkpoint_dir(spark)
     apply_skew_conf(spark)
-    df = registry.QUERIES[args.query](spark, args.sf_dir)
+    apply_cluster_conf(spark, args.input_bytes)
+    df = registry.RESULTS[args.query](spark, args.sf_dir)
     if args.format == "csv":
         array_cols = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
         if array_cols:
@@ -39,6 +41,7 @@ def main(argv: list[str] | None = None) -> None:
         write_csv(df, args.out, mode=args.mode)
     else:
         df.write.mode(args.mode).parquet(args.out)
+    remove_shared_tables(spark)
 
 
 if __name__ == "__main__":

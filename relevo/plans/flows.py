@@ -53,11 +53,14 @@ def stage1_join(spark: SparkSession, train: DataFrame, descriptions: DataFrame)
 
 # --- M2: wide training table -----------------------------------------------------------------
 
-def wide_training_table(pairs: DataFrame, attrs: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """pairs ⟕ attributes (values joined by ',') ⟕ descriptions, no defaults."""
+def wide_training_table(pairs: DataFrame, attrs: DataFrame, descriptions: DataFrame, keep_id: bool = False) -> DataFrame:
+    """pairs ⟕ attributes (values joined by ',') ⟕ descriptions, no defaults.
+
+    ``keep_id`` leaves the pair id in front, for an order in which a hot product can be split."""
     flat = shared_table(tables.flatten_attributes(attrs, sep=",", out="value_list"), "attribute-values")
     joined = tables.attach_product_text(pairs, flat, descriptions, default=None)
-    return joined.select(S.PRODUCT, S.TERM, S.TITLE, "value_list", S.DESCRIPTION, S.LABEL)
+    kept = [S.ID] if keep_id else []
+    return joined.select(*kept, S.PRODUCT, S.TERM, S.TITLE, "value_list", S.DESCRIPTION, S.LABEL)
 
 
 # --- M8/M9 corpus ----------------------------------------------------------------------------
@@ -77,23 +80,28 @@ def corpus_info(train: DataFrame, test: DataFrame, attrs: DataFrame,
                          T.info(S.TITLE, "attr_list", S.DESCRIPTION, S.TERM).alias("info"))
 
 
-def _w2v_partitions(spark: SparkSession) -> int:
-    return max(1, spark.sparkContext.defaultParallelism)
+def pinned(tokens: DataFrame, col: str, parts: int = M.W2V_PARTITIONS) -> DataFrame:
+    """Token rows in a fixed partitioning and order, written once: the input of a Word2Vec fit.
+
+    Vectors depend on how rows are dealt to training tasks, so this is fixed by the rows alone and
+    never by the machine. Spark ML still deals rows again in the order its shuffle blocks arrive, so
+    only a fit with one task (``parts=1`` and ``num_partitions=1``) repeats to the last digit.
+    """
+    return materialize(tokens.repartition(parts, col).sortWithinPartitions(*tokens.columns))
 
 
 def corpus_embedding(spark: SparkSession, corpus: DataFrame, *, seed: int, vector_size: int = EMBED_SIZE,
-                     min_count: int = EMBED_MIN_COUNT, num_partitions: int | None = None):
+                     min_count: int = EMBED_MIN_COUNT, num_partitions: int = M.W2V_PARTITIONS):
     """Word2Vec fitted on the tokenized ``info`` corpus."""
-    tokens = Tokenizer(inputCol="info", outputCol="tokens").transform(corpus).select("tokens")
+    tokens = features.tokenize(corpus, "info", "tokens").select("tokens")
     w2v = M.word2vec(seed=seed, input_col="tokens", output_col="vec", vector_size=vector_size,
-                     min_count=min_count, num_partitions=num_partitions or _w2v_partitions(spark))
-    return w2v.fit(materialize(tokens))
+                     min_count=min_count, num_partitions=num_partitions)
+    return w2v.fit(pinned(tokens, "tokens"))
 
 
 def embed_terms(model, df: DataFrame) -> DataFrame:
     """Mean word vector of each search term (unknown words count in the mean, [] gives zeros)."""
-    tok = Tokenizer(inputCol=S.TERM, outputCol="tokens").transform(df)
-    return model.transform(tok)
+    return model.transform(features.tokenize(df, S.TERM, "tokens"))
 
 
 def corpus_w2v_submission(spark: SparkSession, train: DataFrame, test: DataFrame, attrs: DataFrame,
@@ -138,8 +146,8 @@ def term_classifier(labelled: DataFrame, to_score: DataFrame, text_col: str = "t
     pipe = M.pipeline(Tokenizer(inputCol=text_col, outputCol="words"),
                       HashingTF(inputCol="words", outputCol="features", numFeatures=num_features),
                       M.logistic(**LOGISTIC))
-    model = pipe.fit(materialize(labelled))
-    return model, model.transform(to_score)
+    model = pipe.fit(materialize(features.filled(labelled, text_col)))
+    return model, model.transform(features.filled(to_score, text_col))
 
 
 def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = TFIDF_HASH_BUCKETS):
@@ -148,30 +156,30 @@ def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = TFIDF_HA
                       HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features),
                       IDF(inputCol="rawFeatures", outputCol="features"),
                       M.linear(label_col="label", **LINEAR_ENET))
-    model = pipe.fit(materialize(train))
-    return model, model.transform(test)
+    model = pipe.fit(materialize(features.filled(train, S.TERM)))
+    return model, model.transform(features.filled(test, S.TERM))
 
 
-def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions: int | None = None):
+def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions: int = M.W2V_PARTITIONS):
     """M5: Tokenizer → Word2Vec(3, minCount 0) → LinearRegression(10, 0.3, 0.8) on search terms."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       M.word2vec(seed=seed, input_col="words", output_col="features", vector_size=EMBED_SIZE,
                                  min_count=TERM_EMBED_MIN_COUNT, num_partitions=num_partitions),
                       M.linear(label_col="label", **LINEAR_ENET))
-    model = pipe.fit(materialize(train))
-    return model, model.transform(test)
+    model = pipe.fit(pinned(features.filled(train, S.TERM), S.TERM))
+    return model, model.transform(features.filled(test, S.TERM))
 
 
 def ngram_w2v_submission(train: DataFrame, test: DataFrame, *, seed: int, n: int = 1,
-                         num_partitions: int | None = None) -> DataFrame:
+                         num_partitions: int = M.W2V_PARTITIONS) -> DataFrame:
     """M7: Tokenizer → NGram(n) → Word2Vec(3, minCount 5) → LinearRegression(10, 0, 0.8)."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       NGram(n=n, inputCol="words", outputCol="nGrams"),
                       M.word2vec(seed=seed, input_col="nGrams", output_col="features", vector_size=EMBED_SIZE,
                                  min_count=EMBED_MIN_COUNT, num_partitions=num_partitions),
                       M.linear(**LINEAR_OLS))
-    model = pipe.fit(materialize(train.select(S.TERM, S.LABEL)))
-    return M.score(model, test)
+    model = pipe.fit(pinned(features.filled(train.select(S.TERM, S.LABEL), S.TERM), S.TERM))
+    return M.score(model, features.filled(test, S.TERM))
 
 
 # --- M6: weighted TF score → linear regression --------------------------------------------------
@@ -187,8 +195,8 @@ def tf_score_linear(train: DataFrame, descriptions: DataFrame,
     """
     scored = features.weighted_tf_score(train, descriptions)
     scored = scored.withColumn("values", F.coalesce(F.col("values"), F.lit(0.0)))
-    assembled = M.assembler(list(feature_cols)).transform(scored)
-    model = M.linear(label_col="label", **LINEAR_ENET).fit(materialize(assembled))
+    assembled = materialize(M.assembler(list(feature_cols)).transform(scored))  # fitted and scored from it
+    model = M.linear(label_col="label", **LINEAR_ENET).fit(assembled)
     return model, model.transform(assembled)
 
 

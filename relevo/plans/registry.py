@@ -28,28 +28,53 @@ from relevo.sources import tables as src
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+RESULTS: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 SEED = 42
 HIT = list(flows.HIT_COLS)
 
 
-def register(name: str, sql: str | None = None):
-    """Register a query; it runs with AQE skew-join splitting turned on for its session."""
+def register(name: str, sql: str | None = None, check: Callable[[DataFrame], DataFrame] | None = None):
+    """Register a query; it runs with AQE skew-join splitting turned on for its session.
+
+    AQE reads these settings when the result is computed, so they stay set. ``check`` turns a result
+    that SQL cannot compute (a fitted model's) into rows that SQL can state: keys and whether the
+    values keep their range. ``QUERIES`` has the checked form, ``RESULTS`` the result itself.
+    """
     def deco(fn: Query) -> Query:
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             apply_skew_conf(spark)
             return fn(spark, sf_dir)
 
-        QUERIES[name] = run
+        RESULTS[name] = run
+        QUERIES[name] = run if check is None else lambda spark, sf_dir: check(run(spark, sf_dir))
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
     return deco
 
 
+def _keeps(flag: str, test: str, *keys: str) -> Callable[[DataFrame], DataFrame]:
+    """A check: the keys, and a flag whether the SQL test holds (NULL counts as no)."""
+    return lambda df: df.selectExpr(*keys, f"coalesce({test}, false) AS {flag}")
+
+
+def _finite(col: str) -> str:
+    return f"NOT isnan({col}) AND abs({col}) < double('infinity')"
+
+
+#: The labels' range; averages of labels stay inside.
+_IN_LABELS = f"{S.LABEL} BETWEEN 1.0 AND 3.0"
+#: Class probabilities: none negative, their sum 1, the prediction one of them.
+_DISTRIBUTION = ("forall(prob, x -> x >= 0) AND abs(aggregate(prob, 0D, (a, x) -> a + x) - 1) < 1e-9 "
+                 "AND prediction BETWEEN 0 AND size(prob) - 1")
+_TEST_TRUE = "SELECT id, true AS {} FROM test"
+
+
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return src.documents(spark, sf_dir).select("doc_id", "text").where(F.col("text").isNotNull())
+    """Every document; a NULL text is empty."""
+    return features.filled(src.documents(spark, sf_dir).select("doc_id", "text"), "text")
 
 
 def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +82,7 @@ def _doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return shared_path(spark, "relevo-csv", f"{name}-{uuid.uuid4().hex}")
+    return shared_path(spark, "relevo-csv", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
 
 
 # --- base tables, joins, aggregation, set operations ------------------------------------------
@@ -113,7 +138,7 @@ def q_stage1_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink.write_csv(src.search_pairs(spark, sf_dir), train_path, header=False)
     sink.write_csv(src.product_descriptions(spark, sf_dir), desc_path, header=False)
     return flows.stage1_join(spark, csv_src.read_csv(spark, train_path, header=False),
-                             csv_src.read_csv(spark, desc_path, header=False))
+                             csv_src.read_csv(spark, desc_path, header=False, multi_line=True))  # texts hold line breaks
 
 
 @register("csv_roundtrip", O.with_(O.PAIRS) + "SELECT * FROM pairs")
@@ -155,7 +180,8 @@ def q_hit_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  src.product_descriptions(spark, sf_dir))
 
 
-@register("hit_features_stemmed")
+@register("hit_features_stemmed", O.with_(O.PAIRS, O.DESCRIPTIONS, O.hit_features_sql()) + "SELECT id, term_len, true AS hits_in_range FROM features",
+          _keeps("hits_in_range", "tf_title BETWEEN 0 AND term_len AND tf_desc BETWEEN 0 AND term_len", S.ID, "term_len"))
 def q_hit_features_stemmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.hit_features(src.search_pairs(spark, sf_dir),
                                  src.product_descriptions(spark, sf_dir), stem=True)
@@ -214,60 +240,54 @@ SELECT tf.doc_id, tf.token, tf.tf, dfreq.df,
        round(tf.tf * ln((m.m + 1.0) / (dfreq.df + 1.0)), 6) AS tfidf
 FROM tf JOIN dfreq ON dfreq.token = tf.token, m""")
 def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = features.documents_by_key(_docs(spark, sf_dir), "doc_id")
-    t = features.tfidf_table(features.tokenize(docs, "text", "tok").select("doc_id", "tok"), "doc_id", "tok")
+    docs = _docs(spark, sf_dir)
+    tok = features.tokenize(features.documents_by_key(docs, "doc_id"), "text", "tok").select("doc_id", "tok")
+    t = features.tfidf_table(tok, "doc_id", "tok", n_docs=docs.count())
     return t.withColumn("tfidf", F.round("tfidf", 6))
 
 
-def _stop_sql() -> str:
-    words = ", ".join("'" + w.replace("'", "''") + "'" for w in O.spark_english_stop_words())
-    return O.with_(O.TOKENS) + f"""
-SELECT doc_id, CAST(len(kept) AS INTEGER) AS n_kept, array_to_string(kept, ' ') AS kept
-FROM (SELECT doc_id, list_filter(tok, lambda t: NOT list_contains([{words}], t)) AS kept FROM doc_tokens)"""
-
+_STOP_WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in O.ENGLISH_STOP_WORDS)
 
-def _register_stop_words() -> None:
-    try:
-        sql = _stop_sql()
-    except (FileNotFoundError, OSError):
-        sql = None
 
-    @register("stopwords_removed", sql)
-    def q_stopwords_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
-        kept = features.remove_stop_words(_doc_tokens(spark, sf_dir), "tok", "kept")
-        return kept.select("doc_id", F.size("kept").alias("n_kept"), F.array_join("kept", " ").alias("kept"))
-
-
-_register_stop_words()
+@register("stopwords_removed", O.with_(O.TOKENS) + f"""
+SELECT doc_id, CAST(len(kept) AS INTEGER) AS n_kept, array_to_string(kept, ' ') AS kept
+FROM (SELECT doc_id, list_filter(tok, lambda t: NOT list_contains([{_STOP_WORDS}], t)) AS kept FROM doc_tokens)""")
+def q_stopwords_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = features.remove_stop_words(_doc_tokens(spark, sf_dir), "tok", "kept")
+    return kept.select("doc_id", F.size("kept").alias("n_kept"), F.array_join("kept", " ").alias("kept"))
 
 
-def _corpus_stop_sql() -> str | None:
-    try:
-        words = ", ".join("'" + w.replace("'", "''") + "'" for w in O.spark_english_stop_words())
-    except (FileNotFoundError, OSError):
-        return None
-    return O.with_(O.PAIRS, O.TRAIN, O.TEST, O.ATTRIBUTES, O.ATTR_FLAT_SPACE, O.DESCRIPTIONS) + f"""
+@register("corpus_stopwords", O.with_(O.PAIRS, O.TRAIN, O.TEST, O.ATTRIBUTES, O.ATTR_FLAT_SPACE, O.DESCRIPTIONS) + f"""
 SELECT product_uid, search_term,
-       CAST(len(list_filter(tok, lambda t: NOT list_contains([{words}], t))) AS INTEGER) AS n_kept
+       CAST(len(list_filter(tok, lambda t: NOT list_contains([{_STOP_WORDS}], t))) AS INTEGER) AS n_kept
 FROM (SELECT u.product_uid, u.search_term,
              {O.ml_tokens("u.product_title || ' ' || coalesce(a.attr_list, 'empty') || ' ' || coalesce(d.product_description, 'empty') || ' ' || u.search_term")} AS tok
       FROM (SELECT product_uid, product_title, search_term FROM train
             UNION ALL SELECT product_uid, product_title, search_term FROM test) u
       LEFT JOIN attr_flat a ON a.product_uid = u.product_uid
       LEFT JOIN descriptions d ON d.product_uid = u.product_uid)
-WHERE product_uid IS NOT NULL AND search_term IS NOT NULL AND tok IS NOT NULL"""
-
-
-@register("corpus_stopwords", _corpus_stop_sql())
+WHERE product_uid IS NOT NULL AND search_term IS NOT NULL AND tok IS NOT NULL""")
 def q_corpus_stopwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus tokens without stop words; rows with any NULL dropped: (product_uid, search_term, n_kept)."""
     train, test = src.train_test(spark, sf_dir)
     corpus = flows.corpus_info(train, test, src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
-    tok = features.tokenize(corpus.where(F.col("info").isNotNull()), "info", "tokenized_info").drop("info")
+    tok = features.tokenize(corpus, "info", "tokenized_info").drop("info")
     kept = features.remove_stop_words(tok, "tokenized_info", "filtered_info").drop("tokenized_info")
     return tables.drop_incomplete(kept).select(S.PRODUCT, S.TERM, F.size("filtered_info").alias("n_kept"))
 
 
+@register("null_term_tokens", O.with_(O.PAIRS) + f"""
+SELECT id, array_to_string({O.ml_tokens("CASE WHEN id % 97 = 0 THEN '' ELSE search_term END")}, '|') AS tokens FROM pairs""")
+def q_null_term_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of search terms of which some are NULL: a NULL text is tokenized as an empty one."""
+    return features.tokenize(_some_null_terms(src.search_pairs(spark, sf_dir)), S.TERM, "tok").select(
+        S.ID, F.array_join("tok", "|").alias("tokens"))
+
+
+def _some_null_terms(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn(S.TERM, F.when(F.col(S.ID) % 97 != 0, F.col(S.TERM)))
+
+
 @register("w2v_vocabulary", O.with_(O.TOKENS) + """
 SELECT word, count(*) AS n FROM (SELECT unnest(tok) AS word FROM doc_tokens) GROUP BY word HAVING count(*) >= 5""")
 def q_w2v_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,7 +304,8 @@ def q_label_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.index_labels(src.search_pairs(spark, sf_dir).select(S.ID, S.LABEL), S.LABEL, "label")
 
 
-@register("hashed_tf")
+@register("hashed_tf", O.with_(O.PAIRS) + f"SELECT id, CAST(len({O.ml_tokens('search_term')}) AS DOUBLE) AS n_terms FROM pairs",
+          lambda df: df.select(S.ID, F.aggregate("tf", F.lit(0.0), lambda a, x: a + x).alias("n_terms")))
 def q_hashed_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
     tok = features.tokenize(src.search_pairs(spark, sf_dir).select(S.ID, S.TERM), S.TERM, "words")
     hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=20).transform(tok)
@@ -334,32 +355,35 @@ def q_train_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- seeded model flows (rows-only) ----------------------------------------------------------
 
-@register("rf_hit_submission")
+@register("rf_hit_submission", O.with_(O.PAIRS, O.TEST) + _TEST_TRUE.format("in_range"), _keeps("in_range", _IN_LABELS, S.ID))
 def q_rf_hit_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stemmed hit features → random forest (15 trees, depth 6) → test submission."""
     return flows.hit_rf_submission(src.search_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir),
                                    src.is_test_row(F.col(S.ID)), seed=SEED)
 
 
-@register("tvs_rf_submission")
+@register("tvs_rf_submission", O.with_(O.PAIRS, O.TEST) + _TEST_TRUE.format("in_range"), _keeps("in_range", _IN_LABELS, S.ID))
 def q_tvs_rf_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train/validation split over numTrees [5], depth 5, ratio 0.8 → test submission."""
     return flows.hit_tvs_submission(src.search_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir),
                                     src.is_test_row(F.col(S.ID)), seed=SEED)
 
 
-_CORPUS_MODELS: dict[tuple[str, str], object] = {}
+_LAST_CORPUS: dict[str, object] = {}
 
 
 def _corpus_model(spark: SparkSession, sf_dir: str):
-    """The corpus Word2Vec model, fitted once per application and table folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _CORPUS_MODELS:
-        train, test = src.train_test(spark, sf_dir)
-        corpus = flows.corpus_info(train, test, src.attributes(spark, sf_dir),
-                                   src.product_descriptions(spark, sf_dir))
-        _CORPUS_MODELS[key] = flows.corpus_embedding(spark, corpus, seed=SEED)
-    return _CORPUS_MODELS[key]
+    """The corpus Word2Vec model; the last one is reused while application and corpus are the same.
+
+    The corpus is recognised by its rows (their number and the sum of their hashes), not by its path.
+    """
+    train, test = src.train_test(spark, sf_dir)
+    corpus = flows.corpus_info(train, test, src.attributes(spark, sf_dir), src.product_descriptions(spark, sf_dir))
+    content = corpus.agg(F.count("*"), F.sum(F.xxhash64("info") % 1_000_003), F.sum(F.crc32("info"))).first()
+    key = (spark.sparkContext.applicationId, *content)
+    if _LAST_CORPUS.get("key") != key:
+        _LAST_CORPUS.update(key=key, model=flows.corpus_embedding(spark, corpus, seed=SEED))
+    return _LAST_CORPUS["model"]
 
 
 def _corpus_flow(spark: SparkSession, sf_dir: str, learner: str) -> DataFrame:
@@ -369,26 +393,36 @@ def _corpus_flow(spark: SparkSession, sf_dir: str, learner: str) -> DataFrame:
                                        seed=SEED, learner=learner, model=_corpus_model(spark, sf_dir))
 
 
-@register("corpus_w2v_linear")
+@register("corpus_w2v_linear", O.with_(O.PAIRS, O.TEST) + _TEST_TRUE.format("finite"), _keeps("finite", _finite(S.LABEL), S.ID))
 def q_corpus_w2v_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Corpus Word2Vec (3 dims, minCount 5) → mean term vectors → OLS → test submission."""
     return _corpus_flow(spark, sf_dir, "linear")
 
 
-@register("corpus_w2v_forest")
+@register("corpus_w2v_forest", O.with_(O.PAIRS, O.TEST) + _TEST_TRUE.format("in_range"), _keeps("in_range", _IN_LABELS, S.ID))
 def q_corpus_w2v_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same features → random forest (15 trees, depth 3) → test submission."""
     return _corpus_flow(spark, sf_dir, "forest")
 
 
-@register("term_vectors")
+@register("term_vectors", O.with_(O.PAIRS) + "SELECT id, true AS is_mean FROM pairs",
+          lambda df: df.select(S.ID, "is_mean"))
 def q_term_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean corpus word vector of every search term (all pairs)."""
-    vec = flows.embed_terms(_corpus_model(spark, sf_dir), src.search_pairs(spark, sf_dir).select(S.ID, S.TERM))
-    return vec.select(S.ID, vector_to_array("vec").alias("vec"))
-
-
-@register("w2v_indexed_forest")
+    """Mean corpus word vector of every search term (all pairs), and whether it is the mean of the
+    model's word vectors, unknown words counting as zeros."""
+    model = _corpus_model(spark, sf_dir)
+    vec = flows.embed_terms(model, src.search_pairs(spark, sf_dir).select(S.ID, S.TERM)).select(
+        S.ID, "tokens", vector_to_array("vec").alias("vec"))
+    words = model.getVectors().select("word", vector_to_array("vector").alias("v"))
+    terms = vec.select(S.ID, F.explode("tokens").alias("word")).join(words, "word", "left")
+    sums = terms.groupBy(S.ID).agg(F.count("*").alias("n"), *[F.sum(F.coalesce(F.col("v")[i], F.lit(0.0))).alias(f"s{i}") for i in range(flows.EMBED_SIZE)])
+    mean = F.array(*[F.coalesce(F.col(f"s{i}") / F.col("n"), F.lit(0.0)) for i in range(flows.EMBED_SIZE)])
+    near = F.forall(F.zip_with("vec", mean, lambda a, b: F.abs(a - b) < 1e-6), lambda x: x)
+    return vec.join(sums, S.ID, "left").select(S.ID, "vec", near.alias("is_mean"))
+
+
+@register("w2v_indexed_forest", O.with_(O.PAIRS, O.TEST) + _TEST_TRUE.format("in_range"),
+          _keeps("in_range", "prediction BETWEEN 0 AND 20", S.ID))
 def q_w2v_indexed_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label index + vector index + default random forest on the corpus term vectors."""
     train, test = src.train_test(spark, sf_dir)
@@ -397,11 +431,11 @@ def q_w2v_indexed_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            seed=SEED, model=_corpus_model(spark, sf_dir))
 
 
-@register("ngram_w2v_submission")
+@register("ngram_w2v_submission", O.with_(O.PAIRS, O.TEST) + _TEST_TRUE.format("finite"), _keeps("finite", _finite(S.LABEL), S.ID))
 def q_ngram_w2v_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = src.train_test(spark, sf_dir)
     return flows.ngram_w2v_submission(train, test,
-                                      seed=SEED, n=1, num_partitions=spark.sparkContext.defaultParallelism)
+                                      seed=SEED, n=1)
 
 
 def _labelled_terms(train: DataFrame) -> DataFrame:
@@ -409,7 +443,9 @@ def _labelled_terms(train: DataFrame) -> DataFrame:
     return tables.rename(train.select(S.PRODUCT, S.TERM, S.LABEL), {S.LABEL: "label"})
 
 
-@register("tfidf_linear_coefficients")
+@register("tfidf_linear_coefficients", """
+SELECT 'bucket_' || CAST(i AS VARCHAR) AS term, true AS finite FROM range(20) t(i) UNION ALL SELECT 'intercept', true""",
+          _keeps("finite", _finite("value"), "term"))
 def q_tfidf_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coefficients (20 hashed buckets) and intercept of the TF-IDF linear model."""
     train, test = src.train_test(spark, sf_dir)
@@ -417,53 +453,104 @@ def q_tfidf_linear_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.coefficients(spark, model, [f"bucket_{i}" for i in range(20)])
 
 
-@register("tfidf_linear_scores")
+@register("tfidf_linear_scores", O.with_(O.PAIRS, O.TEST) + "SELECT id, product_uid, search_term, true AS finite FROM test",
+          _keeps("finite", _finite("prediction"), S.ID, S.PRODUCT, S.TERM))
 def q_tfidf_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = src.train_test(spark, sf_dir)
     _, scored = flows.tfidf_linear(_labelled_terms(train), test.select(S.ID, S.PRODUCT, S.TERM))
     return scored.select(S.ID, S.PRODUCT, S.TERM, "prediction")
 
 
-@register("w2v_linear_scores")
+@register("w2v_linear_scores", O.with_(O.PAIRS, O.TEST) + "SELECT id, product_uid, search_term, true AS finite FROM test",
+          _keeps("finite", _finite("prediction"), S.ID, S.PRODUCT, S.TERM))
 def q_w2v_linear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = src.train_test(spark, sf_dir)
     _, scored = flows.w2v_linear(_labelled_terms(train), test.select(S.ID, S.PRODUCT, S.TERM),
-                                 seed=SEED, num_partitions=spark.sparkContext.defaultParallelism)
+                                 seed=SEED)
     return scored.select(S.ID, S.PRODUCT, S.TERM, "prediction")
 
 
-@register("tf_score_linear")
+@register("tf_score_linear", O.with_(O.PAIRS, O.TRAIN, O.DESCRIPTIONS) + """
+SELECT t.id, t.product_uid, CAST(t.relevance AS DOUBLE) AS label, true AS finite
+FROM train t JOIN descriptions d ON d.product_uid = t.product_uid""",
+          _keeps("finite", _finite("prediction") + " AND " + _finite("`values`"), S.ID, S.PRODUCT, "label"))
 def q_tf_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, scored = flows.tf_score_linear(src.train_pairs(spark, sf_dir), src.product_descriptions(spark, sf_dir))
     return scored.select(S.ID, S.PRODUCT, "values", "label", "prediction")
 
 
-@register("term_classifier")
+@register("term_classifier", "SELECT doc_id, true AS is_distribution FROM documents",
+          _keeps("is_distribution", _DISTRIBUTION, "doc_id"))
 def q_term_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents → Tokenizer → HashingTF → logistic regression; every document scored."""
     _, scored = flows.term_classifier(src.classifier_rows(spark, sf_dir), _docs(spark, sf_dir))
     return scored.select("doc_id", M.probabilities(), "prediction")
 
 
-@register("term_classifier_pairs")
+@register("term_classifier_pairs", O.with_(O.PAIRS, O.TEST) + "SELECT id, product_uid, 4 AS n_classes, true AS is_distribution FROM test",
+          _keeps("is_distribution", _DISTRIBUTION, S.ID, S.PRODUCT, "size(prob) AS n_classes"))
 def q_term_classifier_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search terms → hashed terms → logistic regression on an integer relevance label.
 
-    Only whole-valued labels survive an integer label column (an integer CSV schema drops the
-    fractional rows), so the train rows are filtered to those; labels 1..3 give 4 classes.
+    The rows an integer label column keeps: whole values; labels 1..3 give 4 classes.
     """
+    return _term_classes(spark, sf_dir, "whole")
+
+
+@register("term_classifier_all_pairs", O.with_(O.PAIRS, O.TEST) + "SELECT id, product_uid, 4 AS n_classes, true AS is_distribution FROM test",
+          _keeps("is_distribution", _DISTRIBUTION, S.ID, S.PRODUCT, "size(prob) AS n_classes"))
+def q_term_classifier_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same on every train row, fractional labels rounded to the nearest class."""
+    return _term_classes(spark, sf_dir, "rounded")
+
+
+def _term_classes(spark: SparkSession, sf_dir: str, label_as: str) -> DataFrame:
+    """Scored test pairs; ``label_as`` ``whole`` trains on whole labels only, ``rounded`` on all."""
     train, test_rows = src.train_test(spark, sf_dir)
-    labelled = (train.where(F.col(S.LABEL) == F.floor(S.LABEL))
-                .select(S.PRODUCT, F.col(S.TERM).alias("text"), F.col(S.LABEL).cast("int").alias("label")))
+    if label_as == "whole":
+        train = train.where(F.col(S.LABEL) == F.floor(S.LABEL))
+    labelled = train.select(S.PRODUCT, F.col(S.TERM).alias("text"), F.round(S.LABEL).cast("int").alias("label"))
     test = test_rows.select(S.ID, S.PRODUCT, F.col(S.TERM).alias("text"))
     _, scored = flows.term_classifier(labelled, test)
-    return scored.select(S.ID, S.PRODUCT, M.probabilities(), "prediction")
+    return scored.select(S.ID, S.PRODUCT, "text", M.probabilities(), "prediction")
 
 
-@register("w2v_vectors")
+@register("w2v_vectors", O.with_(O.TOKENS) + """
+SELECT word, 3 AS n_dims, true AS finite FROM (SELECT unnest(tok) AS word FROM doc_tokens) GROUP BY word HAVING count(*) >= 5""",
+          lambda df: df.select("word", F.size("vector").alias("n_dims"), F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf"))).alias("finite")))
 def q_w2v_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word vectors of the document corpus (vocabulary with count >= 5)."""
-    w2v = M.word2vec(seed=SEED, input_col="tok", output_col="vec",
-                     num_partitions=spark.sparkContext.defaultParallelism)
-    model = w2v.fit(materialize(_doc_tokens(spark, sf_dir)))
+    w2v = M.word2vec(seed=SEED, input_col="tok", output_col="vec")
+    model = w2v.fit(flows.pinned(_doc_tokens(spark, sf_dir).select("tok"), "tok"))
     return model.getVectors().select("word", vector_to_array("vector").alias("vector"))
+
+
+# --- CSV policies --------------------------------------------------------------------------------
+
+@register("csv_malformed_rows", O.with_(O.PAIRS) + """
+SELECT id, product_uid, product_title, search_term, relevance FROM pairs WHERE id % 13 <> 0""")
+def q_csv_malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs written as CSV, some with a label that is no number, read strictly: those rows go."""
+    path = _scratch(spark, "malformed")
+    pairs = src.search_pairs(spark, sf_dir)
+    label = F.when(F.col(S.ID) % 13 == 0, F.lit("n/a")).otherwise(F.col(S.LABEL).cast("string"))
+    sink.write_csv(pairs.select(S.ID, S.PRODUCT, S.TITLE, S.TERM, label.alias(S.LABEL)), path)
+    return csv_src.read_csv(spark, path, schema=S.TRAIN, strict=True)
+
+
+@register("csv_single_file", O.with_(O.PAIRS) + "SELECT id, CAST(relevance AS DOUBLE) AS rel, true AS one_file FROM pairs WHERE id % 5 = 0")
+def q_csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test labels written as one CSV part ordered by id, read back and renamed by SQL expression."""
+    path = _scratch(spark, "single")
+    sink.write_csv(src.search_pairs(spark, sf_dir).where(src.is_test_row(F.col(S.ID))).select(S.ID, S.LABEL), path,
+                   single_file=True, order_by=[S.ID])
+    back = csv_src.read_csv(spark, path, schema=S.SUBMISSION, strict=True)
+    return tables.rename(back.select(S.ID, S.LABEL), {S.LABEL: "rel"}).withColumn("one_file", F.lit(len(back.inputFiles()) == 1))
+
+
+@register("union_by_position", O.with_(O.PAIRS, O.TRAIN, O.TEST) + """
+SELECT id, search_term FROM train UNION ALL SELECT id, product_title FROM test""")
+def q_union_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional union: the second table's columns take the first one's names."""
+    train, test = src.train_test(spark, sf_dir)
+    return tables.union_pairs(train.select(S.ID, S.TERM), test.select(S.ID, S.TITLE), by_name=False)

@@ -54,20 +54,12 @@ DESCRIPTIONS = StructType([
     StructField(DESCRIPTION, StringType(), True),
 ])
 
-TF_SCORE = StructType([
-    StructField(ID, LongType(), True),
-    StructField(PRODUCT, LongType(), True),
-    StructField("values", DoubleType(), True),
-    StructField("label", DoubleType(), True),
-])
-
 SUBMISSION = StructType([
     StructField(ID, LongType(), True),
     StructField(LABEL, DoubleType(), True),
 ])
 
-# Positional names of the headerless, all-string notebook reads.
+# Positional names of the headerless, all-string reads, which the join's result keeps.
 STAGE1_TRAIN_NAMES = ["id", "prod_uid", "title", "search", "rel"]
-STAGE1_TEST_NAMES = ["id", "prod_uid", "title", "search"]
 STAGE1_DESC_NAMES = ["prod_id", "desc"]
 STAGE1_OUTPUT = ["prod_uid", "title", "search", "rel", "desc"]

@@ -25,6 +25,13 @@ SKEW_CONF = {
 }
 
 
+#: Bounds on what the driver tracks per shuffle: reduce partitions, and map tasks of a scan.
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_SPLITS = 100_000
+#: Partitions that a table of few row groups is spread over.
+SPREAD_PARTITIONS = 8
+
+
 def apply_skew_conf(spark: SparkSession) -> None:
     """Turn on AQE skew-join splitting for this session (runtime SQL settings)."""
     for key, value in SKEW_CONF.items():
@@ -42,7 +49,6 @@ def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.default.parallelism", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -59,29 +65,30 @@ def local_session(cpus: int | str = "*", app: str = "relevo", shuffle_partitions
     return spark
 
 
-def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 1 << 30) -> dict[str, str]:
     """Settings for a cluster run, sized from the input volume and the number of executor cores.
 
     * shuffle partitions: enough that the largest shuffle (about the input volume: the pairs carry
       the text they are compared with) lands near ``target_partition_bytes`` per task, and never
-      fewer than 3 waves of tasks. AQE coalesces partitions that turn out small, so erring high
-      is cheap;
-    * scan splits of 128 MB;
+      fewer than 3 waves of tasks; AQE coalesces partitions that turn out small. Map outputs are
+      tracked on the driver as one entry per map task and reduce partition, so both grow slowly:
+      scan splits of 128 MB up to 1 GB, and at most ``MAX_SHUFFLE_PARTITIONS`` partitions;
     * AQE with skew splitting (``SKEW_CONF``), skewed partitions split at 5x the median and above
-      ``target_partition_bytes``;
+      256 MB;
     * no broadcast from static estimates (they come from compressed file sizes and a 20-byte guess
       per string, far below the real size of long text); AQE broadcasts a join side only after its
       shuffle stage has run and its measured size is under 64 MB.
     """
-    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    partitions = max(3 * total_cores, min(-(-input_bytes // target_partition_bytes), MAX_SHUFFLE_PARTITIONS))
+    split = min(max(128 << 20, -(-input_bytes // MAX_SCAN_SPLITS)), 1 << 30)
     return {
         **SKEW_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
         # checkpoint files of frames that are no longer referenced are removed from the shared folder
@@ -89,15 +96,27 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     }
 
 
+def apply_cluster_conf(spark: SparkSession, input_bytes: int | None = None) -> None:
+    """Apply ``cluster_conf`` to a session that runs on a cluster; a local session keeps its own.
+
+    Static settings (the cleaner) must come with the submit command; the SQL ones are set here.
+    """
+    if not spark.sparkContext.master.startswith("local") and input_bytes:
+        for key, value in cluster_conf(input_bytes, spark.sparkContext.defaultParallelism).items():
+            if key.startswith("spark.sql."):
+                spark.conf.set(key, value)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that arrives in fewer partitions than the session has cores.
+    """Round-robin a scan that arrives in fewer partitions than wanted.
 
-    A large table on a cluster already scans as many splits and this returns it unchanged. A table
-    stored as a few big row groups would otherwise run every following narrow step (regex,
-    tokenizing, exploding) in one task. The round-robin exchange carries no key, so joins further
-    down still get their own exchange (and AQE skew splitting).
+    ``min_partitions`` defaults to ``SPREAD_PARTITIONS``, a fixed small number: a large table scans
+    as more splits and is returned unchanged, on a cluster of any size. A table stored as a few big
+    row groups would otherwise run every following narrow step (regex, tokenizing, exploding) in one
+    task. The round-robin exchange carries no key, so joins further down still get their own
+    exchange (and AQE skew splitting).
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    target = min_partitions or SPREAD_PARTITIONS
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
@@ -158,6 +177,16 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     Catalyst also sees the real file size, so a small table is still broadcast. It cuts lineage
     too: a lost executor re-reads files instead of recomputing the aggregate.
     """
-    path = shared_path(df.sparkSession, "relevo-tables", f"{name}-{uuid.uuid4().hex}")
+    path = shared_path(df.sparkSession, "relevo-tables", df.sparkSession.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def remove_shared_tables(spark: SparkSession) -> None:
+    """Delete the intermediate tables this application wrote in the shared folder.
+
+    Call it when no DataFrame that reads them is used any more (the command lines do at their end).
+    """
+    for kind in ("relevo-tables", "relevo-csv"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(shared_path(spark, kind, spark.sparkContext.applicationId))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

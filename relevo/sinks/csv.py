@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
-              single_file: bool = False, order_by: Sequence[str | Column] | None = None) -> None:
+              single_file: bool = False, order_by: Sequence[str | Column] | None = None,
+              leave_out: Sequence[str] = ()) -> None:
     """Write CSV with a header.
 
     * multi-part (default): every task writes its own part, nothing funnels through one task;
@@ -21,7 +22,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
       unlike ``coalesce(1)``, which would squeeze the whole upstream plan into one task. Only for
       outputs small enough to pass through one task.
     * mode: ``errorifexists`` (default, an existing path fails), ``overwrite``, ``append``, ``ignore``.
-    Text is written as is: no trimming of leading or trailing white space.
+    * ``leave_out``: columns that only order the rows and are not written.
+    Text is written as is: no trimming of leading or trailing white space; '' is quoted, NULL is not.
     """
     out = df
     if single_file:
@@ -30,7 +32,7 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errori
             out = out.sortWithinPartitions(*order_by)
     elif order_by:
         out = out.orderBy(*order_by)
-    (out.write.mode(mode).option("header", header)
+    (out.drop(*leave_out).write.mode(mode).option("header", header).option("emptyValue", '""')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
@@ -43,5 +45,5 @@ def write_submission(scored: DataFrame, path: str, id_col: str = "id",
 
 
 def format_lines(df: DataFrame, fmt: str, *cols: str | Column, out: str = "line") -> DataFrame:
-    """One printable line per row, e.g. ``"(%d, %s) --> prediction=%f"``, as a column."""
+    """One printable line per row, such as ``"%d: %s scores %f"``, as a column."""
     return df.select(F.format_string(fmt, *cols).alias(out))

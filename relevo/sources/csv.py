@@ -10,49 +10,52 @@ corrupt-record flag alone only covers the columns a query requires).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 CORRUPT = "_corrupt_record"
+#: What the reader puts for a quoted empty field, so that it differs from a missing one.
+EMPTY = "\u0001"
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
              header: bool = True, mode: str = "PERMISSIVE", strict: bool = False,
-             multi_line: bool = True) -> DataFrame:
+             multi_line: bool = False) -> DataFrame:
     """Read CSV with a declared schema (all strings, ``_c0..`` names, when none is given).
 
     mode: ``PERMISSIVE`` keeps malformed rows with NULLs, ``DROPMALFORMED`` drops them (subject to
     column pruning), ``FAILFAST`` raises. ``strict`` overrides mode with the pruning-proof filter.
-    ``multi_line`` lets quoted fields hold line breaks (descriptions do).
+    ``multi_line`` lets quoted fields hold line breaks; such a file cannot be split, so one task
+    reads it whole. A quoted empty field is '', an unquoted one NULL.
     """
-    reader = (spark.read.option("header", header).option("multiLine", multi_line)
+    reader = (spark.read.option("header", header).option("multiLine", multi_line).option("emptyValue", EMPTY)
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if strict:
         if schema is None:
             raise ValueError("strict reading needs a declared schema")
         as_text = StructType([*[StructField(f.name, StringType(), True) for f in schema.fields],
                               StructField(CORRUPT, StringType(), True)])
-        df = (reader.schema(as_text).option("mode", "PERMISSIVE")
+        df = (reader.schema(as_text).option("mode", "PERMISSIVE").option("columnPruning", False)
               .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
         valid = F.col(CORRUPT).isNull()
         for f in schema.fields:
             if not isinstance(f.dataType, StringType):
-                valid = valid & (F.col(f.name).isNull() | F.col(f.name).try_cast(f.dataType).isNotNull())
-        return df.where(valid).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
-                                        for f in schema.fields])
+                blank = F.col(f.name).isNull() | (F.col(f.name) == EMPTY)
+                valid = valid & (blank | F.col(f.name).try_cast(f.dataType).isNotNull())
+        return _with_empty(df.where(valid)).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
+                                                     for f in schema.fields])
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.option("mode", mode).csv(path)
+    return _with_empty(reader.option("mode", mode).csv(path))
 
 
-def read_headerless(spark: SparkSession, path: str | Sequence[str], names: Sequence[str],
-                    multi_line: bool = True) -> DataFrame:
-    """All-string read without a header, renamed by position (a header line stays a data row)."""
-    df = read_csv(spark, path, schema=None, header=False, multi_line=multi_line)
-    return df.toDF(*names)
+def _with_empty(df: DataFrame) -> DataFrame:
+    """Text columns with the mark of a quoted empty field turned into ''."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType) and f.name != CORRUPT]
+    return df.withColumns({c: F.when(F.col(c) == EMPTY, F.lit("")).otherwise(F.col(c)) for c in text})
 
 
 # File names of the search-relevance CSV layout and the schema each one is read with.
@@ -64,31 +67,25 @@ CSV_TABLES = {
 }
 
 
-def read_search_tables(spark: SparkSession, folder: str, strict: bool = True,
-                       strict_products: bool = False) -> dict[str, DataFrame]:
-    """The four CSV tables of a search-relevance folder, typed, keyed by logical name.
+def read_search_tables(spark: SparkSession, folder: str, strict: bool = True, strict_products: bool = False,
+                       tables: Collection[str] = tuple(CSV_TABLES), label_as: str = "double",
+                       multi_line: Collection[str] = ()) -> dict[str, DataFrame]:
+    """CSV tables of a search-relevance folder, typed, keyed by logical name.
 
-    Missing files are skipped. The pair files (train, test) are read with the pruning-proof
+    ``tables`` names the tables wanted; one that is missing is an error of the read, on whatever
+    file system the folder lies. The pair files (train, test) are read with the pruning-proof
     malformed-row filter when ``strict``; attributes and descriptions are read permissively unless
     ``strict_products``, as the scripts mostly do (a malformed product row keeps NULLs and simply
-    joins nothing).
+    joins nothing). ``label_as='int'`` declares an integer label: strict reading then drops the rows
+    with a fractional one. ``multi_line`` names tables whose fields hold line breaks.
     """
-    import os
-
     from relevo import schemas
 
     out = {}
-    for name, (file_name, schema_name) in CSV_TABLES.items():
-        path = f"{folder.rstrip('/')}/{file_name}"
-        if "://" not in path and not os.path.exists(path):
-            continue
-        is_pair_file = name in ("train", "test")
-        out[name] = read_csv(spark, path, schema=getattr(schemas, schema_name),
-                             strict=strict if is_pair_file else strict_products)
+    for name in tables:
+        file_name, schema_name = CSV_TABLES[name]
+        if name == "train" and label_as == "int":
+            schema_name = "TRAIN_INT_LABEL"
+        out[name] = read_csv(spark, f"{folder.rstrip('/')}/{file_name}", schema=getattr(schemas, schema_name),
+                             strict=strict if name in ("train", "test") else strict_products, multi_line=name in multi_line)
     return out
-
-
-def register_view(df: DataFrame, name: str) -> DataFrame:
-    """Name a DataFrame for SQL (``createOrReplaceTempView``) and hand it back."""
-    df.createOrReplaceTempView(name)
-    return df

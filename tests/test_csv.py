@@ -91,7 +91,7 @@ def test_round_trip_keeps_text_exactly(spark, scratch):
     path = os.path.join(scratch, "rt")
     sink.write_csv(df, path)
     schema = StructType([*S.TRAIN.fields, StructField("d", StringType())])
-    back = csv_src.read_csv(spark, path, schema=schema, strict=True).first()
+    back = csv_src.read_csv(spark, path, schema=schema, strict=True, multi_line=True).first()
     assert back["d"] == text
 
 

@@ -51,12 +51,12 @@ def test_wide_table_job(spark, csv_dir, tmp_path):
     from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
     out = str(tmp_path / "wide")
-    jobs.run(spark, "wide_table", csv_dir, out)
+    jobs.run(spark, "wide_table", csv_dir, out, multi_line=["product_descriptions"])  # texts hold line breaks
     assert glob.glob(os.path.join(out, "part-*"))
     schema = StructType([StructField("product_uid", LongType()), StructField("search_term", StringType()),
                          StructField("product_title", StringType()), StructField("value_list", StringType()),
                          StructField("product_description", StringType()), StructField("relevance", DoubleType())])
-    written = read_csv(spark, out, schema=schema, strict=True)
+    written = read_csv(spark, out, schema=schema, strict=True, multi_line=True)
     expected = flows.wide_training_table(src.train_pairs(spark, SF_SMALL), src.attributes(spark, SF_SMALL),
                                          src.product_descriptions(spark, SF_SMALL))
     assert sorted(written.collect()) == sorted(expected.collect())
@@ -78,3 +78,20 @@ def test_query_cli_writes_parquet_and_csv(spark, tmp_path):
     out_csv = str(tmp_path / "vec")
     cli.main(["hashed_tf", SF_SMALL, out_csv, "--format", "csv"])   # array column written as JSON
     assert spark.read.option("header", True).csv(out_csv).count() == src.search_pairs(spark, SF_SMALL).count()
+
+
+@pytest.mark.parametrize("job", ["stage1_join", "term_classifier", "tfidf_linear", "w2v_linear", "tf_score_linear"])
+def test_scored_table_jobs(spark, csv_dir, tmp_path, job):
+    out = str(tmp_path / job)
+    jobs.run(spark, job, csv_dir, out, seed=3, multi_line=["product_descriptions"])
+    rows = spark.read.option("header", True).option("multiLine", True).csv(out)
+    test = src.test_pairs(spark, SF_SMALL).count()
+    expected = {"stage1_join": src.train_pairs(spark, SF_SMALL), "tf_score_linear": src.train_pairs(spark, SF_SMALL)}
+    want = expected[job].join(src.product_descriptions(spark, SF_SMALL), S.PRODUCT).count() if job in expected else test
+    assert rows.count() == want
+
+
+def test_bigram_job(spark, csv_dir, tmp_path):
+    out = str(tmp_path / "bigrams")
+    jobs.run(spark, "ngram_linear", csv_dir, out, seed=3, n=2)
+    assert _read(spark, out, S.SUBMISSION).count() == src.test_pairs(spark, SF_SMALL).count()

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from relevo.plans import registry
 
 from .conftest import SF_SMALL
 
@@ -39,10 +40,10 @@ def _rows(pdf, cols):
     return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = entry.queries()[name](spark, SF_SMALL).toPandas()
-    want = con.sql(entry.oracle_sql()[name]).df()
+    got = registry.QUERIES[name](spark, SF_SMALL).toPandas()
+    want = con.sql(registry.ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     cols = sorted(got.columns)

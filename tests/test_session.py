@@ -9,7 +9,10 @@ from relevo.session import cluster_conf, materialize, shared_table, spread
 
 def test_cluster_conf_sizes_partitions_from_input():
     conf = cluster_conf(100 * 2**40, 8000)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600
+    # map and reduce partitions stay few enough for the driver to track
+    assert int(conf["spark.sql.shuffle.partitions"]) == 50_000
+    assert int(conf["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    assert int(cluster_conf(10 * 2**40, 800)["spark.sql.shuffle.partitions"]) == 10_240
     assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert int(conf["spark.sql.adaptive.autoBroadcastJoinThreshold"]) == 64 << 20
     assert conf["spark.sql.adaptive.forceOptimizeSkewedJoin"] == "true"
