@@ -31,8 +31,6 @@ from relevo.llm.words import power
 SEGMENT = 1 << 19
 #: Classes of one anchor that a task compares; more are refined.
 MOST_CLASSES = 2048
-#: Bytes up to which per-document lists are broadcast instead of shuffling the texts.
-BROADCAST_BYTES = 32 << 20
 NULL_ID = -(1 << 63)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -112,6 +110,8 @@ class Kind:
 
     symbols: Callable[[str], np.ndarray]  # the uint64 symbol of each place
     raw: Callable[[str], Callable[[int, int], bytes]]  # a cutter of contexts, from place to place
+    unit: int  # bytes of a symbol in a cut context
+    decode: Callable[[bytes], np.ndarray]  # the symbols of a cut context
     width: int
     gram: int
     steps: tuple[int, ...]  # distances to the anchor that a refined block spans; all below width - gram
@@ -172,9 +172,8 @@ def occurrences(rows: DataFrame, kind: Kind) -> DataFrame:
 
 
 def with_lists(rows: DataFrame, lists: DataFrame, how: str = "inner") -> DataFrame:
-    """Texts with their per-text lists (rk, list): the lists are broadcast if small, else shuffled."""
-    size = lists.agg(F.sum(F.length("list") + 48).alias("n")).first()["n"] or 0
-    return rows.join(F.broadcast(lists) if size <= BROADCAST_BYTES else lists, "rk", how)
+    """Texts with their per-text lists (rk, list)."""
+    return rows.join(lists, "rk", how)
 
 
 def listed(df: DataFrame, cols: list[str], name: str) -> DataFrame:
@@ -211,39 +210,59 @@ def unlist(data: bytes | None, n: int) -> np.ndarray:
     return np.frombuffer(data or b"", "<i8").reshape(-1, n)
 
 
-def refine(rows: DataFrame, occ: DataFrame, kind: Kind, step: int) -> DataFrame:
-    """Cut occurrences into blocks of ``step`` distances, keyed by the text all its windows share."""
-    lists = listed(occ, ["h", "id", "s", "m", "d"], "refine")
-    texts = with_lists(rows, lists)
+def refine(wide: DataFrame, kind: Kind, step: int) -> DataFrame:
+    """Cut contexts into blocks of ``step`` distances, keyed by the text all windows of a block share.
+
+    Only the contexts themselves are read, not the texts. ``oh``, ``octx`` and ``off`` lead back to
+    the class a part was cut from.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                symbols = kind.symbols(batch.column(1)[i].as_py())
-                h, ids, s, m, d = unlist(batch.column(2)[i].as_py(), 5).T
-                pieces = [(j, lo) for j in range(len(h)) for lo in range(int(d[j] - m[j] + 1) // step * step, int(d[j]) + 1, step)]
-                j, lo = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
-                anchor = s[j] + d[j]
-                far, near = np.minimum(lo + step - 1, d[j]), np.maximum(lo, d[j] - m[j] + 1)
-                begin, count = anchor - far, far - near + 1
-                # whatever part of the block an occurrence has, the shared text is the block's
-                core = _clipped(symbols, anchor - lo, anchor - lo - step + 1 + kind.width)
-                key = mix(h[j].view(np.uint64) + core + (lo + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(step))
-                ctx = mix(_clipped(symbols, begin, begin + count - 1 + kind.width) + (anchor - begin).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-                yield _occ_batch([(key, ctx, ids[j], np.full(len(j), batch.column(0)[i].as_py()), begin, count, far)])
-
-    return written(texts.select("rk", "text", "list").mapInArrow(run, OCC), "refined")
-
-
-def _clipped(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hashes of ranges of one text, in pieces of it so that tables stay small."""
-    out = np.zeros(len(begin), np.uint64)
-    for at in range(0, len(symbols), SEGMENT):
-        here = np.flatnonzero((begin >= at) & (begin < at + SEGMENT))
-        if len(here):
-            spans = Spans(symbols[at : at + 3 * SEGMENT])
-            out[here] = spans.hash(begin[here] - at, end[here] - at)
-    return out
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                h, m, d = (part.column(i).to_numpy().astype(np.int64) for i in (0, 6, 7))
+                data = part.column(8).to_pylist()
+                symbols = [kind.decode(x) for x in data]
+                sizes = np.array([len(x) for x in symbols], np.int64)
+                first = np.cumsum(sizes) - sizes
+                spans = Spans(np.concatenate(symbols))
+                c, lo = _blocks(m, d, step)
+                far, near = np.minimum(lo + step - 1, d[c]), np.maximum(lo, (d - m + 1)[c])
+                begin, count = d[c] - far, far - near + 1
+                anchor = first[c] + d[c]
+                core = spans.hash(anchor - lo, anchor - lo - step + 1 + kind.width)
+                key = mix(h[c].view(np.uint64) + core + (lo + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(step))
+                ctx = spans.hash(first[c] + begin, first[c] + begin + count - 1 + kind.width) + far.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+                cuts = [data[i][x * kind.unit : (x + n - 1 + kind.width) * kind.unit] for i, x, n in zip(c.tolist(), begin.tolist(), count.tolist(), strict=True)]
+                take = pa.array(c)
+                rest = {i: part.column(i).take(take) for i in (2, 3, 4, 5, 9, 10, 11)}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), pa.array(mix(ctx).view(np.int64)), rest[2], rest[3], rest[4], pa.array(rest[5].to_numpy() + begin),
+                     pa.array(count.astype(np.int32)), pa.array(far.astype(np.int32)), pa.array(cuts, pa.binary()), rest[9], rest[10],
+                     pa.array(rest[11].to_numpy() + begin)], _PARTS)
+
+    return written(wide.select(*_PARTS).mapInArrow(run, PARTS), "refined")
+
+
+def _blocks(m: np.ndarray, d: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """(context, first distance) of every block of ``step`` distances that holds windows."""
+    low = (d - m + 1) // step
+    n = d // step - low + 1
+    c = np.repeat(np.arange(len(m)), n)
+    return c, (low[c] + np.arange(len(c)) - np.repeat(np.cumsum(n) - n, n)) * step
+
+
+def part_classes(parts: DataFrame) -> DataFrame:
+    """Contexts cut by ``refine``, with what their class and key hold.
+
+    Adds ``total`` (copies of the class), ``low`` (its smallest id), ``classes`` (of the key), ``least``
+    (copies of the rarest) and ``first`` (whether the row stands for its class).
+    """
+    by = parts.groupBy("h", "ctx").agg(F.sum("copies").alias("total"), F.min("id").alias("low"), F.min(F.struct("id", "rk", "s")).alias("one"))
+    by = written(by, "classes")
+    many = written(by.groupBy("h").agg(F.count("*").alias("classes"), F.min("total").alias("least")), "many")
+    return written(parts.join(by, ["h", "ctx"]).join(many, "h").withColumn("first", F.struct("id", "rk", "s") == F.col("one")).drop("one"), "parts")
 
 
 def classes_of(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -260,27 +279,33 @@ def classes_of(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
     return live, written(by.join(many, "h"), "classes")
 
 
+PARTS = ("h long, ctx long, copies long, id long, rk long, s long, m int, d int, data binary, oh long, octx long, off long")
+_PARTS = ["h", "ctx", "copies", "id", "rk", "s", "m", "d", "data", "oh", "octx", "off"]
+
+
 def contexts(rows: DataFrame, classes: DataFrame, kind: Kind) -> DataFrame:
-    """The class representatives with the bytes of their contexts: (h, ctx, copies, id, rk, s, m, d, data)."""
-    flat = classes.select("rep.rk", "h", "ctx", "copies", "rep.id", "rep.s", "rep.m", "rep.d")
-    texts = with_lists(rows, listed(flat, ["s", "h", "ctx", "copies", "id", "m", "d"], "contexts"))
-    names = ["h", "ctx", "copies", "id", "rk", "s", "m", "d", "data"]
+    """The class representatives with the bytes of their contexts, and the classes of their anchor.
+
+    It is the one place where texts are shuffled to their contexts; refinement goes on from these.
+    """
+    flat = classes.select("rep.rk", "h", "ctx", "copies", "rep.id", "rep.s", "rep.m", "rep.d", "classes")
+    texts = with_lists(rows, listed(flat, ["s", "h", "ctx", "copies", "id", "m", "d", "classes"], "contexts"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                whole = unlist(batch.column(2)[i].as_py(), 7)
+                whole = unlist(batch.column(2)[i].as_py(), 8)
                 cut = kind.raw(batch.column(1)[i].as_py())
                 for at in range(0, len(whole), 4096):
-                    s, h, ctx, copies, ids, m, d = whole[at : at + 4096].T
+                    s, h, ctx, copies, ids, m, d, n_classes = whole[at : at + 4096].T
                     data = [cut(a, a + n + kind.width - 1) for a, n in zip(s.tolist(), m.tolist(), strict=True)]
                     rk = np.full(len(s), batch.column(0)[i].as_py())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(h), pa.array(ctx), pa.array(copies), pa.array(ids), pa.array(rk), pa.array(s), pa.array(m.astype(np.int32)),
-                         pa.array(d.astype(np.int32)), pa.array(data, pa.binary())], names)
+                         pa.array(d.astype(np.int32)), pa.array(data, pa.binary()), pa.array(h), pa.array(ctx), pa.array(np.zeros(len(s), np.int64)),
+                         pa.array(n_classes)], [*_PARTS, "classes"])
 
-    return texts.select("rk", "text", "list").mapInArrow(
-        run, "h long, ctx long, copies long, id long, rk long, s long, m int, d int, data binary")
+    return written(texts.select("rk", "text", "list").mapInArrow(run, PARTS + ", classes long"), "contexts")
 
 
 def merged(ranges: np.ndarray, width: int) -> np.ndarray:
@@ -303,10 +328,7 @@ def possible(h: np.ndarray, m: np.ndarray, d: np.ndarray, symbols: list[np.ndarr
     sizes = np.array([len(x) for x in symbols], np.int64)
     first = np.cumsum(sizes) - sizes
     spans = Spans(np.concatenate(symbols))
-    low = (d - m + 1) // block  # the first block of each context
-    blocks = d // block - low + 1
-    c = np.repeat(np.arange(len(h)), blocks)
-    lo = (low[c] + np.arange(len(c)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * block
+    c, lo = _blocks(m, d, block)
     anchor = first[c] + d[c]
     key = spans.hash(anchor - lo, anchor - lo - block + 1 + width) + h[c].view(np.uint64) * np.uint64(0x9FB21C651E98DF25) + lo.astype(np.uint64)
     _, which, count = np.unique(key, return_inverse=True, return_counts=True)

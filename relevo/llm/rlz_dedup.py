@@ -127,58 +127,64 @@ def _raw(text: str):
     return lambda a, b: symbols[a:b].tobytes()
 
 
+_RANGES = ["oh", "octx", "low", "off", "n"]
+
+
 def _group_rows(contexts: DataFrame, width: int) -> DataFrame:
-    """(h, ctx, low, off, m): ranges of a class's windows that contexts of smaller ids hold."""
+    """(oh, octx, low, off, n): ranges of a class's windows that contexts of smaller ids hold."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
                 if size >= TASK_BYTES and row[0] != held[-1][0]:
                     if out := ranges(held):
                         yield made(out)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[7])
         if held and (out := ranges(held)):
             yield made(out)
 
     def ranges(held: list[tuple]) -> list[tuple]:
-        h, ctx, low, m, d, data = zip(*held, strict=True)
+        h, low, m, d, oh, octx, off, data = zip(*held, strict=True)
         words = [np.frombuffer(x, np.uint64) for x in data]
         found = anchors.possible(np.array(h), np.array(m, np.int64), np.array(d, np.int64), words, width, BLOCK)
         groups: dict[int, list[tuple]] = {}
         for i, a, n in zip(*(x.tolist() for x in found), strict=True):
             groups.setdefault(h[i], []).append((i, a, (low[i], words[i][a : a + n + width - 1].tolist())))
-        return [(h[i], ctx[i], low[i], a + x, n) for parts in groups.values()
+        return [(oh[i], octx[i], low[i], off[i] + a + x, n) for parts in groups.values()
                 for (i, a, _), r in zip(parts, repeated_ranges([p[2] for p in parts], width), strict=True) for x, n in r]
 
     def made(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["h", "ctx", "low", "off", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], _RANGES)
 
-    dealt = contexts.select("h", "ctx", "id", "m", "d", "data").repartition(2 * partitions(contexts.sparkSession), "h").sortWithinPartitions("h", "id")
-    return dealt.mapInArrow(run, "h long, ctx long, low long, off long, n long")
+    dealt = contexts.select("h", "id", "m", "d", "oh", "octx", "off", "data").repartition(2 * partitions(contexts.sparkSession), "h").sortWithinPartitions("h", "id")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in _RANGES))
 
 
 def earlier_windows(rows: DataFrame, kind: anchors.Kind) -> DataFrame:
     """(rk, s, m): ranges of window starts whose window also starts in a document of smaller id."""
-    occ, found = anchors.occurrences(rows, kind), []
+    live, classes = anchors.classes_of(anchors.occurrences(rows, kind))
+    low = classes.where("copies > 1").select("h", "ctx", F.col("rep.id").alias("low"))
+    parts = anchors.contexts(rows, classes.where("classes > 1"), kind)
+    found = []
     for step in (*kind.steps, None):
-        live, classes = anchors.classes_of(occ)
-        low = classes.select("h", "ctx", F.col("rep.id").alias("low"), "copies", "classes")
-        found.append(live.join(low.where("copies > 1"), ["h", "ctx"]).where("id > low").select("rk", "s", "m"))
-        mixed = classes.where("classes > 1")
-        ranges = written(_group_rows(anchors.contexts(rows, mixed.where(F.col("classes") <= MOST_CLASSES), kind), kind.width), "ranges")
-        found.append(live.join(ranges, ["h", "ctx"]).where("id = low").select("rk", (F.col("s") + F.col("off")).alias("s"), F.col("n").cast("int").alias("m")))
-        wide = written(low.where(F.col("classes") > MOST_CLASSES).select("h", "ctx", "low"), "wide")
+        found.append(written(_group_rows(parts.where(F.col("classes") <= MOST_CLASSES), kind.width), "ranges"))
+        wide = parts.where(F.col("classes") > MOST_CLASSES)
         if step is None or wide.isEmpty():
             break
-        occ = anchors.refine(rows, live.join(wide, ["h", "ctx"]).where("id = low").select(*anchors._OCC), kind, step)
-    out = found[0]
+        seen = anchors.part_classes(anchors.refine(wide, kind, step))
+        found.append(seen.where("id > low").select("oh", "octx", F.col("id").alias("low"), "off", F.col("m").cast("long").alias("n")))
+        parts = seen.where("id = low and classes > 1")  # several parts of one document may be equal
+    ranges = found[0]
     for x in found[1:]:
-        out = out.unionByName(x)
-    return out
+        ranges = ranges.unionByName(x)
+    # what holds for a class's smallest document holds at each of its places there
+    ranges = ranges.select(F.col("oh").alias("h"), F.col("octx").alias("ctx"), "low", "off", "n")
+    inside = live.join(ranges, ["h", "ctx"]).where("id = low").select("rk", (F.col("s") + F.col("off")).alias("s"), F.col("n").cast("int").alias("m"))
+    return live.join(low, ["h", "ctx"]).where("id > low").select("rk", "s", "m").unionByName(inside)
 
 
 def remove_earlier(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -190,7 +196,7 @@ def remove_earlier(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
     words; rows that repeat an id are one document and do not remove each other. A null id is the
     smallest id and stays null. An empty table gives an empty table.
     """
-    kind = anchors.Kind(_symbols, _raw, width, gram, tuple(x for x in STEPS if x <= width - gram))
+    kind = anchors.Kind(_symbols, _raw, 8, lambda x: np.frombuffer(x, np.uint64), width, gram, tuple(x for x in STEPS if x <= width - gram))
     rows = anchors.keyed(docs, id_col, text_col)
     lists = anchors.listed(earlier_windows(rows, kind), ["s", "m"], "spans")
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

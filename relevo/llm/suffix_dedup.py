@@ -209,6 +209,10 @@ def _raw(text: str):
     return lambda a, b: data[a:b]
 
 
+def _kind(width: int, gram: int) -> anchors.Kind:
+    return anchors.Kind(_symbols, _raw, 1, lambda x: _BYTE[np.frombuffer(x, np.uint8)], width, gram, tuple(x for x in STEPS if x <= width - gram))
+
+
 def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
     """(rk, s, m): ranges of repeated window starts of contexts that occur once."""
 
@@ -254,21 +258,19 @@ def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
 
 def repeated_windows(rows: DataFrame, kind: anchors.Kind) -> DataFrame:
     """(rk, s, m): ranges of window starts whose window starts anywhere else too."""
-    occ, found = anchors.occurrences(rows, kind), []
+    live, classes = anchors.classes_of(anchors.occurrences(rows, kind))
+    twice = classes.where("copies > 1").select("h", "ctx")
+    found = [live.join(twice, ["h", "ctx"], "left_semi").select("rk", "s", "m")]
+    parts = anchors.contexts(rows, classes.where("classes > 1 and least = 1"), kind)
     for step in (*kind.steps, None):
-        live, classes = anchors.classes_of(occ)
-        twice = classes.where("copies > 1").select("h", "ctx")
-        found.append(live.join(twice, ["h", "ctx"], "left_semi").select("rk", "s", "m"))
-        mixed = classes.where("classes > 1 and least = 1")
-        found.append(written(_shard_rows(anchors.contexts(rows, mixed.where(F.col("classes") <= anchors.MOST_CLASSES), kind), kind.width), "ranges"))
-        wide = mixed.where((F.col("classes") > anchors.MOST_CLASSES))
+        few = parts.where(F.col("classes") <= anchors.MOST_CLASSES)
+        found.append(written(_shard_rows(few, kind.width), "ranges"))
+        wide = parts.where(F.col("classes") > anchors.MOST_CLASSES)
         if step is None or wide.isEmpty():
             break
-        # classes that occur often stay in as their representative and count as often
-        often = wide.select(F.col("h"), F.col("ctx"), "copies", "rep.*")
-        lone = often.where("copies = 1").select(*anchors._OCC)
-        more = often.where("copies > 1").select(*anchors._OCC)
-        occ = anchors.refine(rows, lone.unionByName(more).unionByName(more), kind, step)
+        seen = anchors.part_classes(anchors.refine(wide, kind, step))
+        found.append(seen.where("total > 1 and copies = 1").select("rk", "s", "m"))
+        parts = seen.where("first and classes > 1 and least = 1").withColumn("copies", F.col("total"))
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
@@ -290,7 +292,7 @@ def cut_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col: s
     A character of which only some bytes are repeated goes whole. Null texts stay null.
     ``count_col`` gets the number of characters left.
     """
-    kind = anchors.Kind(_symbols, _raw, width, gram, tuple(x for x in STEPS if x <= width - gram))
+    kind = _kind(width, gram)
     lists = anchors.listed(repeated_windows(anchors.keyed(docs, id_col, text_col), kind), ["s", "m"], "spans")
     source = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"),
                          anchors.row_key(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("rk"))
@@ -321,7 +323,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, id_col
     Null texts are empty; texts shorter than ``width`` stay whole. Repeated rows are places of
     their own, so both copies go. A null id is kept as null. An empty table gives an empty table.
     """
-    kind = anchors.Kind(_symbols, _raw, width, gram, tuple(x for x in STEPS if x <= width - gram))
+    kind = _kind(width, gram)
     rows = anchors.keyed(docs, id_col, text_col)
     lists = anchors.listed(repeated_windows(rows, kind), ["s", "m"], "spans")
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
