@@ -13,9 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relevo.llm.bpe import Bpe, Memo, arrow_type, vocabulary
+from relevo.llm.bpe import INF, WORD_END, Bpe, Memo, arrow_type, every, vocabulary
 from relevo.llm.frames import map_texts
 
+#: Counts of pre-tokens that a worker remembers.
+COUNTS = 1_000_000
+
 
 class Counter:
     """The number of tokens of pre-tokens: a table of whole tokens, and merges for the rest."""
@@ -23,40 +26,39 @@ class Counter:
     def __init__(self, bpe: Bpe):
         self.bpe = bpe
         self.whole = {t for t, i in bpe.vocab.items() if i in bpe.whole}
-        self.count_of = Memo(self._count)
+        self.count_of = Memo(self._count, COUNTS)
 
     def _count(self, piece: str) -> int:
         bpe = self.bpe
         symbols = bpe.symbols(piece)
         if bpe.words:
-            symbols = symbols[:-1] + "</w>"
-        return 1 if symbols in self.whole else self.merged(piece)
+            symbols = symbols[:-1] + WORD_END
+        return 1 if symbols in self.whole else len(self.merged(piece))
 
-    def merged(self, piece: str) -> int:
-        """Apply the merges of lowest rank first, leftmost first, and count what is left."""
+    def merged(self, piece: str) -> list[int]:
+        """The tokens left when the merges of lowest rank, leftmost first, are applied."""
         bpe = self.bpe
+        rank, made, vocab = bpe.pair_rank.get, bpe.merged_id, bpe.vocab
         text = bpe.symbols(piece)
-        parts = [bpe.vocab[c] for c in text] if not bpe.words else [bpe.vocab[c] for c in text[:-2]] + [bpe.vocab[text[-2] + "</w>"]]
-        rank, tokens, vocab = bpe.pair_rank, bpe.tokens, bpe.vocab
-        while len(parts) > 1:
-            best, l, r = min((rank.get(a << 20 | b, 1 << 60), a, b) for a, b in zip(parts, parts[1:], strict=False))
-            if best == 1 << 60:
+        parts = [vocab[c] for c in text] if not bpe.words else [*(vocab[c] for c in text[:-2]), vocab[text[-2] + WORD_END]]
+        ranks = [rank(a << 20 | b, INF) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == INF:
                 break
-            joined, out, i = vocab[tokens[l] + tokens[r]], [], 0
-            while i < len(parts):
-                if parts[i] == l and i + 1 < len(parts) and parts[i + 1] == r:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return len(parts)
+            i = ranks.index(best)
+            parts[i : i + 2] = [made[best]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] << 20 | parts[i], INF)
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] << 20 | parts[i + 1], INF)
+        return parts
 
     def count(self, text: str) -> int:
         n = 0
         for part in self.bpe.segments(text):
-            n += 1 if isinstance(part, int) else sum(map(self.count_of.__getitem__, self.bpe.pieces(part)))
+            n += 1 if isinstance(part, int) else sum(every(self.count_of, self.bpe.pieces(part)))
         return n
 
 
