@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, packing, rlz_dedup, suffix_dedup, token_counts, warc
+from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, oracles, packing, rlz_dedup, suffix_dedup, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,13 +72,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
-@query("op9_embedding_neardup")
+@query("op9_embedding_neardup", oracles.EMBEDDINGS)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at cosine 0.93 within a label."""
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
-@query("op10_warc")
+@query("op10_warc", oracles.WARC)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages as WARC records, index them, and read every record back through the index."""
     index = warc.write_archives(table(spark, sf_dir, "pages"), min_bytes=0)
@@ -86,7 +86,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op3_ngram_jaccard")
+@query("op3_ngram_jaccard", oracles.NGRAM_JACCARD)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose five-word shingle sets have a Jaccard similarity of 0.75."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=75)
@@ -99,7 +99,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op8_rlz_substring_dedup")
+@query("op8_rlz_substring_dedup", oracles.EARLIER_WORDS)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove every word covered by 50 words that also stand in a document of smaller id."""
     rows = rlz_dedup.remove_earlier(table(spark, sf_dir, "documents"), width=50)
