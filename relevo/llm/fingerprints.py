@@ -126,7 +126,7 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).alias("_key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     parts = 4 * partitions(spark)
     keys = rows.select(F.col("_key").cast("double").alias("_at"))
-    bounds = sorted(set(keys.approxQuantile("_at", [i / parts for i in range(1, parts)], 1 / (4 * parts))))
+    bounds = sorted(set(keys.approxQuantile("_at", [i / parts for i in range(1, parts)], 1 / (4 * parts)))) or [0.0]
     split = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol="_at", outputCol="_bucket", handleInvalid="keep")
 
     def with_part(df: DataFrame) -> DataFrame:
