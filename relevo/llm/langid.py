@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm.bpe import MEMO, arrow_type
-from relevo.llm.frames import map_texts, text_rows
+from relevo.llm.frames import map_texts, partitions, text_rows, written
 
 UNKNOWN = "und"
 #: About so many labelled rows per language are used to fit the probabilities (all, if fewer).
-TRAIN_ROWS = 1000
-ROUNDS = 3
+TRAIN_ROWS = 300
+ROUNDS = 2
 #: Added to the expected uses of every piece.
 ADDED = 0.05
 #: Letter runs are cut at this length, so that no product of probabilities underflows.
@@ -180,32 +180,31 @@ def fit(train: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int =
                      pa.array(found.values(), pa.int64())], ["lang", "word", "n"])
 
     counts = sample.select("_lang", "_text").mapInArrow(count, "lang string, word string, n long") \
-        .groupBy("lang", "word").agg(F.sum("n").alias("n")).persist()
-    try:
-        p = np.full((len(lat.pieces) + 1, len(languages)), 1.0 / (len(lat.pieces) + 1))
-        column = {k: i for i, k in enumerate(languages)}
-        for _ in range(rounds):
-            shared = spark.sparkContext.broadcast(p)
-
-            def uses(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-                lat, p = lattice(path), shared.value
-                for batch in batches:
-                    total: Counter = Counter()
-                    for k, word, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                        c = column[k]
-                        for piece, x in expected_uses(lat, word, p[:, c : c + 1]):
-                            total[c, piece] += n * x
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([c for c, _ in total], pa.int32()), pa.array([i for _, i in total], pa.int32()),
-                         pa.array(total.values(), pa.float64())], ["c", "piece", "n"])
-
-            found = counts.mapInArrow(uses, "c int, piece int, n double").groupBy("c", "piece").agg(F.sum("n").alias("n")).toPandas()
-            p = np.full_like(p, ADDED)
-            p[found["piece"].to_numpy(), found["c"].to_numpy()] += found["n"].to_numpy()
-            p /= p.sum(0)
-            shared.unpersist()
-    finally:
-        counts.unpersist()
+        .groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    # dealt evenly: a few words would otherwise end in very few tasks, and each takes long
+    counts = written(counts, "words").repartition(partitions(spark))
+    p = np.full((len(lat.pieces) + 1, len(languages)), 1.0 / (len(lat.pieces) + 1))
+    column = {k: i for i, k in enumerate(languages)}
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(p)
+
+        def uses(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            lat, p = lattice(path), shared.value
+            for batch in batches:
+                total: Counter = Counter()
+                for k, word, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                    c = column[k]
+                    for piece, x in expected_uses(lat, word, p[:, c : c + 1]):
+                        total[c, piece] += n * x
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([c for c, _ in total], pa.int32()), pa.array([i for _, i in total], pa.int32()),
+                     pa.array(total.values(), pa.float64())], ["c", "piece", "n"])
+
+        found = counts.mapInArrow(uses, "c int, piece int, n double").groupBy("c", "piece").agg(F.sum("n").alias("n")).toPandas()
+        p = np.full_like(p, ADDED)
+        p[found["piece"].to_numpy(), found["c"].to_numpy()] += found["n"].to_numpy()
+        p /= p.sum(0)
+        shared.unpersist()
     prior = np.log(np.array([sizes[k] for k in languages], float) / sum(sizes.values()))
     return Model(path, languages, prior, p)
 
