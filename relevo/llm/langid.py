@@ -120,34 +120,62 @@ class Scorer:
         self.rows = np.empty((MEMO, len(model.languages)))
         self.at: dict[str, int] = {}
 
-    def _row(self, word: str) -> int:
-        i = self.at.get(word)
-        if i is None:
-            i = self.at[word] = len(self.at)
-            alpha = forward(self.lat.arcs(word), len(word), self.model.p)
-            self.rows[i] = np.log(np.maximum(alpha[-1], 1e-300))
-        return i
-
-    def log_probabilities(self, text: str) -> np.ndarray | None:
-        """One number per language, priors included; None if the text has no letter."""
-        found = words(text)
-        if not found:
-            return None
-        total = self.model.prior.copy()
-        for at in range(0, len(found), MEMO // 4):
-            part = found[at : at + MEMO // 4]
-            if len(self.at) + len(part) > MEMO:
-                self.at.clear()
-            total += self.rows[list(map(self._row, part))].sum(0)
-        return total
-
-    def predict(self, text: str) -> tuple[str, float]:
-        """(language, posterior probability); ('und', 0.0) without a letter."""
-        score = self.log_probabilities(text)
-        if score is None or not len(score):
-            return UNKNOWN, 0.0
-        best = int(score.argmax())
-        return self.model.languages[best], float(1 / np.exp(score - score[best]).sum())
+    def _learn(self, new: list[str]) -> None:
+        """Log probabilities of words, all of them forward place by place."""
+        p, lat = self.model.p, self.lat
+        if len(self.at) + len(new) > len(self.rows):
+            raise ValueError("more words than rows")
+        flat: list[int] = []
+        for i, word in enumerate(new):
+            for start, end, piece in lat.arcs(word):
+                flat += (i, start, end, piece)
+        arcs = np.array(flat, np.int64).reshape(-1, 4)
+        size = np.array([len(w) for w in new])
+        alpha = np.zeros((len(new), int(size.max()) + 1, p.shape[1]))
+        alpha[:, 0] = 1
+        arcs = arcs[np.argsort(arcs[:, 2], kind="stable")]
+        cuts = np.searchsorted(arcs[:, 2], np.arange(1, alpha.shape[1] + 1))
+        for end in range(1, alpha.shape[1]):
+            w, start, _, piece = arcs[cuts[end - 1] : cuts[end]].T
+            np.add.at(alpha[:, end], w, alpha[w, start] * p[piece])
+        first = len(self.at)
+        self.rows[first : first + len(new)] = np.log(np.maximum(alpha[np.arange(len(new)), size], 1e-300))
+        self.at.update(zip(new, range(first, first + len(new)), strict=True))
+
+    def predict_all(self, texts: list[str]) -> list[tuple[str, float]]:
+        """(language, posterior probability) of each text; ('und', 0.0) without a letter."""
+        out: list[tuple[str, float]] = []
+        for at in range(0, len(texts), 64):
+            found = [words(t) for t in texts[at : at + 64]]
+            totals = [self.model.prior.copy() for _ in found]
+            if not self.model.languages:
+                out += [(UNKNOWN, 0.0)] * len(found)
+                continue
+            for i, ws in enumerate(found):
+                if len(ws) <= MEMO // 64:
+                    continue
+                for s in range(0, len(ws), MEMO // 64):  # a very long text, part by part
+                    totals[i] += self._sums([ws[s : s + MEMO // 64]])[0]
+            short = [i for i, ws in enumerate(found) if 0 < len(ws) <= MEMO // 64]
+            for i, x in zip(short, self._sums([found[i] for i in short]), strict=True):
+                totals[i] += x
+            for ws, score in zip(found, totals, strict=True):
+                best = int(score.argmax())
+                out.append((self.model.languages[best], float(1 / np.exp(score - score[best]).sum())) if ws else (UNKNOWN, 0.0))
+        return out
+
+    def _sums(self, lists: list[list[str]]) -> list[np.ndarray]:
+        """The summed log probabilities of each list; together at most ``MEMO`` words."""
+        if not lists:
+            return []
+        distinct = set().union(*lists)
+        new = distinct.difference(self.at)
+        if len(self.at) + len(new) > MEMO:
+            self.at.clear()
+            new = distinct
+        if new:
+            self._learn(sorted(new))
+        return [self.rows[list(map(self.at.__getitem__, ws))].sum(0) for ws in lists]
 
 
 def fit(train: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, id_col: str = "doc_id",
@@ -218,7 +246,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(keys: list, texts: list) -> pa.RecordBatch:
-        found = [scorer(shared).predict(t) for t in texts]
+        found = scorer(shared).predict_all(texts)
         return pa.RecordBatch.from_arrays(
             [pa.array(keys, key_type), pa.array([k for k, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], names)
 
@@ -250,7 +278,7 @@ def keep_known(docs: DataFrame, model: Model, least: float = 0.5, text_col: str
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [scorer(shared).predict(t.as_py() or "") for t in batch.column(place)]
+            found = scorer(shared).predict_all([t or "" for t in batch.column(place).to_pylist()])
             yield batch.filter(pa.array([k != UNKNOWN and x >= least for k, x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -44,6 +44,8 @@ def test_marginal_probability_sums_over_all_segmentations():
         return out
 
     assert np.allclose(langid.forward(lat.arcs(word), len(word), p)[-1], total(word))
+    scorer = langid.Scorer(langid.Model(PIECES, ["x", "y"], np.zeros(2), p))
+    assert np.allclose(scorer._sums([[word, word, "de"]])[0], 2 * np.log(total(word)) + np.log(total("de")))
 
 
 def test_no_letters_and_no_training_rows(messy, none):
