@@ -1,19 +1,25 @@
 """Document fingerprints by consistent weighted sampling.
 
 A text is a weighted set: its pairs of adjacent words (a lone word stands for itself), weighted
-by how often they occur, hashed into a fixed number of terms. For each term and sample there are a
-fixed ``r`` and ``c`` (gamma distributed, shape 2) and ``b`` (uniform). A term of weight ``w`` is
-quantised to ``t = floor(ln w / r + b)`` and gets the value ``ln c - r * (t + 1 - b)``. The sample
-is the term (and its ``t``) of the smallest value. Two texts agree in a sample with a probability
-equal to their generalised Jaccard similarity, the sum of the smaller weights over the sum of the
-larger ones. The fingerprint is 16 bits of each sample as hex; the likeness of two fingerprints is
-the share of samples that agree.
+by how often they occur. A term is the 64-bit hash of a pair. For each term and sample there are a
+fixed ``r`` and ``c`` (gamma distributed, shape 2) and ``b`` (uniform), derived from hashes of the
+term. A term of weight ``w`` is quantised to ``t = floor(ln w / r + b)`` and gets the value
+``ln c - r * (t + 1 - b)``. The sample is the term (and its ``t``) of the smallest value. Two texts
+agree in a sample with a probability equal to their generalised Jaccard similarity, the sum of the
+smaller weights over the sum of the larger ones, at any length. The fingerprint is 16 bits of each
+sample as hex; the likeness of two fingerprints is the share of samples that agree.
+
+``r``, ``c`` and ``b`` come from three independent exponential numbers ``x``, ``y``, ``z`` of the term
+and sample: ``c = x + y``, ``r = z + ln(c / x)``, ``b = z / r``. (A gamma number of shape 2 times an
+independent uniform one is exponential, and independent of the rest; so the three have the
+distributions above and are independent.) At weight 1, ``t`` is 0 and the value is ``ln x``, so that
+among the terms of weight 1 the smallest hash behind ``x`` decides, without a logarithm.
 """
 
 from __future__ import annotations
 
 import functools
-import zlib
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,8 +32,12 @@ from relevo.llm.bpe import Memo, arrow_type
 from relevo.llm.frames import CHUNK_BYTES, map_texts, partitions
 
 SAMPLES = 64
-TERM_BITS = 17
+TERM_BITS = 64
 SEED = 20240229
+#: Numbers (terms x samples) that are handled at once.
+BLOCK = 1 << 16
+#: Terms of a weight above 1 whose numbers a worker remembers.
+HEAVY = 1 << 15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,27 +48,20 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Sampler:
-    """The fixed random numbers of every term and sample, and the fingerprint of a text."""
+    """The numbers of every term and sample, by hashing, and the fingerprint of a text."""
 
     def __init__(self, samples: int = SAMPLES, term_bits: int = TERM_BITS, seed: int = SEED):
-        self.samples, self.shift = samples, np.uint64(64 - term_bits)
-        shape = (1 << term_bits, samples)
-        self.r, self.ln_c, self.b = (np.empty(shape, np.float32) for _ in range(3))
-        step = 1 << 12
-        for at in range(0, shape[0], step):
-            cell = np.arange(at * samples, (at + step) * samples, dtype=np.uint64).reshape(-1, samples) * np.uint64(5) + np.uint64(seed << 32)
-            u = [((mix((cell + np.uint64(j)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)).astype(float) + 0.5) / (1 << 53) for j in range(5)]
-            self.r[at : at + step] = -np.log(u[0] * u[1])
-            self.ln_c[at : at + step] = np.log(-np.log(u[2] * u[3]))
-            self.b[at : at + step] = u[4]
-        self.once = self.ln_c - self.r * (1 - self.b)  # the value at weight 1, where t is 0
+        self.samples, self.shift, self.step = samples, np.uint64(64 - term_bits), max(1, BLOCK // samples)
+        keys = np.arange(1, 3 * samples + 1, dtype=np.uint64) + np.uint64(seed << 32)
+        self.keys = mix(keys * np.uint64(0x9E3779B97F4A7C15)).reshape(3, samples, 1)
         self.word = Memo(self._word)
+        self.at: dict[int, int] = {}
+        self.numbers = np.empty((HEAVY, 3, samples))
         self.empty = "0" * (4 * samples)
 
     @staticmethod
     def _word(word: str) -> int:
-        raw = word.encode("utf-8", "surrogatepass")
-        return zlib.crc32(raw) << 32 | zlib.crc32(raw, 0x5BD1E995)
+        return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
     def terms(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """The terms of a text, ascending, and their weights."""
@@ -68,31 +71,86 @@ class Sampler:
             h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + (h[1:] ^ np.uint64(0xC2B2AE3D27D4EB4F))
         return np.unique(mix(h) >> self.shift, return_counts=True)
 
+    def _hashes(self, terms: np.ndarray, which: int) -> np.ndarray:
+        """The hash (sample, term) behind one of ``x``, ``y``, ``z``: mix of term and key, in place."""
+        h = terms ^ self.keys[which]
+        shifted = h >> np.uint64(30)
+        h ^= shifted
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        np.right_shift(h, np.uint64(27), out=shifted)
+        h ^= shifted
+        h *= np.uint64(0x94D049BB133111EB)
+        np.right_shift(h, np.uint64(31), out=shifted)
+        h ^= shifted
+        return h
+
+    def _light(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per sample the term of weight 1 with the smallest value, and that value."""
+        best, least = np.zeros(self.samples, np.uint64), np.full(self.samples, np.iinfo(np.uint64).max)
+        for at in range(0, len(terms), self.step):
+            part = terms[at : at + self.step]
+            h = self._hashes(part, 0)
+            place = h.argmin(1)
+            low = h[np.arange(self.samples), place]
+            less = low <= least if not at else low < least
+            best[less], least[less] = part[place[less]], low[less]
+        return best, np.log(exponential(least))
+
+    def _heavy(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per sample the term of smallest value, its ``t`` and the value; any weights."""
+        best, step, least = np.zeros(self.samples, np.uint64), np.zeros(self.samples, np.int64), np.full(self.samples, np.inf)
+        column = np.arange(self.samples)
+        for at in range(0, len(terms), self.step):
+            part = terms[at : at + self.step]
+            ln_c, r, b = self.numbers[self._known(part)].transpose(1, 0, 2)
+            t = np.floor(np.log(weights[at : at + self.step])[:, None] / r + b)
+            value = ln_c - r * (t + 1 - b)
+            place = value.argmin(0)
+            low = value[place, column]
+            less = low < least
+            best[less], least[less], step[less] = part[place[less]], low[less], t[place[less], column[less]].astype(np.int64)
+        return best, step, least
+
+    def _known(self, terms: np.ndarray) -> list[int]:
+        """The rows of ``numbers`` (ln c, r, b) that hold at most ``step`` terms."""
+        keys = terms.tolist()
+        new = [k for k in keys if k not in self.at]
+        if len(self.at) + len(new) > HEAVY:
+            self.at.clear()
+            new = keys
+        if new:
+            part = np.array(new, np.uint64)
+            x, y, z = (exponential(self._hashes(part, i)).T for i in range(3))
+            c = x + y
+            r = z + np.log(c / x)
+            first = len(self.at)
+            rows = self.numbers[first : first + len(new)]
+            rows[:, 0], rows[:, 1], rows[:, 2] = np.log(c), r, z / r
+            self.at.update(zip(new, range(first, first + len(new)), strict=True))
+        return [self.at[k] for k in keys]
+
     def fingerprint(self, text: str) -> str:
         """The fingerprint; a text without words has all zeros."""
         terms, weights = self.terms(text)
         if not len(terms):
             return self.empty
-        terms = terms.astype(np.int64)
-        values = self.once[terms]
-        heavy = np.flatnonzero(weights > 1)
-        t = np.zeros(0)
-        if len(heavy):
-            rows = terms[heavy]
-            t = np.floor(np.log(weights[heavy])[:, None] / self.r[rows] + self.b[rows])
-            values[heavy] = self.ln_c[rows] - self.r[rows] * (t + 1 - self.b[rows])
-        best = values.argmin(0)
-        step = np.zeros(self.samples, np.int64)
-        if len(heavy):
-            place = np.searchsorted(heavy, best)
-            hit = (place < len(heavy)) & (heavy[np.minimum(place, len(heavy) - 1)] == best)
-            at = np.flatnonzero(hit)
-            step[at] = t[place[at], at].astype(np.int64)
-        code = mix((terms[best] << 20 | step + 1).astype(np.uint64)) & np.uint64(0xFFFF)
+        heavy = weights > 1
+        best, step, least = self._heavy(terms[heavy], weights[heavy])
+        light = terms[~heavy]
+        if len(light):
+            other, value = self._light(light)
+            less = value < least
+            best[less], step[less] = other[less], 0
+        code = mix(best + (step + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(0xFFFF)
         code[code == 0] = 1  # all zeros is kept for texts without words
         return code.astype(">u2").tobytes().hex()
 
 
+def exponential(h: np.ndarray) -> np.ndarray:
+    """Exponential numbers, ascending with the hashes."""
+    return -np.log1p(-((h >> np.uint64(11)).astype(float) + 0.5) / (1 << 53))
+
+
 @functools.lru_cache(2)
 def sampler(samples: int = SAMPLES) -> Sampler:
     return Sampler(samples)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -69,6 +70,35 @@ def test_fingerprints_estimate_generalised_jaccard():
     assert s.fingerprint(a) == s.fingerprint(a + " ") and s.fingerprint("") == s.fingerprint(" \n") == "0" * 2048
 
 
+def test_long_texts_estimate_jaccard_of_their_words():
+    """At 20,000 words and more, against the pairs of words themselves."""
+    rng = np.random.default_rng(3)
+    s = fingerprints.sampler()
+
+    def prose(n, words):
+        return [f"w{i}" for i in rng.integers(0, words, n)]
+
+    def pairs(words):
+        return Counter(zip(words, words[1:], strict=False))
+
+    common = prose(60_000, 100_000)
+    cases = [(prose(100_000, 100_000), prose(100_000, 100_000)), (prose(20_000, 100_000), prose(20_000, 100_000)),
+             (common + prose(40_000, 100_000), common + prose(40_000, 100_000)), (prose(30_000, 100), prose(30_000, 100))]
+    for a, b in cases:
+        x, y = pairs(a), pairs(b)
+        true = sum((x & y).values()) / sum((x | y).values())
+        found = fingerprints.likeness(s.fingerprint(" ".join(a)), s.fingerprint(" ".join(b)))
+        assert abs(found - true) < 0.02 + 3 * (true * (1 - true) / s.samples) ** 0.5, (found, true)
+
+
+def test_numbers_of_terms_are_gamma_and_uniform():
+    s = fingerprints.Sampler(samples=4)
+    ln_c, r, b = s.numbers[s._known(fingerprints.mix(np.arange(1, 10_001, dtype=np.uint64)))].transpose(1, 0, 2)
+    for x, mean, var in ((np.exp(ln_c), 2, 2), (r, 2, 2), (b, 1 / 2, 1 / 12)):
+        assert abs(x.mean() - mean) < 0.05 and abs(x.var() - var) < 0.1
+    assert np.abs(np.corrcoef([np.exp(ln_c).ravel(), r.ravel(), b.ravel()]) - np.eye(3)).max() < 0.03
+
+
 def test_edited_fingerprints(messy, none):
     got = fingerprints.edited_fingerprints(messy).collect()
     rows = sorted([(-(1 << 62) if k is None else k, t or "") for k, t, *_ in messy_rows()])
