@@ -27,8 +27,10 @@ from relevo.llm.frames import map_texts, partitions, text_rows, written
 
 UNKNOWN = "und"
 #: About so many labelled rows per language are used to fit the probabilities (all, if fewer).
-TRAIN_ROWS = 300
-ROUNDS = 2
+TRAIN_ROWS = 1000
+ROUNDS = 3
+#: Words whose expected uses are summed together.
+TOGETHER = 2048
 #: Added to the expected uses of every piece.
 ADDED = 0.05
 #: Letter runs are cut at this length, so that no product of probabilities underflows.
@@ -78,6 +80,16 @@ def lattice(path: str) -> Lattice:
     return Lattice(path)
 
 
+def all_arcs(lat: Lattice, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The arcs (word, start, end, piece) of words, by end, and the words' lengths."""
+    flat: list[int] = []
+    for i, word in enumerate(found):
+        for start, end, piece in lat.arcs(word):
+            flat += (i, start, end, piece)
+    arcs = np.array(flat, np.int64).reshape(-1, 4)
+    return arcs[np.argsort(arcs[:, 2], kind="stable")], np.array([len(w) for w in found])
+
+
 def forward(arcs: list, n: int, p: np.ndarray) -> list[np.ndarray]:
     """The probability of each prefix over all segmentations; one entry per language."""
     alpha = [np.zeros(p.shape[1]) for _ in range(n + 1)]
@@ -87,19 +99,28 @@ def forward(arcs: list, n: int, p: np.ndarray) -> list[np.ndarray]:
     return alpha
 
 
-def expected_uses(lat: Lattice, word: str, p: np.ndarray) -> Iterator[tuple[int, float]]:
-    """(piece, expected uses) over the segmentations of a word; ``p`` has one language's column."""
-    arcs, n = lat.arcs(word), len(word)
-    alpha, q = [1.0] + [0.0] * n, p[:, 0]
-    for start, end, piece in arcs:
-        alpha[end] += alpha[start] * q[piece]
-    beta = [0.0] * n + [1.0]
-    for start, end, piece in sorted(arcs, key=lambda a: -a[1]):
-        beta[start] += q[piece] * beta[end]
-    total = alpha[n]
-    if total > 0:
-        for start, end, piece in arcs:
-            yield piece, alpha[start] * q[piece] * beta[end] / total
+def expected_uses(lat: Lattice, found: list[str], column: np.ndarray, n: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Expected uses of every piece, by language, over all segmentations of words.
+
+    Word i occurs ``n[i]`` times in the language of column ``column[i]``. All words go forward and
+    backward together, place by place.
+    """
+    arcs, size = all_arcs(lat, found)
+    w, start, end, piece = arcs.T
+    q = p[piece, column[w]]
+    alpha, beta = (np.zeros((len(found), int(size.max()) + 1)) for _ in range(2))
+    alpha[:, 0] = 1
+    beta[np.arange(len(found)), size] = 1
+    cuts = np.searchsorted(end, np.arange(1, alpha.shape[1] + 1))
+    parts = [slice(x, y) for x, y in zip(cuts, cuts[1:], strict=False)]
+    for at, part in enumerate(parts, 1):
+        np.add.at(alpha[:, at], w[part], alpha[w[part], start[part]] * q[part])
+    for at, part in reversed(list(enumerate(parts, 1))):
+        np.add.at(beta, (w[part], start[part]), q[part] * beta[w[part], at])
+    total = alpha[np.arange(len(found)), size]
+    share = n / np.where(total > 0, total, np.inf)
+    uses = np.bincount(piece * p.shape[1] + column[w], alpha[w, start] * q * beta[w, end] * share[w], p.size)
+    return uses.reshape(p.shape)
 
 
 @dataclass
@@ -125,15 +146,9 @@ class Scorer:
         p, lat = self.model.p, self.lat
         if len(self.at) + len(new) > len(self.rows):
             raise ValueError("more words than rows")
-        flat: list[int] = []
-        for i, word in enumerate(new):
-            for start, end, piece in lat.arcs(word):
-                flat += (i, start, end, piece)
-        arcs = np.array(flat, np.int64).reshape(-1, 4)
-        size = np.array([len(w) for w in new])
+        arcs, size = all_arcs(lat, new)
         alpha = np.zeros((len(new), int(size.max()) + 1, p.shape[1]))
         alpha[:, 0] = 1
-        arcs = arcs[np.argsort(arcs[:, 2], kind="stable")]
         cuts = np.searchsorted(arcs[:, 2], np.arange(1, alpha.shape[1] + 1))
         for end in range(1, alpha.shape[1]):
             w, start, _, piece = arcs[cuts[end - 1] : cuts[end]].T
@@ -218,15 +233,15 @@ def fit(train: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int =
 
         def uses(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             lat, p = lattice(path), shared.value
+            total = np.zeros(p.shape)
             for batch in batches:
-                total: Counter = Counter()
-                for k, word, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                    c = column[k]
-                    for piece, x in expected_uses(lat, word, p[:, c : c + 1]):
-                        total[c, piece] += n * x
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c for c, _ in total], pa.int32()), pa.array([i for _, i in total], pa.int32()),
-                     pa.array(total.values(), pa.float64())], ["c", "piece", "n"])
+                for at in range(0, batch.num_rows, TOGETHER):
+                    langs, found, n = (batch.column(i).slice(at, TOGETHER) for i in range(3))
+                    langs = np.array([column[k] for k in langs.to_pylist()])
+                    total += expected_uses(lat, found.to_pylist(), langs, n.to_numpy(), p)
+            piece, c = np.nonzero(total)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int32()), pa.array(piece, pa.int32()), pa.array(total[piece, c], pa.float64())], ["c", "piece", "n"])
 
         found = counts.mapInArrow(uses, "c int, piece int, n double").groupBy("c", "piece").agg(F.sum("n").alias("n")).toPandas()
         p = np.full_like(p, ADDED)

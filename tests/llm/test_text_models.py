@@ -49,6 +49,38 @@ def test_marginal_probability_sums_over_all_segmentations():
     assert np.allclose(scorer._sums([[word, word, "de"]])[0], 2 * np.log(total(word)) + np.log(total("de")))
 
 
+def test_expected_uses_sum_over_all_segmentations():
+    lat = langid.lattice(PIECES)
+    p = np.random.default_rng(1).random((len(lat.pieces) + 1, 2)) / 50
+    known = {w: i for i, w in enumerate(lat.pieces)}
+    found, column, n = [langid.START + "bade", "den", langid.START + "日b", "x"], np.array([0, 1, 1, 0]), np.array([3, 1, 2, 5])
+
+    def ways(rest):
+        if not rest:
+            yield []
+        for k in range(1, len(rest) + 1):
+            piece = known.get(rest[:k], lat.other if k == 1 else None)
+            if piece is not None:
+                yield from ([piece, *more] for more in ways(rest[k:]))
+
+    want = np.zeros(p.shape)
+    for word, c, times in zip(found, column, n, strict=True):
+        weighed = [(way, np.prod(p[way, c])) for way in ways(word)]
+        for way, x in weighed:
+            for piece in way:
+                want[piece, c] += times * x / sum(y for _, y in weighed)
+    assert np.allclose(langid.expected_uses(lat, found, column, n, p), want)
+
+
+def test_fit_is_not_cut_short(spark):
+    """The production fit: 1,000 rows a language, three rounds; each language held out."""
+    assert (langid.TRAIN_ROWS, langid.ROUNDS) == (1000, 3)
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    found = docs.where(langid.held_out()).join(langid.predict(docs, langid.fit(docs.where(~langid.held_out()), PIECES)), "doc_id")
+    for r in found.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")).alias("right")).collect():
+        assert r["right"] > 0.95, r
+
+
 def test_no_letters_and_no_training_rows(messy, none):
     model = langid.fit(messy.where("doc_id < 20"), PIECES, rounds=1)
     got = {(r["doc_id"]): r for r in langid.predict(messy, model).collect()}
