@@ -191,6 +191,21 @@ def test_pipeline_stages_on_messy_rows(spark, messy, none):
     assert sorted(single, key=str) == sorted({k for k, *_ in messy_rows() if k not in (3, 6, 30)} - {None}, key=str) + [None, None]
 
 
+def test_pipeline_keeps_clean_rows_that_share_an_id(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    a, b, c, d = map(text, "abcd")
+    near = b + " more"
+    rows = [(7, a, "y"), (7, b, "x"), (7, a, "x"), (9, near, "x"), (9, c, "x"), (3, near, "x"), (3, d, "x"), (7, None, "x"), (7, "", "x"), (None, a, "x")]
+    rows += [(5, text(f"e{i}x"), "x") for i in range(10)]
+    want = [r for r in rows if r not in ((7, a, "y"), (7, b, "x"), (9, near, "x"))]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts)
+        got = [tuple(r) for r in corpus_pipeline.ngram_jaccard(spark, df, SF_SMALL).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_pipeline_runs_on_the_documents(spark):
     rows = corpus_pipeline.run(spark, SF_SMALL)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
