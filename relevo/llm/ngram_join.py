@@ -321,8 +321,10 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = SHINGLE,
     live = rows.where("id is not null and n > 0")
     classes = live.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     folded = written(classes.where("copies > 1").select("k1", "k2", "n", "rep"), "classes")
-    copies = written(live.select("id", "k1", "k2", "n").join(folded, ["k1", "k2", "n"]).where("id != rep").select("id", "rep"), "copies")
-    reps = live.join(small(copies.select("id").distinct()), "id", "left_anti")
+    copies = written(live.select("id", "k1", "k2", "n").join(folded, ["k1", "k2", "n"]).where("id != rep"), "copies")
+    # by set, not by id alone: another text of the same id still has to meet its own
+    folds = written(copies.select("id", "k1", "k2", "n").distinct(), "folds")
+    reps = live.join(small(folds), ["id", "k1", "k2", "n"], "left_anti")
 
     slots = reps.select("id", F.posexplode("mins").alias("m", "low"))
     pivots = written(slots.groupBy("m", "low").agg(F.min("id").alias("g"), F.max("id").alias("top")).where("g != top").select("m", "low", "g"), "pivots")

@@ -56,6 +56,17 @@ def test_jaccard_components(messy, none):
     assert ngram_join.jaccard_components(none).count() == 0
 
 
+def test_jaccard_ids_with_several_texts(spark):
+    """An id that is a copy by one text still links by its others."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (2, a), (2, b), (3, b + " more"), (4, c), (5, c), (5, b + " other end"), (6, c + " x"), (7, "quite another text of seven words")]
+    got = {tuple(r) for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = [(k, _shingles(t)) for k, t in rows]
+    links = [(x, y) for i, (x, u) in enumerate(sets) for y, v in sets[:i] if 100 * len(u & v) >= 75 * len(u | v)]
+    root = _roots({k for k, _ in rows}, links)
+    assert got == {(k, len(u), root[k]) for k, u in sets} and {root[k] for k in range(1, 7)} == {1}
+
+
 def test_jaccard_families_that_link_across_groups(spark, monkeypatch):
     """A chain of slowly changing texts: links run between families, with small groups."""
     monkeypatch.setattr(ngram_join, "GROUP_ROWS", 2)
