@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relevo.llm import bpe, embeddings, fingerprints, frames, langid, ngram_join, oracles, packing, rlz_dedup, suffix_dedup, token_counts, warc
+from relevo.llm import (
+    bpe, embeddings, fingerprints, frames, langid, mixing, ngram_join, oracles, packing, prefix_trie, rlz_dedup, suffix_dedup, token_counts, variants, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,3 +105,22 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove every word covered by 50 words that also stand in a document of smaller id."""
     rows = rlz_dedup.remove_earlier(table(spark, sf_dir, "documents"), width=50)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_spelling_variants", oracles.SPELLING)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, slips of one in 199 runs included, under their frequent near words."""
+    return variants.spelling_variants(variants.word_counts(table(spark, sf_dir, "documents"), drop_every=199))
+
+
+@query("op12_prefix_trie", oracles.PREFIX_TRIE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations, with members, children and subtree totals."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_mixing", oracles.MIXING)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A mix of all documents by source weights, 150 % of all words, at most twice a source."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
