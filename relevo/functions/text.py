@@ -83,19 +83,27 @@ def substring_hits(terms: str | Column, blob: str | Column) -> Column:
 def whole_word_hits(terms: str | Column, word_list: str | Column) -> Column:
     """Sum over query terms of the number of exactly equal words (``words.count(term)``)."""
     wl = _c(word_list)
-    # Occurrences of t = size(words) - size(words without t): a native array scan per term
-    # instead of a lambda call per word.
-    return F.aggregate(_c(terms), F.lit(0),
-                       lambda acc, t: acc + (F.size(wl) - F.size(F.array_remove(wl, t))))
+    # Only the hits are put in a new array, the words are compared in place.
+    return F.aggregate(_c(terms), F.lit(0), lambda acc, t: acc + F.size(F.filter(wl, lambda w: w == t)))
+
+
+def counted_hits(terms: str | Column, counts: str | Column) -> Column:
+    """``whole_word_hits`` from a text's (word -> count) map: one lookup per term; a NULL map has none."""
+    held = F.coalesce(_c(counts), F.create_map().cast("map<string,int>"))
+    return F.aggregate(_c(terms), F.lit(0), lambda acc, t: acc + F.coalesce(F.try_element_at(held, t), F.lit(0)))
+
+
+def weighted_hits(terms: str | Column, title_hits: Column, desc_hits: Column,
+                  title_weight: float = TITLE_WEIGHT, desc_weight: float = DESCRIPTION_WEIGHT) -> Column:
+    """``title_weight * title_hits/n + desc_weight * desc_hits/n`` for n terms, NULL when n = 0."""
+    n = F.nullif(F.size(_c(terms)), F.lit(0)).cast("double")
+    return title_hits.cast("double") / n * F.lit(title_weight) + desc_hits.cast("double") / n * F.lit(desc_weight)
 
 
 def weighted_tf(terms: str | Column, title_words: str | Column, desc_words: str | Column,
                 title_weight: float = TITLE_WEIGHT, desc_weight: float = DESCRIPTION_WEIGHT) -> Column:
     """``title_weight * hits(title)/n + desc_weight * hits(description)/n``, NULL when n = 0."""
-    n = F.nullif(F.size(_c(terms)), F.lit(0)).cast("double")
-    s_title = whole_word_hits(terms, title_words).cast("double") / n
-    s_desc = whole_word_hits(terms, desc_words).cast("double") / n
-    return s_title * F.lit(title_weight) + s_desc * F.lit(desc_weight)
+    return weighted_hits(terms, whole_word_hits(terms, title_words), whole_word_hits(terms, desc_words), title_weight, desc_weight)
 
 
 def ml_tokens(col: str | Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from relevo import schemas as S
 from relevo.functions import text as T
 from relevo.operators import stemming
-from relevo.session import shared_table
+from relevo.session import broadcast_if_small, shared_table
 
 _TEXT_COLS = (S.TITLE, S.TERM, S.DESCRIPTION)
 
@@ -83,22 +83,16 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
                .union(staged.select(F.col("_ic").alias("_phrase"))).distinct())
     phrase_tokens = stemming.explode_words(phrases, ["_phrase"], F.col("_phrase"))
 
-    desc_c = T.clean(F.col(S.DESCRIPTION), keep_zero)
-    # Hash-partitioned by row before exploding: the raw text is a smaller shuffle than the
-    # token rows, and the regrouping below then needs no exchange. (The result is
-    # written as a table before it meets the pairs, so this does not stop skew splitting there.)
-    # Rows get a number, so that two descriptions of one product stay two; rows without a key can
-    # join nothing and would only meet in one group.
-    numbered = shared_table(
+    # Cleaned once and written: the vocabulary and the stems both read it. Rows get a number, so that two
+    # descriptions of one product stay two; rows without a key can join nothing and would only
+    # meet in one group.
+    cleaned = shared_table(
         descriptions.where(F.col(S.DESCRIPTION).isNotNull() & F.col(S.PRODUCT).isNotNull())
-        .select(S.PRODUCT, S.DESCRIPTION, F.monotonically_increasing_id().alias("_row")), "descriptions")
-    desc_tokens = stemming.explode_words(numbered.repartition("_row"), [S.PRODUCT, "_row"], desc_c)
+        .select(S.PRODUCT, T.clean(F.col(S.DESCRIPTION), keep_zero).alias("_text"), F.monotonically_increasing_id().alias("_row")), "descriptions")
+    desc_tokens = stemming.explode_words(cleaned, [S.PRODUCT, "_row"], "_text")
     stems = stemming.prepared_stems(phrase_tokens, desc_tokens, dictionary=stem_dictionary)
 
-    ordered = stemming.ordered_stems(stemming.POS, stemming.STEM)
-    phrase_stems = shared_table(
-        phrase_tokens.join(stems, stemming.TOK, "left").groupBy("_phrase")
-        .agg(ordered.alias("_stems")), "stemmed-phrases")
+    phrase_stems = shared_table(stemming.regrouped(phrases, ["_phrase"], "_phrase", stems, "_stems"), "stemmed-phrases")
     term_side = phrase_stems.select(F.col("_phrase").alias("_tc"), F.col("_stems").alias("_terms"))
     title_side = phrase_stems.select(F.col("_phrase").alias("_ic"),
                                      F.array_join("_stems", "").alias("_title_blob"))
@@ -106,8 +100,8 @@ def _stemmed_sides(pairs: DataFrame, descriptions: DataFrame, keep: list[str], k
             .select(*keep, F.coalesce("_terms", F.array().cast("array<string>")).alias("_terms"),
                     F.coalesce("_title_blob", F.lit("")).alias("_title_blob")))
 
-    desc = (desc_tokens.join(stems, stemming.TOK, "left").groupBy("_row")
-            .agg(F.first(S.PRODUCT).alias(S.PRODUCT), F.array_join(ordered, "").alias("_desc_blob")).drop("_row"))
+    desc = stemming.regrouped(cleaned, ["_row", S.PRODUCT], "_text", stems, "_stems")
+    desc = desc.select(S.PRODUCT, F.array_join("_stems", "").alias("_desc_blob"))
     # Written once per product; the join to the pairs then stays skew-splittable.
     desc = shared_table(desc, "stemmed-descriptions")
     # The default is a constant: stem it once on the driver.
@@ -123,29 +117,52 @@ def _clean_constant(text: str, keep_zero: bool) -> str:
     return re.sub(pattern, "", text, flags=re.ASCII)
 
 
+def word_counts(descriptions: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(product_uid, _counts) of every description row: how often it holds the words of ``vocabulary``.
+
+    An inverted (product, word, count) table, folded to one (word -> count) map a description.
+    Each text is split into words once. Its words meet the distinct vocabulary (_word) before anything
+    is shuffled if that is small, and only counted words are shuffled; a vocabulary beyond the limit
+    meets distinct (description, word) rows. Descriptions are told apart by a hash of their text, so
+    that two of one product stay two; equal rows are counted together and parted again.
+    """
+    rows = descriptions.where(F.col(S.PRODUCT).isNotNull()).select(
+        S.PRODUCT, F.xxhash64(S.DESCRIPTION).alias("_text"), F.coalesce(F.col(S.DESCRIPTION), F.lit("")).alias("_d"))
+    key = [S.PRODUCT, "_text"]
+    tokens = rows.select(*key, F.explode(T.words("_d")).alias("_word"))
+    side = broadcast_if_small(vocabulary, "_word")
+    if side is not vocabulary:
+        found = tokens.join(side, "_word", "left_semi").groupBy(*key, "_word").agg(F.count("*").alias("n"))
+    else:
+        counted = shared_table(tokens.groupBy(*key, "_word").agg(F.count("*").alias("n")), "inverted-words")
+        found = counted.join(vocabulary, "_word", "left_semi")
+    copies = rows.groupBy(*key).agg(F.count("*").alias("_copies"))
+    entries = F.collect_list(F.struct("_word", "n"))
+    counted = copies.join(found.groupBy(*key).agg(entries.alias("_found")), key, "left")
+    # copies of one description were counted together; a missing entry list gives a NULL map
+    each = F.transform("_found", lambda x: F.struct(x["_word"], (x["n"] / F.col("_copies")).cast("int")))
+    return counted.select(S.PRODUCT, F.map_from_entries(each).alias("_counts"), F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))).select(S.PRODUCT, "_counts")
+
+
 def weighted_tf_score(pairs: DataFrame, descriptions: DataFrame, label: str = S.LABEL,
                       title_weight: float = T.TITLE_WEIGHT, desc_weight: float = T.DESCRIPTION_WEIGHT,
                       join_how: str = "inner") -> DataFrame:
     """(id, product_uid, values, label): exact whole-word hits of the search words in the title
     and the description, each divided by the number of search words, weighted 4 : 1.
 
-    A replacement for a driver loop over ``collect()``: the same arithmetic as one projection.
-    ``values`` is NULL for an empty search term (the loop divided by zero). Description words are
-    built once per product before the join.
+    A replacement for a driver loop over ``collect()``. ``values`` is NULL for an empty search term
+    (the loop divided by zero). The pairs are reduced to their search words and title hits and written
+    once; their distinct words ask the descriptions (``word_counts``), and what a pair's product
+    brings to the join is a small map of counts, never the text or its words.
     """
-    desc = descriptions.select(S.PRODUCT, T.words(F.coalesce(F.col(S.DESCRIPTION), F.lit(""))).alias("_dw"))
-    base = pairs.select(
-        S.ID, S.PRODUCT,
-        T.words(F.coalesce(F.col(S.TERM), F.lit(""))).alias("_tw"),
-        T.words(F.coalesce(F.col(S.TITLE), F.lit(""))).alias("_iw"),
-        F.col(label).cast("double").alias("label"))
-    joined = base.join(desc, S.PRODUCT, join_how)
-    if join_how != "inner":
-        joined = joined.withColumn("_dw", F.coalesce("_dw", F.array().cast("array<string>")))
-    return joined.select(
-        S.ID, S.PRODUCT,
-        T.weighted_tf("_tw", "_iw", "_dw", title_weight, desc_weight).alias("values"),
-        "label")
+    staged = shared_table(pairs.select(
+        S.ID, S.PRODUCT, F.col(label).cast("double").alias("label"), T.words(F.coalesce(F.col(S.TERM), F.lit(""))).alias("_tw"),
+        T.words(F.coalesce(F.col(S.TITLE), F.lit(""))).alias("_iw")).select(
+        S.ID, S.PRODUCT, "label", "_tw", T.whole_word_hits("_tw", "_iw").alias("_title")), "scored-pairs")
+    vocabulary = shared_table(staged.select(F.explode("_tw").alias("_word")).distinct(), "search-words")
+    counts = shared_table(word_counts(descriptions, vocabulary), "word-counts")
+    values = T.weighted_hits("_tw", F.col("_title"), T.counted_hits("_tw", "_counts"), title_weight, desc_weight)
+    return staged.join(counts, S.PRODUCT, join_how).select(S.ID, S.PRODUCT, values.alias("values"), "label")
 
 
 def tokenize(df: DataFrame, input_col: str, output_col: str) -> DataFrame:

@@ -4,19 +4,21 @@ Spark has no stemmer, so one small Python helper stems a single word. It never r
 
 1. the tokens of all texts are reduced to the distinct vocabulary (partial aggregation map side,
    so only distinct words cross the network);
-2. each distinct word is stemmed once in an Arrow-batched pandas UDF and the (word, stem) table is
-   materialised (checkpointed) so the Python work is never repeated;
-3. the table is joined to the exploded tokens and the stems are regrouped in position order.
-
-The stem table is broadcast only after its size has been measured against a limit; above the
-limit the join is a shuffle join. With a broadcast, the exploded rows keep the partitioning of
-their source, so regrouping by a key the source is already partitioned on needs no shuffle.
+2. each distinct word is stemmed once in an Arrow-batched pandas UDF. Only the exceptions, words whose
+   stem is another string, are kept and materialised (checkpointed), so the Python work is never
+   repeated; any other word is its own stem;
+3. words meet the exceptions and the stems are regrouped in position order.
+
+The exceptions are broadcast only after their size has been measured against a limit; the exploded
+rows then keep the partitioning of their source, and regrouping needs no shuffle. Above the limit,
+each text's distinct words (with their positions) are shuffled to the exceptions, not its tokens.
 """
 
 from __future__ import annotations
 
 import uuid
 from functools import reduce
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -27,15 +29,12 @@ from pyspark.sql.types import StringType
 
 from relevo.functions import porter2
 from relevo.functions.text import words
-from relevo.session import materialize
+from relevo.session import BROADCAST_LIMIT_BYTES, broadcast_if_small, materialize
 
 # Ship the helper to Python workers by value: workers need not have this package installed.
 cloudpickle.register_pickle_by_value(porter2)
 
 POS, TOK, STEM = "_pos", "_tok", "_stem"
-# Largest stem table (estimated bytes) that is broadcast to every executor.
-BROADCAST_LIMIT_BYTES = 64 << 20
-
 
 def _make_stem_udf():
     stem_one = porter2.stem
@@ -53,6 +52,18 @@ def stem_text_constant(text: str) -> list[str]:
     return [porter2.stem(w) for w in text.lower().split()]
 
 
+class Stems(NamedTuple):
+    """A table of exceptions (_tok, _stem), and whether it is marked for broadcast."""
+
+    table: DataFrame
+    small: bool
+
+
+def exceptions(stems: DataFrame) -> DataFrame:
+    """The words of a (_tok, _stem) table whose stem is another string."""
+    return stems.where(F.col(TOK) != F.col(STEM))
+
+
 def stem_table(*token_frames: DataFrame, token_col: str = TOK) -> DataFrame:
     """Distinct vocabulary of ``token_col`` over all frames with the stem of each word: (_tok, _stem)."""
     toks = [f.select(F.col(token_col).alias(TOK)) for f in token_frames]
@@ -60,12 +71,6 @@ def stem_table(*token_frames: DataFrame, token_col: str = TOK) -> DataFrame:
     return vocab.select(TOK, stem_udf(F.col(TOK)).alias(STEM))
 
 
-def broadcast_if_small(table: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """Mark a materialised stem table for broadcast when its measured size is under the limit."""
-    size = table.agg(F.sum(F.length(TOK) + F.length(STEM) + F.lit(24))).first()[0] or 0
-    return F.broadcast(table) if size <= limit_bytes else table
-
-
 def _read_dictionary(spark, path: str) -> DataFrame | None:
     try:
         table = spark.read.parquet(path).select(TOK, STEM)
@@ -97,17 +102,18 @@ def dictionary_stems(*token_frames: DataFrame, dictionary: str) -> DataFrame:
 
 
 def prepared_stems(*token_frames: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES,
-                   dictionary: str | None = None) -> DataFrame:
-    """Stem table of the frames' tokens, materialised and broadcast-marked when small.
+                   dictionary: str | None = None) -> Stems:
+    """The exceptions among the frames' tokens, materialised and broadcast-marked when small.
 
     With ``dictionary`` (a folder in shared storage) the stems come from a persistent dictionary
     that grows with every job instead of being recomputed.
     """
     if dictionary is not None:
-        table = materialize(dictionary_stems(*token_frames, dictionary=dictionary))
+        table = materialize(exceptions(dictionary_stems(*token_frames, dictionary=dictionary)))
     else:
-        table = materialize(stem_table(*token_frames))
-    return broadcast_if_small(table, limit_bytes)
+        table = materialize(exceptions(stem_table(*token_frames)))
+    side = broadcast_if_small(table, TOK, STEM, limit_bytes=limit_bytes)
+    return Stems(side, side is not table)
 
 
 def ordered_stems(pos: str | Column, stem: str | Column) -> Column:
@@ -124,8 +130,25 @@ def explode_words(df: DataFrame, keys: list[str], text: str | Column) -> DataFra
     return df.select(*keys, F.posexplode_outer(words(t)).alias(POS, TOK))
 
 
+def regrouped(df: DataFrame, keys: list[str], text: str, stems: Stems, out: str) -> DataFrame:
+    """(keys, ``out``): the stems of ``words(text)`` in order; ``keys`` identify one text.
+
+    ``stems`` are exceptions (``prepared_stems``). Marked for broadcast, they meet the token rows in
+    place: the texts are partitioned by their key before they are exploded, since the raw text is a
+    smaller shuffle than token rows, and nothing else is shuffled. Otherwise the distinct words of a text
+    go to the exceptions with their positions and back.
+    """
+    tokens = explode_words(df.select(*keys, text).repartition(*keys[:1]), keys, text)
+    if not stems.small:
+        words_at = tokens.groupBy(*keys, TOK).agg(F.collect_list(POS).alias("_at"))
+        met = words_at.join(stems.table, TOK, "left").select(*keys, F.coalesce(STEM, TOK).alias(STEM), "_at")
+        tokens = met.select(*keys, STEM, F.explode_outer("_at").alias(POS))
+        return tokens.groupBy(*keys).agg(ordered_stems(POS, STEM).alias(out))
+    return tokens.join(stems.table, TOK, "left").groupBy(*keys).agg(ordered_stems(POS, F.coalesce(STEM, TOK)).alias(out))
+
+
 def stemmed_words_by_key(df: DataFrame, key: str | list[str], text: str | Column, out: str,
-                         glue: bool = False, stems: DataFrame | None = None) -> DataFrame:
+                         glue: bool = False, stems: Stems | None = None) -> DataFrame:
     """Per key row: the stems of ``words(text)`` in order (or glued with no separator).
 
     Rows with NULL text are dropped (callers left-join and apply their default); a text with no
@@ -133,8 +156,7 @@ def stemmed_words_by_key(df: DataFrame, key: str | list[str], text: str | Column
     """
     keys = [key] if isinstance(key, str) else list(key)
     t = F.col(text) if isinstance(text, str) else text
-    exploded = explode_words(df.where(t.isNotNull()), keys, t)
-    stems = stems if stems is not None else prepared_stems(exploded)
-    seq = ordered_stems(POS, STEM)
-    return (exploded.join(stems, TOK, "left").groupBy(*keys)
-            .agg((F.array_join(seq, "") if glue else seq).alias(out)))
+    texts = df.where(t.isNotNull()).select(*keys, t.alias("_text"))
+    stems = stems if stems is not None else prepared_stems(explode_words(texts, keys, "_text"))
+    found = regrouped(texts, keys, "_text", stems, out)
+    return found.withColumn(out, F.array_join(out, "")) if glue else found

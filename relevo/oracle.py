@@ -59,7 +59,7 @@ attributes AS (
 
 
 def with_(*ctes: str) -> str:
-    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
 def hit_features_sql(pairs_table: str = "pairs", name: str = "features") -> str:
@@ -136,3 +136,54 @@ beta AS (
 ols AS (
   SELECT w1, w2, w3, my - w1 * m1 - w2 * m2 - w3 * m3 AS w0 FROM beta
 )"""
+
+
+def elastic_net(reg: float, alpha: float, source: str = "train_features", name: str = "enet") -> str:
+    """The elastic-net solution on (term_len, tf_title, tf_desc): coordinate descent on the standardised
+    moments, written out as a recursion; ``name`` has (w0, w1, w2, w3)."""
+
+    def step(b: str, rest: str) -> str:
+        z = f"({b} - ({rest}))"
+        return f"sign({z}) * greatest(abs({z}) - l1, 0) / (1 + l2)"
+
+    return f"""
+{name}_m AS (
+  SELECT stddev_pop(term_len) s1, stddev_pop(tf_title) s2, stddev_pop(tf_desc) s3, stddev_pop(relevance) sy,
+         corr(term_len, tf_title) c12, corr(term_len, tf_desc) c13, corr(tf_title, tf_desc) c23,
+         corr(term_len, relevance) b1, corr(tf_title, relevance) b2, corr(tf_desc, relevance) b3,
+         avg(term_len) m1, avg(tf_title) m2, avg(tf_desc) m3, avg(relevance) my,
+         {alpha}::DOUBLE * {reg}::DOUBLE / stddev_pop(relevance) AS l1, (1 - {alpha}::DOUBLE) * {reg}::DOUBLE / stddev_pop(relevance) AS l2
+  FROM {source}
+),
+{name}_steps(i, u1, u2, u3) AS (
+  SELECT 0, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE
+  UNION ALL
+  SELECT i + 1, v1, v2, {step('b3', 'c13 * v1 + c23 * v2')}
+  FROM (SELECT *, {step('b2', 'c12 * v1 + c23 * u3')} AS v2
+        FROM (SELECT *, {step('b1', 'c12 * u2 + c13 * u3')} AS v1 FROM {name}_steps, {name}_m WHERE i < 400))
+),
+{name} AS (
+  SELECT my - u1 * sy / s1 * m1 - u2 * sy / s2 * m2 - u3 * sy / s3 * m3 AS w0, u1 * sy / s1 AS w1, u2 * sy / s2 AS w2, u3 * sy / s3 AS w3
+  FROM {name}_steps, {name}_m WHERE i = 400
+)"""
+
+
+#: The best single split on (term_len, tf_title, tf_desc): the largest fall of the squared error, over the
+#: middles between neighbouring distinct values.
+STUMP = """
+stump_rows AS (
+  SELECT 'term_len' AS feature, 1 AS place, CAST(term_len AS DOUBLE) AS x, relevance AS y FROM train_features
+  UNION ALL SELECT 'tf_title', 2, tf_title, relevance FROM train_features
+  UNION ALL SELECT 'tf_desc', 3, tf_desc, relevance FROM train_features
+),
+stump_values AS (SELECT feature, place, x, count(*) AS n, sum(y) AS s FROM stump_rows GROUP BY ALL),
+stump_cuts AS (
+  SELECT feature, place, (x + lead(x) OVER w) / 2 AS threshold, sum(n) OVER w AS nl, sum(s) OVER w AS sl,
+         sum(n) OVER (PARTITION BY feature) AS n, sum(s) OVER (PARTITION BY feature) AS s
+  FROM stump_values WINDOW w AS (PARTITION BY feature ORDER BY x)
+),
+stump AS (
+  SELECT feature, threshold, sl / nl AS "left", (s - sl) / (n - nl) AS "right"
+  FROM stump_cuts WHERE threshold IS NOT NULL
+  ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, place, threshold LIMIT 1
+)"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from relevo.plans import registry
 from relevo.session import apply_cluster_conf, apply_skew_conf, ensure_checkpoint_dir, remove_shared_tables
@@ -31,17 +32,15 @@ def main(argv: list[str] | None = None) -> None:
     ensure_checkpoint_dir(spark)
     apply_skew_conf(spark)
     apply_cluster_conf(spark, args.input_bytes)
-    df = registry.RESULTS[args.query](spark, args.sf_dir)
-    if args.format == "csv":
-        array_cols = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
-        if array_cols:
-            from pyspark.sql import functions as F
-
-            df = df.select(*[F.to_json(c).alias(c) if c in array_cols else F.col(c) for c in df.columns])
-        write_csv(df, args.out, mode=args.mode)
-    else:
-        df.write.mode(args.mode).parquet(args.out)
-    remove_shared_tables(spark)
+    try:
+        df = registry.RESULTS[args.query](spark, args.sf_dir)
+        if args.format == "csv":
+            arrays = [f.name for f in df.schema.fields if f.dataType.typeName() == "array"]
+            write_csv(df.withColumns({c: F.to_json(c) for c in arrays}), args.out, mode=args.mode)
+        else:
+            df.write.mode(args.mode).parquet(args.out)
+    finally:
+        remove_shared_tables(spark)
 
 
 if __name__ == "__main__":

@@ -10,8 +10,8 @@ as a projection. Seeds are explicit.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import IDF, HashingTF, NGram, Tokenizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import IDF, HashingTF, Tokenizer
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relevo import models as M
@@ -19,6 +19,7 @@ from relevo import schemas as S
 from relevo.functions import text as T
 from relevo.operators import features, tables
 from relevo.session import materialize, shared_table
+from relevo.sinks.csv import format_lines
 
 HIT_COLS = ("term_len", "tf_title", "tf_desc")
 
@@ -42,8 +43,12 @@ TUNED_FOREST = {"num_trees": (5,), "max_depth": 5, "train_ratio": 0.8}
 
 # --- M1: headerless tables, inner join, name-list projection --------------------------------
 
-def stage1_join(spark: SparkSession, train: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Inner join of the renamed headerless train and description tables via SQL views."""
+def stage1_join(spark: SparkSession, train: DataFrame, descriptions: DataFrame, test: DataFrame | None = None) -> DataFrame:
+    """Inner join of the renamed headerless train and description tables via SQL views.
+
+    A test table becomes the view ``testdata``."""
+    if test is not None:
+        tables.rename_all(test, S.STAGE1_TEST_NAMES).createOrReplaceTempView("testdata")
     tables.rename_all(train, S.STAGE1_TRAIN_NAMES).createOrReplaceTempView("traindata")
     tables.rename_all(descriptions, S.STAGE1_DESC_NAMES).createOrReplaceTempView("prod_desc")
     joined = spark.table("traindata").join(spark.table("prod_desc"),
@@ -94,14 +99,23 @@ def corpus_embedding(spark: SparkSession, corpus: DataFrame, *, seed: int, vecto
                      min_count: int = EMBED_MIN_COUNT, num_partitions: int = M.W2V_PARTITIONS):
     """Word2Vec fitted on the tokenized ``info`` corpus."""
     tokens = features.tokenize(corpus, "info", "tokens").select("tokens")
-    w2v = M.word2vec(seed=seed, input_col="tokens", output_col="vec", vector_size=vector_size,
-                     min_count=min_count, num_partitions=num_partitions)
-    return w2v.fit(pinned(tokens, "tokens"))
+    return fitted_word2vec(pinned(tokens, "tokens"), M.word2vec(
+        seed=seed, input_col="tokens", output_col="vec", vector_size=vector_size, min_count=min_count, num_partitions=num_partitions))
+
+
+def fitted_word2vec(tokens: DataFrame, w2v):
+    """Word2Vec fitted on written token rows, once their vocabulary is known to be small enough."""
+    M.checked_vocabulary(tokens, w2v.getInputCol(), w2v)
+    return w2v.fit(tokens)
 
 
-def embed_terms(model, df: DataFrame) -> DataFrame:
-    """Mean word vector of each search term (unknown words count in the mean, [] gives zeros)."""
-    return model.transform(features.tokenize(df, S.TERM, "tokens"))
+def embed_terms(model, df: DataFrame, vectors: DataFrame | None = None, tokens: Column | None = None, out: str = "vec") -> DataFrame:
+    """``df`` with the mean word vector of each search term (unknown words count in the mean, [] gives zeros).
+
+    By joins with the table of word vectors (``vectors``, written from the model if not given)."""
+    vectors = M.word_vectors(model) if vectors is None else vectors
+    tokens = T.ml_tokens(S.TERM) if tokens is None else tokens
+    return M.mean_vectors(features.filled(df, S.TERM), S.TERM, tokens, vectors, model.getVectorSize(), out)
 
 
 def corpus_w2v_submission(spark: SparkSession, train: DataFrame, test: DataFrame, attrs: DataFrame,
@@ -111,13 +125,14 @@ def corpus_w2v_submission(spark: SparkSession, train: DataFrame, test: DataFrame
 
     ``model`` may be an already fitted corpus Word2Vec model (fit once, score many)."""
     model = model or corpus_embedding(spark, corpus_info(train, test, attrs, descriptions), seed=seed)
-    train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL)))
+    vectors = M.word_vectors(model)
+    train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL), vectors))
     if learner == "linear":
         est = M.linear(features_col="vec", **LINEAR_OLS)
     else:
         est = M.forest(seed=seed, features_col="vec", **CORPUS_FOREST)
     fitted = est.fit(train_vec)
-    return M.score(fitted, embed_terms(model, test.select(S.ID, S.TERM)))
+    return M.score(fitted, embed_terms(model, test.select(S.ID, S.TERM), vectors))
 
 
 def indexed_forest_submission(spark: SparkSession, train: DataFrame, test: DataFrame, attrs: DataFrame,
@@ -130,56 +145,80 @@ def indexed_forest_submission(spark: SparkSession, train: DataFrame, test: DataF
     from pyspark.ml.feature import StringIndexer
 
     model = model or corpus_embedding(spark, corpus_info(train, test, attrs, descriptions), seed=seed)
-    train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL)))
+    vectors = M.word_vectors(model)
+    train_vec = materialize(embed_terms(model, train.select(S.ID, S.TERM, S.LABEL), vectors))
     pipe = M.pipeline(StringIndexer(inputCol=S.LABEL, outputCol="label"),
                       M.vector_indexer("vec", "indexedFeatures", max_categories),
                       M.forest(seed=seed, features_col="indexedFeatures", label_col="label"))
     fitted = pipe.fit(train_vec)
-    return fitted.transform(embed_terms(model, test.select(S.ID, S.TERM))).select(S.ID, "prediction")
+    return fitted.transform(embed_terms(model, test.select(S.ID, S.TERM), vectors)).select(S.ID, "prediction")
 
 
 # --- M3/M4/M5/M7: ML pipelines on search terms ------------------------------------------------
 
 def term_classifier(labelled: DataFrame, to_score: DataFrame, text_col: str = "text",
-                    num_features: int = TERM_HASH_BUCKETS):
-    """M3: Tokenizer → HashingTF → LogisticRegression(10, 0.3, 0.8); returns (model, scored)."""
+                    num_features: int = TERM_HASH_BUCKETS, **settings):
+    """M3: Tokenizer → HashingTF → LogisticRegression(10, 0.3, 0.8); returns (model, scored).
+
+    ``settings`` replace those of the logistic regression."""
     pipe = M.pipeline(Tokenizer(inputCol=text_col, outputCol="words"),
                       HashingTF(inputCol="words", outputCol="features", numFeatures=num_features),
-                      M.logistic(**LOGISTIC))
+                      M.logistic(**{**LOGISTIC, **settings}))
     model = pipe.fit(materialize(features.filled(labelled, text_col)))
     return model, model.transform(features.filled(to_score, text_col))
 
 
-def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = TFIDF_HASH_BUCKETS):
-    """M4: Tokenizer → HashingTF(20) → IDF → LinearRegression(10, 0.3, 0.8) on search terms."""
+def tfidf_linear(train: DataFrame, test: DataFrame, num_features: int = TFIDF_HASH_BUCKETS, **settings):
+    """M4: Tokenizer → HashingTF(20) → IDF → LinearRegression(10, 0.3, 0.8) on search terms.
+
+    ``settings`` replace those of the linear model. (model, scored ``test`` rows)."""
     pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
                       HashingTF(inputCol="words", outputCol="rawFeatures", numFeatures=num_features),
                       IDF(inputCol="rawFeatures", outputCol="features"),
-                      M.linear(label_col="label", **LINEAR_ENET))
+                      M.linear(label_col="label", **{**LINEAR_ENET, **settings}))
     model = pipe.fit(materialize(features.filled(train, S.TERM)))
     return model, model.transform(features.filled(test, S.TERM))
 
 
 def w2v_linear(train: DataFrame, test: DataFrame, *, seed: int, num_partitions: int = M.W2V_PARTITIONS):
-    """M5: Tokenizer → Word2Vec(3, minCount 0) → LinearRegression(10, 0.3, 0.8) on search terms."""
-    pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
-                      M.word2vec(seed=seed, input_col="words", output_col="features", vector_size=EMBED_SIZE,
-                                 min_count=TERM_EMBED_MIN_COUNT, num_partitions=num_partitions),
-                      M.linear(label_col="label", **LINEAR_ENET))
-    model = pipe.fit(pinned(features.filled(train, S.TERM), S.TERM))
-    return model, model.transform(features.filled(test, S.TERM))
+    """M5: Tokenizer → Word2Vec(3, minCount 0) → LinearRegression(10, 0.3, 0.8) on search terms.
+
+    (linear model, scored ``test`` rows with their ``features``)."""
+    words = T.ml_tokens(S.TERM)
+    rows = pinned(features.filled(train, S.TERM).withColumn("words", words), S.TERM)
+    model = fitted_word2vec(rows, M.word2vec(seed=seed, input_col="words", output_col="features", vector_size=EMBED_SIZE,
+                                             min_count=TERM_EMBED_MIN_COUNT, num_partitions=num_partitions))
+    vectors = M.word_vectors(model)
+    linear = M.linear(label_col="label", **LINEAR_ENET).fit(materialize(embed_terms(model, rows.drop("words"), vectors, words, "features")))
+    return linear, linear.transform(embed_terms(model, test, vectors, words, "features"))
+
+
+def ngrams(tokens: Column, n: int) -> Column:
+    """The n-grams of a token array, joined by a space, as the ML ``NGram`` gives them."""
+    size = F.size(tokens)
+    grams = F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.array_join(F.slice(tokens, i, n), " "))
+    return F.when(size >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
 def ngram_w2v_submission(train: DataFrame, test: DataFrame, *, seed: int, n: int = 1,
                          num_partitions: int = M.W2V_PARTITIONS) -> DataFrame:
     """M7: Tokenizer → NGram(n) → Word2Vec(3, minCount 5) → LinearRegression(10, 0, 0.8)."""
-    pipe = M.pipeline(Tokenizer(inputCol=S.TERM, outputCol="words"),
-                      NGram(n=n, inputCol="words", outputCol="nGrams"),
-                      M.word2vec(seed=seed, input_col="nGrams", output_col="features", vector_size=EMBED_SIZE,
-                                 min_count=EMBED_MIN_COUNT, num_partitions=num_partitions),
-                      M.linear(**LINEAR_OLS))
-    model = pipe.fit(pinned(features.filled(train.select(S.TERM, S.LABEL), S.TERM), S.TERM))
-    return M.score(model, features.filled(test, S.TERM))
+    grams = ngrams(T.ml_tokens(S.TERM), n)
+    rows = pinned(features.filled(train.select(S.TERM, S.LABEL), S.TERM).withColumn("nGrams", grams), S.TERM)
+    model = fitted_word2vec(rows, M.word2vec(seed=seed, input_col="nGrams", output_col="features", vector_size=EMBED_SIZE,
+                                             min_count=EMBED_MIN_COUNT, num_partitions=num_partitions))
+    vectors = M.word_vectors(model)
+    linear = M.linear(**LINEAR_OLS).fit(materialize(embed_terms(model, rows.drop("nGrams"), vectors, grams, "features")))
+    return M.score(linear, embed_terms(model, test, vectors, grams, "features"))
+
+
+def prediction_lines(scored: DataFrame, prob_digits: int | None = None) -> DataFrame:
+    """(line): one printable line a scored row, ``(product, term) --> prediction=...``; with ``prob_digits``
+    also the class probabilities (``prob``), to so many digits."""
+    if prob_digits is None:
+        return format_lines(scored, "(%d, %s) --> prediction=%f", S.PRODUCT, S.TERM, "prediction")
+    prob = F.concat(F.lit("["), F.array_join(F.transform("prob", lambda p: F.format_string(f"%.{prob_digits}f", p)), ","), F.lit("]"))
+    return format_lines(scored, "(%d, %s) --> prob=%s, prediction=%f", S.PRODUCT, S.TERM, prob, "prediction")
 
 
 # --- M6: weighted TF score → linear regression --------------------------------------------------

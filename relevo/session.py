@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -28,6 +29,8 @@ SKEW_CONF = {
 #: Bounds on what the driver tracks per shuffle: reduce partitions, and map tasks of a scan.
 MAX_SHUFFLE_PARTITIONS = 50_000
 MAX_SCAN_SPLITS = 100_000
+#: Largest table (measured bytes) that is broadcast to every executor.
+BROADCAST_LIMIT_BYTES = 64 << 20
 #: Partitions that a table of few row groups is spread over.
 SPREAD_PARTITIONS = 8
 
@@ -182,6 +185,15 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def broadcast_if_small(table: DataFrame, *text_cols: str, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """A materialised table marked for broadcast when the measured size of its text is under the limit.
+
+    Above the limit the table itself is returned, and joins on it shuffle.
+    """
+    size = table.agg(F.sum(F.lit(24) + sum((F.octet_length(c) for c in text_cols), F.lit(0)))).first()[0] or 0
+    return F.broadcast(table) if size <= limit_bytes else table
+
+
 def remove_shared_tables(spark: SparkSession) -> None:
     """Delete the intermediate tables this application wrote in the shared folder.
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from relevo.sources import multiline
+
 CORRUPT = "_corrupt_record"
 #: What the reader puts for a quoted empty field, so that it differs from a missing one.
 EMPTY = "\u0001"
@@ -28,18 +30,26 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
     mode: ``PERMISSIVE`` keeps malformed rows with NULLs, ``DROPMALFORMED`` drops them (subject to
     column pruning), ``FAILFAST`` raises. ``strict`` overrides mode with the pruning-proof filter.
-    ``multi_line`` lets quoted fields hold line breaks; such a file cannot be split, so one task
-    reads it whole. A quoted empty field is '', an unquoted one NULL.
+    ``multi_line`` lets quoted fields hold line breaks; such a file is split all the same
+    (``relevo.sources.multiline``). A quoted empty field is '', an unquoted one NULL. A field that
+    is the one character U+0001 reads as '' too: it is the reader's own mark.
     """
-    reader = (spark.read.option("header", header).option("multiLine", multi_line).option("emptyValue", EMPTY)
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    options = {"emptyValue": EMPTY, "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    reader = spark.read.options(header=header, **options)
+
+    def rows(wanted: StructType | None, mode: str, **more: str) -> DataFrame:
+        if not multi_line:
+            return (reader if wanted is None else reader.schema(wanted)).options(mode=mode, **more).csv(path)
+        # without a schema, the reader names the columns from the first record alone
+        wanted = wanted or reader.option("multiLine", True).csv(path).schema
+        return multiline.read(spark, path, wanted, header, mode, {**options, **more})
+
     if strict:
         if schema is None:
             raise ValueError("strict reading needs a declared schema")
         as_text = StructType([*[StructField(f.name, StringType(), True) for f in schema.fields],
                               StructField(CORRUPT, StringType(), True)])
-        df = (reader.schema(as_text).option("mode", "PERMISSIVE").option("columnPruning", False)
-              .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
+        df = rows(as_text, "PERMISSIVE", columnPruning="false", columnNameOfCorruptRecord=CORRUPT)
         valid = F.col(CORRUPT).isNull()
         for f in schema.fields:
             if not isinstance(f.dataType, StringType):
@@ -47,9 +57,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
                 valid = valid & (blank | F.col(f.name).try_cast(f.dataType).isNotNull())
         return _with_empty(df.where(valid)).select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
                                                      for f in schema.fields])
-    if schema is not None:
-        reader = reader.schema(schema)
-    return _with_empty(reader.option("mode", mode).csv(path))
+    return _with_empty(rows(schema, mode))
 
 
 def _with_empty(df: DataFrame) -> DataFrame:

@@ -108,6 +108,17 @@ def classifier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id")
 
 
+def files(spark: SparkSession, sf_dir: str, *tables: str) -> list[tuple[str, int, int]]:
+    """(path, length, time of change) of the tables' files, from the file system."""
+    out = []
+    for table in tables:
+        for name in sorted(parquet(spark, sf_dir, table).inputFiles()):
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+            out.append((name, status.getLen(), status.getModificationTime()))
+    return out
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Name the logical tables for SQL users (``createOrReplaceTempView``)."""
     search_pairs(spark, sf_dir).createOrReplaceTempView("pairs")

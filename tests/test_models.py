@@ -128,3 +128,67 @@ def test_ml_idf_equals_relational_formula(spark):
     counts = {r["bucket"]: r["count"] for r in dfreq}
     for b in range(64):
         assert idf[b] == pytest.approx(np.log((m + 1.0) / (counts.get(b, 0) + 1.0)), abs=1e-12)
+
+
+def test_mean_vectors_equal_the_models_transform(spark):
+    """Unknown, repeated and missing words; the empty text; n-grams: as the fitted model itself."""
+    from relevo.functions import text as T
+
+    rows = [(1, "a b c a"), (2, "a zz"), (3, ""), (4, None), (5, "  "), (6, "a b c a"), (7, " lead  two ")]
+    df = spark.createDataFrame(rows * 5, "id long, search_term string")
+    for tokens in (T.ml_tokens(S.TERM), flows.ngrams(T.ml_tokens(S.TERM), 2)):
+        filled = features.filled(df, S.TERM).withColumn("w", tokens)
+        model = M.word2vec(seed=1, input_col="w", output_col="want", min_count=6, num_partitions=1).fit(filled)
+        both = flows.embed_terms(model, df, tokens=tokens).withColumn("w", tokens)
+        for r in model.transform(both).select(vector_to_array("vec").alias("a"), vector_to_array("want").alias("b")).collect():
+            assert np.allclose(r["a"], r["b"], atol=1e-12)
+        assert both.count() == len(rows) * 5
+
+
+def test_ngrams_equal_the_ml_stage(spark):
+    from pyspark.ml.feature import NGram
+
+    df = spark.createDataFrame([(["a", "b", "c"],), (["a"],), ([],)], "t array<string>")
+    for n in (1, 2, 3):
+        rows = NGram(n=n, inputCol="t", outputCol="want").transform(df).select("want", flows.ngrams(F.col("t"), n).alias("got")).collect()
+        assert all(r["got"] == r["want"] for r in rows)
+
+
+def test_vocabulary_bound(spark):
+    """Too many words are an error before the fit, with the number in the message."""
+    df = spark.createDataFrame([(["a", "b", "c", "a"],)] * 3, "w array<string>")
+    est = M.word2vec(seed=1, input_col="w", output_col="v", min_count=3)
+    assert M.checked_vocabulary(df, "w", est) == 3
+    with pytest.raises(ValueError, match="3 words"):
+        M.checked_vocabulary(df, "w", est, most=8)
+
+
+def test_optimality_tells_a_solution_from_another_point(spark):
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 3))
+    y = x[:, 0] * 2 - x[:, 1] + rng.normal(size=400)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y, strict=True)], "a double, b double, c double, label double")
+    df = df.select("label", M.dense_features("a", "b", "c"))
+    good = M.linear(label_col="label", reg_param=0.2, max_iter=500, tol=1e-12).fit(df)
+    assert all(r["optimal"] for r in M.optimality(df, good, 0.2, 0.8, label_col="label").collect())
+    assert not all(r["optimal"] for r in M.optimality(df, good, 0.25, 0.8, label_col="label").collect())
+    other = M.linear(label_col="label", reg_param=0.0).fit(df)
+    assert not all(r["optimal"] for r in M.optimality(df, other, 0.2, 0.8, label_col="label").collect())
+
+
+def test_hashed_search_chooses_and_refits(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(v), float(3 * v + e)) for i, (v, e) in enumerate(zip(rng.normal(size=300), rng.normal(size=300) / 9, strict=True))]
+    df = spark.createDataFrame(rows, "id long, a double, relevance double").select("id", "relevance", M.dense_features("a"))
+    est = M.linear(elastic_net=0.0)
+    model, metrics = M.hashed_search(est, M.grid(est.regParam, [5.0, 0.0, 1.0]), df, M.hashed_fold())
+    errors = [v for _, v in metrics]
+    assert min(errors) == errors[1] and model.getOrDefault("regParam") == 0.0
+    assert model.coefficients[0] == pytest.approx(M.linear().fit(df).coefficients[0])
+    share = df.where(M.hashed_fold()).count() / 300
+    assert 0.1 < share < 0.28
+
+
+def test_root_split_of_a_single_leaf(spark):
+    df = spark.createDataFrame([(1.0, 2.0)] * 4, "a double, relevance double").select("relevance", M.dense_features("a"))
+    assert M.root_split(spark, M.forest(seed=1, num_trees=1, max_depth=1, bootstrap=False).fit(df), ["a"]).count() == 0

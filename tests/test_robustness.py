@@ -99,7 +99,7 @@ def test_csv_keeps_empty_and_missing_apart_and_splits(spark, scratch):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
     try:
         assert read_csv(spark, f"{scratch}/big").rdd.getNumPartitions() > 4
-        assert read_csv(spark, f"{scratch}/big", multi_line=True).rdd.getNumPartitions() == 1
+        assert read_csv(spark, f"{scratch}/big", multi_line=True).rdd.getNumPartitions() > 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 

@@ -32,6 +32,7 @@ def _expected(spark, name):
         "w2v_linear_scores": test,
         "term_classifier_pairs": test,
         "term_classifier_all_pairs": test,
+        "term_classifier_converged": test,
         "tfidf_linear_coefficients": 21,
         "tf_score_linear": src.train_pairs(spark, SF_SMALL).join(
             src.product_descriptions(spark, SF_SMALL), S.PRODUCT).count(),

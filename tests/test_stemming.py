@@ -85,16 +85,38 @@ def test_stemmed_hits_without_broadcast(spark, monkeypatch):
     """Above the broadcast limit the stem table is joined by shuffle; results are the same."""
     pairs, descs = src.search_pairs(spark, SF_SMALL), src.product_descriptions(spark, SF_SMALL)
     a = sorted(features.hit_features(pairs, descs, stem=True).collect())
-    monkeypatch.setattr(stemming, "BROADCAST_LIMIT_BYTES", 0)
-    import relevo.operators.stemming as st_mod
-    orig = st_mod.prepared_stems
-    monkeypatch.setattr(st_mod, "prepared_stems",
-                        lambda *frames, limit_bytes=0, dictionary=None: orig(*frames, limit_bytes=0,
-                                                                             dictionary=dictionary))
+    orig = stemming.prepared_stems
+    monkeypatch.setattr(stemming, "prepared_stems",
+                        lambda *frames, limit_bytes=0, dictionary=None: orig(*frames, limit_bytes=0, dictionary=dictionary))
     b = sorted(features.hit_features(pairs, descs, stem=True).collect())
     assert a == b
 
 
+def test_only_exceptions_are_kept(spark):
+    """Words that are their own stem need no row: they are joined to nothing and stay as they are."""
+    df = spark.createDataFrame([("running cats run cat the the",), ("the cat",)], "t string")
+    found = stemming.prepared_stems(stemming.explode_words(df, [], "t"))
+    assert found.small and sorted(map(tuple, found.table.collect())) == [("cats", "cat"), ("running", "run")]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_regrouping_with_a_hot_word(spark, small):
+    """A word that fills most texts; positions come back in order, repeated words included."""
+    rows = [(i, "the " * 200 + f"running {'cats ' * (i % 3)}word{i} the") for i in range(60)] + [(99, ""), (98, " ")]
+    df = spark.createDataFrame(rows, "k long, t string").repartition(4)
+    stems = stemming.prepared_stems(stemming.explode_words(df, ["k"], "t"), limit_bytes=1 << 20 if small else 0)
+    assert stems.small == small
+    found = stemming.regrouped(df, ["k"], "t", stems, "s")
+    got = {r["k"]: r["s"] for r in found.collect()}
+    from relevo.functions import porter2
+
+    assert got == {k: [porter2.stem(w) for w in t.split()] for k, t in rows}
+    if not small:
+        # distinct words are shuffled, not tokens: the join's input has one row a text and word
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Join LeftOuter") < plan.index("collect_list(_pos")
+
+
 def test_stem_table_is_distinct_vocabulary(spark):
     df = spark.createDataFrame([("running",), ("running",), ("cats",), (None,)], "_tok string")
     rows = sorted(tuple(r) for r in stemming.stem_table(df).collect())
