@@ -137,3 +137,21 @@ ranked AS (SELECT *, CASE WHEN chance >= 1 THEN -1 WHEN chance > 0 THEN luck * (
 placed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, size, doc_id ROWS UNBOUNDED PRECEDING) AS upto FROM ranked)
 SELECT doc_id, size, source_size, target, CAST((copies + CASE WHEN size > 0 AND miss > 0 AND (chance >= 1 OR 2 * upto - size <= 2 * miss) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM placed"""
+
+
+#: Every window of 400 bytes by its MD5; removed runs are windows that touch; what is left as hexadecimal digits.
+REPEATED_BYTES = """
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+windows AS (SELECT rid, i, md5(b[i : i + 399]) AS h FROM (SELECT rid, b, unnest(range(1, octet_length(b) - 398)) AS i FROM docs)),
+twice AS (SELECT h FROM windows GROUP BY h HAVING count(*) > 1),
+hits AS (SELECT rid, i FROM windows WHERE h IN (SELECT h FROM twice)),
+marked AS (SELECT rid, i, CASE WHEN i > lag(i, 1, -1000) OVER (PARTITION BY rid ORDER BY i) + 400 THEN 1 ELSE 0 END AS new FROM hits),
+numbered AS (SELECT rid, i, sum(new) OVER (PARTITION BY rid ORDER BY i) AS run FROM marked),
+runs AS (SELECT rid, min(i) AS s, max(i) + 399 AS e FROM numbered GROUP BY rid, run),
+edges AS (SELECT rid, s, e FROM runs UNION ALL SELECT rid, octet_length(b) + 1, NULL FROM docs),
+gaps AS (SELECT rid, coalesce(lag(e) OVER w, 0) + 1 AS a, s - 1 AS z FROM edges WINDOW w AS (PARTITION BY rid ORDER BY s)),
+kept AS (SELECT g.rid, string_agg(hex(d.b[g.a : g.z]), '' ORDER BY g.a) AS x FROM gaps g JOIN docs d ON d.rid = g.rid WHERE g.z >= g.a GROUP BY g.rid),
+sums AS (SELECT rid, sum(e - s + 1) AS n, count(*) AS k FROM runs GROUP BY rid)
+SELECT d.doc_id, CAST(octet_length(d.b) AS BIGINT) AS n_bytes, CAST(coalesce(s.n, 0) AS BIGINT) AS n_removed, CAST(coalesce(s.k, 0) AS BIGINT) AS n_spans,
+       sha256(coalesce(from_hex(k.x), ''::BLOB)) AS kept_sha256
+FROM docs d LEFT JOIN sums s ON s.rid = d.rid LEFT JOIN kept k ON k.rid = d.rid"""

@@ -93,7 +93,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), percent=75)
 
 
-@query("op6_suffix_dedup")
+@query("op6_suffix_dedup", oracles.REPEATED_BYTES)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remove every byte covered by a 400-byte string that starts anywhere else in the documents."""
     rows = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), width=400)

@@ -146,16 +146,19 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
 
 
 def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For each place, the symbols (at most ``most``) its suffix shares with its predecessor in the array.
+    """For each place, the symbols (at most ``most``) its suffix shares with its predecessor in ``sa``.
 
-    Common lengths are found by halving steps on range hashes, for all places at once.
+    ``sa`` holds all suffixes in order, or some of them; places it leaves out have 0. Common lengths
+    are found by halving steps on range hashes, for all places at once.
     """
     n = len(t)
-    before = np.full(n, -1, np.int64)
-    before[sa[1:]] = sa[:-1]
     spans = anchors.Spans((t.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25))
-    at = np.flatnonzero(before >= 0)
-    a, b, shared = at, before[at], np.zeros(len(at), np.int64)
+    out = np.zeros(n, np.int64)
+    if len(sa) < 2:
+        return out
+    order = np.argsort(sa[1:], kind="stable")  # in text order
+    a, b = sa[1:][order], sa[:-1][order]
+    shared = np.zeros(len(a), np.int64)
     room = np.minimum(n - np.maximum(a, b), most)
     step = 1 << int(most).bit_length() - 1
     while step:
@@ -164,15 +167,16 @@ def permuted_common_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.nda
         same = spans.hash(x + s, x + s + step) == spans.hash(y + s, y + s + step)
         shared[fits[same]] += step
         step //= 2
-    out = np.zeros(n, np.int64)
-    out[at] = shared
+    out[a] = shared
     return out
 
 
 def repeated_starts(contexts: Sequence[bytes], windows: np.ndarray, many: np.ndarray, width: int) -> list[np.ndarray]:
     """Per context, whether each of its first ``windows`` starts begins a window found elsewhere.
 
-    ``many`` marks contexts that occur more than once; their windows are all repeated.
+    ``many`` marks contexts that occur more than once; their windows are all repeated. Only places
+    that begin a window are compared: the common prefix of two of them that are neighbours without the
+    others is the least of those in between.
     """
     sizes = np.array([len(c) for c in contexts])
     first = np.cumsum(sizes + 1) - sizes - 1
@@ -183,15 +187,13 @@ def repeated_starts(contexts: Sequence[bytes], windows: np.ndarray, many: np.nda
     present[t] = True
     t = (np.cumsum(present) - 1)[t]  # only bytes that occur
     sa = suffix_array(t, int(present.sum()))
+    weight = np.zeros(len(t) + 1, np.int8)
+    np.add.at(weight, first, np.where(many, 2, 1))
+    np.add.at(weight, first + windows, -np.where(many, 2, 1))
+    weight = np.cumsum(weight, dtype=np.int8)[:-1]
+    sa = sa[weight[sa] > 0]
     prefix = permuted_common_prefixes(t, sa, width)
-    live = np.zeros(len(t) + 1, np.int64)
-    live[first] += 1
-    np.add.at(live, first + windows, -1)
-    live = np.cumsum(live)[:-1] > 0
     group = np.cumsum(prefix[sa] < width)  # suffixes that agree in a window share a number
-    weight = live.astype(np.int64)
-    for c in np.flatnonzero(many):
-        weight[first[c] : first[c] + windows[c]] = 2
     total = np.bincount(group, weight[sa])
     repeated = np.zeros(len(t), bool)
     repeated[sa] = total[group] > 1
@@ -243,12 +245,23 @@ def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
         return [(rk[i], s[i] + a, copies[i] > 1, data[i][a : a + n + width - 1], n) for i, a, n in zip(*(x.tolist() for x in found), strict=True)]
 
     def ranges(parts: list[tuple]) -> pa.RecordBatch:
-        rk, s, many, data, windows = zip(*parts, strict=True)
-        out = []
-        for k, start, skip, hit in zip(rk, s, many, repeated_starts(data, np.array(windows), np.array(many), width), strict=True):
-            if not skip and hit.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-                out += [(k, start + int(x), int(y - x)) for x, y in edge.reshape(-1, 2)]
+        holders: dict[bytes, list[tuple]] = {}
+        for rk, s, many, data, windows in parts:
+            holders.setdefault(data, []).append((rk, s, many, windows))
+        out, alone, twice = [], {}, []
+        for data, rows in holders.items():  # a part cut from several contexts is repeated as a whole
+            if len(rows) > 1 or rows[0][2]:
+                twice.append((data, rows[0][3]))
+                out += [(rk, s, windows) for rk, s, many, windows in rows if not many]
+            else:
+                alone[data] = rows[0]
+        if alone:
+            data, windows = [*alone, *(x for x, _ in twice)], np.array([x[3] for x in alone.values()] + [n for _, n in twice])
+            hits = repeated_starts(data, windows, np.arange(len(data)) >= len(alone), width)
+            for (rk, s, _, _), hit in zip(alone.values(), hits, strict=False):
+                if hit.any():
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
+                    out += [(rk, s + int(x), int(y - x)) for x, y in edge.reshape(-1, 2)]
         cols = zip(*out, strict=True) if out else [[]] * 3
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32()), strict=True)], ["rk", "s", "m"])
 
