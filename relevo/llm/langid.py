@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm.bpe import MEMO, arrow_type
-from relevo.llm.frames import map_texts, partitions, text_rows, written
+from relevo.llm.frames import map_texts, partitions, slices, text_rows, use_caches, written
 
 UNKNOWN = "und"
 #: About so many labelled rows per language are used to fit the probabilities (all, if fewer).
@@ -36,6 +36,9 @@ ADDED = 0.05
 #: Letter runs are cut at this length, so that no product of probabilities underflows.
 LONGEST = 32
 _LETTERS = re.compile(r"[^\W\d_]+")
+#: A text is usual for a language if its log probability is at most so much a letter below that of the
+#: language's training words, and so many standard deviations of the sum over its words.
+MARGIN, DEVIATIONS = 0.5, 4.0
 START = "▁"  # marks the start of a word in the vocabulary
 
 
@@ -125,12 +128,15 @@ def expected_uses(lat: Lattice, found: list[str], column: np.ndarray, n: np.ndar
 
 @dataclass
 class Model:
-    """Log priors and piece probabilities, one column per language."""
+    """Log priors, piece probabilities and usual log probabilities, one column per language."""
 
     path: str
     languages: list[str]
     prior: np.ndarray
     p: np.ndarray
+    #: Log probability of the language's own training words: its mean a letter, and its spread a word about that.
+    level: np.ndarray | None = None
+    spread: np.ndarray | None = None
 
 
 class Scorer:
@@ -159,12 +165,21 @@ class Scorer:
 
     def predict_all(self, texts: list[str]) -> list[tuple[str, float]]:
         """(language, posterior probability) of each text; ('und', 0.0) without a letter."""
-        out: list[tuple[str, float]] = []
+        return [(k, x) for k, x, _ in self.judge_all(texts)]
+
+    def judge_all(self, texts: list[str]) -> list[tuple[str, float, bool]]:
+        """(language, posterior probability, usual) of each text; ('und', 0.0, False) without a letter.
+
+        The posterior only compares the languages. ``usual`` says whether the best one explains the
+        text about as well as it explains its own training words (see ``MARGIN``).
+        """
+        out: list[tuple[str, float, bool]] = []
+        model = self.model
         for at in range(0, len(texts), 64):
             found = [words(t) for t in texts[at : at + 64]]
-            totals = [self.model.prior.copy() for _ in found]
-            if not self.model.languages:
-                out += [(UNKNOWN, 0.0)] * len(found)
+            totals = [np.zeros(len(model.languages)) for _ in found]
+            if not model.languages:
+                out += [(UNKNOWN, 0.0, False)] * len(found)
                 continue
             for i, ws in enumerate(found):
                 if len(ws) <= MEMO // 64:
@@ -174,9 +189,18 @@ class Scorer:
             short = [i for i, ws in enumerate(found) if 0 < len(ws) <= MEMO // 64]
             for i, x in zip(short, self._sums([found[i] for i in short]), strict=True):
                 totals[i] += x
-            for ws, score in zip(found, totals, strict=True):
+            for ws, total in zip(found, totals, strict=True):
+                if not ws:
+                    out.append((UNKNOWN, 0.0, False))
+                    continue
+                score = total + model.prior
                 best = int(score.argmax())
-                out.append((self.model.languages[best], float(1 / np.exp(score - score[best]).sum())) if ws else (UNKNOWN, 0.0))
+                letters = sum(map(len, ws))
+                usual = True
+                if model.level is not None:
+                    gap = model.level[best] * letters - total[best]
+                    usual = bool(gap <= MARGIN * letters + DEVIATIONS * model.spread[best] * len(ws) ** 0.5)
+                out.append((model.languages[best], float(1 / np.exp(score - score[best]).sum()), usual))
         return out
 
     def _sums(self, lists: list[list[str]]) -> list[np.ndarray]:
@@ -249,7 +273,38 @@ def fit(train: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int =
         p /= p.sum(0)
         shared.unpersist()
     prior = np.log(np.array([sizes[k] for k in languages], float) / sum(sizes.values()))
-    return Model(path, languages, prior, p)
+    level, spread = _usual(counts, Model(path, languages, prior, p))
+    return Model(path, languages, prior, p, level, spread)
+
+
+def _usual(counts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Per language, the mean log probability a letter of its training words (lang, word, n), and the
+    standard deviation of a word's about that."""
+    shared = counts.sparkSession.sparkContext.broadcast(model)
+    column = {k: i for i, k in enumerate(model.languages)}
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s, total = Scorer(shared.value), np.zeros((len(column), 6))
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                langs, found, n = (batch.column(i).slice(at, TOGETHER).to_pylist() for i in range(3))
+                s.at.clear()
+                s._learn(sorted(set(found)))
+                c = np.array([column[k] for k in langs])
+                x = s.rows[[s.at[w] for w in found], c]
+                size, n = np.array([len(w) for w in found], float), np.array(n, float)
+                for i, v in enumerate((n, n * x, n * size, n * x * x, n * x * size, n * size * size)):
+                    np.add.at(total[:, i], c, v)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(column)), pa.int32()), *(pa.array(v) for v in total.T)], ["c", *names])
+
+    names = [f"v{i}" for i in range(6)]
+    rows = counts.mapInArrow(sums, "c int, " + ", ".join(f"{v} double" for v in names)).groupBy("c").agg(*[F.sum(v).alias(v) for v in names]).toPandas()
+    v = np.zeros((len(column), 6))
+    v[rows["c"].to_numpy()] = rows[names].to_numpy()
+    n, x, size, xx, xs, ss = v.T
+    level = np.divide(x, size, out=np.zeros(len(v)), where=size > 0)
+    variance = np.divide(xx - 2 * level * xs + level**2 * ss, n, out=np.zeros(len(v)), where=n > 0)
+    return level, np.sqrt(np.maximum(variance, 0))
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -274,6 +329,7 @@ _SCORERS: dict[int, Scorer] = {}
 
 def scorer(shared) -> Scorer:
     """The worker's scorer of a broadcast model; only the latest is kept."""
+    use_caches("langid", _SCORERS.clear)
     found = _SCORERS.get(id(shared.value))
     if found is None or found.model is not shared.value:
         _SCORERS.clear()
@@ -287,13 +343,18 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def keep_known(docs: DataFrame, model: Model, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows whose text has a known language with at least that score; all columns stay."""
+    """The rows whose text has a known language with at least that score, and is usual for it; all columns stay.
+
+    A text in no language of the model has a clear best one too: what it lacks is the usual log
+    probability. A text without a letter goes.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = scorer(shared).predict_all([t or "" for t in batch.column(place).to_pylist()])
-            yield batch.filter(pa.array([k != UNKNOWN and x >= least for k, x in found], pa.bool_()))
+            for part in slices(batch, place):
+                found = scorer(shared).judge_all([t or "" for t in part.column(place).to_pylist()])
+                yield part.filter(pa.array([k != UNKNOWN and x >= least and usual for k, x, usual in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

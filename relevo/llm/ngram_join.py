@@ -3,17 +3,18 @@
 1. Documents with equal shingle sets fold into one class.
 2. *Grouping.* Each class meets the classes that share one of its min-hashes, and is compared with
    the smallest of them (one comparison per min-hash, however many share it). Linked classes form
-   families; a family is cut into groups of about ``GROUP_ROWS``, and a class of no family is a
-   group of its own.
+   families, which are cut into groups of about ``GROUP_ROWS``. The other classes are grouped by the
+   most frequent of their rare shingles, so that those that share a passage stand together; such
+   a group is cut too, into parts of ``GROUP_ROWS`` or of the square root of its rows.
 3. *Token-group matrix.* Shingles are ordered from rare to frequent (by a fixed-size table of
    bucket counts over all documents; any fixed order is right, this one keeps lists short). Two
    linked sets share a shingle among their first ``n - ceil(0.75 n) + 1``. Those prefixes,
-   partitioned by shingle, give (query, group) pairs of different families with the number of
-   shared shingles; a bound on that number drops most pairs.
+   partitioned by shingle, give (query, group) rows, one a shingle and group, with the number of shared shingles;
+   a bound on that number drops most of them. The list of a frequent shingle is dealt to several
+   tasks by chunks of groups, and every chunk meets all queries.
 4. A qualifying group's sets and its queries meet in one task. The group's token union bounds the
    overlap of each query; only groups that can still reach the threshold are opened and compared
-   set by set. A query that finds a link in a group need not look further there: the group is one
-   family.
+   set by set. A query that finds a link in a group of one family need not look further there.
 5. Components of all links.
 
 The similarity of two classes of one family does not matter for components, so no pairs are
@@ -27,12 +28,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm.components import connected_components
 from relevo.llm.fingerprints import mix
-from relevo.llm.frames import map_texts, partitions, written
+from relevo.llm.frames import SMALL_CHUNK, map_texts, partitions, slices, use_caches, written
 from relevo.llm.words import words_of
 
 SHINGLE = 5
@@ -42,6 +44,10 @@ QUERIES_PER_TASK = 1024
 #: log2 of the number of frequency buckets: a table of 4 MB, whatever the corpus.
 BUCKET_BITS = 20
 CHUNK_BITS = 12
+#: A bucket that holds so many documents more than twice the usual has its shingles' lists cut into chunks.
+HOT_ROWS = 4096
+#: Lists up to this length are compared row by row, many lists together; longer ones by group.
+SHORT_RUN = 64
 #: A side is broadcast if it has at most so many rows (of a few numbers each).
 BROADCAST_ROWS = 1_000_000
 _HASH_BITS = 48
@@ -97,10 +103,11 @@ def frequencies(docs: DataFrame, text_col: str = "text", size: int = SHINGLE) ->
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_caches("ngram_join")
         total = np.zeros(1 << BUCKET_BITS, np.uint32)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                found = shingle_sets([x or "" for x in batch.slice(at, 512).column(0).to_pylist()], size)
+            for part in slices(batch, 0):
+                found = shingle_sets([x or "" for x in part.column(0).to_pylist()], size)
                 buckets = (np.concatenate(found) >> np.uint64(_HASH_BITS - BUCKET_BITS)).astype(np.int64)
                 total += np.bincount(buckets, minlength=len(total)).astype(np.uint32)
         if total.any():
@@ -133,9 +140,10 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def profiles(docs: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, n, k1, k2, mins, prefix) of every document: set size, set key, min-hashes, rarest shingles."""
-    table = docs.sparkSession.sparkContext.broadcast(frequencies(docs, text_col, size))
+def profiles(docs: DataFrame, counts: np.ndarray, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, k1, k2, mins, prefix, hottest) of every document: set size, set key, min-hashes, rarest
+    shingles, and the most frequent of these. ``counts`` are those of shingle buckets."""
+    table = docs.sparkSession.sparkContext.broadcast(counts)
     seeds = [np.uint64(0xA0761D6478BD642F * (2 * m + 1) & (1 << 64) - 1) for m in range(PERMUTATIONS)]
 
     def rows(keys: list, texts: list) -> pa.RecordBatch:
@@ -143,32 +151,34 @@ def profiles(docs: DataFrame, percent: int, size: int, id_col: str, text_col: st
         for key, s in zip(keys, shingle_sets(texts, size), strict=True):
             n = len(s)
             if not n:
-                out.append((key, 0, 0, 0, [], b""))
+                out.append((key, 0, 0, 0, [], b"", 0))
                 continue
             wide = mix(s + np.uint64(n))
             order = np.lexsort((s, counts[(s >> np.uint64(_HASH_BITS - BUCKET_BITS)).astype(np.int64)]))
             prefix = s[order[: n - least_overlap(n, percent) + 1]]
             mins = [int(mix(s ^ x).min().astype(np.int64)) for x in seeds]
-            out.append((key, n, int(wide.sum().astype(np.int64)), int((wide * wide).sum().astype(np.int64)), mins, pack48(prefix)))
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
+            out.append((key, n, int(wide.sum().astype(np.int64)), int((wide * wide).sum().astype(np.int64)), mins, pack48(prefix), int(prefix[-1])))
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    names = ["id", "n", "k1", "k2", "mins", "prefix"]
+    names = ["id", "n", "k1", "k2", "mins", "prefix", "hottest"]
     typed = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col))
-    return written(map_texts(typed, id_col, text_col, rows, "id long, n int, k1 long, k2 long, mins array<bigint>, prefix binary"), "profiles")
+    return written(map_texts(typed, id_col, text_col, rows, "id long, n int, k1 long, k2 long, mins array<bigint>, prefix binary, hottest long", SMALL_CHUNK), "profiles")
 
 
 def verify(docs: DataFrame, pairs: DataFrame, members: DataFrame, percent: int, size: int, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) between queries and documents of their groups; at most one per query and group.
+    """Links (a, b) between queries and documents of their groups.
 
-    ``pairs`` is (q, g), ``members`` (g, id). A group with many queries is served by several tasks,
-    each with the group's sets.
+    ``pairs`` is (q, g), ``members`` (g, id, one): ``one`` marks groups of one family, where a query's
+    first link is enough. A group with many queries is served by several tasks, each with the
+    group's sets.
     """
     salts = pairs.groupBy("g").agg(F.ceil(F.count("*") / QUERIES_PER_TASK).cast("int").alias("salts"))
     salted = written(members.join(salts, "g"), "members")
-    inside = salted.select("id", "g", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
+    role = F.when(F.col("one"), 0).otherwise(1)
+    inside = salted.select("id", "g", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), role.alias("role"))
     asked = pairs.join(salted.select("g", "salts").distinct(), "g").select(
-        F.col("q").alias("id"), "g", F.pmod(F.xxhash64("q"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
+        F.col("q").alias("id"), "g", F.pmod(F.xxhash64("q"), F.col("salts")).cast("int").alias("salt"), F.lit(2).alias("role"))
     targets = written(inside.unionByName(asked), "targets")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text"))
     wanted = texts.join(small(targets), "id").select("id", "_text", "g", "salt", "role")
@@ -176,8 +186,7 @@ def verify(docs: DataFrame, pairs: DataFrame, members: DataFrame, percent: int,
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: tuple = (None, None)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 ids, found, todo = part.column(0).to_pylist(), [], {}
                 texts = part.column(1).to_pylist()
                 for i, (k, t) in enumerate(zip(ids, texts, strict=True)):
@@ -192,15 +201,16 @@ def verify(docs: DataFrame, pairs: DataFrame, members: DataFrame, percent: int,
                                                  ["g", "salt", "role", "id", "tokens"])
 
     def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, inside, union = None, [], None
+        unit, inside, union, one = None, [], None, True
         for batch in batches:
             links = []
             for g, salt, role, key, data in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 tokens = unpack48(data)
                 if unit != (g, salt):
-                    unit, inside, union = (g, salt), [], None
-                if role == 0:
+                    unit, inside, union, one = (g, salt), [], None, True
+                if role < 2:
                     inside.append((key, tokens))
+                    one = one and role == 0
                     continue
                 if union is None:
                     union = np.unique(np.concatenate([t for _, t in inside])) if inside else np.zeros(0, np.uint64)
@@ -212,7 +222,8 @@ def verify(docs: DataFrame, pairs: DataFrame, members: DataFrame, percent: int,
                         both = _shared(tokens, held)
                         if 100 * both >= percent * (len(tokens) + len(held) - both) and other != key:
                             links.append((key, other))
-                            break
+                            if one:
+                                break
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()), pa.array([x[1] for x in links], pa.int64())], ["a", "b"])
 
@@ -231,84 +242,140 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def candidates(prefixes: DataFrame, percent: int) -> DataFrame:
-    """(q, g) pairs of different families that share enough prefix shingles.
+def candidates(prefixes: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(q, g) pairs that share enough prefix shingles.
 
-    ``prefixes``: (id, n, prefix, family, g, family_rows); null family, g: a group of its own. Of
-    two families the documents of the smaller one ask the groups of the larger.
+    ``prefixes``: (id, n, prefix, family, g, family_rows); a null family: not linked to its group, a null
+    g: alone in its own. Of two families the documents of the smaller one ask the groups of the larger;
+    others ask families, the groups after their own, and their own. ``counts``, by shingle bucket,
+    say how many chunks a shingle's list is cut into: one, unless its bucket stands out.
     """
+    chunks_of = 1 + np.maximum(counts.astype(np.int64) - 2 * int(np.median(counts)), 0) // HOT_ROWS
+    table = prefixes.sparkSession.sparkContext.broadcast(chunks_of.astype(np.int32))
 
     def explode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for part in slices(batch, 2):
                 found = [unpack48(x.as_py()) for x in part.column(2)]
-                if found:
-                    row = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
-                    rest = [part.column(i).take(row) for i in (0, 1, 3, 4, 5)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).astype(np.int64)), *rest], ["h", "id", "n", "family", "g", "family_rows"])
+                h = np.concatenate([np.zeros(0, np.uint64), *found])
+                row = np.repeat(np.arange(len(found)), [len(x) for x in found])
+                chunks = table.value[(h >> np.uint64(_HASH_BITS - BUCKET_BITS)).astype(np.int64)]
+                g = pc.coalesce(part.column(4), part.column(0)).to_numpy()[row]
+                own = mix(g.astype(np.uint64)) % chunks.astype(np.uint64)
+                again = np.repeat(np.arange(len(h)), chunks)
+                chunk = np.arange(len(again)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+                rest = [part.column(i).take(pa.array(row[again])) for i in (0, 1, 3, 4, 5)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[again].astype(np.int64)), pa.array(chunk.astype(np.int32)), pa.array(own[again] == chunk.astype(np.uint64)), *rest],
+                    ["h", "chunk", "member", "id", "n", "family", "g", "family_rows"])
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held: list[np.ndarray] = []
         for batch in batches:
-            cols = [batch.column(i) for i in range(6)]
-            single = cols[3].is_null().to_numpy(zero_copy_only=False)
-            h, ids, n = (c.to_numpy() for c in cols[:3])
-            family, g = (np.where(single, ids, c.fill_null(0).to_numpy()) for c in cols[3:5])
-            rows = np.where(single, 1, cols[5].fill_null(1).to_numpy())
-            now = np.stack([h, ids, n, family, g, rows])
-            if held is not None:
-                now = np.concatenate([held, now], 1)
-            last = np.searchsorted(now[0], now[0, -1]) if now.shape[1] else 0
-            held, done = now[:, last:], now[:, :last]
-            yield from pairs(done)
-        if held is not None:
-            yield from pairs(held)
+            if not batch.num_rows:
+                continue
+            h, chunk = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            member, single = (batch.column(i).to_numpy(zero_copy_only=False) if i == 2 else batch.column(i).is_null().to_numpy(zero_copy_only=False) for i in (2, 5))
+            ids, n = (batch.column(i).to_numpy() for i in (3, 4))
+            g = pc.coalesce(batch.column(6), batch.column(3)).to_numpy()
+            family = np.where(single, 0, batch.column(5).fill_null(0).to_numpy())
+            rows = np.where(single, 0, batch.column(7).fill_null(0).to_numpy())
+            now = np.stack([h, chunk, ids, n, family, g, rows, member])
+            cuts = np.flatnonzero((now[:2, 1:] != now[:2, :-1]).any(0)) + 1
+            if held and (held[0][:2, 0] != now[:2, 0]).any():
+                yield from pairs(np.concatenate(held, 1))
+                held = []
+            if len(cuts):
+                yield from pairs(np.concatenate([*held, now[:, : cuts[-1]]], 1))
+                held = [now[:, cuts[-1] :]]
+            else:
+                held.append(now)
+        if held:
+            yield from pairs(np.concatenate(held, 1))
 
     def pairs(x: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cuts = np.flatnonzero(x[0, 1:] != x[0, :-1]) + 1
+        cuts = np.flatnonzero((x[:2, 1:] != x[:2, :-1]).any(0)) + 1
         starts = np.concatenate([[0], cuts])
         sizes = np.diff(np.concatenate([starts, [x.shape[1]]]))
         out, rows = [], 0
-        for s, k in zip(starts[sizes > 1], sizes[sizes > 1], strict=True):
-            run = x[1:, s : s + k]
-            if (run[2] == run[2, 0]).all():
-                continue
-            groups = np.unique(run[[4, 2, 3, 1]], axis=1)  # by (family size, family, group, n)
-            step = max(1, 2_000_000 // groups.shape[1])
-            for at in range(0, k, step):
-                q = run[:, at : at + step]
-                i, j = np.nonzero((q[4][:, None] < groups[0]) | (q[4][:, None] == groups[0]) & (q[2][:, None] < groups[1]))
-                n, m = q[1][i], groups[3][j]
-                ok = (100 * n >= percent * m) & (100 * m >= percent * n)
-                i, j, n, m = i[ok], j[ok], n[ok], m[ok]
-                if len(i):
-                    # overlap needed, less what can lie beyond the prefix that ends first
-                    need = -(-percent * (n + m) // (100 + percent)) - (least_overlap(np.maximum(n, m), percent) - 1)
-                    found = np.stack([q[0][i], groups[2][j], np.maximum(need, 1)])
-                    if (run[4] > 1).any():  # several sizes of one group: keep the weakest need
-                        found = found[:, np.lexsort(found[::-1])]
-                        found = found[:, np.concatenate([[True], (found[:2, 1:] != found[:2, :-1]).any(0)])]
-                    out.append(found)
-                    rows += found.shape[1]
-                    if rows > 200_000:
-                        yield batch_of(out)
-                        out, rows = [], 0
+        short = (sizes > 1) & (sizes <= SHORT_RUN)
+        together = (np.cumsum(sizes[short] ** 2) - 1) // 1_000_000
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(together)) + 1, [int(short.sum())]])
+        work = [(starts[short][a:b], sizes[short][a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+        work += [(np.array([s]), np.array([k])) for s, k in zip(starts[sizes > SHORT_RUN], sizes[sizes > SHORT_RUN], strict=True)]
+        for s, k in work:
+            for found in short_runs(x, s, k) if not len(k) or k[0] <= SHORT_RUN else long_run(x[2:, s[0] : s[0] + k[0]]):
+                out.append(found)
+                rows += found.shape[1]
+                if rows > 200_000:
+                    yield batch_of(out)
+                    out, rows = [], 0
         if out:
             yield batch_of(out)
 
+    def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """The overlap needed by sets of n and m, less what can lie beyond the prefix that ends first."""
+        return np.maximum(-(-percent * (n + m) // (100 + percent)) - (least_overlap(np.maximum(n, m), percent) - 1), 1)
+
+    def short_runs(x: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+        """(q, g, need) of many short lists at once."""
+        row = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        of, k = np.repeat(np.arange(len(size)), size), np.repeat(size, size)
+        i = np.repeat(row, k)
+        j = np.repeat(start[of] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))
+        n, m, qr, gr, qf, gf, qg, g = x[3, i], x[3, j], x[6, i], x[6, j], x[4, i], x[4, j], x[5, i], x[5, j]
+        asks = (qr < gr) | (qr == gr) & np.where(qr > 0, qf < gf, qg <= g)
+        ok = np.flatnonzero(asks & (i != j) & (x[7, j] == 1) & (100 * n >= percent * m) & (100 * m >= percent * n))
+        if len(ok):
+            found = np.stack([np.repeat(of, k)[ok], x[2, i[ok]], g[ok], needed(n[ok], m[ok])])
+            found = found[:, np.lexsort(found[::-1])]  # several sizes of one group: keep the weakest need
+            yield found[1:, np.concatenate([[True], (found[:3, 1:] != found[:3, :-1]).any(0)])]
+
+    def long_run(run: np.ndarray) -> Iterator[np.ndarray]:
+        """(q, g, need) of one list, its members taken together by group and size."""
+        inside = run[:, run[5] == 1]
+        if not inside.shape[1] or (run[4, 0] and (run[2] == run[2, 0]).all()):
+            return
+        # groups by (family rows, family, group, n), with the holders of each; rows 0: not a family
+        groups, holders = np.unique(inside[[4, 2, 3, 1]], axis=1, return_counts=True)
+        first = np.concatenate([[True], (groups[:3, 1:] != groups[:3, :-1]).any(0)])
+        part = np.cumsum(first) - 1
+        alone = (np.bincount(part, holders) == 1)[part]
+        step = max(1, 2_000_000 // groups.shape[1])
+        for at in range(0, run.shape[1], step):
+            q = run[:, at : at + step]
+            qr, qf, qg = (q[i][:, None] for i in (4, 2, 3))
+            i, j = np.nonzero((qr < groups[0]) | (qr == groups[0]) & ((qr > 0) & (qf < groups[1]) | (qr == 0) & ((qg < groups[2]) | (qg == groups[2]) & ~alone)))
+            n, m = q[1][i], groups[3][j]
+            ok = (100 * n >= percent * m) & (100 * m >= percent * n)
+            i, j, n, m = i[ok], j[ok], n[ok], m[ok]
+            if len(i):
+                found = np.stack([q[0][i], groups[2][j], needed(n, m)])
+                found = found[:, np.lexsort(found[::-1])]
+                yield found[:, np.concatenate([[True], (found[:2, 1:] != found[:2, :-1]).any(0)])]
+
     def batch_of(out: list[np.ndarray]) -> pa.RecordBatch:
         q, g, need = np.concatenate(out, 1)
         return pa.RecordBatch.from_arrays([pa.array(q), pa.array(g), pa.array(need.astype(np.int32))], ["q", "g", "need"])
 
     spark = prefixes.sparkSession
-    schema = "h long, id long, n int, family long, g long, family_rows int"
+    schema = "h long, chunk int, member boolean, id long, n int, family long, g long, family_rows int"
     by_shingle = prefixes.select("id", "n", "prefix", "family", "g", "family_rows").mapInArrow(explode, schema) \
-        .repartition(2 * partitions(spark), "h").sortWithinPartitions("h")
+        .repartition(2 * partitions(spark), "h", "chunk").sortWithinPartitions("h", "chunk")
     met = by_shingle.mapInArrow(meet, "q long, g long, need int")
     return written(met.groupBy("q", "g").agg(F.count("*").alias("c"), F.min("need").alias("need")).where("c >= need").select("q", "g"), "pairs")
 
 
+def grouped(reps: DataFrame, families: DataFrame) -> DataFrame:
+    """(id, n, prefix, family, g, family_rows) of every class: its group (null: its own alone), and its
+    family if it has one. Only group sizes are written; the classes are read again where they are used."""
+    rows = reps.join(small(families), "id", "left")
+    sizes = rows.where("family is null").groupBy("hottest").agg(F.count("*").alias("rows")).where("rows > 1")
+    parts = written(sizes.select("hottest", F.ceil(F.col("rows") / F.greatest(F.lit(GROUP_ROWS), F.sqrt("rows"))).alias("parts")), "parts")
+    alike = F.when(F.col("parts").isNotNull(), F.xxhash64("hottest", F.pmod(F.xxhash64("id"), F.col("parts")), F.lit("alike")))
+    return rows.join(small(parts), "hottest", "left").select("id", "n", "prefix", "family", F.coalesce("g", alike).alias("g"), "family_rows")
+
+
 def jaccard_components(docs: DataFrame, percent: int = 75, size: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id), one row per input row; ids are integers.
 
@@ -317,7 +384,8 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = SHINGLE,
     with nothing and has a null component. Rows that repeat an id count as one document with
     several texts. An empty table gives an empty table.
     """
-    rows = profiles(docs, percent, size, id_col, text_col)
+    counts = frequencies(docs, text_col, size)
+    rows = profiles(docs, counts, percent, size, id_col, text_col)
     live = rows.where("id is not null and n > 0")
     classes = live.groupBy("k1", "k2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     folded = written(classes.where("copies > 1").select("k1", "k2", "n", "rep"), "classes")
@@ -329,7 +397,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = SHINGLE,
     slots = reps.select("id", F.posexplode("mins").alias("m", "low"))
     pivots = written(slots.groupBy("m", "low").agg(F.min("id").alias("g"), F.max("id").alias("top")).where("g != top").select("m", "low", "g"), "pivots")
     near = written(slots.join(pivots, ["m", "low"]).where("id != g").select(F.col("id").alias("q"), "g").distinct(), "near")
-    first = verify(docs, near, near.select("g").distinct().withColumn("id", F.col("g")), percent, size, id_col, text_col)
+    first = verify(docs, near, near.select("g", F.col("g").alias("id"), F.lit(True).alias("one")).distinct(), percent, size, id_col, text_col)
     roots = connected_components(first)
 
     rows_of = roots.groupBy("component").agg(F.count("*").cast("int").alias("family_rows"))
@@ -337,10 +405,11 @@ def jaccard_components(docs: DataFrame, percent: int = 75, size: int = SHINGLE,
         roots.join(rows_of, "component").select(
             F.col("node").alias("id"), F.col("component").alias("family"), "family_rows",
             F.xxhash64("component", F.pmod(F.xxhash64("node"), F.ceil(F.col("family_rows") / GROUP_ROWS))).alias("g")), "families")
-    prefixes = reps.join(small(families), "id", "left")
-    found = candidates(prefixes, percent)
+    prefixes = grouped(reps, families)
+    found = candidates(prefixes, counts, percent)
     asked = found.select("g").distinct()
-    members = asked.join(families.select("g", "id"), "g", "left").select("g", F.coalesce("id", "g").alias("id"))
+    held = prefixes.select(F.coalesce("g", "id").alias("g"), "id", F.col("family").isNotNull().alias("one"))
+    members = held.join(small(written(asked, "asked")), "g", "left_semi")
     second = verify(docs, found, members, percent, size, id_col, text_col)
 
     links = roots.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(second)

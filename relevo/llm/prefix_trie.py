@@ -119,11 +119,12 @@ def nodes(convs: DataFrame, paths: DataFrame) -> tuple[DataFrame, DataFrame]:
 def subtree_sums(tree: DataFrame, paths: DataFrame, values: list[str]) -> DataFrame:
     """(key, *values): the long columns ``values`` of a forest's nodes, summed over their subtrees.
 
-    ``tree``: (key, parent, depth, rep, weight, *values), a written table of all nodes; ``paths``:
+    ``tree``: (key, parent, depth, rep, weight, comp, *values), a written table of all nodes, ``comp`` the
+    key of the tree's top; ``paths``:
     (conv_id, depth, key, parent), the nodes below the top on every member's way. Rounds are at
     most the logarithm of a tree's weight over ``COMPONENT``, or over its heaviest node if that is heavier.
     """
-    live = tree.withColumn("comp", _root()).select("key", "parent", "depth", "rep", "weight", "comp", *values)
+    live = tree.select("key", "parent", "depth", "rep", "weight", "comp", *values)
     done, rounds = [], []
     while True:
         tops = live.where("key = comp").select("comp", F.col("weight").alias("total"), F.col("depth").alias("top"))
@@ -334,9 +335,9 @@ def prefix_trie(conversations: DataFrame, id_col: str = "conv_id", turn_col: str
     found, ends = nodes(convs, paths)
     children = found.where("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("n_children"))
     tree = found.join(written(children, "n_children"), "key", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
-    tree = written(tree.withColumns({"n_leaves": (F.col("n_children") == 0).cast("long"), "saved_tokens": (F.col("n_convs") - 1) * F.col("chars")}), "tree")
+    tree = written(tree.withColumns({"n_leaves": (F.col("n_children") == 0).cast("long"), "saved_tokens": (F.col("n_convs") - 1) * F.col("chars"), "comp": _root()}), "tree")
     sums = written(subtree_sums(tree, paths, ["n_leaves", "saved_tokens"]), "sums")
     parents = tree.select(F.col("key").alias("parent"), F.col("rep").alias("parent_conv_id"))
-    out = tree.drop("n_leaves", "saved_tokens").join(sums, "key").join(parents, "parent", "left").join(written(end_digests(ends), "digests"), "key", "left")
+    out = tree.drop("n_leaves", "saved_tokens", "comp").join(sums, "key").join(parents, "parent", "left").join(written(end_digests(ends), "digests"), "key", "left")
     return out.select(F.col("rep").alias(id_col), "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
                       F.coalesce("ends_sha256", F.lit(_EMPTY)).alias("ends_sha256"))

@@ -29,8 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm.bpe import arrow_type
-from relevo.llm.frames import partitions, written
-from relevo.session import shared_path
+from relevo.llm.frames import partitions, scratch, written
 
 #: Entries of one compressed index block.
 BLOCK_ENTRIES = 512
@@ -105,7 +104,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, id_col: str = "page_id"
     big = F.length("payload") >= min_bytes
     typed = marked.join(same, "sha", "left").select(
         "page", "url", "payload", F.when(big & F.col("page").isNotNull() & (F.col("page") != F.col("first")), F.col("first")).alias("refers_to"))
-    folder = shared_path(spark, "llm", f"warc-{uuid.uuid4().hex}")
+    folder = scratch(spark, "warc")
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, path = _open(folder)

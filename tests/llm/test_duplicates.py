@@ -67,9 +67,37 @@ def test_jaccard_ids_with_several_texts(spark):
     assert got == {(k, len(u), root[k]) for k, u in sets} and {root[k] for k in range(1, 7)} == {1}
 
 
-def test_jaccard_families_that_link_across_groups(spark, monkeypatch):
+@pytest.mark.parametrize("short", [64, 1])
+def test_jaccard_of_texts_that_share_a_passage(spark, monkeypatch, short):
+    """Many different texts around one passage, some of them linked without sharing a min-hash; lists in chunks."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "GROUP_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "HOT_ROWS", 4)
+    monkeypatch.setattr(ngram_join, "SHORT_RUN", short)
+    monkeypatch.setattr(ngram_join, "PERMUTATIONS", 1)
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    rows, base = [], None
+    for i in range(90):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(30, 60))]
+        if i % 3 == 0:
+            base = own
+        elif i % 3 == 1:  # near the one before: a word changed every 25
+            own = [w if k % 25 != 7 else "zz" for k, w in enumerate(base)]
+        at = rng.randrange(len(own))
+        rows.append((i, " ".join(own + passage if i % 3 < 2 else own[:at] + passage + own[at:])))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sets = {k: _shingles(t) for k, t in rows}
+    links = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    assert got == _roots(sets, links) and len(links) > 3
+
+
+@pytest.mark.parametrize("short", [64, 1])
+def test_jaccard_families_that_link_across_groups(spark, monkeypatch, short):
     """A chain of slowly changing texts: links run between families, with small groups."""
     monkeypatch.setattr(ngram_join, "GROUP_ROWS", 2)
+    monkeypatch.setattr(ngram_join, "SHORT_RUN", short)
     words = [f"w{i}" for i in range(260)]
     texts = [(i, " ".join(words[3 * i : 3 * i + 60])) for i in range(60)]
     docs = spark.createDataFrame(texts, "doc_id long, text string")

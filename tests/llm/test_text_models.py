@@ -72,6 +72,28 @@ def test_expected_uses_sum_over_all_segmentations():
     assert np.allclose(langid.expected_uses(lat, found, column, n, p), want)
 
 
+#: Texts in no language of the tables.
+FOREIGN = {
+    1: "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto " * 3,
+    2: "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem " * 3,
+    3: "qxzv wkjp zzqk vvxq pqzj xkcd qwzx jjqv zxkw vqpz kxzj wqvx " * 6,
+    4: "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。" * 5,
+    5: "alle mensen worden vrij en gelijk in waardigheid en rechten geboren zij zijn begiftigd met verstand en geweten " * 3,
+}
+
+
+def test_stage_drops_languages_it_has_not_learned(spark):
+    """A posterior compares the learned languages only; unknown ones have one too. Learned rows all stay."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out()), PIECES)
+    foreign = spark.createDataFrame(list(FOREIGN.items()), "doc_id long, text string")
+    assert min(r["score"] for r in langid.predict(foreign, model).collect()) > 0.5
+    assert langid.keep_known(foreign, model).count() == 0
+    held = docs.where(langid.held_out())
+    posterior = langid.predict(held, model).where("lang_pred != 'und' and score >= 0.5").count()
+    assert langid.keep_known(held, model).count() == posterior
+
+
 def test_fit_is_not_cut_short(spark):
     """The production fit: 1,000 rows a language, three rounds; each language held out."""
     assert (langid.TRAIN_ROWS, langid.ROUNDS) == (1000, 3)
@@ -217,7 +239,7 @@ def test_pipeline_runs_on_the_documents(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF_SMALL)
     want = con.sql(queries.ORACLE_SQL[name])
@@ -227,4 +249,4 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(n.split("_")[0][2:]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n.split("_")[0][2:]) for n in queries.QUERIES} == set(range(1, 14))
