@@ -9,8 +9,9 @@ dimension the one chosen has the smallest weighted residual norm after it is pla
 the largest weighted dot product of demand and residual (``dot``).
 
 Only (id, piece, length) rows are shuffled, never ids. Pieces are dealt at random into shards of
-about ``shard_pieces``, each packed by one task. A shard leaves at most a few sequences open, so
-its loss is a fixed number per thousand sequences at every size.
+about ``shard_pieces``, or of more short ones, so that a shard fills ``SHARD_SEQUENCES`` at least; each is
+packed by one task. A shard leaves at most a few sequences open, so its loss is a fixed number per
+thousand sequences at every size.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from relevo.llm.frames import map_texts, written
 IDS = 800_000
 #: Pieces of a shard: enough that nearly every gap finds a fitting piece.
 SHARD_PIECES = 2048
+#: Sequences that a shard fills at least, where there are as many.
+SHARD_SEQUENCES = 256
 
 
 @functools.lru_cache(2)
@@ -119,14 +122,15 @@ def pack(piece_rows: DataFrame, max_tokens: int = 2048, max_docs: int = 2048, ma
          weights: Sequence[float] | None = None, rule: str = "norm", shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to piece rows (any columns, with ``length``).
 
-    Pieces of one sequence lie side by side from offset 0. ``weights`` default to 1 for tokens and
-    for each other capacity that can bind before the tokens do, else 0. An empty table gives an
+    Pieces of one sequence lie side by side from offset 0. ``weights`` of tokens, documents and attention
+    cost default to 1 each: all three residuals choose the sequence. An empty table gives an
     empty table; equal pieces are placed one by one.
     """
     capacity = (max_tokens, max_docs, float(max_cost or max_tokens**2))
-    w = weights or (1.0, float(max_docs < max_tokens), float(capacity[2] < max_tokens**2))
+    w = weights or (1.0, 1.0, 1.0)
     rows = written(piece_rows, "pieces")
-    shards = max(1, round(rows.count() / shard_pieces))
+    n, total = rows.agg(F.count("*"), F.sum("length")).first()
+    shards = max(1, min(round(n / shard_pieces), (total or 0) // (max_tokens * SHARD_SEQUENCES)))
     # dealt by row, not by any key of the data: no key can make a shard hot
     dealt = rows.withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     schema = rows.schema.add("sequence_id", "long").add("offset", "long")

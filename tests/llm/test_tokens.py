@@ -110,3 +110,14 @@ def test_best_fit_keeps_every_capacity(rule):
         assert tokens.max() + 1 <= max(-(-lengths.sum() // 100), (lengths > 50).sum()) * 1.03
     with pytest.raises(ValueError):
         packing.best_fit(np.array([101]), (100, 3, 1e6), (1.0, 0.0, 0.0))
+
+
+def test_all_three_residuals_choose(spark):
+    """By default the packing weighs tokens, documents and attention cost; by tokens alone it would differ."""
+    lengths = np.random.default_rng(3).integers(1, 900, 400)
+    capacity = (2048, 2048, 2048.0**2)
+    seq, offset = packing.best_fit(lengths, capacity, (1.0, 1.0, 1.0))
+    alone, _ = packing.best_fit(lengths, capacity, (1.0, 0.0, 0.0))
+    assert (seq != alone).any() and seq.max() <= alone.max() + 1
+    rows = packing.pack(spark.createDataFrame([(i, int(n)) for i, n in enumerate(lengths)], "id long, length long").coalesce(1)).collect()
+    assert sorted((r["id"], r["sequence_id"], r["offset"]) for r in rows) == [(i, int(s), int(o)) for i, (s, o) in enumerate(zip(seq, offset, strict=True))]
