@@ -81,9 +81,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_warc", oracles.WARC)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write all pages as WARC records, index them, and read every record back through the index."""
-    index = warc.write_archives(table(spark, sf_dir, "pages"), min_bytes=0)
-    return warc.read_records(warc.entries(index)).select(
+    """Write all pages as WARC records, index them, look every page's URL up in the index, and read the records."""
+    pages = table(spark, sf_dir, "pages")
+    index = warc.write_archives(pages, min_bytes=0)
+    return warc.read_records(warc.captures_of(index, pages)).select(
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

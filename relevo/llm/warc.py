@@ -25,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,9 +138,10 @@ def _entries(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
 
 
 def build_index(captures: DataFrame) -> DataFrame:
-    """Pack sorted entries into blocks: (block, first_key, last_key, entries, data), written as Parquet.
+    """Pack sorted entries into blocks: (part, block, first_key, last_key, entries, data), written as Parquet.
 
-    The key columns are the sparse directory; ``data`` is the compressed block.
+    The key columns are the sparse directory; ``data`` is the compressed block; ``part`` the range
+    of keys that one task packed.
     """
 
     def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +156,13 @@ def build_index(captures: DataFrame) -> DataFrame:
 
     def block(rows: list[dict]) -> pa.RecordBatch:
         data = zlib.compress(json.dumps([list(r.values()) for r in rows]).encode())
-        return pa.RecordBatch.from_pylist([{"block": uuid.uuid4().hex, "first_key": rows[0]["key"], "last_key": rows[-1]["key"], "entries": len(rows), "data": data}],
-                                          pa.schema([("block", pa.string()), ("first_key", pa.string()), ("last_key", pa.string()), ("entries", pa.int32()), ("data", pa.binary())]))
+        return pa.RecordBatch.from_pylist([{"part": TaskContext.get().partitionId(), "block": uuid.uuid4().hex, "first_key": rows[0]["key"], "last_key": rows[-1]["key"], "entries": len(rows), "data": data}],
+                                          pa.schema([("part", pa.int32()), ("block", pa.string()), ("first_key", pa.string()), ("last_key", pa.string()), ("entries", pa.int32()), ("data", pa.binary())]))
 
     n = partitions(captures.sparkSession)
     order = ["key", "page", "file", "offset"]
     ranged = captures.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return written(ranged.mapInArrow(blocks, "block string, first_key string, last_key string, entries int, data binary"), "index")
+    return written(ranged.mapInArrow(blocks, "part int, block string, first_key string, last_key string, entries int, data binary"), "index")
 
 
 def entries(index: DataFrame, id_type: str = "bigint") -> DataFrame:
@@ -202,6 +204,66 @@ def lookup(index: DataFrame, urls: list[str], id_type: str = "bigint") -> DataFr
     return index.join(named, "block", "left_semi").select("data").mapInArrow(search, ENTRY.format("string" if id_type == "string" else "bigint"))
 
 
+def captures_of(index: DataFrame, urls: DataFrame, url_col: str = "url", id_type: str = "bigint") -> DataFrame:
+    """The entries of all URLs of a table, through both levels of the index.
+
+    A key is routed to its part by the parts' bounds (one row a part, at most as many as shuffle
+    partitions), binary-searched in the part's directory for the blocks that may hold it, and
+    binary-searched in these blocks. Keys and directory rows of a part, then keys and data of a block, meet sorted in
+    one stream, so nothing is held but one part's directory and one block. A null URL has the empty key. Repeated URLs give
+    their entries once, URLs that are not in the index none.
+    """
+    spark = index.sparkSession
+    bounds = sorted((r["a"], r["b"], r["part"]) for r in index.groupBy("part").agg(F.min("first_key").alias("a"), F.max("last_key").alias("b")).collect())
+    lows, highs, parts = ([b[i] for b in bounds] for i in range(3))
+    key_type = pa.string() if id_type == "string" else pa.int64()
+
+    def route(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(p, k) for k in map(url_key, batch.column(0).to_pylist()) for p in parts[bisect.bisect_left(highs, k) : bisect.bisect_right(lows, k)]]
+            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int32()), pa.array([k for _, k in out], pa.string())], ["part", "key"])
+
+    def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, first, last, names = None, [], [], []
+        for batch in batches:
+            out = []
+            for part, role, key, end, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != held:
+                    held, first, last, names = part, [], [], []
+                if role == 0:
+                    first.append(key)
+                    last.append(end)
+                    names.append(block)
+                else:
+                    out += [(b, key) for b in names[bisect.bisect_left(last, key) : bisect.bisect_right(first, key)]]
+            yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.string()), pa.array([k for _, k in out], pa.string())], ["block", "key"])
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, names = None, [], []
+        for batch in batches:
+            out = []
+            for block, role, key, data in zip(*(batch.column(i) for i in range(4)), strict=True):
+                if role.as_py() == 0:
+                    held, rows = block.as_py(), json.loads(zlib.decompress(data.as_py()))
+                    names = [r[0] for r in rows]
+                elif block.as_py() == held:
+                    k = key.as_py()
+                    out += rows[bisect.bisect_left(names, k) : bisect.bisect_right(names, k)]
+            yield _entries(out, key_type)
+
+    n = partitions(spark)
+    asked = urls.select(F.col(url_col).cast("string").alias("url")).distinct().mapInArrow(route, "part int, key string").distinct()
+    nothing = F.lit(None)
+    directory = index.select("part", F.lit(0).alias("role"), F.col("first_key").alias("key"), F.col("last_key").alias("end"), "block")
+    keyed = asked.select("part", F.lit(1).alias("role"), "key", nothing.cast("string").alias("end"), nothing.cast("string").alias("block"))
+    met = directory.unionByName(keyed).repartition(n, "part").sortWithinPartitions("part", "role", "key", "end")
+    named = met.mapInArrow(blocks, "block string, key string")
+    data = index.select("block", F.lit(0).alias("role"), nothing.cast("string").alias("key"), "data")
+    both = data.unionByName(named.select("block", F.lit(1).alias("role"), "key", nothing.cast("binary").alias("data")))
+    both = both.repartition(n, "block").sortWithinPartitions("block", "role", "key")
+    return both.mapInArrow(search, ENTRY.format("string" if id_type == "string" else "bigint"))
+
+
 def read_records(found: DataFrame) -> DataFrame:
     """Read the records of index entries by byte range.
 

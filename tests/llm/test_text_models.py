@@ -168,7 +168,7 @@ def test_edited_fingerprints(messy, none):
     assert fingerprints.edited_fingerprints(messy.where("doc_id = 0")).first()["near_next"] == 1.0
 
 
-def test_archives_round_trip(spark):
+def test_archives_round_trip(spark, monkeypatch):
     pages = [(1, "http://A.example.org/x?q=1", "<p>é</p>"), (2, "https://b.org", "<p>é</p>"), (3, None, None), (4, "c.net/\r\nz", ""),
              (5, "http://a.example.org/y", "a\r\n\r\nb"), (5, "http://a.example.org/y", "a\r\n\r\nb"), (None, "http://d.org/", "solo"), (6, "u", "x" * 70_000)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("key", F.lit("clash"))
@@ -188,6 +188,15 @@ def test_archives_round_trip(spark):
             want.append((k, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", to if again else None))
         assert sorted([(r["page"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got], key=str) == sorted(want, key=str)
         assert {r["payload"] for r in got if r["record_type"] == "response"} == {h or "" for _, _, h in pages}
+    monkeypatch.setattr(warc, "BLOCK_ENTRIES", 2)
+    index = warc.write_archives(df, min_bytes=least)
+    every = sorted(map(str, warc.entries(index).collect()))
+    assert sorted(map(str, warc.captures_of(index, df.unionByName(df)).collect())) == every
+    some = spark.createDataFrame([("http://a.example.org/y",), ("http://missing.org",), (None,), ("~",)], "url string")
+    keys = {warc.url_key(u) for u in ("http://a.example.org/y", None)}
+    want = sorted(str(r) for r in warc.entries(index).collect() if r["key"] in keys)
+    assert sorted(map(str, warc.captures_of(index, some).collect())) == want and 0 < len(want) < len(every)
+    assert warc.captures_of(index, some.limit(0)).count() == 0 == warc.captures_of(index.limit(0), some).count()
     found = warc.lookup(index, ["http://a.example.org/y", "https://b.org", "http://missing.org"]).collect()
     assert sorted(r["page"] for r in found) == [2, 5, 5]
     assert warc.url_key("http://User@B.Example.org:80/p?q") == "org,example,b:80)/p?q"
