@@ -38,7 +38,7 @@ LONGEST = 32
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: A text is usual for a language if its log probability is at most so much a letter below that of the
 #: language's training words, and so many standard deviations of the sum over its words.
-MARGIN, DEVIATIONS = 0.5, 4.0
+MARGIN, DEVIATIONS = 1.2, 4.0
 START = "▁"  # marks the start of a word in the vocabulary
 
 
