@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -48,8 +49,12 @@ def partitions(spark: SparkSession) -> int:
 
 def use_caches(owner: str, clear: Callable[[], None] | None = None) -> None:
     """Called inside a task: empties what other owners keep in this worker, and notes how to empty the owner's."""
-    for other in [o for o in _CACHES if o != owner]:
+    others = [o for o in _CACHES if o != owner]
+    for other in others:
         _CACHES.pop(other)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     if clear is not None:
         _CACHES[owner] = clear
 

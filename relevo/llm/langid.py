@@ -36,9 +36,10 @@ ADDED = 0.05
 #: Letter runs are cut at this length, so that no product of probabilities underflows.
 LONGEST = 32
 _LETTERS = re.compile(r"[^\W\d_]+")
-#: A text is usual for a language if its log probability is at most so much a letter below that of the
-#: language's training words, and so many standard deviations of the sum over its words.
-MARGIN, DEVIATIONS = 1.2, 4.0
+#: A word is odd for a language if its log probability is so much a letter below that of the language's training
+#: words; a text is usual if its odd words hold at most this share of its letters. Names, keys and slips
+#: leave a text usual.
+MARGIN, ODD_SHARE = 1.0, 0.65
 START = "▁"  # marks the start of a word in the vocabulary
 
 
@@ -134,9 +135,8 @@ class Model:
     languages: list[str]
     prior: np.ndarray
     p: np.ndarray
-    #: Log probability of the language's own training words: its mean a letter, and its spread a word about that.
+    #: Mean log probability, a letter, of the language's own training words.
     level: np.ndarray | None = None
-    spread: np.ndarray | None = None
 
 
 class Scorer:
@@ -145,6 +145,7 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.lat = model, lattice(model.path)
         self.rows = np.empty((MEMO, len(model.languages)))
+        self.odd = np.zeros((MEMO, len(model.languages)), np.int32)  # the letters of a word that is odd
         self.at: dict[str, int] = {}
 
     def _learn(self, new: list[str]) -> None:
@@ -160,7 +161,11 @@ class Scorer:
             w, start, _, piece = arcs[cuts[end - 1] : cuts[end]].T
             np.add.at(alpha[:, end], w, alpha[w, start] * p[piece])
         first = len(self.at)
-        self.rows[first : first + len(new)] = np.log(np.maximum(alpha[np.arange(len(new)), size], 1e-300))
+        found = np.log(np.maximum(alpha[np.arange(len(new)), size], 1e-300))
+        self.rows[first : first + len(new)] = found
+        if self.model.level is not None:
+            odd = (self.model.level - MARGIN) * size[:, None] > found
+            self.odd[first : first + len(new)] = np.where(odd, size[:, None], 0)
         self.at.update(zip(new, range(first, first + len(new)), strict=True))
 
     def predict_all(self, texts: list[str]) -> list[tuple[str, float]]:
@@ -170,14 +175,15 @@ class Scorer:
     def judge_all(self, texts: list[str]) -> list[tuple[str, float, bool]]:
         """(language, posterior probability, usual) of each text; ('und', 0.0, False) without a letter.
 
-        The posterior only compares the languages. ``usual`` says whether the best one explains the
-        text about as well as it explains its own training words (see ``MARGIN``).
+        The posterior only compares the languages. ``usual`` says whether the best one explains most of the
+        text about as well as its own training words (see ``MARGIN``).
         """
         out: list[tuple[str, float, bool]] = []
         model = self.model
         for at in range(0, len(texts), 64):
             found = [words(t) for t in texts[at : at + 64]]
-            totals = [np.zeros(len(model.languages)) for _ in found]
+            totals = [model.prior.copy() for _ in found]
+            odd = [np.zeros(len(model.languages), np.int64) for _ in found]
             if not model.languages:
                 out += [(UNKNOWN, 0.0, False)] * len(found)
                 continue
@@ -185,24 +191,26 @@ class Scorer:
                 if len(ws) <= MEMO // 64:
                     continue
                 for s in range(0, len(ws), MEMO // 64):  # a very long text, part by part
-                    totals[i] += self._sums([ws[s : s + MEMO // 64]])[0]
+                    part = ws[s : s + MEMO // 64]
+                    totals[i] += self._sums([part])[0]
+                    odd[i] += self._odd(part)
             short = [i for i, ws in enumerate(found) if 0 < len(ws) <= MEMO // 64]
             for i, x in zip(short, self._sums([found[i] for i in short]), strict=True):
                 totals[i] += x
-            for ws, total in zip(found, totals, strict=True):
-                if not ws:
-                    out.append((UNKNOWN, 0.0, False))
-                    continue
-                score = total + model.prior
+                odd[i] += self._odd(found[i])
+            for ws, score, letters in zip(found, totals, odd, strict=True):
                 best = int(score.argmax())
-                letters = sum(map(len, ws))
-                usual = True
-                if model.level is not None:
-                    gap = model.level[best] * letters - total[best]
-                    usual = bool(gap <= MARGIN * letters + DEVIATIONS * model.spread[best] * len(ws) ** 0.5)
-                out.append((model.languages[best], float(1 / np.exp(score - score[best]).sum()), usual))
+                if ws:
+                    usual = bool(letters[best] <= ODD_SHARE * sum(map(len, ws)))
+                    out.append((model.languages[best], float(1 / np.exp(score - score[best]).sum()), usual))
+                else:
+                    out.append((UNKNOWN, 0.0, False))
         return out
 
+    def _odd(self, ws: list[str]) -> np.ndarray:
+        """The letters of the odd words of a list whose words are known, by language."""
+        return self.odd[list(map(self.at.__getitem__, ws))].sum(0)
+
     def _sums(self, lists: list[list[str]]) -> list[np.ndarray]:
         """The summed log probabilities of each list; together at most ``MEMO`` words."""
         if not lists:
@@ -273,38 +281,31 @@ def fit(train: DataFrame, path: str, train_rows: int = TRAIN_ROWS, rounds: int =
         p /= p.sum(0)
         shared.unpersist()
     prior = np.log(np.array([sizes[k] for k in languages], float) / sum(sizes.values()))
-    level, spread = _usual(counts, Model(path, languages, prior, p))
-    return Model(path, languages, prior, p, level, spread)
+    return Model(path, languages, prior, p, _usual(counts, Model(path, languages, prior, p)))
 
 
-def _usual(counts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Per language, the mean log probability a letter of its training words (lang, word, n), and the
-    standard deviation of a word's about that."""
+def _usual(counts: DataFrame, model: Model) -> np.ndarray:
+    """Per language, the mean log probability a letter of its training words (lang, word, n)."""
     shared = counts.sparkSession.sparkContext.broadcast(model)
     column = {k: i for i, k in enumerate(model.languages)}
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, total = Scorer(shared.value), np.zeros((len(column), 6))
+        s, total = Scorer(shared.value), np.zeros((2, len(column)))
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 langs, found, n = (batch.column(i).slice(at, TOGETHER).to_pylist() for i in range(3))
                 s.at.clear()
                 s._learn(sorted(set(found)))
-                c = np.array([column[k] for k in langs])
-                x = s.rows[[s.at[w] for w in found], c]
-                size, n = np.array([len(w) for w in found], float), np.array(n, float)
-                for i, v in enumerate((n, n * x, n * size, n * x * x, n * x * size, n * size * size)):
-                    np.add.at(total[:, i], c, v)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(column)), pa.int32()), *(pa.array(v) for v in total.T)], ["c", *names])
-
-    names = [f"v{i}" for i in range(6)]
-    rows = counts.mapInArrow(sums, "c int, " + ", ".join(f"{v} double" for v in names)).groupBy("c").agg(*[F.sum(v).alias(v) for v in names]).toPandas()
-    v = np.zeros((len(column), 6))
-    v[rows["c"].to_numpy()] = rows[names].to_numpy()
-    n, x, size, xx, xs, ss = v.T
-    level = np.divide(x, size, out=np.zeros(len(v)), where=size > 0)
-    variance = np.divide(xx - 2 * level * xs + level**2 * ss, n, out=np.zeros(len(v)), where=n > 0)
-    return level, np.sqrt(np.maximum(variance, 0))
+                c, n = np.array([column[k] for k in langs]), np.array(n, float)
+                np.add.at(total[0], c, n * s.rows[[s.at[w] for w in found], c])
+                np.add.at(total[1], c, n * np.array([len(w) for w in found]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(column)), pa.int32()), *map(pa.array, total)], ["c", "x", "letters"])
+
+    rows = counts.mapInArrow(sums, "c int, x double, letters double").groupBy("c").agg(F.sum("x").alias("x"), F.sum("letters").alias("letters")).collect()
+    level = np.zeros(len(column))
+    for r in rows:
+        level[r["c"]] = r["x"] / r["letters"] if r["letters"] else 0.0
+    return level
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -327,9 +328,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 _SCORERS: dict[int, Scorer] = {}
 
 
+def _forget() -> None:
+    _SCORERS.clear()
+    lattice.cache_clear()
+
+
 def scorer(shared) -> Scorer:
     """The worker's scorer of a broadcast model; only the latest is kept."""
-    use_caches("langid", _SCORERS.clear)
+    use_caches("langid", _forget)
     found = _SCORERS.get(id(shared.value))
     if found is None or found.model is not shared.value:
         _SCORERS.clear()

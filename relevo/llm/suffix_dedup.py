@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from relevo.llm import anchors
 from relevo.llm.bpe import arrow_type
-from relevo.llm.frames import partitions, written
+from relevo.llm.frames import partitions, use_caches, written
 from relevo.llm.words import _BYTE
 
 WIDTH = 400
@@ -31,7 +31,7 @@ WIDTH = 400
 STEPS = (64, 8, 1)
 GRAM = 32
 #: Bytes of contexts that a task takes at once, whole anchors at a time.
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 #: Distances to the anchor that are tested together before the suffix array is built.
 BLOCK = 32
 _SMALL = 48  # strings up to this length are sorted directly
@@ -42,8 +42,8 @@ _SMALL = 48  # strings up to this length are sorted directly
 def _smaller_type(t: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor (the last, the end mark, is)."""
     n = len(t)
-    step = np.sign(t[1:].astype(np.int64) - t[:-1])
-    place = np.where(step != 0, np.arange(n - 1), n)
+    step = np.sign(t[1:].astype(np.int32) - t[:-1]).astype(np.int8)
+    place = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n))
     ahead = np.minimum.accumulate(place[::-1])[::-1]  # the next place where neighbours differ
     out = np.ones(n, bool)
     known = ahead < n
@@ -128,7 +128,7 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     end[lms] = np.append(lms[1:], n - 1) + 1
     spans = anchors.Spans((t.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9FB21C651E98DF25))
     size, digest = end[order] - order, spans.hash(order, end[order])
-    names = np.empty(n, np.int64)
+    names = np.empty(n, np.int32)
     names[order] = np.cumsum(np.concatenate([[True], (size[1:] != size[:-1]) | (digest[1:] != digest[:-1])])) - 1
     top = int(names[order[-1]]) + 1
     if top < len(lms):
@@ -219,6 +219,7 @@ def _shard_rows(contexts: DataFrame, width: int) -> DataFrame:
     """(rk, s, m): ranges of repeated window starts of contexts that occur once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_caches("suffix_dedup")
         held: list[tuple] = []
         parts: list[tuple] = []
         size = ready = 0
