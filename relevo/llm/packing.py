@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relevo.llm.bpe import Memo, arrow_type, library, vocabulary
-from relevo.llm.frames import map_texts, written
+from relevo.llm.frames import map_texts, use_caches, written
 
 #: Pre-tokens whose ids a worker remembers.
 IDS = 800_000
@@ -59,6 +59,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int
     """
 
     def rows(keys: list, texts: list) -> pa.RecordBatch:
+        use_caches("packing", encoder.cache_clear)
         bpe, ids_of, end = vocabulary(tokenizer), encoder(tokenizer), np.int32(end_id).tobytes()
         out: list[tuple] = []
         ids = []
