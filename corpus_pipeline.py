@@ -4,8 +4,9 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. Its rows are
 and read back as the next stage's documents. All stages but the last return the columns of
 ``documents``.
 
-* ``language_id``: rows with text in no known language go (no text, no letter, or no language of
-  at least ``MIN_SCORE``). The model is fitted on the stage's own labelled rows.
+* ``language_id``: rows with text in no known language go: no text, no letter, no language of at
+  least ``MIN_SCORE``, or a text most of whose words are odd even for its best language. The
+  model is fitted on the stage's own labelled rows.
 * ``ngram_jaccard``: rows are decided one by one, whatever their ids: of each group of near
   duplicates the row of the smallest id (then of the smallest hash) stays, and of rows that repeat
   both id and text the first by their other columns. Other rows that share an id all stay.
