@@ -21,3 +21,22 @@ def test_kept_words_of_products_equal_those_of_every_pair(spark):
     got = flows.corpus_kept_words(train, test, attrs, descs)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert S.DESCRIPTION not in got._jdf.queryExecution().optimizedPlan().toString()  # pairs meet counts, no text
+
+
+def test_stemmed_pairs_are_not_joined_to_phrases(spark):
+    """Cleaned texts are stemmed in place: one join, with the descriptions, and the same stems as the vocabulary's."""
+    from relevo.functions import porter2
+    from relevo.functions import text as T
+    from relevo.operators import stemming
+
+    rows = [(1, 7, "Running CATS 10\tft", "the cat's run", 1.0), (2, 7, "", None, 2.0), (3, 8, None, "x", 1.0), (4, None, "Dogs", "dog", 3.0)] * 2
+    pairs = spark.createDataFrame(rows, f"{S.ID} long, {S.PRODUCT} long, {S.TITLE} string, {S.TERM} string, {S.LABEL} double")
+    descs = spark.createDataFrame([(7, "Cats were running\x0bfast"), (7, None), (7, "run"), (None, "dog"), (8, "")], f"{S.PRODUCT} long, {S.DESCRIPTION} string")
+    df = features.hit_features(pairs, descs, stem=True)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    key = [S.ID, "term_len", "tf_title", "tf_desc"]
+    got = sorted(tuple(r[c] for c in key) for r in df.collect())
+    assert got == sorted([(1, 3, 2, 2), (1, 3, 2, 1), (2, 0, 0, 0), (2, 0, 0, 0), (3, 1, 0, 0), (4, 1, 1, 0)] * 2)
+    texts = descs.where(f"{S.DESCRIPTION} is not null").select(T.clean(S.DESCRIPTION).alias("t"))
+    for r in texts.select("t", stemming.cleaned_stems("t", T.CLEAN_PATTERN, " ").alias("s")).collect():
+        assert r["s"].split() == [porter2.stem(w) for w in r["t"].lower().split()]
