@@ -40,3 +40,14 @@ def test_stemmed_pairs_are_not_joined_to_phrases(spark):
     texts = descs.where(f"{S.DESCRIPTION} is not null").select(T.clean(S.DESCRIPTION).alias("t"))
     for r in texts.select("t", stemming.cleaned_stems("t", T.CLEAN_PATTERN, " ").alias("s")).collect():
         assert r["s"].split() == [porter2.stem(w) for w in r["t"].lower().split()]
+
+
+def test_documents_by_key_have_bounded_partitions(spark, monkeypatch):
+    """Twice the text gives twice the partitions once it is more than the session's partitions hold."""
+    docs = spark.createDataFrame([(i % 90, "ab cd" * 20) for i in range(100)], "doc_id long, text string")
+    monkeypatch.setattr(features, "KEYED_BYTES", 100)
+    assert [features.documents_by_key(docs, "doc_id", n).rdd.getNumPartitions() for n in (3000, 6000)] == [30, 60]
+    found = features.tfidf_table(features.tokenize(features.documents_by_key(docs, "doc_id", 6000), "text", "tok"), "doc_id", "tok", 100)
+    assert found.groupBy("doc_id").count().count() == 90
+    joins = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "rightHint=(strategy=broadcast)" in joins
