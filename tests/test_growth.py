@@ -51,3 +51,19 @@ def test_documents_by_key_have_bounded_partitions(spark, monkeypatch):
     assert found.groupBy("doc_id").count().count() == 90
     joins = found._jdf.queryExecution().optimizedPlan().toString()
     assert "rightHint=(strategy=broadcast)" in joins
+
+
+def test_pairs_meet_their_products_as_bare_keys(spark, scratch, monkeypatch):
+    """Repeated and null keys: the same pairs whether the searched parts are small or not."""
+    from relevo.sources import tables as src
+
+    lines = [(1, 1, 2, 1, 0.1), (1, 1, 3, 1, 0.05), (2, 2, 1, 2, 0.0), (3, None, 1, 1, 0.1), (4, 1, None, 1, 0.1), (5, 3, 9, 1, 0.1), (6, 2, 2, 1, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_discount double").write.parquet(f"{scratch}/lineitem.parquet")
+    parts = [(1, "bolt", "b1", "T1"), (2, "nut", "b2", "T2"), (2, "nut two", "b3", None), (3, "x", "y", "z"), (None, "n", "n", "n")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(f"{scratch}/part.parquet")
+    small = src.search_pairs(spark, scratch)
+    assert "strategy=broadcast" in small._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(src, "broadcast_if_small", lambda table, *cols: table)
+    key = [S.ID, S.PRODUCT, S.TITLE, S.TERM, S.LABEL]
+    large = sorted(map(str, src.search_pairs(spark, scratch).select(*key).collect()))
+    assert sorted(map(str, small.select(*key).collect())) == large and len(large) == 8
