@@ -31,7 +31,7 @@ from relevo.llm.bpe import Memo, arrow_type, library, vocabulary
 from relevo.llm.frames import map_texts, use_caches, written
 
 #: Pre-tokens whose ids a worker remembers.
-IDS = 800_000
+IDS = 400_000
 #: Pieces of a shard: enough that nearly every gap finds a fitting piece.
 SHARD_PIECES = 2048
 #: Sequences that a shard fills at least, where there are as many.
