@@ -167,3 +167,11 @@ def test_words_that_stand_together_get_near_vectors(spark):
     same = np.mean([cosine(f"{g}{i}", f"{g}{j}") for g in "xy" for i in range(6) for j in range(i)])
     other = np.mean([cosine(f"x{i}", f"y{j}") for i in range(6) for j in range(6)])
     assert same > 0.8 and other < 0
+
+
+def test_pinned_rows_are_the_rows(spark):
+    """Quotes, line breaks, control characters, missing and empty texts come back as they were."""
+    rows = [(k, w) for k, w in enumerate([["a", 'q"uo\\te', "", None], [], None, ["\n\t\r", "\x00\x01", "\u2028é𝄞", "[1,2]", "null"], [""], [None]])]
+    found = flows.pinned(spark.createDataFrame(rows, "id long, tok array<string>"), "tok")
+    assert found.dtypes == [("id", "bigint"), ("tok", "array<string>")]
+    assert sorted(((r["id"], r["tok"]) for r in found.collect()), key=lambda r: r[0]) == rows
